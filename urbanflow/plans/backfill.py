@@ -7,7 +7,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import month_tag
 from ..schemas import TRIP_BOUNDS, Bound, trip_schema
 from ..sources.readers import MONTH_FILE, read_months
 from ..sources.writers import write_month
@@ -16,7 +15,8 @@ from .facts import PICKUP, zone_facts
 
 def months_in_scope(trips: DataFrame, tag: str = "ym") -> DataFrame:
     """Trips whose pickup lies in the month their file is named after."""
-    return trips.filter(month_tag(PICKUP) == F.col(tag)).drop(tag)
+    named = F.replace(F.col(tag), F.lit("-"), F.lit("")).try_cast("int")
+    return trips.filter(F.year(PICKUP) * 100 + F.month(PICKUP) == named).drop(tag)
 
 
 def backfill(
