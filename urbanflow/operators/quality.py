@@ -138,8 +138,12 @@ def landing_gaps(
 
 
 def missing_months(expected: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Expected deliveries without a single landed row."""
-    return expected.join(landed, list(keys), "left_anti")
+    """Expected deliveries without a single landed row.
+
+    Landed keys are made distinct in the map tasks first, so what is joined
+    grows with the deliveries, not with their rows.
+    """
+    return expected.join(landed.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:

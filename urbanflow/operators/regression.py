@@ -19,6 +19,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .series import over
 
@@ -75,7 +76,15 @@ def simple_ols(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataF
 # One model per key
 # ---------------------------------------------------------------------------
 
-FIT = "intercept double, coef array<double>, t array<double>, sse double, r2 double"
+_DOUBLES = T.ArrayType(T.DoubleType())
+FIT = (
+    T.StructType()
+    .add("intercept", T.DoubleType())
+    .add("coef", _DOUBLES)
+    .add("t", _DOUBLES)
+    .add("sse", T.DoubleType())
+    .add("r2", T.DoubleType())
+)
 
 
 def cross_products(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -182,7 +191,7 @@ def _adf_p(stat: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _best_lag(n: pd.Series, means: pd.Series, products: pd.Series, max_lag: pd.Series) -> pd.Series:
     """Number of lagged differences with the least AIC, all tried on the same rows."""
     out = []
@@ -200,7 +209,7 @@ def _best_lag(n: pd.Series, means: pd.Series, products: pd.Series, max_lag: pd.S
     return pd.Series(out)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _adf_p_value(stat: pd.Series) -> pd.Series:
     return stat.map(lambda s: None if s is None or math.isnan(s) else _adf_p(s)).astype(float)
 

@@ -12,7 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-AGGREGATES = {"sum": F.sum, "mean": F.avg, "max": F.max, "min": F.min, "count": F.count}
+from .rollup import mean_of
+
+AGGREGATES = {"sum": F.sum, "mean": mean_of, "max": F.max, "min": F.min, "count": F.count}
 
 
 def over(keys: Sequence[str], *order: Column | str) -> WindowSpec:

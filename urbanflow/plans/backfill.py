@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import TRIP_BOUNDS, Bound, trip_schema
 from ..sources.readers import MONTH_FILE, read_months
@@ -25,7 +26,7 @@ def backfill(
     months: Iterable[tuple[int, int]],
     out: str,
     bounds: Mapping[str, Bound] | None = TRIP_BOUNDS,
-    money: str = "double",
+    schema: T.StructType | None = None,
     template: str = MONTH_FILE,
 ) -> dict[str, str]:
     """(Re)write the hour x zone fact of the given months; returns the skipped ones.
@@ -33,6 +34,6 @@ def backfill(
     All months run as one job.  Each month replaces its own folder, so a rerun,
     whole or partial, leaves no duplicates and touches no other month.
     """
-    trips, skipped = read_months(spark, root, months, trip_schema(money), template=template)
+    trips, skipped = read_months(spark, root, months, schema or trip_schema(), template=template)
     write_month(zone_facts(months_in_scope(trips), bounds=bounds), out)
     return skipped

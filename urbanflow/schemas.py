@@ -6,6 +6,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def layout(columns: str) -> T.StructType:
+    """Schema from ``name type, name type``; unlike a DDL string it needs no session."""
+    fields = [c.split() for c in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+
 
 @dataclass(frozen=True)
 class Bound:
@@ -28,37 +42,37 @@ class Measure:
     unit: float | None = None
 
 
-def trip_schema(money: str = "double") -> T.StructType:
+def trip_schema(money: T.DataType = _TYPES["double"]) -> T.StructType:
     """Columns of a raw trip row that the rollups need.
 
     ``money`` is the type of the four amount columns.  ``double`` keeps the
-    stored type; a decimal such as ``decimal(8,2)`` makes their sums exact, so
-    they do not depend on the order in which tasks finish or are retried.
+    stored type; a decimal makes their sums exact, so they do not depend on the
+    order in which tasks finish or are retried.  Up to eight digits, as in
+    ``DecimalType(8, 2)``, the sum of a decimal still fits a machine word.
     """
-    return T.StructType.fromDDL(
-        "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int, "
-        f"trip_distance {money}, fare_amount {money}, total_amount {money}, tip_amount {money}"
-    )
+    keys = layout("tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int")
+    amounts = ("trip_distance", "fare_amount", "total_amount", "tip_amount")
+    return T.StructType([*keys, *[T.StructField(a, money) for a in amounts]])
 
 
-COMPLAINT = T.StructType.fromDDL(
+COMPLAINT = layout(
     "unique_key bigint, created_date timestamp_ntz, complaint_type string, descriptor string, "
     "borough string, latitude double, longitude double"
 )
 
-WEATHER = T.StructType.fromDDL(
+WEATHER = layout(
     "time bigint, temp double, dwpt double, rhum double, prcp double, snow double, wdir double, "
     "wspd double, wpgt double, pres double, tsun double, coco double"
 )
 
-ZONE_LOOKUP_RAW = T.StructType.fromDDL("LocationID string, Borough string, Zone string, service_zone string")
+ZONE_LOOKUP_RAW = layout("LocationID string, Borough string, Zone string, service_zone string")
 
-ZONE_FINAL = T.StructType.fromDDL(
+ZONE_FINAL = layout(
     "hour_ts timestamp_ntz, locationid int, borough string, zone string, service_zone string, trips int, "
     "avg_fare_amount double, avg_tip_amount double, avg_total_amount double, avg_trip_distance double"
 )
 
-MASTER = T.StructType.fromDDL(
+MASTER = layout(
     "hour_ts timestamp_ntz, year int, month int, day int, hour int, borough string, trips bigint, "
     "avg_trip_duration_min double, avg_fare_amount double, avg_trip_distance double, "
     "avg_total_amount double, avg_tip_amount double, "
@@ -71,7 +85,7 @@ MASTER = T.StructType.fromDDL(
 )
 
 # Layout of the published, fully typed borough view.
-BOROUGH_VIEW = T.StructType.fromDDL(
+BOROUGH_VIEW = layout(
     "year int, month int, day int, hour int, hour_ts timestamp_ntz, borough string, trips bigint, "
     "avg_fare_amount double, avg_tip_amount double, avg_total_amount double, avg_trip_distance double, "
     "avg_trip_duration_min double, temp_avg double, dewpoint_avg double, humidity_avg double, "
