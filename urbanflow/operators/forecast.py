@@ -12,16 +12,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .correlation import forecast_metrics
 from .regression import fit_by_key, linear_score
-from .series import last_n, over, time_split, with_lags
+from .series import over, time_split, with_lags
 
 LAGS = (1, 7, 8)
 _SERIES = "_series"
 
 
-def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    return (df, list(keys)) if keys else (df.withColumn(_SERIES, F.lit(0)), [_SERIES])
+def _keyed(df: DataFrame, keys: Sequence[str], *cols: str) -> tuple[DataFrame, list[str]]:
+    """The series with a key, written once, as fitting and forecasting both read them."""
+    rows = df.select(*dict.fromkeys([*keys, *cols])) if cols else df
+    if not keys:
+        rows, keys = rows.withColumn(_SERIES, F.lit(0)), [_SERIES]
+    return stage(rows), list(keys)
 
 
 def _shocks(rows: DataFrame, y: str, t: str, keys: Sequence[str], order: int, train: Column) -> DataFrame:
@@ -32,7 +37,7 @@ def _shocks(rows: DataFrame, y: str, t: str, keys: Sequence[str], order: int, tr
     """
     lags = [f"{y}_lag{k}" for k in range(1, order + 1)]
     wide = with_lags(rows, y, t, range(1, order + 1), keys)
-    fit = fit_by_key(wide.filter(train), y, lags, keys).select(*keys, "intercept", "coef")
+    fit = fit_by_key(wide.filter(train), y, lags, keys, series=True).select(*keys, "intercept", "coef")
     miss = F.col(y) - F.col("intercept") - linear_score(lags)
     out = wide.join(fit, list(keys), "left").withColumn("_shock", F.coalesce(F.when(train, miss), F.lit(0.0)))
     return out.drop("intercept", "coef", *lags)
@@ -76,7 +81,7 @@ def seasonal_arx(
     rows, ks = _keyed(df, keys)
     design, lagged, shocks = seasonal_design(rows, y, t, ks, lags, shock_lags)
     xs = [*lagged, *exog, *shocks]
-    fits = fit_by_key(design, y, xs, ks)
+    fits = fit_by_key(design, y, xs, ks, series=True)
     scored = design.join(fits.select(*ks, "intercept", "coef"), ks, "left")
     predicted = F.col("intercept") + linear_score(xs)
     out = scored.select(*[c for c in df.columns if c != y], F.col(y), predicted.alias("predicted"))
@@ -99,11 +104,11 @@ def forecast_holdout(
     each step feeds on earlier forecasts.  The steps of one series run as a
     fold over an array that holds one number per test day.
     """
-    rows, ks = _keyed(df, keys)
+    rows, ks = _keyed(df, keys, t, y, part, *exog)
     is_train = F.col(part) == "train"
     design, lagged, shocks = seasonal_design(rows, y, t, ks, lags, shock_lags, is_train)
     xs = [*lagged, *exog, *shocks]
-    fits = fit_by_key(design.filter(is_train), y, xs, ks).select(*ks, "intercept", "coef")
+    fits = fit_by_key(design.filter(is_train), y, xs, ks, series=True).select(*ks, "intercept", "coef")
     # What the drivers and the last known shocks add to each step is known
     # beforehand; only the lag terms depend on earlier steps.
     known = linear_score([*exog, *shocks], first=len(lagged))
@@ -178,7 +183,7 @@ def forecast_direct(
     Drivers beyond the end come from ``future_exog`` (keys, step, drivers);
     without it the last ``horizon`` observed rows are reused in order.
     """
-    rows, ks = _keyed(df, keys)
+    rows, ks = _keyed(df, keys, t, y, *exog)
     if future_exog is not None and not keys:
         future_exog = future_exog.withColumn(_SERIES, F.lit(0))
     exog = list(exog)
@@ -202,7 +207,7 @@ def forecast_direct(
         *ks, "step", "_now", same_place.alias("_same"), F.col("_row.y").alias("_target"),
         *[F.col(f"_row.{x}").alias(x) for x in exog],
     )
-    fits = fit_by_key(pairs, "_target", xs, [*ks, "step"]).select(*ks, "step", "intercept", "coef")
+    fits = fit_by_key(pairs, "_target", xs, [*ks, "step"], series=True).select(*ks, "step", "intercept", "coef")
 
     last = span.filter((F.col("_from_end") == 1) & full)
     steps = last.select(
@@ -217,12 +222,3 @@ def forecast_direct(
     forecast = F.col("intercept") + linear_score(xs)
     return scored.select(*ks, "origin", "step", forecast.alias("forecast")).drop(_SERIES)
 
-
-__all__ = [
-    "backtest",
-    "forecast_direct",
-    "forecast_holdout",
-    "last_n",
-    "seasonal_arx",
-    "seasonal_naive",
-]

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
 from .series import over
 
 # The small solvers below travel to the tasks with the functions that call
@@ -39,7 +40,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str]) -> tuple[DataFrame, DataFrame]
     coefficient, and one row.
     """
     rows = df.select(F.col(y).cast("double").alias("_y"), *[F.col(x).cast("double").alias(x) for x in xs])
-    data = VectorAssembler(inputCols=list(xs), outputCol="_x").transform(rows.na.drop())
+    data = VectorAssembler(inputCols=list(xs), outputCol="_x").transform(stage(rows.na.drop()))
     model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=0.0).fit(data)
     s = model.summary
     estimates = [*model.coefficients, model.intercept]
@@ -87,27 +88,40 @@ FIT = (
 )
 
 
-def cross_products(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def cross_products(
+    df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str], extra: Sequence[Column] = (), series: bool = False
+) -> DataFrame:
     """Per key: row count, means and mean centred cross-products of (xs, y).
 
-    A first aggregate finds the means, a second one averages the products of
-    deviations, which keeps large levels from swallowing small variation.
-    Both work on vectors, so their cost in plan size does not grow with the
-    number of columns.  Rows with a NULL are left out.
+    Means are found first and products of deviations averaged second, which
+    keeps large levels from swallowing small variation.  Both work on vectors,
+    so the plan does not grow with the number of columns.  Rows with a NULL are
+    left out.
+
+    Groups may be of any size: both steps combine rows in the map tasks.  With
+    ``series`` each group is a series of one row per day, and its means come
+    from a window, which reads the input once instead of twice.
     """
     cols = [*xs, y]
     vec = F.array(*[F.col(c).cast("double") for c in cols])
-    rows = df.na.drop("any", subset=cols).select(*keys, vec.alias("_v"))
-    means = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), vector_to_array(Summarizer.mean(array_to_vector(F.col("_v")))).alias("means")
-    )
-    dev = F.zip_with("_v", "means", lambda a, m: a - m)
+    rows = df.na.drop("any", subset=cols)
+    if series:
+        w = over(keys)
+        means = F.array(*[F.avg(F.col(c).cast("double")).over(w) for c in cols])
+        rows = rows.withColumns({"_v": vec, "_m": means, "_n": F.count(F.lit(1)).over(w)})
+    else:
+        rows = rows.withColumn("_v", vec)
+        centre = vector_to_array(Summarizer.mean(array_to_vector(F.col("_v"))))
+        totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), centre.alias("_m"))
+        rows = rows.join(totals, list(keys))
+    rows = rows.withColumn("_d", F.zip_with("_v", "_m", lambda a, m: a - m))
     outer = F.flatten(F.transform(F.col("_d"), lambda a: F.transform(F.col("_d"), lambda b: a * b)))
-    devs = rows.join(means, list(keys)).select(*keys, dev.alias("_d"))
-    products = devs.select(*keys, outer.alias("_o")).groupBy(*keys).agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col("_o")))).alias("products")
+    return rows.withColumn("_o", outer).groupBy(*keys).agg(
+        F.first("_n").alias("n"),
+        F.first("_m").alias("means"),
+        vector_to_array(Summarizer.mean(array_to_vector(F.col("_o")))).alias("products"),
+        *extra,
     )
-    return means.join(products, list(keys))
 
 
 def _solve(n: int, means: np.ndarray, products: np.ndarray) -> tuple:
@@ -146,13 +160,17 @@ def _fit(n: pd.Series, means: pd.Series, products: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["intercept", "coef", "t", "sse", "r2"])
 
 
-def fit_by_key(df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def fit_by_key(
+    df: DataFrame, y: str, xs: Sequence[str], keys: Sequence[str], extra: Sequence[Column] = (), series: bool = False
+) -> DataFrame:
     """One regression per key: n, intercept, coef, t, sse, r2.
 
-    A key with fewer rows than coefficients has a NULL fit.
+    A key with fewer rows than coefficients has a NULL fit.  ``series`` is as
+    in ``cross_products``; ``extra`` adds aggregates of the same rows.
     """
-    fits = cross_products(df, y, xs, keys).select(*keys, "n", _fit("n", "means", "products").alias("_f"))
-    return fits.select(*keys, "n", "_f.*")
+    sums = cross_products(df, y, xs, keys, extra, series)
+    others = [c for c in sums.columns if c not in ("means", "products")]
+    return sums.select(*others, _fit("n", "means", "products").alias("_f")).select(*others, "_f.*")
 
 
 def linear_score(xs: Sequence[str], coef: str = "coef", first: int = 0) -> Column:
@@ -232,44 +250,34 @@ def adf_stat(
     one with the chosen number on all rows it allows.
     """
     keys = list(keys)
-    rows = df.filter(F.col(y).isNotNull())
+    rows = df.select(*keys, F.col(t), F.col(y).cast("double").alias("_y")).filter(F.col("_y").isNotNull())
     if not keys:
         rows, keys = rows.withColumn("_series", F.lit(0)), ["_series"]
-    n = F.count(F.lit(1)).over(over(keys))
-    w = over(keys, t)
-    limit = default_max_lag(F.col("_n"))
+    rows = stage(rows)
     if max_lag is None:
         longest = rows.groupBy(*keys).count().agg(default_max_lag(F.max("count")).alias("m"))
         max_lag = longest.first()["m"] or 0
-    limit = F.least(limit, F.lit(max_lag))
 
-    base = rows.select(*keys, F.col(t), F.col(y).cast("double").alias("_y")).withColumns(
-        {"_n": n, "_i": F.row_number().over(w), "_level": F.lag("_y", 1).over(w)}
-    )
-    base = base.withColumn("_d0", F.col("_y") - F.col("_level")).withColumn("_limit", limit)
-    base = base.withColumns({f"_d{k}": F.lag("_d0", k).over(w) for k in range(1, max_lag + 1)})
-
-    def design(rows: DataFrame, lags: str) -> DataFrame:
-        """Rows with ``lags`` earlier differences; longer lags are blanked out."""
-        usable = rows.filter(F.col("_i") >= F.col(lags) + 2)
-        blanked = {f"_d{k}": F.when(F.col(lags) >= k, F.col(f"_d{k}")).otherwise(0.0) for k in range(1, max_lag + 1)}
-        return usable.withColumns(blanked) if blanked else usable
-
-    xs = ["_level", *[f"_d{k}" for k in range(1, max_lag + 1)]]
-    limits = base.select(*keys, "_limit").distinct()
-    chosen = (
-        cross_products(design(base, "_limit"), "_d0", xs, keys)
-        .join(limits, keys)
-        .select(*keys, _best_lag("n", "means", "products", "_limit").alias("used_lag"))
+    w, lags = over(keys, t), range(1, max_lag + 1)
+    base = rows.withColumns({"_i": F.row_number().over(w), "_level": F.lag("_y", 1).over(w)})
+    limit = F.least(default_max_lag(F.count(F.lit(1)).over(over(keys))), F.lit(max_lag))
+    base = base.withColumns({"_limit": limit, "_d0": F.col("_y") - F.col("_level")})
+    base = base.withColumns({f"_d{k}": F.lag("_d0", k).over(w) for k in lags})
+
+    def design(rows: DataFrame, used: str) -> DataFrame:
+        """Rows with ``used`` earlier differences; longer lags are blanked out."""
+        usable = rows.filter(F.col("_i") >= F.col(used) + 2)
+        return usable.withColumns({f"_d{k}": F.when(F.col(used) >= k, F.col(f"_d{k}")).otherwise(0.0) for k in lags})
+
+    xs = ["_level", *[f"_d{k}" for k in lags]]
+    tried = cross_products(design(base, "_limit"), "_d0", xs, keys, [F.first("_limit").alias("_limit")], series=True)
+    chosen = tried.select(*keys, _best_lag("n", "means", "products", "_limit").alias("used_lag"))
+    final = fit_by_key(
+        design(base.join(chosen, keys), "used_lag"), "_d0", xs, keys, [F.first("used_lag").alias("used_lag")], series=True
     )
-    final = fit_by_key(design(base.join(chosen, keys), "used_lag"), "_d0", xs, keys).join(chosen, keys)
-    stat = F.get(F.col("t"), 0)
-    out = final.select(*keys, stat.alias("adf_stat"), "used_lag", F.col("n").alias("n_obs"))
+    out = final.select(*keys, F.get(F.col("t"), F.lit(0)).alias("adf_stat"), "used_lag", F.col("n").alias("n_obs"))
     crit = {
-        f"crit_{int(name[:-1])}": sum((F.lit(b) / F.pow("n_obs", F.lit(i)) for i, b in enumerate(bs) if i), F.lit(bs[0]))
+        f"crit_{name[:-1]}": sum((F.lit(b) / F.pow("n_obs", F.lit(i)) for i, b in enumerate(bs) if i), F.lit(bs[0]))
         for name, bs in ADF_CRITICAL.items()
     }
-    out = out.withColumn("p_value", _adf_p_value("adf_stat")).withColumns(crit)
-    return out.drop("_series")
-
-
+    return out.withColumn("p_value", _adf_p_value("adf_stat")).withColumns(crit).drop("_series")

@@ -22,6 +22,7 @@ from ..operators.project import (
 from ..operators.rollup import classify_counts
 from ..schemas import BOROUGH_VIEW, COMPLAINT_CLASSES, COMPLAINT_TOTAL_NAMES, MASTER, UNKNOWN_BOROUGHS
 
+WEATHER_COLUMNS = tuple(MASTER.fieldNames()[MASTER.fieldNames().index("temp_avg") :])
 COMPLAINT_COLUMNS = ("complaints_311", *[f"complaints_{c}" for c in COMPLAINT_CLASSES])
 
 
@@ -54,7 +55,8 @@ def build_master(
     """
     taxi = apply_if_present(taxi, "borough", label)
     c311 = prefix_cols(normalise_complaints(c311), "c311")
-    weather = prefix_cols(one_row_per_key(weather, ["hour_ts"], duplicate_weather), "weather")
+    weather = keep_present(prefix_cols(weather, "weather"), ["hour_ts", *WEATHER_COLUMNS])
+    weather = one_row_per_key(weather, ["hour_ts"], duplicate_weather)
     joined = taxi.join(c311, ["hour_ts", "borough"], "left").join(weather, ["hour_ts"], "left")
     return keep_present(fill_zero(joined, COMPLAINT_COLUMNS), MASTER.fieldNames())
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Wall-clock hours are kept without a zone, so the session zone must not shift
 # them.  Adaptive execution splits skewed join sides, coalesces small shuffle
@@ -14,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -25,3 +28,22 @@ def build_session(app: str = "urbanflow", master: str | None = None, **conf: str
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write a table that a plan reads several times, so that it is computed once.
+
+    The copy goes to the shared folder the cluster names in
+    spark.checkpoint.dir, where it survives lost executors.  A local session
+    without that setting uses a folder of its own; a cluster without it skips
+    the copy, which changes cost but no result.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and sc.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="urbanflow-")
+        if folder is None:
+            return df
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -45,8 +45,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
+def _with_k(events: DataFrame) -> DataFrame:
+    """Add the number in props; a generator, so each object is parsed once however often k is used."""
+    return events.select(*[c for c in events.columns if c != "props"], F.json_tuple("props", "k").alias("_k")).select(
+        *[c for c in events.columns if c != "props"], F.col("_k").cast("int").alias("k")
+    )
 
 
 def _pick(values, index) -> Column:
@@ -74,8 +77,8 @@ def event_trips(spark: SparkSession, sf: str, money: T.DataType = MONEY) -> Data
     """Hour-grain trips: user group as zone, 30 zones of which the lookup knows 25."""
     k, fare = F.col("k"), F.col("fare")
     tip = F.when(F.col("event_type") == "purchase", k.cast(MONEY))
-    rows = table(spark, sf, "events").filter(F.col("event_type").isin(*TRIP_EVENTS))
-    rows = rows.select("ts", "user_id", "event_type", _k().alias("k"), F.col("value").cast(MONEY).alias("fare"))
+    rows = _with_k(table(spark, sf, "events").filter(F.col("event_type").isin(*TRIP_EVENTS)))
+    rows = rows.select("ts", "user_id", "event_type", "k", F.col("value").cast(MONEY).alias("fare"))
     trips = rows.select(
         F.col("ts").alias("tpep_pickup_datetime"),
         F.timestamp_add("MINUTE", k, F.col("ts")).alias("tpep_dropoff_datetime"),
@@ -150,11 +153,11 @@ sane AS (
 
 def event_complaints(spark: SparkSession, sf: str) -> DataFrame:
     """Raw complaints with untidy borough labels, some of them blank or NULL."""
-    rows = table(spark, sf, "events").filter(F.col("event_type").isin(*COMPLAINT_EVENTS))
+    rows = _with_k(table(spark, sf, "events").filter(F.col("event_type").isin(*COMPLAINT_EVENTS)))
     return rows.select(
         F.col("event_id").alias("unique_key"),
         F.col("ts").alias("created_date"),
-        _pick(COMPLAINT_TEXTS, _k() % 8).alias("complaint_type"),
+        _pick(COMPLAINT_TEXTS, F.col("k") % 8).alias("complaint_type"),
         F.col("event_type").alias("descriptor"),
         _pick(BOROUGH_TEXTS, F.col("user_id") % 7).alias("borough"),
     )
@@ -183,8 +186,8 @@ complaint_hours AS (
 def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Raw hourly weather: the first event of each hour."""
     events = table(spark, sf, "events").withColumn("_hour", F.date_trunc("hour", "ts"))
-    first = dedup_by_key(events, ["_hour"], "event_id")
-    k, value = _k(), F.col("value")
+    first = _with_k(dedup_by_key(events, ["_hour"], "event_id"))
+    k, value = F.col("k"), F.col("value")
     nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + 999
     rows = first.select(
         nanos.alias("time"),

@@ -230,15 +230,16 @@ def last_14_days(spark: SparkSession, sf: str) -> DataFrame:
     "q30_direct_forecast",
     f"""
 WITH {DAILY_SQL},
-steps AS (SELECT unnest(range(1, 15)) AS step),
-pairs AS (
-  SELECT a.borough, step, a.y AS now, s.y AS same, t.y AS target
-  FROM seq a CROSS JOIN steps JOIN seq t ON t.borough = a.borough AND t.i = a.i + step
-  JOIN seq s ON s.borough = a.borough AND s.i = a.i - 7 + step % 7),{two_driver_sql('pairs', 'target', 'now', 'same', 'borough, step')}
-SELECT f.borough, CAST(a.day AS DATE) AS origin, CAST(f.step AS INTEGER) AS step,
-       ROUND(c0 + ca * a.y + cb * s.y, 6) AS forecast
-FROM fit f JOIN seq a ON a.borough = f.borough AND a.i = a.n
-JOIN seq s ON s.borough = f.borough AND s.i = a.n - 7 + f.step % 7""",
+spans AS (
+  SELECT borough, day, i, n, y AS now,
+         list(y) OVER (PARTITION BY borough ORDER BY day ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) AS nxt,
+         list(y) OVER (PARTITION BY borough ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS week
+  FROM seq),
+steps AS (SELECT *, unnest(range(1, 15)) AS step FROM spans WHERE i > 7),
+pairs AS (SELECT borough, step, now, week[step % 7 + 1] AS same, nxt[step] AS target FROM steps),{two_driver_sql('pairs', 'target', 'now', 'same', 'borough, step')}
+SELECT f.borough, s.day AS origin, CAST(f.step AS INTEGER) AS step,
+       ROUND(c0 + ca * now + cb * week[s.step % 7 + 1], 6) AS forecast
+FROM fit f JOIN steps s ON s.borough = f.borough AND s.step = f.step WHERE s.i = s.n""",
 )
 def direct_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(forecast_direct(daily_series(spark, sf), "trips", "day", keys=BY), 6, "forecast")
