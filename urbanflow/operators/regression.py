@@ -115,19 +115,21 @@ def cross_products(
         totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), centre.alias("_m"))
         rows = rows.join(totals, list(keys))
     rows = rows.withColumn("_d", F.zip_with("_v", "_m", lambda a, m: a - m))
-    outer = F.flatten(F.transform(F.col("_d"), lambda a: F.transform(F.col("_d"), lambda b: a * b)))
-    return rows.withColumn("_o", outer).groupBy(*keys).agg(
-        F.first("_n").alias("n"),
-        F.first("_m").alias("means"),
-        vector_to_array(Summarizer.mean(array_to_vector(F.col("_o")))).alias("products"),
-        *extra,
-    )
+    return _mean_products(rows, "_d", keys, F.first("_n").alias("n"), F.first("_m").alias("means"), *extra)
+
+
+def _mean_products(rows: DataFrame, vec: str, keys: Sequence[str], *extra: Column) -> DataFrame:
+    """Per key the mean of v v', as one flat array."""
+    v = F.col(vec)
+    outer = F.flatten(F.transform(v, lambda a: F.transform(v, lambda b: a * b)))
+    mean = vector_to_array(Summarizer.mean(array_to_vector(F.col("_o"))))
+    return rows.withColumn("_o", outer).groupBy(*keys).agg(mean.alias("products"), *extra)
 
 
 def _solve(n: int, means: np.ndarray, products: np.ndarray) -> tuple:
     """Coefficients from centred moments; columns without variation get 0."""
     k = len(means) - 1
-    m = products.reshape(k + 1, k + 1) * n
+    m = np.reshape(products, (k + 1, k + 1)) * n
     a, b, syy = m[:k, :k], m[:k, k], m[k, k]
     scale = np.sqrt(np.diag(a))
     live = scale > 1e-12 * np.abs(means[:k]) * math.sqrt(max(n, 1))
@@ -209,16 +211,24 @@ def _adf_p(stat: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
+def _centred(products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and centred products from the products of (1, xs, y)."""
+    size = math.isqrt(len(products))
+    p = products.reshape(size, size)
+    means = p[0, 1:]
+    return means, p[1:, 1:] - np.outer(means, means)
+
+
 @F.pandas_udf(T.IntegerType())
-def _best_lag(n: pd.Series, means: pd.Series, products: pd.Series, max_lag: pd.Series) -> pd.Series:
+def _best_lag(n: pd.Series, products: pd.Series, max_lag: pd.Series) -> pd.Series:
     """Number of lagged differences with the least AIC, all tried on the same rows."""
     out = []
-    for i, m, p, limit in zip(n, means, products, max_lag):
-        m, p = np.asarray(m, float), np.asarray(p, float)
-        size, best = len(m), (math.inf, 0)
+    for i, p, limit in zip(n, products, max_lag):
+        means, centred = _centred(np.asarray(p, float))
+        best = (math.inf, 0)
         for lags in range(int(limit) + 1):
-            keep = [*range(lags + 1), size - 1]
-            sse = _solve(i, m[keep], p.reshape(size, size)[np.ix_(keep, keep)].ravel())[3]
+            keep = [*range(lags + 1), len(means) - 1]
+            sse = _solve(i, means[keep], centred[np.ix_(keep, keep)])[3]
             if sse is None:
                 continue
             aic = (i * math.log(sse / i) if sse > 0 else -math.inf) + 2 * (lags + 2)
@@ -227,6 +237,16 @@ def _best_lag(n: pd.Series, means: pd.Series, products: pd.Series, max_lag: pd.S
     return pd.Series(out)
 
 
+@F.pandas_udf(T.DoubleType())
+def _level_t(n: pd.Series, products: pd.Series) -> pd.Series:
+    """t value of the first driver."""
+    out = []
+    for i, p in zip(n, products):
+        t = _solve(i, *_centred(np.asarray(p, float)))[2]
+        out.append(None if t is None else t[0])
+    return pd.Series(out, dtype=float)
+
+
 @F.pandas_udf(T.DoubleType())
 def _adf_p_value(stat: pd.Series) -> pd.Series:
     return stat.map(lambda s: None if s is None or math.isnan(s) else _adf_p(s)).astype(float)
@@ -258,24 +278,37 @@ def adf_stat(
         longest = rows.groupBy(*keys).count().agg(default_max_lag(F.max("count")).alias("m"))
         max_lag = longest.first()["m"] or 0
 
-    w, lags = over(keys, t), range(1, max_lag + 1)
-    base = rows.withColumns({"_i": F.row_number().over(w), "_level": F.lag("_y", 1).over(w)})
-    limit = F.least(default_max_lag(F.count(F.lit(1)).over(over(keys))), F.lit(max_lag))
-    base = base.withColumns({"_limit": limit, "_d0": F.col("_y") - F.col("_level")})
-    base = base.withColumns({f"_d{k}": F.lag("_d0", k).over(w) for k in lags})
-
-    def design(rows: DataFrame, used: str) -> DataFrame:
-        """Rows with ``used`` earlier differences; longer lags are blanked out."""
-        usable = rows.filter(F.col("_i") >= F.col(used) + 2)
-        return usable.withColumns({f"_d{k}": F.when(F.col(used) >= k, F.col(f"_d{k}")).otherwise(0.0) for k in lags})
-
-    xs = ["_level", *[f"_d{k}" for k in lags]]
-    tried = cross_products(design(base, "_limit"), "_d0", xs, keys, [F.first("_limit").alias("_limit")], series=True)
-    chosen = tried.select(*keys, _best_lag("n", "means", "products", "_limit").alias("used_lag"))
-    final = fit_by_key(
-        design(base.join(chosen, keys), "used_lag"), "_d0", xs, keys, [F.first("used_lag").alias("used_lag")], series=True
+    # Earlier differences are kept as one array, so the plan has the same size
+    # for any number of lags.  The level is centred, and differences are by
+    # nature, so the plain products below lose no digits.
+    w, whole = over(keys, t), over(keys)
+    base = rows.withColumns(
+        {
+            "_i": F.row_number().over(w),
+            "_limit": F.least(default_max_lag(F.count(F.lit(1)).over(whole)), F.lit(max_lag)),
+            "_before": F.lag("_y", 1).over(w),
+            "_mean": F.avg("_y").over(whole),
+        }
     )
-    out = final.select(*keys, F.get(F.col("t"), F.lit(0)).alias("adf_stat"), "used_lag", F.col("n").alias("n_obs"))
+    base = base.select(
+        *keys, F.col(t), "_i", "_limit", (F.col("_before") - F.col("_mean")).alias("_level"),
+        (F.col("_y") - F.col("_before")).alias("_diff"),
+    )
+    earlier = F.reverse(F.collect_list("_diff").over(w.rowsBetween(-max(max_lag, 1), -1)))
+    base = base.withColumn("_earlier", earlier)
+
+    def moments(rows: DataFrame, used: str) -> DataFrame:
+        """Products of (1, level, ``used`` earlier differences, 0 for longer lags, difference)."""
+        blank = F.array_repeat(F.lit(0.0), F.lit(max_lag) - F.col(used))
+        lags = F.concat(F.slice("_earlier", 1, F.col(used)), blank)
+        vec = F.concat(F.array(F.lit(1.0), F.col("_level")), lags, F.array(F.col("_diff")))
+        usable = rows.filter(F.col("_i") >= F.col(used) + 2).withColumn("_vec", vec)
+        return _mean_products(usable, "_vec", keys, F.count(F.lit(1)).alias("n_obs"), F.first(used).alias(used))
+
+    tried = moments(base, "_limit")
+    chosen = tried.select(*keys, _best_lag("n_obs", "products", "_limit").alias("used_lag"))
+    final = moments(base.join(chosen, keys), "used_lag")
+    out = final.select(*keys, _level_t("n_obs", "products").alias("adf_stat"), "used_lag", "n_obs")
     crit = {
         f"crit_{name[:-1]}": sum((F.lit(b) / F.pow("n_obs", F.lit(i)) for i, b in enumerate(bs) if i), F.lit(bs[0]))
         for name, bs in ADF_CRITICAL.items()
