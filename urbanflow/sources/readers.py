@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +67,7 @@ def read_months(
             lacking = missing(stored, required)
             if lacking:
                 raise MissingColumns(f"missing columns: {lacking}")
-        except (AnalysisException, MissingColumns, PySparkException) as e:
+        except (MissingColumns, PySparkException, Py4JJavaError) as e:
             if on_error != "skip":
                 raise
             skipped[ym] = str(e).splitlines()[0]
