@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .correlation import forecast_metrics
-from .regression import fit_by_key, linear_score
+from .regression import fit_by_key, fit_vectors, linear_score
 from .series import over, time_split, with_lags
 
 LAGS = (1, 7, 8)
@@ -35,12 +35,17 @@ def _shocks(rows: DataFrame, y: str, t: str, keys: Sequence[str], order: int, tr
     This is the first stage of Hannan and Rissanen (1982); lagged shocks then
     stand in for the moving-average terms.
     """
-    lags = [f"{y}_lag{k}" for k in range(1, order + 1)]
-    wide = with_lags(rows, y, t, range(1, order + 1), keys)
-    fit = fit_by_key(wide.filter(train), y, lags, keys, series=True).select(*keys, "intercept", "coef")
-    miss = F.col(y) - F.col("intercept") - linear_score(lags)
-    out = wide.join(fit, list(keys), "left").withColumn("_shock", F.coalesce(F.when(train, miss), F.lit(0.0)))
-    return out.drop("intercept", "coef", *lags)
+    w = over(keys, t)
+    level = F.avg(F.when(train, F.col(y))).over(over(keys))
+    wide = rows.withColumn("_dev", F.col(y) - level)
+    wide = wide.withColumn("_past", F.reverse(F.collect_list("_dev").over(w.rowsBetween(-order, -1))))
+    usable = wide.filter(train & (F.size("_past") == order) & F.col("_dev").isNotNull())
+    usable = usable.withColumn("_vec", F.concat(F.array(F.lit(1.0)), F.col("_past"), F.array(F.col("_dev"))))
+    fit = fit_vectors(usable, "_vec", keys).select(*keys, "intercept", "coef")
+    explained = F.aggregate(F.zip_with("_past", "coef", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    miss = F.when(train & (F.size("_past") == order), F.col("_dev") - F.col("intercept") - explained)
+    out = wide.join(fit, list(keys), "left").withColumn("_shock", F.coalesce(miss, F.lit(0.0)))
+    return out.drop("intercept", "coef", "_dev", "_past")
 
 
 def seasonal_design(

@@ -119,17 +119,32 @@ def cross_products(
 
 
 def _mean_products(rows: DataFrame, vec: str, keys: Sequence[str], *extra: Column) -> DataFrame:
-    """Per key the mean of v v', as one flat array."""
+    """Per key the mean of v v', its upper triangle row by row as one flat array."""
     v = F.col(vec)
-    outer = F.flatten(F.transform(v, lambda a: F.transform(v, lambda b: a * b)))
+    upper = F.flatten(F.transform(v, lambda a, i: F.transform(F.slice(v, i + 1, F.size(v)), lambda b: a * b)))
     mean = vector_to_array(Summarizer.mean(array_to_vector(F.col("_o"))))
-    return rows.withColumn("_o", outer).groupBy(*keys).agg(mean.alias("products"), *extra)
+    return rows.withColumn("_o", upper).groupBy(*keys).agg(mean.alias("products"), *extra)
+
+
+def _square(upper) -> np.ndarray:
+    """Symmetric matrix from its upper triangle."""
+    size = (math.isqrt(8 * len(upper) + 1) - 1) // 2
+    m = np.zeros((size, size))
+    m[np.triu_indices(size)] = upper
+    return m + np.triu(m, 1).T
+
+
+def _centred(upper) -> tuple[np.ndarray, np.ndarray]:
+    """Means and centred products from the products of (1, xs, y)."""
+    p = _square(upper)
+    means = p[0, 1:]
+    return means, p[1:, 1:] - np.outer(means, means)
 
 
 def _solve(n: int, means: np.ndarray, products: np.ndarray) -> tuple:
     """Coefficients from centred moments; columns without variation get 0."""
     k = len(means) - 1
-    m = np.reshape(products, (k + 1, k + 1)) * n
+    m = products * n
     a, b, syy = m[:k, :k], m[:k, k], m[k, k]
     scale = np.sqrt(np.diag(a))
     live = scale > 1e-12 * np.abs(means[:k]) * math.sqrt(max(n, 1))
@@ -158,7 +173,7 @@ def _finite(values: np.ndarray) -> list:
 
 @F.pandas_udf(FIT)
 def _fit(n: pd.Series, means: pd.Series, products: pd.Series) -> pd.DataFrame:
-    rows = [_solve(i, np.asarray(m, float), np.asarray(p, float)) for i, m, p in zip(n, means, products)]
+    rows = [_solve(i, np.asarray(m, float), _square(p)) for i, m, p in zip(n, means, products)]
     return pd.DataFrame(rows, columns=["intercept", "coef", "t", "sse", "r2"])
 
 
@@ -175,6 +190,19 @@ def fit_by_key(
     return sums.select(*others, _fit("n", "means", "products").alias("_f")).select(*others, "_f.*")
 
 
+@F.pandas_udf(FIT)
+def _fit_vectors(n: pd.Series, products: pd.Series) -> pd.DataFrame:
+    rows = [_solve(i, *_centred(p)) for i, p in zip(n, products)]
+    return pd.DataFrame(rows, columns=["intercept", "coef", "t", "sse", "r2"])
+
+
+def fit_vectors(rows: DataFrame, vec: str, keys: Sequence[str], *extra: Column) -> DataFrame:
+    """``fit_by_key`` for many drivers, given as arrays (1, drivers, y) already near zero mean."""
+    sums = _mean_products(rows, vec, keys, F.count(F.lit(1)).alias("n"), *extra)
+    others = [c for c in sums.columns if c != "products"]
+    return sums.select(*others, _fit_vectors("n", "products").alias("_f")).select(*others, "_f.*")
+
+
 def linear_score(xs: Sequence[str], coef: str = "coef", first: int = 0) -> Column:
     """Sum of drivers times their coefficients, ``first`` being the place of the first one.
 
@@ -211,20 +239,12 @@ def _adf_p(stat: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
-def _centred(products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Means and centred products from the products of (1, xs, y)."""
-    size = math.isqrt(len(products))
-    p = products.reshape(size, size)
-    means = p[0, 1:]
-    return means, p[1:, 1:] - np.outer(means, means)
-
-
 @F.pandas_udf(T.IntegerType())
 def _best_lag(n: pd.Series, products: pd.Series, max_lag: pd.Series) -> pd.Series:
     """Number of lagged differences with the least AIC, all tried on the same rows."""
     out = []
     for i, p, limit in zip(n, products, max_lag):
-        means, centred = _centred(np.asarray(p, float))
+        means, centred = _centred(p)
         best = (math.inf, 0)
         for lags in range(int(limit) + 1):
             keep = [*range(lags + 1), len(means) - 1]
@@ -237,16 +257,6 @@ def _best_lag(n: pd.Series, products: pd.Series, max_lag: pd.Series) -> pd.Serie
     return pd.Series(out)
 
 
-@F.pandas_udf(T.DoubleType())
-def _level_t(n: pd.Series, products: pd.Series) -> pd.Series:
-    """t value of the first driver."""
-    out = []
-    for i, p in zip(n, products):
-        t = _solve(i, *_centred(np.asarray(p, float)))[2]
-        out.append(None if t is None else t[0])
-    return pd.Series(out, dtype=float)
-
-
 @F.pandas_udf(T.DoubleType())
 def _adf_p_value(stat: pd.Series) -> pd.Series:
     return stat.map(lambda s: None if s is None or math.isnan(s) else _adf_p(s)).astype(float)
@@ -297,18 +307,19 @@ def adf_stat(
     earlier = F.reverse(F.collect_list("_diff").over(w.rowsBetween(-max(max_lag, 1), -1)))
     base = base.withColumn("_earlier", earlier)
 
-    def moments(rows: DataFrame, used: str) -> DataFrame:
-        """Products of (1, level, ``used`` earlier differences, 0 for longer lags, difference)."""
+    def design(rows: DataFrame, used: str) -> DataFrame:
+        """Vectors (1, level, ``used`` earlier differences, 0 for longer lags, difference)."""
         blank = F.array_repeat(F.lit(0.0), F.lit(max_lag) - F.col(used))
         lags = F.concat(F.slice("_earlier", 1, F.col(used)), blank)
         vec = F.concat(F.array(F.lit(1.0), F.col("_level")), lags, F.array(F.col("_diff")))
-        usable = rows.filter(F.col("_i") >= F.col(used) + 2).withColumn("_vec", vec)
-        return _mean_products(usable, "_vec", keys, F.count(F.lit(1)).alias("n_obs"), F.first(used).alias(used))
+        return rows.filter(F.col("_i") >= F.col(used) + 2).withColumn("_vec", vec)
 
-    tried = moments(base, "_limit")
-    chosen = tried.select(*keys, _best_lag("n_obs", "products", "_limit").alias("used_lag"))
-    final = moments(base.join(chosen, keys), "used_lag")
-    out = final.select(*keys, _level_t("n_obs", "products").alias("adf_stat"), "used_lag", "n_obs")
+    tried = _mean_products(
+        design(base, "_limit"), "_vec", keys, F.count(F.lit(1)).alias("n"), F.first("_limit").alias("_limit")
+    )
+    chosen = tried.select(*keys, _best_lag("n", "products", "_limit").alias("used_lag"))
+    final = fit_vectors(design(base.join(chosen, keys), "used_lag"), "_vec", keys, F.first("used_lag").alias("used_lag"))
+    out = final.select(*keys, F.get("t", F.lit(0)).alias("adf_stat"), "used_lag", F.col("n").alias("n_obs"))
     crit = {
         f"crit_{name[:-1]}": sum((F.lit(b) / F.pow("n_obs", F.lit(i)) for i, b in enumerate(bs) if i), F.lit(bs[0]))
         for name, bs in ADF_CRITICAL.items()
