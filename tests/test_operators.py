@@ -134,6 +134,15 @@ def test_hourly_rollup(spark):
     ]
 
 
+def test_exact_sums_do_not_depend_on_order(spark):
+    values = [0.1, 0.2, 0.3, 1e9 + 0.07, -0.01, 12.34] * 50
+    exact = (1e9 * 100 + 7 + 10 + 20 + 30 - 1 + 1234) * 50 / (300 * 100.0)
+    for data in (values, values[::-1], sorted(values)):
+        df = spark.createDataFrame([(v,) for v in data], "v double").withColumn("t", F.timestamp_seconds(F.lit(0)))
+        (row,) = hourly_rollup(df, "t", [], [Measure("v", "m", digits=2)]).collect()
+        assert row["m"] == exact
+
+
 def test_weighted_rollup(spark):
     df = spark.createDataFrame([("a", 1, 10.0), ("a", 3, 2.0), ("b", 5, None), ("b", 5, 4.0), ("c", 0, 1.0)], "k string, trips bigint, m double")
     assert rows(weighted_rollup(df, ["k"], ["m"]), "k") == [("a", 4, 4.0), ("b", 10, 2.0), ("c", 0, None)]

@@ -10,7 +10,7 @@ from urbanflow.plans.master import borough_view, build_master, finalise, flatten
 from urbanflow.plans.weather import decode_weather, weather_for_master
 from urbanflow.operators.flatten import flatten_object
 from urbanflow.operators.predicates import in_month
-from urbanflow.schemas import BOROUGH_VIEW, COMPLAINT, MASTER, WEATHER, trip_schema
+from urbanflow.schemas import BOROUGH_VIEW, COMPLAINT, MASTER, TRIP, WEATHER
 
 DAY = dt.datetime(2023, 12, 31)
 H8 = dt.datetime(2023, 12, 31, 8)
@@ -39,7 +39,7 @@ def trips(spark):
         trip(dt.datetime(2023, 11, 30, 23, 59), 10, 1),
         trip(None, 10, 1),
     ]
-    return spark.createDataFrame(data, trip_schema())
+    return spark.createDataFrame(data, TRIP)
 
 
 @pytest.fixture

@@ -17,14 +17,13 @@ from ..functions.times import bucket
 from ..schemas import COMPLAINT_CLASSES, Measure
 
 
-def mean_of(source: str, unit: float | None = None) -> Column:
-    """Mean of a column; NULL where all of its values are.
-
-    For integers and decimals the sum is exact, and the only rounding is the
-    final division, so the result does not depend on task order.
-    """
-    n = F.count(source)
-    return F.try_divide(F.sum(source).cast("double"), n * F.lit(unit) if unit else n)
+def mean_of(source: str, unit: float | None = None, digits: int | None = None) -> Column:
+    """Mean of a column; NULL where all of its values are.  See ``Measure``."""
+    value, n = F.col(source), F.count(source)
+    if digits is not None:
+        unit = (unit or 1.0) * 10**digits
+        value = F.floor(value * F.lit(10.0**digits) + F.lit(0.5))
+    return F.try_divide(F.sum(value).cast("double"), n * F.lit(float(unit)) if unit else n)
 
 
 def hourly_rollup(
@@ -37,7 +36,7 @@ def hourly_rollup(
     count_as: str = "trips",
 ) -> DataFrame:
     """Row count and means per time bucket and key."""
-    means = [mean_of(m.source, m.unit).alias(m.mean_as) for m in measures]
+    means = [mean_of(m.source, m.unit, m.digits).alias(m.mean_as) for m in measures]
     return df.groupBy(bucket(ts, grain).alias(bucket_as), *keys).agg(F.count(F.lit(1)).alias(count_as), *means)
 
 

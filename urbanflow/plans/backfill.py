@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import TRIP_BOUNDS, Bound, trip_schema
+from ..schemas import TRIP, TRIP_BOUNDS, Bound
 from ..sources.readers import MONTH_FILE, read_months
 from ..sources.writers import write_month
 from .facts import PICKUP, zone_facts
@@ -34,6 +34,6 @@ def backfill(
     All months run as one job.  Each month replaces its own folder, so a rerun,
     whole or partial, leaves no duplicates and touches no other month.
     """
-    trips, skipped = read_months(spark, root, months, schema or trip_schema(), template=template)
+    trips, skipped = read_months(spark, root, months, schema or TRIP, template=template)
     write_month(zone_facts(months_in_scope(trips), bounds=bounds), out)
     return skipped

@@ -34,26 +34,22 @@ class Bound:
 class Measure:
     """A column to average: ``mean_as = sum(source) / (unit * count(source))``.
 
-    ``unit`` lets whole seconds be summed exactly and reported in minutes.
+    ``unit`` lets whole seconds be summed and reported in minutes.  ``digits``
+    is for amounts stored with at most that many decimals: they are summed as
+    whole numbers of their last digit, so the result is exact and does not
+    depend on the order in which tasks finish or are retried.
     """
 
     source: str
     mean_as: str
     unit: float | None = None
+    digits: int | None = None
 
 
-def trip_schema(money: T.DataType = _TYPES["double"]) -> T.StructType:
-    """Columns of a raw trip row that the rollups need.
-
-    ``money`` is the type of the four amount columns.  ``double`` keeps the
-    stored type; a decimal makes their sums exact, so they do not depend on the
-    order in which tasks finish or are retried.  Up to eight digits, as in
-    ``DecimalType(8, 2)``, the sum of a decimal still fits a machine word.
-    """
-    keys = layout("tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int")
-    amounts = ("trip_distance", "fare_amount", "total_amount", "tip_amount")
-    return T.StructType([*keys, *[T.StructField(a, money) for a in amounts]])
-
+TRIP = layout(
+    "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, PULocationID int, "
+    "trip_distance double, fare_amount double, total_amount double, tip_amount double"
+)
 
 COMPLAINT = layout(
     "unique_key bigint, created_date timestamp_ntz, complaint_type string, descriptor string, "

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.project import MissingColumns, conform, missing
-from ..schemas import COMPLAINT, WEATHER, ZONE_LOOKUP_RAW, trip_schema
+from ..schemas import COMPLAINT, TRIP, WEATHER, ZONE_LOOKUP_RAW
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +33,7 @@ def read_month(
 ) -> DataFrame:
     """One month's trips, at the given schema."""
     stored = spark.read.parquet(month_path(root, year, month, template))
-    return conform(stored, schema or trip_schema())
+    return conform(stored, schema or TRIP)
 
 
 def read_months(
@@ -56,7 +56,7 @@ def read_months(
     ``on_error="raise"``.  The tag comes from the file name, as the rows may
     lie outside the month their file is named after.
     """
-    schema = schema or trip_schema()
+    schema = schema or TRIP
     required = list(required if required is not None else schema.fieldNames())
     skipped: dict[str, str] = {}
     by_schema: dict[str, tuple[T.StructType, dict[str, str]]] = {}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..operators.project import conform
 from ..operators.quality import dedup_by_key
 from ..operators.series import resample_daily
-from ..schemas import WEATHER, Bound, trip_schema
+from ..schemas import TRIP, TRIP_MEASURES, WEATHER, Bound, Measure
 
 MONEY = T.DecimalType(8, 2)
 
@@ -32,6 +32,22 @@ COMPLAINT_TEXTS = (
 )
 BOROUGH_TEXTS = (" africa", "America", "ASIA", "Europe ", "Middle East", "", None)
 
+# Amounts have two decimals (an order's tip, price times discount, has four).
+EXACT_MEASURES = tuple(m if m.unit else Measure(m.source, m.mean_as, digits=2) for m in TRIP_MEASURES)
+ORDER_MEASURES = tuple(
+    Measure(m.source, m.mean_as, digits=4) if m.source == "tip_amount" else m for m in EXACT_MEASURES
+)
+
+
+def mean_sql(x: str, digits: int = 2) -> str:
+    """Mean of an amount with few decimals, summed as whole numbers."""
+    scale = 10**digits
+    return (
+        f"CAST(SUM(CAST(floor({x} * CAST({scale} AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)) AS DOUBLE)"
+        f" / NULLIF(COUNT({x}) * CAST({scale} AS DOUBLE), 0)"
+    )
+
+
 # Order-to-ship "trips" last days, not minutes, and cost far more.
 DAY_BOUNDS = {
     "trip_duration_s": Bound(0, 1000 * 86400, lo_open=True),
@@ -73,42 +89,39 @@ LOOKUP_SQL = """lookup AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 
-def event_trips(spark: SparkSession, sf: str, money: T.DataType = MONEY) -> DataFrame:
+def event_trips(spark: SparkSession, sf: str) -> DataFrame:
     """Hour-grain trips: user group as zone, 30 zones of which the lookup knows 25."""
-    k, fare = F.col("k"), F.col("fare")
-    tip = F.when(F.col("event_type") == "purchase", k.cast(MONEY))
+    k, fare = F.col("k"), F.col("value")
+    tip = F.when(F.col("event_type") == "purchase", k.cast("double"))
     rows = _with_k(table(spark, sf, "events").filter(F.col("event_type").isin(*TRIP_EVENTS)))
-    rows = rows.select("ts", "user_id", "event_type", "k", F.col("value").cast(MONEY).alias("fare"))
     trips = rows.select(
         F.col("ts").alias("tpep_pickup_datetime"),
         F.timestamp_add("MINUTE", k, F.col("ts")).alias("tpep_dropoff_datetime"),
         (F.col("user_id") % 30).cast("int").alias("PULocationID"),
-        (k / F.lit(4.0)).cast(MONEY).alias("trip_distance"),
+        (k / F.lit(4.0)).alias("trip_distance"),
         fare.alias("fare_amount"),
-        (fare + F.coalesce(tip, F.lit(0))).cast(MONEY).alias("total_amount"),
+        (fare + F.coalesce(tip, F.lit(0.0))).alias("total_amount"),
         tip.alias("tip_amount"),
     )
-    return conform(trips, trip_schema(money))
+    return conform(trips, TRIP)
 
 
 EVENT_TRIPS_SQL = """trips AS (
   SELECT ts, CAST(user_id % 30 AS INTEGER) AS zone, k, k * 60 AS secs,
-         CAST(k / 4.0 AS DECIMAL(8,2)) AS distance, fare, tip,
-         CAST(fare + COALESCE(tip, 0) AS DECIMAL(8,2)) AS total
-  FROM (SELECT ts, user_id, k, fare,
-               CASE WHEN event_type = 'purchase' THEN CAST(k AS DECIMAL(8,2)) END AS tip
-        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-                     CAST(value AS DECIMAL(8,2)) AS fare
+         CAST(k AS DOUBLE) / 4 AS distance, fare, tip, fare + COALESCE(tip, 0) AS total
+  FROM (SELECT ts, user_id, k, value AS fare,
+               CASE WHEN event_type = 'purchase' THEN CAST(k AS DOUBLE) END AS tip
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
               FROM events WHERE event_type IN ('view', 'click', 'purchase'))))"""
 
 ZONE_HOURS_SQL = f"""{EVENT_TRIPS_SQL},
 zone_hours AS (
   SELECT date_trunc('hour', ts) AS hour_ts, zone, COUNT(*) AS trips,
          CAST(SUM(secs) AS DOUBLE) / (COUNT(secs) * CAST(60 AS DOUBLE)) AS avg_trip_duration_min,
-         CAST(SUM(fare) AS DOUBLE) / COUNT(fare) AS avg_fare_amount,
-         CAST(SUM(distance) AS DOUBLE) / COUNT(distance) AS avg_trip_distance,
-         CAST(SUM(total) AS DOUBLE) / COUNT(total) AS avg_total_amount,
-         CAST(SUM(tip) AS DOUBLE) / NULLIF(COUNT(tip), 0) AS avg_tip_amount
+         {mean_sql('fare')} AS avg_fare_amount,
+         {mean_sql('distance')} AS avg_trip_distance,
+         {mean_sql('total')} AS avg_total_amount,
+         {mean_sql('tip')} AS avg_tip_amount
   FROM trips
   WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
     AND secs > 0 AND secs <= 14400 AND distance BETWEEN 0 AND 200
@@ -116,7 +129,7 @@ zone_hours AS (
   GROUP BY 1, 2)"""
 
 
-def order_trips(spark: SparkSession, sf: str, money: T.DataType = MONEY) -> DataFrame:
+def order_trips(spark: SparkSession, sf: str) -> DataFrame:
     """Day-grain trips: each order line travels from order date to ship date."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     lines = table(spark, sf, "lineitem").select(
@@ -125,25 +138,22 @@ def order_trips(spark: SparkSession, sf: str, money: T.DataType = MONEY) -> Data
     customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     placed = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
     rows = lines.join(placed, lines["l_orderkey"] == placed["o_orderkey"])
-    price, discount = F.col("l_extendedprice").cast(MONEY), F.col("l_discount").cast("decimal(4,2)")
     trips = rows.select(
         F.col("o_orderdate").alias("tpep_pickup_datetime"),
         F.col("l_shipdate").alias("tpep_dropoff_datetime"),
         F.col("c_nationkey").alias("PULocationID"),
-        F.col("l_quantity").cast(MONEY).alias("trip_distance"),
-        price.alias("fare_amount"),
-        F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-        (price * discount).cast(MONEY).alias("tip_amount"),
+        F.col("l_quantity").alias("trip_distance"),
+        F.col("l_extendedprice").alias("fare_amount"),
+        F.col("o_totalprice").alias("total_amount"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("tip_amount"),
     )
-    return conform(trips, trip_schema(money))
+    return conform(trips, TRIP)
 
 
 ORDER_TRIPS_SQL = """trips AS (
   SELECT o_orderdate AS pickup, l_shipdate AS dropoff, c_nationkey AS zone,
-         date_diff('second', o_orderdate, l_shipdate) AS secs,
-         CAST(l_quantity AS DECIMAL(8,2)) AS distance, CAST(l_extendedprice AS DECIMAL(8,2)) AS fare,
-         CAST(o_totalprice AS DECIMAL(8,2)) AS total,
-         CAST(CAST(l_extendedprice AS DECIMAL(8,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(8,2)) AS tip
+         date_diff('second', o_orderdate, l_shipdate) AS secs, l_quantity AS distance,
+         l_extendedprice AS fare, o_totalprice AS total, l_extendedprice * l_discount AS tip
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
 sane AS (
   SELECT * FROM trips

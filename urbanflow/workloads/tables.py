@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.times import epoch_nanos_to_time
 from ..functions.weather import code_in, code_text, is_extreme
 from ..operators.joins import attach_borough
-from ..operators.predicates import in_month
+from ..operators.predicates import in_month, within_bounds
 from ..operators.project import keep_present, rename_first
 from ..operators.quality import top_n
 from ..operators.rollup import classify_counts, hourly_rollup
@@ -17,19 +17,21 @@ from ..plans.analysis import clean_published
 from ..plans.facts import borough_facts, complaint_facts, named_zone_facts, with_duration, zone_facts
 from ..plans.master import borough_view, build_master, finalise, normalise_complaints
 from ..plans.weather import decode_weather, weather_for_master
-from ..schemas import COMPLAINT_TOTAL_NAMES, NO_RAIN, NO_SNOW, RAIN_TEXT, SNOW_TEXT, TRIP_MEASURES, Measure
-from ..operators.predicates import within_bounds
+from ..schemas import COMPLAINT_TOTAL_NAMES, NAMED_TRIP_MEASURES, NO_RAIN, NO_SNOW, RAIN_TEXT, SNOW_TEXT, TRIP_MEASURES, Measure
 from .inputs import (
     COMPLAINTS_SQL,
     DAY_BOUNDS,
     EVENT_TRIPS_SQL,
+    EXACT_MEASURES,
     LOOKUP_SQL,
     MONEY,
+    ORDER_MEASURES,
     ORDER_TRIPS_SQL,
     WEATHER_SQL,
     ZONE_HOURS_SQL,
     event_complaints,
     event_trips,
+    mean_sql,
     order_trips,
     table,
     weather_rows,
@@ -47,16 +49,16 @@ PARTS_SQL = """CAST(year(hour_ts) AS INTEGER) AS year, CAST(month(hour_ts) AS IN
 
 @query(
     "q01_daily_zone_rollup",
-    """
+    f"""
 SELECT date_trunc('day', o_orderdate) AS day, c_nationkey AS zone, COUNT(*) AS trips,
-       CAST(SUM(CAST(o_totalprice AS DECIMAL(8,2))) AS DOUBLE) / COUNT(o_totalprice) AS avg_total_amount
+       {mean_sql('o_totalprice')} AS avg_total_amount
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
 )
 def daily_zone_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", F.col("o_totalprice").cast(MONEY).alias("total"))
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     customer = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("zone"))
     rows = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
-    return hourly_rollup(rows, "o_orderdate", ["zone"], [Measure("total", "avg_total_amount")], "day", "day")
+    return hourly_rollup(rows, "o_orderdate", ["zone"], [Measure("o_totalprice", "avg_total_amount", digits=2)], "day", "day")
 
 
 @query(
@@ -74,8 +76,7 @@ def one_month(spark: SparkSession, sf: str) -> DataFrame:
     "q03_sane_trips",
     f"""
 WITH {ORDER_TRIPS_SQL}
-SELECT pickup, dropoff, zone, secs / CAST(60 AS DOUBLE) AS duration_min, CAST(distance AS DOUBLE) AS distance,
-       CAST(fare AS DOUBLE) AS fare, CAST(total AS DOUBLE) AS total FROM sane""",
+SELECT pickup, dropoff, zone, secs / CAST(60 AS DOUBLE) AS duration_min, distance, fare, total FROM sane""",
 )
 def sane_trips(spark: SparkSession, sf: str) -> DataFrame:
     rows = within_bounds(with_duration(order_trips(spark, sf)), DAY_BOUNDS, not_null=["PULocationID"])
@@ -84,9 +85,9 @@ def sane_trips(spark: SparkSession, sf: str) -> DataFrame:
         F.col("tpep_dropoff_datetime").alias("dropoff"),
         F.col("PULocationID").alias("zone"),
         (F.col("trip_duration_s") / F.lit(60.0)).alias("duration_min"),
-        F.col("trip_distance").cast("double").alias("distance"),
-        F.col("fare_amount").cast("double").alias("fare"),
-        F.col("total_amount").cast("double").alias("total"),
+        F.col("trip_distance").alias("distance"),
+        F.col("fare_amount").alias("fare"),
+        F.col("total_amount").alias("total"),
     )
 
 
@@ -97,19 +98,19 @@ WITH {ORDER_TRIPS_SQL},
 facts AS (
   SELECT date_trunc('day', pickup) AS hour_ts, zone AS PULocationID, COUNT(*) AS trips,
          CAST(SUM(secs) AS DOUBLE) / (COUNT(secs) * CAST(60 AS DOUBLE)) AS avg_trip_duration_min,
-         CAST(SUM(fare) AS DOUBLE) / COUNT(fare) AS avg_fare_amount,
-         CAST(SUM(distance) AS DOUBLE) / COUNT(distance) AS avg_trip_distance,
-         CAST(SUM(total) AS DOUBLE) / COUNT(total) AS avg_total_amount,
-         CAST(SUM(tip) AS DOUBLE) / COUNT(tip) AS avg_tip_amount
+         {mean_sql('fare')} AS avg_fare_amount,
+         {mean_sql('distance')} AS avg_trip_distance,
+         {mean_sql('total')} AS avg_total_amount,
+         {mean_sql('tip', 4)} AS avg_tip_amount
   FROM sane GROUP BY 1, 2)
 SELECT *, {PARTS_SQL} FROM facts""",
 )
 def zone_day_facts(spark: SparkSession, sf: str) -> DataFrame:
-    return zone_facts(order_trips(spark, sf), bounds=DAY_BOUNDS, grain="day")
+    return zone_facts(order_trips(spark, sf), bounds=DAY_BOUNDS, measures=ORDER_MEASURES, grain="day")
 
 
 def _zone_hours(spark: SparkSession, sf: str) -> DataFrame:
-    return zone_facts(event_trips(spark, sf), month=(2024, 1))
+    return zone_facts(event_trips(spark, sf), month=(2024, 1), measures=EXACT_MEASURES)
 
 
 @query("q04_zone_hour_facts", f"WITH {ZONE_HOURS_SQL} SELECT * EXCLUDE (zone), zone AS PULocationID, {PARTS_SQL} FROM zone_hours")
@@ -167,17 +168,18 @@ named AS (
   SELECT hour_ts, f.zone AS locationid, borough, lookup.zone AS zone, service_zone, trips,
          avg_fare_amount, avg_tip_amount, avg_total_amount, avg_trip_distance
   FROM (SELECT date_trunc('hour', ts) AS hour_ts, zone, COUNT(*) AS trips,
-               CAST(SUM(fare) AS DOUBLE) / COUNT(fare) AS avg_fare_amount,
-               CAST(SUM(tip) AS DOUBLE) / NULLIF(COUNT(tip), 0) AS avg_tip_amount,
-               CAST(SUM(total) AS DOUBLE) / COUNT(total) AS avg_total_amount,
-               CAST(SUM(distance) AS DOUBLE) / COUNT(distance) AS avg_trip_distance
+               {mean_sql('fare')} AS avg_fare_amount,
+               {mean_sql('tip')} AS avg_tip_amount,
+               {mean_sql('total')} AS avg_total_amount,
+               {mean_sql('distance')} AS avg_trip_distance
         FROM trips WHERE ts IS NOT NULL AND zone IS NOT NULL GROUP BY 1, 2) f
   LEFT JOIN lookup ON f.zone = id)"""
 
 
 @query("q07_named_zone_facts", f"WITH {NAMED_SQL} SELECT * FROM named")
 def named_facts(spark: SparkSession, sf: str) -> DataFrame:
-    return named_zone_facts(event_trips(spark, sf), zone_lookup(spark, sf))
+    exact = [Measure(m.source, m.mean_as, digits=2) for m in NAMED_TRIP_MEASURES]
+    return named_zone_facts(event_trips(spark, sf), zone_lookup(spark, sf), measures=exact)
 
 
 # --- complaints -------------------------------------------------------------
