@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanflow.operators.project import MissingColumns
-from urbanflow.plans.backfill import backfill
+from urbanflow.operators.quality import expected_months, missing_months
+from urbanflow.plans.backfill import audit_months, backfill, backfill_named
 from urbanflow.schemas import MASTER, ZONE_FINAL, layout
 from urbanflow.sources import catalog
 from urbanflow.sources.readers import (
@@ -215,3 +216,27 @@ def test_backfill_is_rerunnable(spark, landing, tmp_path):
     backfill(spark, landing, MONTHS[:4], out)
     backfill(spark, landing, MONTHS[1:2], out)
     assert sorted(map(tuple, read_facts(spark, out).collect())) == first
+
+
+def test_backfill_in_batches(spark, landing, tmp_path):
+    whole, batched = str(tmp_path / "a"), str(tmp_path / "b")
+    lost = backfill(spark, landing, MONTHS, whole)
+    assert backfill(spark, landing, MONTHS, batched, batch=1) == lost
+    assert sorted(map(tuple, read_facts(spark, whole).collect())) == sorted(map(tuple, read_facts(spark, batched).collect()))
+
+
+def test_audit_and_named_backfill(spark, landing, tmp_path):
+    trips, _ = read_months(spark, landing, MONTHS)
+    got = {r["ym"]: r for r in audit_months(trips).collect()}
+    assert {k: (r["raw_rows"], r["in_scope_rows"], r["kept_rows"], r["group_rows"]) for k, r in got.items()} == {
+        m: (3, 2, 2, 2) for m in ("2023-11", "2023-12", "2024-01")
+    }
+    gaps = missing_months(expected_months(spark, MONTHS), trips, ["ym"])
+    assert sorted(r["ym"] for r in gaps.collect()) == ["2024-02", "2024-03", "2024-04"]
+
+    lookup = spark.createDataFrame([("1", "Bronx", "A", "S")], "LocationID string, Borough string, Zone string, service_zone string")
+    out = str(tmp_path / "named")
+    assert set(backfill_named(spark, landing, MONTHS, lookup, out)) == {"2024-02", "2024-03", "2024-04"}
+    rows = spark.read.parquet(out)
+    assert rows.agg(F.sum("trips")).first()[0] == 6 and rows.filter("borough IS NULL").count() == 3
+    assert set(rows.columns) == set(ZONE_FINAL.fieldNames())

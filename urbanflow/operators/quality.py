@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import bucket
@@ -137,6 +137,11 @@ def landing_gaps(
     )
 
 
+def expected_months(spark: SparkSession, months: Sequence[tuple[int, int]], tag: str = "ym") -> DataFrame:
+    """One row per month that should have landed."""
+    return spark.createDataFrame([(f"{y:04d}-{m:02d}",) for y, m in months], f"{tag} string")
+
+
 def missing_months(expected: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Expected deliveries without a single landed row.
 

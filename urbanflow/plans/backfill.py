@@ -1,4 +1,4 @@
-"""Monthly backfill of the zone fact."""
+"""Monthly backfill of the zone facts."""
 
 from __future__ import annotations
 
@@ -6,12 +6,12 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..schemas import TRIP, TRIP_BOUNDS, Bound
-from ..sources.readers import MONTH_FILE, read_months
-from ..sources.writers import write_month
-from .facts import PICKUP, zone_facts
+from ..operators.quality import audit_funnel
+from ..schemas import NAMED_TRIP_MEASURES, TRIP_BOUNDS, TRIP_MEASURES, Bound, Measure
+from ..sources.readers import MONTH_FILE, NoMonths, read_months
+from ..sources.writers import write_month, write_table
+from .facts import PICKUP, ZONE, named_zone_facts, zone_facts
 
 
 def months_in_scope(trips: DataFrame, tag: str = "ym") -> DataFrame:
@@ -20,20 +20,56 @@ def months_in_scope(trips: DataFrame, tag: str = "ym") -> DataFrame:
     return trips.filter(F.year(PICKUP) * 100 + F.month(PICKUP) == named).drop(tag)
 
 
+def audit_months(trips: DataFrame, tag: str = "ym") -> DataFrame:
+    """Row funnel of each monthly file, from its raw rows to the groups they form."""
+    named = F.replace(F.col(tag), F.lit("-"), F.lit("")).try_cast("int")
+    in_scope = F.year(PICKUP) * 100 + F.month(PICKUP) == named
+    return audit_funnel(trips, tag, PICKUP, ZONE, in_scope)
+
+
 def backfill(
     spark: SparkSession,
     root: str,
     months: Iterable[tuple[int, int]],
     out: str,
     bounds: Mapping[str, Bound] | None = TRIP_BOUNDS,
-    schema: T.StructType | None = None,
+    measures: Iterable[Measure] = TRIP_MEASURES,
+    batch: int | None = None,
     template: str = MONTH_FILE,
 ) -> dict[str, str]:
     """(Re)write the hour x zone fact of the given months; returns the skipped ones.
 
-    All months run as one job.  Each month replaces its own folder, so a rerun,
+    All months run as one job, or ``batch`` months per job, whose results then
+    stay if a later job fails.  Each month replaces its own folder, so a rerun,
     whole or partial, leaves no duplicates and touches no other month.
     """
-    trips, skipped = read_months(spark, root, months, schema or TRIP, template=template)
-    write_month(zone_facts(months_in_scope(trips), bounds=bounds), out)
+    months, skipped = list(months), {}
+    size = batch or len(months)
+    for first in range(0, len(months), size):
+        try:
+            trips, lost = read_months(spark, root, months[first : first + size], template=template)
+        except NoMonths as e:
+            skipped |= e.skipped
+            continue
+        skipped |= lost
+        write_month(zone_facts(months_in_scope(trips), bounds=bounds, measures=measures), out)
+    return skipped
+
+
+def backfill_named(
+    spark: SparkSession,
+    root: str,
+    months: Iterable[tuple[int, int]],
+    lookup: DataFrame,
+    out: str,
+    measures: Iterable[Measure] = NAMED_TRIP_MEASURES,
+    template: str = MONTH_FILE,
+) -> dict[str, str]:
+    """Rewrite the hour x zone fact with zone names, of all trips with time and zone.
+
+    The dropoff is not needed, so files without it are read as well.
+    """
+    required = [PICKUP, ZONE, *[m.source for m in measures]]
+    trips, skipped = read_months(spark, root, months, required=required, template=template)
+    write_table(named_zone_facts(months_in_scope(trips), lookup, measures=measures), out)
     return skipped

@@ -16,6 +16,15 @@ from ..schemas import COMPLAINT, TRIP, WEATHER, ZONE_LOOKUP_RAW
 
 log = logging.getLogger(__name__)
 
+
+class NoMonths(FileNotFoundError):
+    """None of the months could be read; ``skipped`` tells why."""
+
+    def __init__(self, skipped: dict[str, str]):
+        super().__init__(f"none of the months could be read: {skipped}")
+        self.skipped = skipped
+
+
 MONTH_FILE = "yellow_tripdata_{year:04d}-{month:02d}.parquet"
 
 
@@ -70,12 +79,12 @@ def read_months(
         except (MissingColumns, PySparkException, Py4JJavaError) as e:
             if on_error != "skip":
                 raise
-            skipped[ym] = str(e).splitlines()[0]
+            skipped[ym] = _reason(e)
             log.warning("month %s skipped: %s", ym, skipped[ym])
             continue
         by_schema.setdefault(stored.schema.json(), (stored.schema, {}))[1][path] = ym
     if not by_schema:
-        raise FileNotFoundError("none of the months could be read")
+        raise NoMonths(skipped)
 
     optional = [f.name for f in schema if f.name not in required]
     parts = []
@@ -95,6 +104,15 @@ def read_months(
     return out, skipped
 
 
+def _reason(e: Exception) -> str:
+    if isinstance(e, Py4JJavaError):
+        cause = e.java_exception
+        while cause.getCause() is not None:
+            cause = cause.getCause()
+        return str(cause.getMessage()).splitlines()[0]
+    return str(e).splitlines()[0]
+
+
 def read_csv(spark: SparkSession, glob: str, schema: T.StructType = COMPLAINT) -> DataFrame:
     """CSV files with a header line; a field that does not parse is NULL."""
     return (
