@@ -66,6 +66,21 @@ def test_ols(frame, data):
     assert s["log_likelihood"] == pytest.approx(llf) and s["aic"] == pytest.approx(6 - 2 * llf)
 
 
+def test_ols_with_idle_and_redundant_drivers(frame, data):
+    idle = frame.withColumn("flat", F.lit(1.0))
+    table, summary = ols(idle, "y", ["x1", "flat", "x2"])
+    plain, _ = ols(frame, "y", ["x1", "x2"])
+    got = {r["term"]: r for r in table.collect()}
+    assert [r["term"] for r in table.collect()] == ["x1", "flat", "x2", "const"]
+    assert (got["flat"]["coef"], got["flat"]["t"]) == (0.0, None) and summary.first()["df_resid"] == 157
+    for r in plain.collect():
+        assert got[r["term"]]["coef"] == pytest.approx(r["coef"]) and got[r["term"]]["t"] == pytest.approx(r["t"])
+    twin = frame.withColumn("x3", 2 * F.col("x2"))
+    tangled = {r["term"]: r["coef"] for r in ols(twin, "y", ["x2", "x3"])[0].collect()}
+    alone = {r["term"]: r["coef"] for r in ols(frame, "y", ["x2"])[0].collect()}
+    assert tangled["x2"] + 2 * tangled["x3"] == pytest.approx(alone["x2"], rel=1e-3)
+
+
 @pytest.mark.parametrize("as_series", [False, True])
 def test_fit_by_key(frame, data, as_series):
     flat = frame.withColumn("flat", F.lit(3.0))

@@ -17,6 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark import cloudpickle
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,26 +37,39 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 def ols(df: DataFrame, y: str, xs: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Ordinary least squares with a constant: coefficient table and model summary.
 
-    Rows with a NULL are left out.  Both results are small: one row per
-    coefficient, and one row.
+    Rows with a NULL are left out.  A driver that never varies says nothing
+    beyond the constant: its coefficient is 0, without error or t value.
+    Drivers that determine each other have no single answer; their errors are
+    then missing or huge.  Both results are small: one row per coefficient, and
+    one row.
     """
     rows = df.select(F.col(y).cast("double").alias("_y"), *[F.col(x).cast("double").alias(x) for x in xs])
-    data = VectorAssembler(inputCols=list(xs), outputCol="_x").transform(stage(rows.na.drop()))
+    rows = stage(rows.na.drop())
+    span = rows.agg(*[(F.min(x) < F.max(x)).alias(x) for x in xs]).first()
+    live = [x for x in xs if span[x]]
+    if not live:
+        raise ValueError("no driver varies")
+    data = VectorAssembler(inputCols=live, outputCol="_x").transform(rows)
     model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=0.0).fit(data)
     s = model.summary
-    estimates = [*model.coefficients, model.intercept]
-    stats = zip([*xs, "const"], estimates, s.coefficientStandardErrors, s.tValues, s.pValues)
+    estimates = [*map(float, model.coefficients), float(model.intercept)]
+    try:
+        errors = [list(map(float, v)) for v in (s.coefficientStandardErrors, s.tValues, s.pValues)]
+    except UnsupportedOperationException:
+        errors = [[None] * len(estimates)] * 3
+    found = dict(zip([*live, "const"], zip(estimates, *errors)))
     spark = df.sparkSession
     coefficients = spark.createDataFrame(
-        [(name, *map(float, values)) for name, *values in stats],
+        [(term, *found.get(term, (0.0, None, None, None))) for term in [*xs, "const"]],
         "term string, coef double, std_err double, t double, p_value double",
     )
-    n, k = s.numInstances, len(xs)
+    n, k = s.numInstances, len(live)
     sse = s.meanSquaredError * n
     loglik = -n / 2 * (math.log(2 * math.pi) + math.log(sse / n) + 1) if sse > 0 else math.inf
     f_stat = (s.r2 / k) / ((1 - s.r2) / (n - k - 1)) if s.r2 < 1 and n > k + 1 else math.inf
+    adjusted = 1 - (1 - s.r2) * (n - 1) / (n - k - 1) if n > k + 1 else None
     summary = spark.createDataFrame(
-        [(n, n - k - 1, s.r2, s.r2adj, f_stat, loglik, 2 * (k + 1) - 2 * loglik, (k + 1) * math.log(n) - 2 * loglik)],
+        [(n, n - k - 1, s.r2, adjusted, f_stat, loglik, 2 * (k + 1) - 2 * loglik, (k + 1) * math.log(n) - 2 * loglik)],
         "n bigint, df_resid bigint, r2 double, adj_r2 double, f_stat double, log_likelihood double, "
         "aic double, bic double",
     )

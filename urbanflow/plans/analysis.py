@@ -1,8 +1,8 @@
-"""From a published table to series ready for analysis."""
+"""From a published table to daily series and the models fitted to them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,11 @@ from pyspark.sql import types as T
 
 from ..functions.text import label, unquote
 from ..functions.times import parse_time, time_from_parts
-from ..schemas import BOROUGH_VIEW
+from ..operators.forecast import backtest, seasonal_arx
+from ..operators.predicates import drop_nulls
+from ..operators.regression import ols
+from ..operators.series import resample_daily
+from ..schemas import BOROUGH_VIEW, DAILY_FEATURES, OLS_DRIVERS, SEASONAL_DRIVERS
 
 _NUMBERS = (T.NumericType,)
 
@@ -50,3 +54,28 @@ def prepare_series(
     parts = [F.col(c).cast("int").alias(c) for c in ("year", "month", "day", "hour")]
     keep = [c for c in rows.columns if c not in ("year", "month", "day", "hour")]
     return rows.select(*keep, *parts).withColumn("datetime", time_from_parts())
+
+
+def daily_features(series: DataFrame, keys: Sequence[str] = ("borough",), ts: str = "datetime") -> DataFrame:
+    """Daily demand with its drivers, without the days on which any of them is unknown."""
+    spec = {c: how for c, how in DAILY_FEATURES.items() if c in series.columns}
+    return drop_nulls(resample_daily(series, ts, spec, keys))
+
+
+def demand_ols(features: DataFrame, drivers: Sequence[str] = OLS_DRIVERS) -> tuple[DataFrame, DataFrame]:
+    """Regression of daily trips on weather and complaints; see ``ols``."""
+    return ols(features, "trips", drivers)
+
+
+def demand_model(
+    features: DataFrame, keys: Sequence[str] = ("borough",), drivers: Sequence[str] = SEASONAL_DRIVERS
+) -> tuple[DataFrame, DataFrame]:
+    """Seasonal model of daily trips; see ``seasonal_arx``."""
+    return seasonal_arx(features, "trips", "day", drivers, keys)
+
+
+def demand_backtest(
+    features: DataFrame, keys: Sequence[str] = ("borough",), drivers: Sequence[str] = SEASONAL_DRIVERS
+) -> tuple[DataFrame, DataFrame]:
+    """Hold-out test of the seasonal model on the last 30 % of days; see ``backtest``."""
+    return backtest(features, "trips", "day", drivers, keys)

@@ -207,7 +207,7 @@ def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
         (k / 8.0).alias("prcp"),
         F.when(k % 2 == 0, k).alias("snow"),
         (k * 3).alias("wdir"),
-        (value / 2).alias("wspd"),
+        (F.col("user_id") % 50 / F.lit(2.0)).alias("wspd"),
         F.when(k % 5 > 0, value).alias("wpgt"),
         (k + 1000).alias("pres"),
         F.lit(None).cast("double").alias("tsun"),
@@ -219,7 +219,7 @@ def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
 WEATHER_SQL = """weather_rows AS (
   SELECT epoch_us(ts) * 1000 + 999 AS time_ns, ts, value AS temp, value - k AS dwpt, CAST(k AS DOUBLE) AS rhum,
          CAST(k AS DOUBLE) / 8 AS prcp, CASE WHEN k % 2 = 0 THEN CAST(k AS DOUBLE) END AS snow,
-         CAST(k * 3 AS DOUBLE) AS wdir, value / 2 AS wspd, CASE WHEN k % 5 > 0 THEN value END AS wpgt,
+         CAST(k * 3 AS DOUBLE) AS wdir, CAST(user_id % 50 AS DOUBLE) / 2 AS wspd, CASE WHEN k % 5 > 0 THEN value END AS wpgt,
          CAST(k + 1000 AS DOUBLE) AS pres, CAST(NULL AS DOUBLE) AS tsun,
          CASE WHEN k > 0 THEN CAST(event_id % 28 AS DOUBLE) END AS coco
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,

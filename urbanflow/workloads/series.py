@@ -10,13 +10,12 @@ from ..operators.forecast import backtest, forecast_direct, seasonal_arx, season
 from ..operators.predicates import drop_nulls
 from ..operators.regression import adf_stat, fit_by_key, ols, simple_ols
 from ..operators.series import decompose_additive, last_n, resample_daily, time_split, with_lags
-from ..plans.analysis import prepare_series
-from ..schemas import TRIP_MEASURES
+from ..plans.analysis import daily_features, demand_ols, prepare_series
+from ..schemas import DAILY_FEATURES
 from .inputs import DAILY_SQL, daily_series, table
 from .registry import query, rounded
 from .tables import MASTER_SQL, master_table
 
-MEANS = tuple(m.mean_as for m in TRIP_MEASURES)
 BY = ["borough"]
 
 
@@ -36,29 +35,36 @@ def one_borough_daily(spark: SparkSession, sf: str) -> DataFrame:
     return resample_daily(rows, "datetime", {"trips": "sum", "complaints_311": "sum"})
 
 
+_MEANS_SQL = ",\n".join(
+    f"         AVG({c}) AS {c}" for c, how in DAILY_FEATURES.items() if how == "mean"
+)
+_SUMS_SQL = ",\n".join(
+    f"         CAST(SUM({c}) AS BIGINT) AS {c}" for c, how in DAILY_FEATURES.items() if how == "sum" and c != "precip_total"
+)
+_ROUNDED = [c for c, how in DAILY_FEATURES.items() if how == "mean" or c == "precip_total"]
+
+
 @query(
     "q22_daily_features",
     f"""
 WITH {MASTER_SQL},
 daily AS (
-  SELECT borough, CAST(hour_ts AS DATE) AS day, CAST(SUM(trips) AS BIGINT) AS trips, AVG(temp_avg) AS temp_avg,
-         SUM(precip_total) AS precip_total, MAX(extreme_weather) AS extreme_weather,
-         CAST(SUM(complaints_transportation) AS BIGINT) AS complaints_transportation
+  SELECT borough, CAST(hour_ts AS DATE) AS day, MAX(extreme_weather) AS extreme_weather,
+         SUM(precip_total) AS precip_total,
+{_MEANS_SQL},
+{_SUMS_SQL}
   FROM master GROUP BY 1, 2)
-SELECT borough, day, trips, ROUND(temp_avg, 6) AS temp_avg, ROUND(precip_total, 6) AS precip_total,
-       extreme_weather, complaints_transportation FROM daily
-WHERE temp_avg IS NOT NULL AND extreme_weather IS NOT NULL""",
+SELECT * REPLACE ({", ".join(f"ROUND({c}, 8) AS {c}" for c in _ROUNDED)}) FROM daily
+WHERE {" AND ".join(f"{c} IS NOT NULL" for c in DAILY_FEATURES)}""",
 )
-def daily_features(spark: SparkSession, sf: str) -> DataFrame:
-    spec = {
-        "trips": "sum",
-        "temp_avg": "mean",
-        "precip_total": "sum",
-        "extreme_weather": "max",
-        "complaints_transportation": "sum",
-    }
-    daily = drop_nulls(resample_daily(prepare_series(master_table(spark, sf)), "datetime", spec, BY))
-    return rounded(daily, 6, "temp_avg", "precip_total")
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(daily_features(prepare_series(master_table(spark, sf))), 8, *_ROUNDED)
+
+
+@query("q28_demand_ols")
+def demand_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """The seven-driver regression on the daily features of all boroughs."""
+    return demand_ols(daily_features(prepare_series(master_table(spark, sf))))[0]
 
 
 @query("q23_densified_series", f"WITH {DAILY_SQL} SELECT borough, day, trips FROM daily")
