@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from urbanflow.operators.correlation import corr_matrix, forecast_metrics
 from urbanflow.operators.predicates import drop_nulls
 from urbanflow.operators.series import decompose_additive, densify, last_n, resample_daily, time_split, with_lags
+from urbanflow.session import stage
 
 D0 = dt.date(2024, 1, 1)
 
@@ -75,6 +76,14 @@ def test_decomposition_shuffles_each_series_once(spark, plan):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_staged_series_are_not_recomputed(spark, tmp_path, plan):
+    series(spark, [1.0, 2.0, 3.0]).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s")).groupBy("k", "day").agg(F.sum("y").alias("y"))
+    staged = stage(stored)
+    assert "FileScan" in plan(stored) and "FileScan" not in plan(staged)
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, stored.collect()))
+
+
 def test_lags_and_splits(spark):
     df = series(spark, [1.0, 4.0, 9.0]).unionByName(series(spark, [float(i) for i in range(10)], "b"))
     got = with_lags(df, "y", "day", [1, 2], ["k"], difference=True).filter("k = 'a'").orderBy("day").collect()
