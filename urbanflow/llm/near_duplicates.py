@@ -10,11 +10,14 @@ similarity of 0.85 shares no band with a probability of about 4e-7.
    only, never with all others.
 3. Buckets whose nodes are still in different components are cut into blocks.
    Pairs of blocks are compared on their signatures; pairs of different
-   components that may reach the threshold go through the same verification.
+   components that may reach the threshold go through the same verification,
+   first the best pair of each node, then what is still apart.  Signatures
+   may fall short of the threshold by ``slack``, over 5 standard errors.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -99,16 +102,32 @@ def _banded(bands: int, rows: int):
     return band
 
 
+class _Sets:
+    """Shingle sets of texts met before, up to a bounded number of shingles."""
+
+    ROOM = 1 << 22
+
+    def __init__(self, k: int):
+        self.k, self.known, self.size = k, {}, 0
+
+    def of(self, texts: pa.Array, i: int, node: int) -> np.ndarray:
+        text = texts.slice(i, 1)
+        key = node, zlib.crc32(text[0].as_buffer())  # an id may have several texts
+        if key not in self.known:
+            if self.size > self.ROOM:
+                self.known, self.size = {}, 0
+            self.known[key] = shingle_sets(text, self.k)[0]
+            self.size += len(self.known[key])
+        return self.known[key]
+
+
 def _confirmed(k: int, percent: int):
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _Sets(k)
         for batch in batches:
             a, b, keep = batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.zeros(batch.num_rows, bool)
-            last, left = None, None
-            texts = batch.column(2)
             for i in range(batch.num_rows):
-                if last != a[i]:
-                    left, last = shingle_sets(texts.slice(i, 1), k)[0], a[i]
-                right = shingle_sets(batch.column(3).slice(i, 1), k)[0]
+                left, right = sets.of(batch.column(2), i, a[i]), sets.of(batch.column(3), i, b[i])
                 both = np.concatenate((left, right))
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
@@ -118,8 +137,11 @@ def _confirmed(k: int, percent: int):
     return confirm
 
 
-def _close(m: int, percent: int, slack: float):
-    """Pairs of one group (a pair of blocks of a bucket) that may be similar and aren't yet in one component."""
+def _close(m: int, percent: int, slack: float, best: bool):
+    """Pairs of one group (a pair of blocks of a bucket) that may be similar and aren't yet in one component.
+
+    With ``best`` each node gives only the pair whose signatures agree most.
+    """
     least = percent / 100 - slack
 
     def close(table: pa.Table) -> pa.Table:
@@ -132,9 +154,12 @@ def _close(m: int, percent: int, slack: float):
         found_a, found_b = [], []
         for i in left:
             others = right[(comp[right] != comp[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-            if same:
+            if same and not best:
                 others = others[node[others] > node[i]]
-            near = others[(sig[others] == sig[i]).mean(1) >= least] if len(others) else others
+            agree = (sig[others] == sig[i]).mean(1)
+            near = others[agree >= least]
+            if best and len(near):
+                near = others[[np.lexsort((node[others], -agree))[0]]]
             found_a.append(np.minimum(node[near], node[i]))
             found_b.append(np.maximum(node[near], node[i]))
         a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
@@ -144,6 +169,21 @@ def _close(m: int, percent: int, slack: float):
     return close
 
 
+def _unsettled(member: DataFrame, label: DataFrame, block: int) -> DataFrame:
+    """Buckets whose nodes are in several components, cut into blocks that meet each other once: as (i, j), i <= j."""
+    named = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = named.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members")
+    )
+    mixed = mixed.where("least < most").select("bucket", F.ceil(F.col("members") / block).cast("long").alias("blocks"))
+    rest = named.join(mixed, "bucket").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return rest.select(
+        "bucket", "node", "component", "n", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        (F.col("mine") > F.col("other")).cast("int").alias("side"), (F.col("mine") == F.col("other")).alias("own"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -153,7 +193,7 @@ def near_duplicates(
     bands: int = 25,
     rows: int = 5,
     block: int = 256,
-    slack: float = 0.25,
+    slack: float = 0.17,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -194,25 +234,14 @@ def near_duplicates(
     links = staged(verify(stars.select(F.col("centre").alias("a"), F.col("node").alias("b"))), "links")
 
     label = components(links)
-    named = member.where("node <> centre").join(label, "node", "left")
-    named = named.withColumn("component", F.coalesce("component", "node"))
-    mixed = named.groupBy("bucket").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("members")
-    )
-    mixed = mixed.where("least < most").select("bucket", F.ceil(F.col("members") / block).cast("long").alias("blocks"))
-    rest = staged(named.join(mixed, "bucket"), "rest")
-    if not rest.isEmpty():
-        rest = rest.join(nodes.select("node", "sig"), "node")
-        own = F.pmod(F.xxhash64("node"), "blocks")
-        # every block meets every block once: (i, j) with i <= j
-        rest = rest.withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        rest = rest.select(
-            "bucket", "node", "component", "n", "sig",
-            F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-            (F.col("mine") > F.col("other")).cast("int").alias("side"), (F.col("mine") == F.col("other")).alias("own"),
-        )
-        more = rest.groupBy("bucket", "i", "j").applyInArrow(_close(m, percent, slack), "a long, b long")
-        label = components(links.union(staged(verify(more), "links")))
+    # first each node's best pair, which joins most of what belongs together, then all pairs that are left
+    for best in (True, False):
+        rest = staged(_unsettled(member.where("node <> centre"), label, block), "rest")
+        if rest.isEmpty():
+            break
+        close = rest.join(nodes.select("node", "sig"), "node").groupBy("bucket", "i", "j")
+        links = links.union(staged(verify(close.applyInArrow(_close(m, percent, slack, best), "a long, b long")), "links"))
+        label = components(links)
 
     named = nodes.join(label, "node", "left").select(*key, F.coalesce("component", "node").alias("component_id"))
     out = signed.drop("sig").join(named, key, "left")
