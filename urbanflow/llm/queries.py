@@ -8,12 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .html_extraction import main_text
 from .near_duplicates import near_duplicates
 from .packing import pack
 from .quality import quality
 from .sentencepiece_codec import decode_ids, encode_texts
 from .substring_dedup import remove_repeats
 from .tokens import token_counts
+from .url_filters import url_filter
+from .url_queries import SQL as URL_SQL
+from .url_queries import captures, entries
 from .vector_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +49,14 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_temporal_list_join", URL_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages against dated lists of domains and path prefixes, as of their fetch times."""
+    pages = table(spark, sf_dir, "pages")
+    out = url_filter(captures(pages), entries(pages))
+    return out.withColumn("fetched", F.col("fetched").cast("timestamp_ntz")).withColumn("lists", F.array_join("lists", ","))
+
+
 @query("op3_sentencepiece")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents by the SentencePiece file, their parity with its library, and whether they decode to the text."""
@@ -56,6 +68,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", length, digest, "parity", F.sha2("text", 256).alias("decoded_sha256"))
 
 
+@query("op4_site_style_tree")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
