@@ -8,11 +8,11 @@ similarity of 0.85 shares no band with a probability of about 4e-7.
    copies cost one row each however many there are.
 2. In every band bucket each node is compared with the bucket's least node
    only, never with all others.
-3. Buckets whose nodes are still in different components are cut into blocks.
-   Pairs of blocks are compared on their signatures; pairs of different
-   components that may reach the threshold go through the same verification,
-   first the best pair of each node, then what is still apart.  Signatures
-   may fall short of the threshold by ``slack``, over 5 standard errors.
+3. Buckets whose nodes are still in different components are cut into blocks
+   of a few hundred nodes.  Each two blocks meet in one task, which compares
+   pairs of different components on their signatures and then on their whole
+   sets, and gives back only links that join something.  Signatures may fall
+   short of the threshold by ``slack``, over 5 standard errors.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import text_of
 from .components import components
 from .staging import staged
 from .superminhash import signatures
@@ -95,13 +96,21 @@ def _banded(bands: int, rows: int):
             acc = mix(acc ^ (places * _SALTS[0]))
             node = np.repeat(batch.column(0).to_numpy(), bands)
             n = np.repeat(batch.column(1).to_numpy(), bands)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(acc.reshape(-1).view(np.int64)), pa.array(node), pa.array(n)], ["bucket", "node", "n"]
-            )
+            number = np.tile(np.arange(bands, dtype=np.int32), batch.num_rows)
+            arrays = [pa.array(x) for x in (acc.reshape(-1).view(np.int64), number, node, n)]
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "band", "node", "n"])
 
     return band
 
 
+def similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    """Whether two sets, sorted, share enough of their union."""
+    both = np.concatenate((left, right))
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return common > 0 and 100 * common >= percent * (len(both) - common)
+
+
 class _Sets:
     """Shingle sets of texts met before, up to a bounded number of shingles."""
 
@@ -128,45 +137,59 @@ def _confirmed(k: int, percent: int):
             a, b, keep = batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.zeros(batch.num_rows, bool)
             for i in range(batch.num_rows):
                 left, right = sets.of(batch.column(2), i, a[i]), sets.of(batch.column(3), i, b[i])
-                both = np.concatenate((left, right))
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep[i] = 100 * common >= percent * (len(both) - common) and common > 0
+                keep[i] = similar(left, right, percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
     return confirm
 
 
-def _close(m: int, percent: int, slack: float, best: bool):
-    """Pairs of one group (a pair of blocks of a bucket) that may be similar and aren't yet in one component.
+def _joined(bands: int, rows: int, k: int, percent: int, slack: float):
+    """Links between different components inside one group: a block of a bucket, or two.
 
-    With ``best`` each node gives only the pair whose signatures agree most.
+    Pairs that share an earlier band meet there and are left to it.  Pairs
+    whose signatures fall short by more than ``slack`` are not looked at;
+    the others are compared on their whole sets, most similar first, unless
+    links found before have joined them.
     """
     least = percent / 100 - slack
 
-    def close(table: pa.Table) -> pa.Table:
-        node, comp, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
-        side = table.column("side").to_numpy()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, m)
-        same = table.column("own")[0].as_py()
+    def join(table: pa.Table) -> pa.Table:
+        node, comp, n, side = (table.column(c).to_numpy() for c in ("node", "component", "n", "side"))
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, bands, rows)
+        band, same = table.column("band")[0].as_py(), table.column("own")[0].as_py()
         left = np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
-        found_a, found_b = [], []
+        pairs = []
         for i in left:
-            others = right[(comp[right] != comp[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-            if same and not best:
-                others = others[node[others] > node[i]]
-            agree = (sig[others] == sig[i]).mean(1)
-            near = others[agree >= least]
-            if best and len(near):
-                near = others[[np.lexsort((node[others], -agree))[0]]]
-            found_a.append(np.minimum(node[near], node[i]))
-            found_b.append(np.maximum(node[near], node[i]))
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
-
-    return close
+            fits = 100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i])
+            others = right[(comp[right] != comp[i]) & fits & ((node[right] > node[i]) if same else True)]
+            equal = sig[others] == sig[i]
+            agree = equal.mean((1, 2))
+            new = (agree >= least) & ~equal[:, :band].all(2).any(1)
+            pairs += zip((-agree[new]).tolist(), [int(i)] * int(new.sum()), others[new].tolist())
+        pairs.sort()
+        texts, sets, parent = text_of(table), {}, {}
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_sets(texts.slice(i, 1), k)[0]
+            return sets[i]
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = parent.get(up, up)
+                c = up
+            return c
+
+        links = []
+        for _, i, j in pairs:
+            a, b = root(int(comp[i])), root(int(comp[j]))
+            if a != b and similar(shingles(i), shingles(j), percent):
+                parent[max(a, b)] = min(a, b)
+                links.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
+
+    return join
 
 
 def _unsettled(member: DataFrame, label: DataFrame, block: int) -> DataFrame:
@@ -179,7 +202,7 @@ def _unsettled(member: DataFrame, label: DataFrame, block: int) -> DataFrame:
     rest = named.join(mixed, "bucket").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     return rest.select(
-        "bucket", "node", "component", "n", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        "bucket", "band", "node", "component", "n", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"), (F.col("mine") == F.col("other")).alias("own"),
     )
 
@@ -213,14 +236,16 @@ def near_duplicates(
     nodes = staged(full.groupBy(*key).agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("node")), "nodes")
 
     member = nodes.select("node", F.col("n_shingles").alias("n"), "sig").mapInArrow(
-        _banded(bands, rows), "bucket long, node long, n long"
+        _banded(bands, rows), "bucket long, band int, node long, n long"
     )
-    shared = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("most")).where("centre < most")
-    member = staged(member.join(shared.select("bucket", "centre"), "bucket"), "buckets")
+    first = F.min(F.struct("node", "n"))
+    shared = member.groupBy("bucket").agg(first.alias("first"), F.max("node").alias("most")).where("first.node < most")
+    shared = shared.select("bucket", F.col("first.node").alias("centre"), F.col("first.n").alias("n_centre"))
+    member = staged(member.join(shared, "bucket"), "buckets")
 
-    wanted = member.select(F.col("node").alias("doc_id")).distinct()
-    texts = staged(source.join(wanted, "doc_id"), "texts")
-    size = nodes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("n_centre"))
+    # the wanted ids grow with the corpus, so this is a sort-merge join at every size
+    wanted = member.select("node").distinct().join(nodes.select("node", "sig"), "node").withColumnRenamed("node", "doc_id")
+    texts = staged(source.join(wanted.hint("merge"), "doc_id"), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = pairs.distinct()
@@ -229,18 +254,15 @@ def near_duplicates(
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         return both.mapInArrow(_confirmed(k, percent), "a long, b long")
 
-    stars = member.where("node <> centre").join(size, "centre")
-    stars = stars.where(f"100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)")
+    stars = member.where("node <> centre").where(f"100 * least(n, n_centre) >= {percent} * greatest(n, n_centre)")
     links = staged(verify(stars.select(F.col("centre").alias("a"), F.col("node").alias("b"))), "links")
 
     label = components(links)
-    # first each node's best pair, which joins most of what belongs together, then all pairs that are left
-    for best in (True, False):
-        rest = staged(_unsettled(member.where("node <> centre"), label, block), "rest")
-        if rest.isEmpty():
-            break
-        close = rest.join(nodes.select("node", "sig"), "node").groupBy("bucket", "i", "j")
-        links = links.union(staged(verify(close.applyInArrow(_close(m, percent, slack, best), "a long, b long")), "links"))
+    rest = staged(_unsettled(member.where("node <> centre"), label, block), "rest")
+    if not rest.isEmpty():
+        held = texts.select(F.col("doc_id").alias("node"), "text", "sig")
+        groups = rest.join(held, "node").groupBy("bucket", "i", "j")
+        links = links.union(groups.applyInArrow(_joined(bands, rows, k, percent, slack), "a long, b long"))
         label = components(links)
 
     named = nodes.join(label, "node", "left").select(*key, F.coalesce("component", "node").alias("component_id"))
