@@ -12,6 +12,8 @@ numbers do.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,3 +53,29 @@ def answers(table: pa.Table, h: np.ndarray, buckets: int, dtype: type, col: str
         else:
             out[at[b] : at[b + 1]] = np.frombuffer(blob, dtype)
     return out
+
+
+SLICED = "slice int, part binary"
+
+
+def sliced(array: np.ndarray, slices: int) -> pa.RecordBatch:
+    """One row for each of ``slices`` equal parts of a flat array."""
+    rows = [x.tobytes() for x in array.reshape(slices, -1)]
+    return pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array(rows, pa.binary())], ["slice", "part"])
+
+
+def summed(rows: DataFrame, slices: int, size: int, dtype: type) -> np.ndarray:
+    """The sum of the arrays that tasks have sent in slices; each slice is added up as it arrives, ``size`` values reach the driver."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for s, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[s] = total.get(s, 0) + np.frombuffer(blob, dtype)
+        parts = [x.tobytes() for x in total.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(parts, pa.binary())], ["slice", "part"])
+
+    out = np.zeros((slices, size // slices), dtype)
+    for r in rows.repartition(slices, "slice").mapInArrow(add, SLICED).collect():
+        out[r["slice"]] = np.frombuffer(r["part"], dtype)
+    return out.reshape(-1)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import SLICED, sliced, summed
 from .words import SEPARATOR, Words, slices, windows
 
 #: Bins of the hashed n-grams, and their share that each task sends in one row.
@@ -93,26 +94,13 @@ def _counted(n: int):
             total[0] += np.bincount(bins, minlength=BINS)
             good = np.repeat(part.column(1).to_numpy(zero_copy_only=False), np.diff(first))
             total[1] += np.bincount(bins[good], minlength=BINS)
-        rows = [x.tobytes() for x in total.reshape(2, SLICES, -1).transpose(1, 0, 2)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(rows, pa.binary())], ["slice", "counts"])
+        yield sliced(total.reshape(2, SLICES, -1).transpose(1, 0, 2).reshape(-1), SLICES)
 
     return count
 
 
-def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for s, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            total[s] = total.get(s, 0) + np.frombuffer(blob, np.int64)
-    rows = [x.tobytes() for x in total.values()]
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(rows, pa.binary())], ["slice", "counts"])
-
-
-def log_ratios(rows: list) -> np.ndarray:
+def log_ratios(total: np.ndarray) -> np.ndarray:
     """The ratio of each bin as a whole number, each bin counted once more than seen; 0 without trusted text."""
-    total = np.zeros((2, BINS), np.int64)
-    for r in rows:
-        total.reshape(2, SLICES, -1)[:, r["slice"]] = np.frombuffer(r["counts"], np.int64).reshape(2, -1)
     if not total[1].any():
         return np.zeros(BINS, np.int64)
     logs = np.log(total + 1.0) - np.log(total.sum(1, keepdims=True) + BINS)
@@ -167,8 +155,9 @@ def quality(
 
     trusted = F.coalesce(F.col("good") == 1, F.lit(False)).alias("trusted")
     marked = source.select("doc_id", "text").join(marks, "doc_id", "left").select("text", trusted)
-    sums = marked.mapInArrow(_counted(n), "slice int, counts binary").repartition(SLICES, "slice")
-    ratios = spark.sparkContext.broadcast(log_ratios(sums.mapInArrow(_summed, "slice int, counts binary").collect()))
+    total = summed(marked.mapInArrow(_counted(n), SLICED), SLICES, 2 * BINS, np.int64)
+    total = total.reshape(SLICES, 2, -1).transpose(1, 0, 2).reshape(2, BINS)
+    ratios = spark.sparkContext.broadcast(log_ratios(total))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ratios.value

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .html_extraction import main_text
+from .language_model import score_texts
 from .near_duplicates import near_duplicates
 from .packing import pack
 from .quality import quality
@@ -109,3 +110,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best of all vectors for every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query("op10_attention")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by word counts and by the attention model, learnt from the documents not held out."""
+    return score_texts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
