@@ -1,10 +1,10 @@
 """A small causal self-attention model over subword ids, in numpy.
 
 One head of width ``DIM`` over windows of ``SPAN`` ids, with a learned weight for
-each distance.  The model predicts the class of the next id; the id within its
-class follows the corpus counts.  The most frequent ids are classes of their
-own, all others share classes of about equal mass.  So a text's probability
-sums to one over all texts and costs a few hundred numbers an id.
+each distance.  The next id is predicted in two steps: its group, then its
+place in the group; groups are ``WIDE`` ids next to each other in the order of
+their corpus counts, and the last one holds all rare ids by their counts.  So
+probabilities sum to one, and an id costs a few dozen exponentials.
 """
 
 from __future__ import annotations
@@ -16,34 +16,33 @@ SPAN = 32
 #: Ids of a window that only give context; the next window scores on from there.
 LEAD = 8
 STEP = SPAN - LEAD
-SINGLE = 96
-SHARED = 32
-OWN_VECTORS = 8192
-CLASSES = SINGLE + SHARED
+GROUPS = 16
+WIDE = 64
+OWN_VECTORS = 2048
 
 
 class Vocabulary:
-    """Classes of ids by corpus counts: class of each id, log probability within it, and a vector row for frequent ids."""
+    """Groups of ids by corpus counts, log probabilities of rare ids within theirs, and a vector row for frequent ids."""
 
-    def __init__(self, counts: np.ndarray, starts: np.ndarray):
+    def __init__(self, counts: np.ndarray):
         order = np.lexsort((np.arange(len(counts)), -counts))
-        self.of = np.zeros(len(counts), np.int16)
-        self.of[order[:SINGLE]] = np.arange(SINGLE)
-        rest = order[SINGLE:]
-        rest = rest[np.argsort(starts[rest], kind="stable")]  # inner pieces first, then those that begin a word
-        mass = np.cumsum(counts[rest] + 1.0)
-        self.of[rest] = SINGLE + np.minimum((mass - counts[rest] - 1) * SHARED // mass[-1], SHARED - 1).astype(np.int16)
+        rank = np.empty(len(counts), np.int64)
+        rank[order] = np.arange(len(counts))
+        self.group = np.minimum(rank // WIDE, GROUPS).astype(np.int16)
+        self.place = (rank % WIDE).astype(np.int16)
         smooth = counts + 0.5
-        total = np.bincount(self.of, weights=smooth, minlength=CLASSES)
-        self.inner = np.log(smooth / total[self.of]).astype(np.float32)
-        self.first = np.log(total / total.sum()).astype(np.float32)
-        self.row = np.full(len(counts), OWN_VECTORS, np.int32)  # the last row stands for all rare ids
-        self.row[order[:OWN_VECTORS]] = np.arange(min(OWN_VECTORS, len(counts)))
+        total = np.bincount(self.group, weights=smooth, minlength=GROUPS + 1)
+        self.inner = np.log(smooth / total[self.group]).astype(np.float32)
+        self.first = np.log((total + 1e-9) / total.sum()).astype(np.float32)
+        self.within = np.full((GROUPS, WIDE), -20, np.float32)
+        some = self.group < GROUPS
+        self.within[self.group[some], self.place[some]] = self.inner[some]
+        self.row = np.minimum(rank, OWN_VECTORS).astype(np.int32)  # the last row stands for all rare ids
 
 
 SHAPES = {
-    "own": (OWN_VECTORS + 1, DIM), "shared": (CLASSES, DIM), "query": (DIM, DIM), "key": (DIM, DIM), "value": (DIM, DIM),
-    "far": (SPAN,), "out": (DIM, CLASSES), "bias": (CLASSES,),
+    "own": (OWN_VECTORS + 1, DIM), "query": (DIM, DIM), "key": (DIM, DIM), "value": (DIM, DIM), "far": (SPAN,),
+    "top": (DIM, GROUPS + 1), "top_bias": (GROUPS + 1,), "out": (GROUPS, DIM, WIDE), "out_bias": (GROUPS, WIDE),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 _FUTURE = np.where(np.arange(SPAN)[:, None] >= np.arange(SPAN)[None, :], 0, -1e9).astype(np.float32)
@@ -65,8 +64,10 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> np.ndarray:
     flat = (rng.standard_normal(SIZE) * 0.2).astype(np.float32)
     parts = unpack(flat)
     parts["far"][:] = -0.3 * np.arange(SPAN)
+    parts["top"][:] *= 0.5
     parts["out"][:] *= 0.5
-    parts["bias"][:] = vocabulary.first
+    parts["top_bias"][:] = vocabulary.first
+    parts["out_bias"][:] = vocabulary.within
     return flat
 
 
@@ -79,6 +80,19 @@ def _attend(q: np.ndarray, k: np.ndarray, far: np.ndarray) -> np.ndarray:
     return a
 
 
+def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """The summed loss, and its gradient by the logits."""
+    if not len(target):
+        return 0.0, logits
+    logits = logits - logits.max(1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(1, keepdims=True)
+    at = np.arange(len(target))
+    loss = -float(np.log(logits[at, target] + 1e-12).sum())
+    logits[at, target] -= 1
+    return loss, logits
+
+
 class Trainer:
     """Adagrad on batches of windows; one of these runs in each task."""
 
@@ -90,25 +104,26 @@ class Trainer:
     def step(self, windows: np.ndarray) -> float:
         """One batch of windows of SPAN + 1 ids; the mean loss in nats."""
         p, voc = self.parts, self.vocabulary
-        x, y = windows[:, :-1], voc.of[windows[:, 1:]].astype(np.int64)
-        row, cls = voc.row[x], voc.of[x].astype(np.int64)
-        e = p["own"][row] + p["shared"][cls]
+        x, y = windows[:, :-1], windows[:, 1:].reshape(-1)
+        row = voc.row[x]
+        e = p["own"][row]
         scale = np.float32(DIM**-0.5)
         q, k, v = e @ p["query"] * scale, e @ p["key"], e @ p["value"]
         a = _attend(q, k, p["far"][_BACK] + _FUTURE)
         z = e + np.matmul(a, v)
         flat_z = z.reshape(-1, DIM)
-        logits = flat_z @ p["out"] + p["bias"]
-        logits -= logits.max(1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(1, keepdims=True)
-        target = y.reshape(-1)
-        at = np.arange(len(target))
-        loss = -np.log(logits[at, target] + 1e-12).mean()
-        logits[at, target] -= 1
-        logits /= len(windows)  # a step's size is set per window
-        grad = {"out": flat_z.T @ logits, "bias": logits.sum(0)}
-        dz = (logits @ p["out"].T).reshape(z.shape)
+        group, place = voc.group[y], voc.place[y]
+        loss, d_top = _softmax_loss(flat_z @ p["top"] + p["top_bias"], group)
+        grad = {"top": flat_z.T @ d_top / len(windows), "top_bias": d_top.sum(0) / len(windows)}
+        dz = d_top @ p["top"].T
+        grad["out"], grad["out_bias"] = np.zeros_like(p["out"]), np.zeros_like(p["out_bias"])
+        for g in range(GROUPS):
+            own = np.flatnonzero(group == g)
+            part, d = _softmax_loss(flat_z[own] @ p["out"][g] + p["out_bias"][g], place[own])
+            loss += part
+            dz[own] += d @ p["out"][g].T
+            grad["out"][g], grad["out_bias"][g] = flat_z[own].T @ d / len(windows), d.sum(0) / len(windows)
+        dz = (dz / len(windows)).reshape(z.shape)  # a step's size is set per window
         da, dv = np.matmul(dz, v.transpose(0, 2, 1)), np.matmul(a.transpose(0, 2, 1), dz)
         ds = a * (da - (da * a).sum(2, keepdims=True))
         grad["far"] = np.bincount(_BACK.reshape(-1), weights=(ds.sum(0) * _LOWER).reshape(-1), minlength=SPAN)
@@ -120,12 +135,11 @@ class Trainer:
             de += d @ p[name].T
         for name, g in grad.items():
             self._move(name, slice(None), g.astype(np.float32))
-        for name, index in (("own", row.reshape(-1)), ("shared", cls.reshape(-1))):
-            rows, which = np.unique(index, return_inverse=True)
-            g = np.zeros((len(rows), DIM), np.float32)
-            np.add.at(g, which, de.reshape(-1, DIM))
-            self._move(name, rows, g)
-        return float(loss)
+        rows, which = np.unique(row.reshape(-1), return_inverse=True)
+        g = np.zeros((len(rows), DIM), np.float32)
+        np.add.at(g, which, de.reshape(-1, DIM))
+        self._move("own", rows, g)
+        return loss / len(y)
 
     def _move(self, name: str, rows, g: np.ndarray) -> None:
         self.square[name][rows] += g * g
@@ -137,52 +151,66 @@ class Trainer:
         return delta, (delta != 0).astype(np.float32)
 
 
+def _log_softmax(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+    hit = logits[np.arange(len(target)), target]
+    most = logits.max(1)
+    logits -= most[:, None]
+    np.exp(logits, out=logits)
+    return hit - most - np.log(logits.sum(1))
+
+
 class Scorer:
-    """Log10 probabilities of many id sequences; tables of all ids are made once."""
+    """Log probabilities of many id sequences; tables of all vector rows are made once."""
 
     def __init__(self, flat: np.ndarray, vocabulary: Vocabulary):
-        p, voc = unpack(flat), vocabulary
-        e = p["own"][voc.row] + p["shared"][voc.of]
+        self.p = p = unpack(flat)
+        self.voc = vocabulary
+        e = p["own"]
         scale = np.float32(DIM**-0.5)
-        # one row of embedding, query, key and value for each id
+        # one row of embedding, query, key and value for each vector row
         self.table = np.concatenate([e, e @ p["query"] * scale, e @ p["key"], e @ p["value"]], 1).astype(np.float32)
         self.far = (p["far"][_BACK] + _FUTURE).astype(np.float32)[LEAD:]
-        self.out, self.bias, self.voc = p["out"], p["bias"], voc
 
     def windows(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log probability of the STEP ids ``y`` that end each window, given the ids ``x`` of the window."""
-        t = self.table[x]
+        t, p, voc = self.table[self.voc.row[x]], self.p, self.voc
         e, q, k, v = (t[:, :, i * DIM : (i + 1) * DIM] for i in range(4))
         a = _attend(q[:, LEAD:], k, self.far)
         z = (e[:, LEAD:] + np.matmul(a, v)).reshape(-1, DIM)
-        logits = z @ self.out
-        logits += self.bias
         target = y.reshape(-1)
-        hit = logits[np.arange(len(target)), self.voc.of[target]]
-        np.exp(logits, out=logits)  # logits are small: no shift is needed
-        return (hit - np.log(logits.sum(1)) + self.voc.inner[target]).reshape(y.shape)
+        group, place = voc.group[target], voc.place[target]
+        out = _log_softmax(z @ p["top"] + p["top_bias"], group)
+        order = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[order], np.arange(GROUPS + 2))
+        for g in range(GROUPS):
+            own = order[ends[g] : ends[g + 1]]
+            if len(own):
+                out[own] += _log_softmax(z[own] @ p["out"][g] + p["out_bias"][g], place[own])
+        rare = order[ends[GROUPS] :]
+        out[rare] += voc.inner[target[rare]]
+        return out.reshape(y.shape)
 
     def texts(self, ids: list[np.ndarray], edge: int, batch: int = 1024) -> np.ndarray:
-        """Log10 probability of each sequence; every id is scored once, in a window with LEAD ids or more before it.
+        """Natural log probability of every id of the sequences, one after the other.
 
+        Every id is scored once, in a window with LEAD ids or more before it;
         ``edge`` stands before the first id, as often as the window needs it.
         """
-        out = np.zeros(len(ids))
         size = np.array([len(x) for x in ids], np.int64)
         steps = -(-size // STEP)
         first = np.concatenate(([0], np.cumsum(steps)))
         target = np.full(first[-1] * STEP, edge, np.int64)
+        real = np.zeros(len(target), bool)
         for d, x in enumerate(ids):
-            target[first[d] * STEP : first[d] * STEP + len(x)] = x
-        doc = np.repeat(np.arange(len(ids)), steps)
-        place = (np.arange(first[-1]) - first[doc]) * STEP
+            at = first[d] * STEP
+            target[at : at + len(x)], real[at : at + len(x)] = x, True
+        start = np.repeat(first[:-1] * STEP, steps)
         y = target.reshape(-1, STEP)
+        out = np.empty(y.shape, np.float32)
         back = np.arange(-LEAD - 1, STEP - 1)
         for i in range(0, len(y), batch):
             some = np.arange(i, min(i + batch, len(y)))
-            at = place[some][:, None] + back
-            x = np.where(at >= 0, target[np.maximum(at + (first[doc[some]] * STEP)[:, None], 0)], edge)
-            p = self.windows(x, y[some]).astype(np.float64)
-            p[place[some][:, None] + np.arange(STEP) >= size[doc[some]][:, None]] = 0
-            np.add.at(out, doc[some], p.sum(1))
-        return out / np.log(10)
+            at = (some * STEP)[:, None] + back
+            x = np.where(at >= start[some][:, None], target[np.maximum(at, 0)], edge)
+            out[some] = self.windows(x, y[some])
+        return out.reshape(-1)[real]

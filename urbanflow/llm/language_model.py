@@ -10,6 +10,7 @@ the task's training documents, and the changes of all copies are averaged.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,11 +22,18 @@ from .attention import SIZE, SPAN, Scorer, Trainer, Vocabulary, initial
 from .blocks import BLOCK_BYTES, SLICED, answers, cuts, dealt, sliced, summed, text_of
 from .staging import parts_for, text_bytes
 from .tokens import encoder
-from .words import Words
+from .words import Words, slices
 
 SLICES = 16
 BUCKET_BYTES = 4 << 20
 BATCH = 64
+#: Bytes of a text that a training window is cut from: enough for its ids.
+STRETCH = 320
+#: Share of a word's discounted count, and the discount, in the mixture with the attention model.
+WEIGHT = 0.3
+DISCOUNT = 0.5
+#: Stands for the end of a text among the hashes of words.
+END_KEY = np.uint64(0x5DEECE66D)
 
 
 def held_out(ids: Iterable[int | None], modulus: int, remainder: int) -> np.ndarray:
@@ -44,28 +52,23 @@ class Subwords:
         self.size = self.encoder.library.get_vocab_size()
         self.words: dict[bytes, bytes] = {}
 
-    def text(self, raw: bytes) -> np.ndarray:
+    def spell(self, word: bytes) -> list[int]:
+        text = " " + word.decode()
+        merges = self.encoder.merges
+        return merges._encode_single_piece(text) if text[1:].isalpha() else merges.encode_ordinary(text)
+
+    def text(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text with its end, and where each word and the end begin among them."""
         words = raw.lower().split()
         found = list(map(self.words.get, words))
         if None in found:
             if len(self.words) >= self.ROOM:
                 self.words.clear()
-            merge = self.encoder.merges.encode_ordinary
-            for i, x in enumerate(found):
-                if x is None:
-                    w = words[i]
-                    x = self.words.get(w)
-                    if x is None:
-                        x = self.words[w] = np.array(merge(" " + w.decode()), np.uint16).tobytes()
-                    found[i] = x
-        return np.append(np.frombuffer(b"".join(found), np.uint16), np.uint16(self.end))
-
-    def starts(self) -> np.ndarray:
-        """Whether each id begins a word."""
-        out = np.zeros(self.size, bool)
-        for token, i in self.encoder.library.get_vocab().items():
-            out[i] = token.startswith("Ġ")
-        return out
+            for w in {w for w, x in zip(words, found) if x is None}:
+                self.words[w] = array("H", self.spell(w)).tobytes()
+            found = [self.words[w] if x is None else x for w, x in zip(words, found)]
+        first = np.cumsum([0, *map(len, found)]) // 2
+        return np.append(np.frombuffer(b"".join(found), np.uint16), np.uint16(self.end)), first
 
 
 _subwords: dict[str, Subwords] = {}
@@ -85,9 +88,8 @@ def _counted(tokenizer: str, size: int):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(tokenizer)
         total = np.zeros(size, np.int64)
-        for batch in batches:
-            for raw in _raw(batch.column(1)):
-                np.add.at(total, sub.text(raw), 1)
+        for part in slices(batches):
+            total += np.bincount(np.concatenate([sub.text(raw)[0] for raw in _raw(part.column(1))]), minlength=size)
         yield sliced(total, SLICES)
 
     return count
@@ -100,14 +102,17 @@ def _trained(tokenizer: str, model, turn: int, each: int):
         trainer, waiting = Trainer(flat, vocabulary), []
         for batch in batches:
             for i, raw in zip(batch.column(0).to_pylist(), _raw(batch.column(1))):
-                ids = np.concatenate((np.full(1, sub.end, np.uint16), sub.text(raw)))
-                rng = np.random.default_rng([turn, 0 if i is None else i % 2**63, len(ids)])
-                for at in rng.integers(0, max(1, len(ids) - SPAN), each):
-                    window = ids[at : at + SPAN + 1]
+                rng = np.random.default_rng([turn, 0 if i is None else i % 2**63, len(raw)])
+                for at in rng.integers(0, max(1, len(raw) - STRETCH // 2), each):
+                    # the first and last word of a stretch may be cut; the first is left out where it isn't the text's
+                    ids, first = sub.text(raw[at : at + STRETCH])
+                    ids = ids[first[1] if at and len(first) > 1 else 0 :]
+                    ids = ids[:-1] if at + STRETCH < len(raw) else ids
+                    window = ids[: SPAN + 1] if at else np.concatenate((np.full(1, sub.end, np.uint16), ids[:SPAN]))
                     waiting.append(np.concatenate((np.full(SPAN + 1 - len(window), sub.end, np.uint16), window)))
-                if len(waiting) >= BATCH:
-                    trainer.step(np.stack(waiting).astype(np.int64))
-                    waiting = []
+                while len(waiting) >= BATCH:
+                    trainer.step(np.stack(waiting[:BATCH]).astype(np.int64))
+                    waiting = waiting[BATCH:]
         if len(waiting) >= BATCH // 4:
             trainer.step(np.stack(waiting).astype(np.int64))
         delta, moved = trainer.change()
@@ -117,12 +122,12 @@ def _trained(tokenizer: str, model, turn: int, each: int):
     return train
 
 
-def fit(docs: DataFrame, tokenizer: str, rounds: int = 3, each: int = 1) -> tuple[np.ndarray, Vocabulary]:
+def fit(docs: DataFrame, tokenizer: str, rounds: int, each: int) -> tuple[np.ndarray, Vocabulary]:
     """Weights and vocabulary from all of ``docs`` (doc_id, text); every document gives ``each`` windows a round."""
     sub = Subwords(tokenizer)
     size = -(-sub.size // SLICES) * SLICES
     counts = summed(docs.mapInArrow(_counted(tokenizer, size), SLICED), SLICES, size, np.int64)[: sub.size]
-    vocabulary = Vocabulary(counts, sub.starts())
+    vocabulary = Vocabulary(counts)
     flat = initial(vocabulary)
     for turn in range(rounds):
         model = docs.sparkSession.sparkContext.broadcast((flat, vocabulary))
@@ -131,20 +136,27 @@ def fit(docs: DataFrame, tokenizer: str, rounds: int = 3, each: int = 1) -> tupl
     return flat, vocabulary
 
 
+def _keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of a block with the end's, and which each word has."""
+    distinct, which = np.unique(np.append(words.hashes(), END_KEY), return_inverse=True)
+    return distinct, which
+
+
 def _asked(buckets: int, modulus: int, remainder: int):
     def report(table: pa.Table) -> pa.Table:
         words = Words(text_of(table), lower=True)
         train = ~held_out(table.column("doc_id").to_pylist(), modulus, remainder)
-        distinct, which = np.unique(words.hashes(), return_inverse=True)
-        count = np.bincount(which[train[words.doc]], minlength=len(distinct)).astype(np.uint32)
+        distinct, which = _keys(words)
+        weights = np.append(train[words.doc], train.sum())
+        count = np.bincount(which, weights=weights, minlength=len(distinct)).astype(np.uint32)
         at = cuts(distinct, buckets)
-        full = np.flatnonzero(np.diff(at))
+        # every bucket is asked, if only for its totals
         return pa.table(
             {
-                "bucket": pa.array(full, pa.int32()),
-                "block": pa.array([table.column("block")[0].as_py()] * len(full), pa.int32()),
-                "hashes": pa.array([distinct[at[b] : at[b + 1]].tobytes() for b in full], pa.binary()),
-                "counts": pa.array([count[at[b] : at[b + 1]].tobytes() for b in full], pa.binary()),
+                "bucket": pa.array(range(buckets), pa.int32()),
+                "block": pa.array([table.column("block")[0].as_py()] * buckets, pa.int32()),
+                "hashes": pa.array([distinct[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
+                "counts": pa.array([count[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
             }
         )
 
@@ -158,15 +170,13 @@ def _told(table: pa.Table) -> pa.Table:
     total = np.bincount(which, weights=own, minlength=len(distinct)).astype(np.int64)
     ends = np.cumsum([0, *(len(p) for p in parts)])
     reply = total[which]
-    n = len(parts)
     return pa.table(
         {
             "block": table.column("block"),
             "bucket": table.column("bucket"),
-            "answer": pa.array([reply[ends[i] : ends[i + 1]].tobytes() for i in range(n)], pa.binary()),
-            # what the whole bucket holds is stated once
-            "tokens": pa.array([int(total.sum()), *[0] * (n - 1)], pa.int64()),
-            "kinds": pa.array([int((total > 0).sum()), *[0] * (n - 1)], pa.int64()),
+            "answer": pa.array([reply[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])], pa.binary()),
+            "tokens": pa.array([int(total.sum())] * len(parts), pa.int64()),
+            "kinds": pa.array([int((total > 0).sum())] * len(parts), pa.int64()),
         }
     )
 
@@ -177,23 +187,48 @@ def _scored(tokenizer: str, model, buckets: int, modulus: int, remainder: int):
     def score(table: pa.Table, told: pa.Table) -> pa.Table:
         if not kept:
             kept[""] = Scorer(*model.value)
-        ids, texts = table.column("doc_id").to_pylist(), text_of(table)
+        ids, texts, sub = table.column("doc_id").to_pylist(), text_of(table), subwords(tokenizer)
         words = Words(texts, lower=True)
-        distinct, which = np.unique(words.hashes(), return_inverse=True)
-        count = answers(told, distinct, buckets, np.int64)[which] if len(distinct) else np.zeros(0, np.int64)
+        distinct, which = _keys(words)
+        count = answers(told, distinct, buckets, np.int64)[which]
+        tokens, kinds = (int(np.sum(told.column(c).to_numpy())) for c in ("tokens", "kinds"))
+        sizes = np.diff(words.first)
+        doc = np.repeat(np.arange(len(ids)), sizes + 1)
+        c = np.full(len(doc), count[-1])  # the words of each text and then its end
+        is_word = np.ones(len(doc), bool)
+        is_word[np.cumsum(sizes + 1) - 1] = False
+        c[is_word] = count[:-1]
         docs = len(ids)
-        logs = np.bincount(words.doc, weights=np.log10(count + 1.0), minlength=docs)
-        known = np.bincount(words.doc[count > 0], minlength=docs)
-        sub = subwords(tokenizer)
-        values = kept[""].texts([sub.text(raw) for raw in _raw(texts)], sub.end)
+        base = np.bincount(doc, weights=np.log10((c + 1) / (tokens + kinds + 1)), minlength=docs)
+        value = np.zeros(docs)
+        starts = np.cumsum(np.append(0, sizes + 1))
+        raw, d = _raw(texts), 0
+        while d < docs:  # some texts at a time
+            e, room = d, 0
+            while e < docs and (e == d or room + len(raw[e]) < 1 << 20):
+                room, e = room + len(raw[e]), e + 1
+            spelled = [sub.text(x) for x in raw[d:e]]
+            offset = np.cumsum([0, *(len(x) for x, _ in spelled)])
+            first = np.concatenate([f + o for (_, f), o in zip(spelled, offset)])
+            logs = kept[""].texts([x for x, _ in spelled], sub.end).astype(np.float64)
+            logs = np.add.reduceat(logs, first)
+            own = c[starts[d] : starts[e]]
+            share = WEIGHT if tokens else 0.0
+            left = 1 - share * (1 - DISCOUNT * kinds / max(tokens, 1))
+            with np.errstate(divide="ignore"):
+                counted = np.log(share * np.maximum(own - DISCOUNT, 0) / max(tokens, 1))
+            mixed = np.logaddexp(counted, np.log(left) + logs) / np.log(10)
+            value[d:e] = np.bincount(doc[starts[d] : starts[e]] - d, weights=mixed, minlength=e - d)
+            d = e
         return pa.table(
             {
                 "doc_id": table.column("doc_id"),
                 "held_out": pa.array(held_out(ids, modulus, remainder)),
-                "n_words": pa.array(np.diff(words.first)),
-                "known_words": pa.array(known, pa.int64()),
-                "word_logs": pa.array(logs),
-                "score": pa.array(values),
+                "n_tokens": pa.array(sizes + 1),
+                "n_known": pa.array(np.bincount(doc[c > 0], minlength=docs), pa.int64()),
+                "train_tokens": pa.array([tokens] * docs, pa.int64()),
+                "base_score": pa.array(base),
+                "score": pa.array(value),
             }
         )
 
@@ -208,6 +243,7 @@ def score_texts(
     modulus: int = 7,
     remainder: int = 2,
     rounds: int = 3,
+    each: int = 2,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -216,33 +252,23 @@ def score_texts(
     end.  base_score: the sum of log10((c + 1) / (N + V + 1)), c the count of
     the word in training texts, N all and V distinct training tokens; n_known
     counts tokens with c > 0.  score: the model's log10 probability of the
-    words, spelled in subwords of ``tokenizer`` (a byte-level BPE file without
-    end-of-word mark), and the end.  A null text is empty and has only its end;
+    text.  Each token's probability mixes its discounted share of the training
+    tokens with the attention model's probability of its spelling in subwords
+    of ``tokenizer`` (a byte-level BPE file without end-of-word mark).  A null text is empty and has only its end;
     a null id hashes as the empty text.  Ids may repeat; every row comes back.
     Without training rows N and V are 0.  Other columns are ignored.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
-    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds))
+    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds, each))
 
     size = text_bytes(docs, text_col)
     buckets = parts_for(spark, size // 3, BUCKET_BYTES)
     by_block = dealt(source, parts_for(spark, size, BLOCK_BYTES), ["doc_id"]).groupBy("block")
     asked = by_block.applyInArrow(_asked(buckets, modulus, remainder), "bucket int, block int, hashes binary, counts binary")
     told = asked.groupBy("bucket").applyInArrow(_told, "block int, bucket int, answer binary, tokens long, kinds long")
-    ends = source.where(~out).agg(F.count("*").alias("ends"))
-    totals = told.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds"))
-    # two rows of one number or two, for every row of the result
-    totals = totals.crossJoin(ends).select((F.col("tokens") + F.col("ends")).alias("train_tokens"), "kinds", "ends")
-    scored = by_block.cogroup(told.select("block", "bucket", "answer").groupBy("block")).applyInArrow(
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(
         _scored(tokenizer, model, buckets, modulus, remainder),
-        "doc_id long, held_out boolean, n_words long, known_words long, word_logs double, score double",
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
-    seen = F.when(F.col("ends") > 0, 1).otherwise(0)
-    tokens = F.col("n_words") + 1
-    base = F.col("word_logs") + F.log10(F.col("ends") + 1) - tokens * F.log10(F.col("train_tokens") + F.col("kinds") + seen + 1)
-    return scored.join(F.broadcast(totals)).select(
-        "doc_id", "held_out", tokens.alias("n_tokens"), (F.col("known_words") + seen).alias("n_known"), "train_tokens",
-        base.alias("base_score"), "score",
-    )
