@@ -71,10 +71,11 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> np.ndarray:
     return flat
 
 
-def _attend(q: np.ndarray, k: np.ndarray, far: np.ndarray) -> np.ndarray:
+def _attend(q: np.ndarray, k: np.ndarray, far: np.ndarray, shift: bool = True) -> np.ndarray:
     a = np.matmul(q, k.transpose(0, 2, 1))
     a += far
-    a -= a.max(2, keepdims=True)
+    if shift:
+        a -= a.max(2, keepdims=True)
     np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
     return a
@@ -151,12 +152,12 @@ class Trainer:
         return delta, (delta != 0).astype(np.float32)
 
 
-def _log_softmax(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
+def _log_softmax(logits: np.ndarray, target: np.ndarray, shift: bool) -> np.ndarray:
+    if shift:
+        logits -= logits.max(1, keepdims=True)
     hit = logits[np.arange(len(target)), target]
-    most = logits.max(1)
-    logits -= most[:, None]
     np.exp(logits, out=logits)
-    return hit - most - np.log(logits.sum(1))
+    return hit - np.log(logits.sum(1))
 
 
 class Scorer:
@@ -173,24 +174,30 @@ class Scorer:
 
     def windows(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Log probability of the STEP ids ``y`` that end each window, given the ids ``x`` of the window."""
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            out = self._windows(x, y, False)
+        return out if np.isfinite(out).all() else self._windows(x, y, True)
+
+    def _windows(self, x: np.ndarray, y: np.ndarray, shift: bool) -> np.ndarray:
+        """``shift``: guard the exponentials against overflow, which costs a third more and is hardly ever needed."""
         t, p, voc = self.table[self.voc.row[x]], self.p, self.voc
         e, q, k, v = (t[:, :, i * DIM : (i + 1) * DIM] for i in range(4))
-        a = _attend(q[:, LEAD:], k, self.far)
+        a = _attend(q[:, LEAD:], k, self.far, shift)
         z = (e[:, LEAD:] + np.matmul(a, v)).reshape(-1, DIM)
         target = y.reshape(-1)
         group, place = voc.group[target], voc.place[target]
-        out = _log_softmax(z @ p["top"] + p["top_bias"], group)
+        out = _log_softmax(z @ p["top"] + p["top_bias"], group, shift)
         order = np.argsort(group, kind="stable")
         ends = np.searchsorted(group[order], np.arange(GROUPS + 2))
         for g in range(GROUPS):
             own = order[ends[g] : ends[g + 1]]
             if len(own):
-                out[own] += _log_softmax(z[own] @ p["out"][g] + p["out_bias"][g], place[own])
+                out[own] += _log_softmax(z[own] @ p["out"][g] + p["out_bias"][g], place[own], shift)
         rare = order[ends[GROUPS] :]
         out[rare] += voc.inner[target[rare]]
         return out.reshape(y.shape)
 
-    def texts(self, ids: list[np.ndarray], edge: int, batch: int = 1024) -> np.ndarray:
+    def texts(self, ids: list[np.ndarray], edge: int, batch: int = 256) -> np.ndarray:
         """Natural log probability of every id of the sequences, one after the other.
 
         Every id is scored once, in a window with LEAD ids or more before it;

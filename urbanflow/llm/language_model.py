@@ -104,10 +104,10 @@ def _trained(tokenizer: str, model, turn: int, each: int):
             for i, raw in zip(batch.column(0).to_pylist(), _raw(batch.column(1))):
                 rng = np.random.default_rng([turn, 0 if i is None else i % 2**63, len(raw)])
                 for at in rng.integers(0, max(1, len(raw) - STRETCH // 2), each):
-                    # the first and last word of a stretch may be cut; the first is left out where it isn't the text's
-                    ids, first = sub.text(raw[at : at + STRETCH])
-                    ids = ids[first[1] if at and len(first) > 1 else 0 :]
-                    ids = ids[:-1] if at + STRETCH < len(raw) else ids
+                    cut = at + STRETCH < len(raw)
+                    words = raw[at : at + STRETCH].split()  # the first and the last may be cut
+                    ids = sub.text(b" ".join(words[bool(at) : len(words) - cut]))[0]
+                    ids = ids[:-1] if cut else ids
                     window = ids[: SPAN + 1] if at else np.concatenate((np.full(1, sub.end, np.uint16), ids[:SPAN]))
                     waiting.append(np.concatenate((np.full(SPAN + 1 - len(window), sub.end, np.uint16), window)))
                 while len(waiting) >= BATCH:
@@ -243,7 +243,7 @@ def score_texts(
     modulus: int = 7,
     remainder: int = 2,
     rounds: int = 3,
-    each: int = 2,
+    each: int = 1,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
