@@ -1,0 +1,35 @@
+"""The pipeline's stages, and their rows at the smallest size."""
+
+import os
+
+import pytest
+
+import corpus_pipeline
+from urbanflow.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_dedup", "substring_dedup", "packing"]
+    assert {int(q.split("_")[0][2:]) for q in QUERIES} == set(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_stages_on_odd_rows(spark, docs, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = docs.selectExpr("doc_id", "text", "'en' as lang", "'s' as source", "cast(length(text) as long) as n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r.doc_id for r in rows.select("doc_id").collect()}
+        rows = stage(spark, rows, str(tmp_path)).cache()
+        assert rows.columns == list(corpus_pipeline.COLUMNS)
+        assert {r.doc_id for r in rows.select("doc_id").collect()} <= before
+        assert rows.where("n_chars <> length(text)").count() == 0
+        assert corpus_pipeline.packing(spark, rows.limit(0), str(tmp_path)).collect() == []
+    kept = {r.doc_id for r in rows.collect()}
+    assert {0, None} <= kept and not {200, 201, 202, 203, 207, 208} & kept
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_run(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert rows and len({r.doc_id for r in rows}) <= spark.read.parquet(f"{SF}/documents.parquet").count()

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .blocks import SLICED, sliced, summed
 from .words import SEPARATOR, Words, slices, windows
@@ -170,8 +171,9 @@ def quality(
             arrays = [part.column(0), part.column(2), *(pa.array(x, pa.int64()) for x in base.values()), pa.array(value, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "carried", *base, "value"])
 
-    kind = source.schema["carried"].dataType.simpleString()
-    counted = f"doc_id long, carried {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, value long"
+    counted = StructType([source.schema["doc_id"], source.schema["carried"]])
+    for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "value"):
+        counted = counted.add(name, "long")
     failed = F.expr(f"n_words < {least_words} or 100 * n_repeat_words > {repeat_percent} * n_words")
     scored = source.mapInArrow(score, counted).withColumn("base_failed", failed)
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .blocks import BLOCK_BYTES, answers, cuts, dealt, text_of
 from .staging import parts_for, text_bytes
@@ -200,9 +201,8 @@ def remove_repeats(
     )
     first = found.groupBy("bucket").applyInArrow(_earliest, answer)
     told = shared.withColumn("step", F.lit(1)).union(first.withColumn("step", F.lit(2)))
-    kind = source.schema["carried"].dataType.simpleString()
-    out = by_block.cogroup(told.groupBy("block")).applyInArrow(
-        _removed(length, period, anchor_buckets, window_buckets, ["doc_id", "carried"]),
-        f"doc_id long, carried {kind}, n_words long, n_removed long, text string",
+    kind = StructType([source.schema["doc_id"], source.schema["carried"]])
+    kind = kind.add("n_words", "long").add("n_removed", "long").add("text", "string")
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(
+        _removed(length, period, anchor_buckets, window_buckets, ["doc_id", "carried"]), kind
     )
-    return out
