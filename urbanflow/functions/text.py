@@ -20,7 +20,10 @@ def unquote(c: Column | str) -> Column:
 
 
 def mentions(c: Column | str, words: Iterable[str]) -> Column:
-    """True where the text holds one of the words, in any case; NULL text holds none."""
+    """True where the text holds one of the words, in any case; NULL text holds none, and without words none does."""
+    words = list(words)
+    if not words:
+        return F.lit(False)
     pattern = "(?i)" + "|".join(re.escape(w) for w in words)
     return F.coalesce(_col(c), F.lit("")).rlike(pattern)
 

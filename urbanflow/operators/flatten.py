@@ -12,9 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_KEYS = 10_000
-
-
 def object_keys(df: DataFrame, col: str) -> DataFrame:
     """Distinct top-level keys, one per row; repeats are removed in the map tasks."""
     return df.select(F.explode(F.json_object_keys(_as_text(df, col))).alias("key")).distinct()
@@ -60,10 +57,8 @@ def flatten_object(
     Each object is parsed once for all keys.
     """
     if keys is None:
-        named = discover_keys(df, col, prefix, where).orderBy("key_norm", "rn").limit(MAX_KEYS + 1)
+        named = discover_keys(df, col, prefix, where).orderBy("key_norm", "rn")
         keys = [(r["key"], r["column_name"]) for r in named.select("key", "column_name").collect()]
-        if len(keys) > MAX_KEYS:
-            raise ValueError(f"more than {MAX_KEYS} keys: this is not a table in disguise")
     names = [n for _, n in keys]
     rest = [c for c in df.columns if c != col]
     clash = {n for n in names if names.count(n) > 1 or n in rest}

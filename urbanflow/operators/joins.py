@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import label
@@ -23,8 +23,11 @@ def zone_to_borough(lookup: DataFrame) -> DataFrame:
 
 
 def attach_borough(facts: DataFrame, lookup: DataFrame, zone: str = "PULocationID") -> DataFrame:
-    """Add the borough of each zone; rows of zones without a borough are dropped."""
-    zones = zone_to_borough(lookup)
+    """Add the borough of each zone; rows of zones without a borough are dropped.
+
+    A zone that the lookup lists twice would double its trips and fails the job.
+    """
+    zones = one_row_per_key(zone_to_borough(lookup), ["LocationID"])
     return facts.join(zones, facts[zone] == zones["LocationID"], "inner").drop("LocationID")
 
 
@@ -36,6 +39,7 @@ def attach_zone_names(facts: DataFrame, lookup: DataFrame, zone: str = "PULocati
         F.col("Zone").alias("zone"),
         F.col("service_zone"),
     ).filter(F.col("locationid").isNotNull())
+    names = one_row_per_key(names, ["locationid"])
     # The key keeps a private name until the join is done: zone and locationid
     # may differ only in case.
     left = facts.withColumnRenamed(zone, "_zone_key")
@@ -47,16 +51,16 @@ def attach_zone_names(facts: DataFrame, lookup: DataFrame, zone: str = "PULocati
 def one_row_per_key(df: DataFrame, keys: Sequence[str], duplicates: str = "error") -> DataFrame:
     """Guard a join side against fan-out.
 
-    ``keep`` changes nothing, ``error`` fails the job on a repeated key.  The
-    check is an aggregate inside the plan, so it costs no extra pass.
+    ``keep`` changes nothing, ``error`` fails the job on a repeated key.  Rows
+    with a NULL key match nothing and are dropped.  The check is a window over
+    the key inside the plan: it needs the partitioning the join needs anyway.
     """
     if duplicates == "keep":
         return df
     if duplicates != "error":
         raise ValueError(f"unknown choice: {duplicates}")
-    rest = [c for c in df.columns if c not in keys]
-    rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
-    checked = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"repeated key in {list(keys)}"))).otherwise(
-        F.col(keys[0])
-    )
-    return rows.select(checked.alias(keys[0]), *keys[1:], "_row.*").select(*df.columns)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    failure = F.raise_error(F.lit(f"repeated key in {list(keys)}")).cast(df.schema[keys[0]].dataType)
+    checked = F.when(F.col("_n") > 1, failure).otherwise(F.col(keys[0]))
+    rows = df.dropna(subset=list(keys)).withColumn("_n", n).withColumn(keys[0], checked)
+    return rows.select(*df.columns)

@@ -28,10 +28,12 @@ def densify(df: DataFrame, day: str, keys: Sequence[str] = (), zero: Sequence[st
 
     Added rows have NULL values, or 0 in the ``zero`` columns.  Each row emits
     itself and the gap up to its successor, so no calendar has to be joined.
+    Rows that repeat a day stay as they are.
     """
     values = [c for c in df.columns if c not in (day, *keys)]
     nxt = F.coalesce(F.lead(day).over(over(keys, day)), F.date_add(day, 1))
-    spread = df.withColumn("_days", F.sequence(F.col(day), F.date_sub(nxt, 1)))
+    until = F.greatest(F.col(day), F.date_sub(nxt, 1))  # a repeated day has no gap behind it
+    spread = df.withColumn("_days", F.sequence(F.col(day), until))
     filled = spread.select(*keys, F.col(day).alias("_stored"), *values, F.explode("_days").alias(day))
     is_real = F.col(day) == F.col("_stored")
     out = []

@@ -36,9 +36,13 @@ def backfill(
     measures: Iterable[Measure] = TRIP_MEASURES,
     batch: int | None = None,
     template: str = MONTH_FILE,
+    ignore_corrupt: bool = False,
 ) -> dict[str, str]:
     """(Re)write the hour x zone fact of the given months; returns the skipped ones.
 
+    A damaged file fails the job.  With ``ignore_corrupt`` what can be read of
+    it is written, and its month is returned with the rows it lacks.
+
     All months run as one job, or ``batch`` months per job, whose results then
     stay if a later job fails.  Each month replaces its own folder, so a rerun,
     whole or partial, leaves no duplicates and touches no other month.
@@ -47,7 +51,9 @@ def backfill(
     size = batch or len(months)
     for first in range(0, len(months), size):
         try:
-            trips, lost = read_months(spark, root, months[first : first + size], template=template)
+            trips, lost = read_months(
+                spark, root, months[first : first + size], template=template, ignore_corrupt=ignore_corrupt
+            )
         except NoMonths as e:
             skipped |= e.skipped
             continue
@@ -64,12 +70,13 @@ def backfill_named(
     out: str,
     measures: Iterable[Measure] = NAMED_TRIP_MEASURES,
     template: str = MONTH_FILE,
+    ignore_corrupt: bool = False,
 ) -> dict[str, str]:
     """Rewrite the hour x zone fact with zone names, of all trips with time and zone.
 
     The dropoff is not needed, so files without it are read as well.
     """
     required = [PICKUP, ZONE, *[m.source for m in measures]]
-    trips, skipped = read_months(spark, root, months, required=required, template=template)
+    trips, skipped = read_months(spark, root, months, required=required, template=template, ignore_corrupt=ignore_corrupt)
     write_table(named_zone_facts(months_in_scope(trips), lookup, measures=measures), out)
     return skipped

@@ -30,11 +30,16 @@ def normalise_complaints(c311: DataFrame) -> DataFrame:
     """Complaint facts with their total under the master's name.
 
     Raw complaints (those with a ``unique_key``) are aggregated first, by
-    upper-cased keywords.
+    upper-cased keywords.  Aggregated ones are added up again, as labels that
+    differ in case or spaces only are one borough.
     """
     c311 = apply_if_present(c311, "borough", label)
     if "unique_key" not in c311.columns:
-        return rename_first(c311, COMPLAINT_TOTAL_NAMES, "complaints_311")
+        c311 = rename_first(c311, COMPLAINT_TOTAL_NAMES, "complaints_311")
+        keys = [c for c in ("hour_ts", "borough") if c in c311.columns]
+        counts = [c for c in c311.columns if c in COMPLAINT_COLUMNS]
+        same = [F.first(c, ignorenulls=True).alias(c) for c in c311.columns if c not in (*keys, *counts)]
+        return c311.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts], *same).select(*c311.columns)
     if "hour_ts" not in c311.columns:
         c311 = rename_first(c311, ("created_ts", "created_date"), "created_ts")
         c311 = c311.withColumn("hour_ts", bucket("created_ts"))

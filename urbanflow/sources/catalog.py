@@ -9,9 +9,11 @@ from pyspark.sql import types as T
 def register_external(
     spark: SparkSession, name: str, path: str, merge_schema: bool = False, partitioned: bool = False
 ) -> DataFrame:
-    """Table over files that stay where they are; the schema is that of the files."""
+    """Table over files that stay where they are, in place of an earlier one; the schema is that of the files."""
     merge = "true" if merge_schema else "false"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet OPTIONS (mergeSchema '{merge}') LOCATION '{path}'")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # an external table: its files stay
+    spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS (mergeSchema '{merge}') LOCATION '{location}'")
     refresh(spark, name, partitioned)
     return spark.table(name)
 

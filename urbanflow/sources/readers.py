@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Iterable, Sequence
+from urllib.parse import quote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +54,7 @@ def read_months(
     schema: T.StructType | None = None,
     required: Sequence[str] | None = None,
     on_error: str = "skip",
-    ignore_corrupt: bool = True,
+    ignore_corrupt: bool = False,
     template: str = MONTH_FILE,
     tag: str = "ym",
 ) -> tuple[DataFrame, dict[str, str]]:
@@ -62,13 +64,16 @@ def read_months(
     schema in their footers: one scan per distinct schema, conformed and
     unioned, rather than one scan per file.  A month whose file cannot be read
     or lacks a ``required`` column is skipped with its reason, or raises with
-    ``on_error="raise"``.  The tag comes from the file name, as the rows may
-    lie outside the month their file is named after.
+    ``on_error="raise"``.  The tag is that of the month's path, a file or a
+    folder, as the rows may lie outside the month their file is named after.
+
+    A damaged file fails the job.  ``ignore_corrupt`` reads on past it; the
+    rows each month then lacks are counted and returned among the reasons.
     """
     schema = schema or TRIP
     required = list(required if required is not None else schema.fieldNames())
     skipped: dict[str, str] = {}
-    by_schema: dict[str, tuple[T.StructType, dict[str, str]]] = {}
+    by_schema: dict[str, tuple[T.StructType, dict[str, tuple[str, str]]]] = {}
     for year, month in months:
         ym, path = f"{year:04d}-{month:02d}", month_path(root, year, month, template)
         try:
@@ -82,7 +87,7 @@ def read_months(
             skipped[ym] = _reason(e)
             log.warning("month %s skipped: %s", ym, skipped[ym])
             continue
-        by_schema.setdefault(stored.schema.json(), (stored.schema, {}))[1][path] = ym
+        by_schema.setdefault(stored.schema.json(), (stored.schema, {}))[1][path] = (ym, _location(stored, path))
     if not by_schema:
         raise NoMonths(skipped)
 
@@ -91,11 +96,9 @@ def read_months(
     for stored_schema, paths in by_schema.values():
         reader = spark.read.schema(stored_schema).option("ignoreCorruptFiles", str(ignore_corrupt).lower())
         scan = reader.parquet(*paths)
-        if len(paths) == 1:
-            ym = F.lit(next(iter(paths.values())))
-        else:
-            ym = F.regexp_extract(F.col("_metadata.file_name"), r"([0-9]{4}-[0-9]{2})", 1)
-        tagged = scan.withColumn(tag, ym)
+        if ignore_corrupt:
+            skipped |= _short_months(spark, scan, stored_schema, paths)
+        tagged = scan.withColumn(tag, _month_of_path(paths.values()))
         wanted = T.StructType([*schema.fields, T.StructField(tag, T.StringType())])
         parts.append(conform(tagged, wanted, optional))
     out = parts[0]
@@ -104,6 +107,46 @@ def read_months(
     return out, skipped
 
 
+def _location(stored: DataFrame, path: str) -> str:
+    """Where Spark finds a path: its full address, up to the path's end."""
+    plain = quote(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", path).rstrip("/"), safe="/=:@!$&'()*+,;~")
+    for file in stored.inputFiles():
+        at = file.rfind(plain)
+        if at >= 0 and file[at + len(plain) : at + len(plain) + 1] in ("", "/"):
+            return file[: at + len(plain)]
+    return plain
+
+
+def _month_of_path(months: Iterable[tuple[str, str]]) -> Column:
+    """The month whose path a row's file is, or is below; a file of no month fails the job."""
+    months = list(months)
+    if len(months) == 1:
+        return F.lit(months[0][0])
+    file = F.col("_metadata.file_path")
+    out = None
+    for ym, location in months:
+        # a row's file address writes an empty authority as one slash or as three
+        hit = F.lit(False)
+        for address in {location, location.replace(":///", ":/", 1)}:
+            hit = hit | (file == address) | F.startswith(file, F.lit(address + "/"))
+        out = F.when(hit, ym) if out is None else out.when(hit, ym)
+    return out.otherwise(F.raise_error(F.concat(F.lit("file of no month: "), file)).cast("string"))
+
+
+def _short_months(
+    spark: SparkSession, scan: DataFrame, schema: T.StructType, paths: dict[str, tuple[str, str]]
+) -> dict[str, str]:
+    """Months of which fewer rows can be read than the files' footers state; reads all columns once."""
+    month = _month_of_path(paths.values())
+    stated = spark.read.schema(schema).parquet(*paths).groupBy(month.alias("ym")).count()
+    # the checksum has every column read; a bare count would ask the footers again
+    check = F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in schema.fieldNames()])).alias("check")
+    read = scan.select("*", month.alias("_ym")).groupBy("_ym").agg(F.count(F.lit(1)).alias("read"), check)
+    both = stated.join(read, stated["ym"] == read["_ym"], "left")
+    lost = both.where("coalesce(read, 0) < count").collect()  # at most one row for each month
+    return {r["ym"]: f"only {r['read'] or 0} of {r['count']} rows could be read" for r in lost}
+
+
 def _reason(e: Exception) -> str:
     if isinstance(e, Py4JJavaError):
         cause = e.java_exception
@@ -113,15 +156,38 @@ def _reason(e: Exception) -> str:
     return str(e).splitlines()[0]
 
 
-def read_csv(spark: SparkSession, glob: str, schema: T.StructType = COMPLAINT) -> DataFrame:
-    """CSV files with a header line; a field that does not parse is NULL."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", False)
-        .csv(glob)
-    )
+def read_csv(spark: SparkSession, glob: str, schema: T.StructType = COMPLAINT, multiline: bool = False) -> DataFrame:
+    """CSV files with a header line, whose columns are found by name in any order.
+
+    A quote inside a quoted field is doubled.  ``multiline`` allows line breaks
+    in quoted fields; a file can then not be split among tasks.  A field that
+    does not parse is NULL, see ``malformed_fields``; a column the header lacks
+    is NULL.  All files of the glob have the columns of the first in its order.
+    """
+    text = _csv_text(spark, glob, multiline)
+    stored = {c.lower(): c for c in text.columns}
+    return text.select(*[_parsed(stored, f).alias(f.name) for f in schema])
+
+
+def malformed_fields(spark: SparkSession, glob: str, schema: T.StructType = COMPLAINT, multiline: bool = False) -> DataFrame:
+    """One row: how many fields of each column hold text that does not parse."""
+    text = _csv_text(spark, glob, multiline)
+    stored = {c.lower(): c for c in text.columns}
+    lost = [F.count_if(F.col(f"`{stored[f.name.lower()]}`").isNotNull() & _parsed(stored, f).isNull()).alias(f.name)
+            for f in schema if f.name.lower() in stored]
+    return text.agg(*lost)
+
+
+def _csv_text(spark: SparkSession, glob: str, multiline: bool) -> DataFrame:
+    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+    return reader.option("quote", '"').option("escape", '"').option("multiLine", multiline).csv(glob)
+
+
+def _parsed(stored: dict[str, str], field: T.StructField) -> Column:
+    name = stored.get(field.name.lower())
+    if name is None:
+        return F.lit(None).cast(field.dataType)
+    return F.col(f"`{name}`").try_cast(field.dataType)
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.quality import dedup_by_key
 from ..operators.series import resample_daily
 from ..schemas import TRIP, TRIP_MEASURES, WEATHER, Bound, Measure
 
-MONEY = T.DecimalType(8, 2)
+MONEY = T.DecimalType(18, 2)
 
 TRIP_EVENTS = ("view", "click", "purchase")
 COMPLAINT_EVENTS = ("error", "signup")
@@ -123,8 +123,7 @@ zone_hours AS (
          {mean_sql('total')} AS avg_total_amount,
          {mean_sql('tip')} AS avg_tip_amount
   FROM trips
-  WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
-    AND secs > 0 AND secs <= 14400 AND distance BETWEEN 0 AND 200
+  WHERE secs > 0 AND secs <= 14400 AND distance BETWEEN 0 AND 200
     AND fare BETWEEN 0 AND 1000 AND total BETWEEN 0 AND 2000
   GROUP BY 1, 2)"""
 
@@ -193,10 +192,12 @@ complaint_hours AS (
   FROM complaints WHERE borough IS NOT NULL AND trim(borough) <> '' GROUP BY 1, 2)"""
 
 
-def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw hourly weather: the first event of each hour."""
-    events = table(spark, sf, "events").withColumn("_hour", F.date_trunc("hour", "ts"))
-    first = _with_k(dedup_by_key(events, ["_hour"], "event_id"))
+def weather_rows(spark: SparkSession, sf: str, hourly: bool = False) -> DataFrame:
+    """Raw weather: an observation for every event, or for the first of each hour."""
+    events = table(spark, sf, "events")
+    if hourly:
+        events = dedup_by_key(events.withColumn("_hour", F.date_trunc("hour", "ts")), ["_hour"], "event_id")
+    first = _with_k(events)
     k, value = F.col("k"), F.col("value")
     nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + 999
     rows = first.select(
@@ -216,7 +217,8 @@ def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
     return conform(rows, WEATHER)
 
 
-WEATHER_SQL = """weather_rows AS (
+# The weather texts are fixed values, see schemas.
+_WEATHER_SQL = """weather_rows AS (
   SELECT epoch_us(ts) * 1000 + 999 AS time_ns, ts, value AS temp, value - k AS dwpt, CAST(k AS DOUBLE) AS rhum,
          CAST(k AS DOUBLE) / 8 AS prcp, CASE WHEN k % 2 = 0 THEN CAST(k AS DOUBLE) END AS snow,
          CAST(k * 3 AS DOUBLE) AS wdir, CAST(user_id % 50 AS DOUBLE) / 2 AS wspd, CASE WHEN k % 5 > 0 THEN value END AS wpgt,
@@ -224,7 +226,7 @@ WEATHER_SQL = """weather_rows AS (
          CASE WHEN k > 0 THEN CAST(event_id % 28 AS DOUBLE) END AS coco
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
                ROW_NUMBER() OVER (PARTITION BY date_trunc('hour', ts) ORDER BY event_id) AS rn
-        FROM events) WHERE rn = 1),
+        FROM events){where}),
 weather AS (
   SELECT time_ns, time_ns // 1000 AS time_us, ts, date_trunc('hour', ts) AS hour_ts,
          temp, dwpt, rhum, prcp, snow, wdir, wspd, wpgt, pres, tsun, coco,
@@ -237,6 +239,8 @@ weather AS (
                    WHEN 18 THEN 'Snowstorm' ELSE 'No snow' END AS snow_text,
          CASE WHEN coco IN (9, 11, 13, 17, 18) OR wpgt > 20 THEN 1 ELSE 0 END AS extreme_weather
   FROM weather_rows)"""
+WEATHER_SQL = _WEATHER_SQL.replace("{where}", "")
+HOURLY_WEATHER_SQL = _WEATHER_SQL.replace("{where}", " WHERE rn = 1")
 
 
 def region_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -250,7 +254,7 @@ def region_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 REGION_ORDERS_SQL = """region_orders AS (
-  SELECT r_name AS borough, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(8,2)) AS price
+  SELECT r_name AS borough, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS price
   FROM orders JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 

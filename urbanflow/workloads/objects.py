@@ -12,7 +12,7 @@ from .registry import query
 
 # Each event as an object with three keys: its type, its type in capitals, and k.
 OBJECTS_SQL = """objects AS (
-  SELECT event_id, '{"' || event_type || '": "' || CAST(CAST(value AS DECIMAL(8,2)) AS VARCHAR) || '", "'
+  SELECT event_id, '{"' || event_type || '": "' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || '", "'
          || upper(event_type) || '": ' || CAST(user_id AS VARCHAR) || ', '
          || substr(props, 2) AS value
   FROM events)"""
@@ -27,7 +27,7 @@ named AS (
 def objects(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     text = F.concat(
-        F.lit('{"'), kind, F.lit('": "'), F.col("value").cast("decimal(8,2)").cast("string"), F.lit('", "'),
+        F.lit('{"'), kind, F.lit('": "'), F.col("value").cast("decimal(18,2)").cast("string"), F.lit('", "'),
         F.upper(kind), F.lit('": '), F.col("user_id").cast("string"), F.lit(", "), F.expr("substr(props, 2)"),
     )
     return table(spark, sf, "events").select("event_id", text.alias("value"))

@@ -23,6 +23,7 @@ from .inputs import (
     DAY_BOUNDS,
     EVENT_TRIPS_SQL,
     EXACT_MEASURES,
+    HOURLY_WEATHER_SQL,
     LOOKUP_SQL,
     MONEY,
     ORDER_MEASURES,
@@ -110,12 +111,13 @@ def zone_day_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _zone_hours(spark: SparkSession, sf: str) -> DataFrame:
-    return zone_facts(event_trips(spark, sf), month=(2024, 1), measures=EXACT_MEASURES)
+    return zone_facts(event_trips(spark, sf), measures=EXACT_MEASURES)
 
 
-@query("q04_zone_hour_facts", f"WITH {ZONE_HOURS_SQL} SELECT * EXCLUDE (zone), zone AS PULocationID, {PARTS_SQL} FROM zone_hours")
+@query("q04_zone_hour_facts", f"WITH {ZONE_HOURS_SQL} SELECT * EXCLUDE (zone), zone AS PULocationID, {PARTS_SQL} FROM zone_hours "
+    "WHERE hour_ts >= TIMESTAMP '2024-01-01' AND hour_ts < TIMESTAMP '2024-02-01'")
 def zone_hour_facts(spark: SparkSession, sf: str) -> DataFrame:
-    return _zone_hours(spark, sf)
+    return zone_facts(event_trips(spark, sf), month=(2024, 1), measures=EXACT_MEASURES)
 
 
 @query(
@@ -288,7 +290,7 @@ def decoded_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- master -----------------------------------------------------------------
 
-MASTER_SQL = f"""{BOROUGH_HOURS_SQL}, {COMPLAINTS_SQL}, {WEATHER_SQL},
+MASTER_SQL = f"""{BOROUGH_HOURS_SQL}, {COMPLAINTS_SQL}, {HOURLY_WEATHER_SQL},
 master AS (
   SELECT b.hour_ts, {PARTS_SQL.replace('(hour_ts)', '(b.hour_ts)')}, b.borough, b.trips, {ROUNDED_MEANS},
          COALESCE(complaints_total, 0) AS complaints_311, COALESCE(complaints_noise, 0) AS complaints_noise,
@@ -308,7 +310,7 @@ master AS (
 def master_table(spark: SparkSession, sf: str) -> DataFrame:
     taxi = borough_facts(_zone_hours(spark, sf), zone_lookup(spark, sf))
     c311 = complaint_facts(event_complaints(spark, sf))
-    weather = weather_for_master(decode_weather(weather_rows(spark, sf)))
+    weather = weather_for_master(decode_weather(weather_rows(spark, sf, hourly=True)))
     return build_master(taxi, c311, weather)
 
 
@@ -334,7 +336,7 @@ QUOTED_SQL = """quoted AS (
               ELSE ' "' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"' END AS hour_ts,
          ' "' || lower(o_orderstatus) || '" ' AS borough,
          CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS trips,
-         CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(8,2)) AS VARCHAR)
+         CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
               END AS avg_fare_amount,
          '"' || o_orderpriority || '"' AS rain_text
   FROM orders)"""
