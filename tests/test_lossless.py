@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from urbanflow.functions.text import mentions
 from urbanflow.operators.joins import attach_borough, attach_zone_names, one_row_per_key
 from urbanflow.operators.series import densify
+from urbanflow.plans.analysis import demand_backtest, demand_forecast, demand_model, feature_correlation
 from urbanflow.plans.backfill import backfill
 from urbanflow.plans.master import build_master
 from urbanflow.sources import catalog
@@ -116,3 +117,22 @@ def test_small_edges(spark):
     day = dt.date(2024, 1, 3)
     df = spark.createDataFrame([(day, 1), (day, 2), (dt.date(2024, 1, 5), 3)], "day date, n int")
     assert sorted(r.day.day for r in densify(df, "day").collect()) == [3, 3, 4, 5]
+
+
+def test_demand_plans_and_a_null_in_the_last_week(spark):
+    rows, state = [], 3.0
+    for i in range(120):
+        state = 0.5 * state + (i * 37 % 11) / 11
+        drivers = [float(i * 13 % 7), float(i * 5 % 9)]
+        rows.append(("b", dt.date(2024, 1, 1) + dt.timedelta(days=i), None if i == 116 else 50 + 5 * state + 3 * (i % 7) + drivers[0], *drivers))
+    series = spark.createDataFrame(rows, "borough string, day date, trips double, x double, z double")
+    ahead = demand_forecast(series, drivers=["x", "z"]).orderBy("step").collect()
+    assert [r.step for r in ahead] == list(range(1, 15)) and all(r.forecast is not None and 30 < r.forecast < 100 for r in ahead)
+    known = series.na.drop()
+    fits, predicted = demand_model(known, drivers=["x", "z"])
+    fit = fits.first()
+    assert len(fit.coef) == 3 + 2 + 3 and fit.r2 > 0.8 and predicted.count() == known.count()
+    metrics, forecasts = demand_backtest(known, drivers=["x", "z"])
+    assert metrics.first().mape < 10 and forecasts.where("predicted is null").count() == 0
+    pairs = {(r.var_x, r.var_y): r.corr for r in feature_correlation(known, ["trips", "x", "absent"]).collect()}
+    assert len(pairs) == 4 and pairs["x", "x"] == pytest.approx(1)

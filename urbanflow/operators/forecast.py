@@ -186,7 +186,10 @@ def forecast_direct(
     ahead.  All steps of all series are fitted in one aggregate.
 
     Drivers beyond the end come from ``future_exog`` (keys, step, drivers);
-    without it the last ``horizon`` observed rows are reused in order.
+    without it the last ``horizon`` observed rows are reused in order.  Where
+    today's demand or the one at the same place is unknown, the last known one
+    of the period, or of up to three periods before, takes its place; a series
+    without those has a NULL forecast.
     """
     rows, ks = _keyed(df, keys, t, y, *exog)
     if future_exog is not None and not keys:
@@ -197,17 +200,19 @@ def forecast_direct(
     span = rows.select(
         *ks,
         F.col(t),
-        F.col(y).cast("double").alias("_now"),
+        F.last(F.col(y).cast("double"), ignorenulls=True).over(w.rowsBetween(1 - period, 0)).alias("_now"),
         F.collect_list(row).over(w.rowsBetween(1, horizon)).alias("_next"),
         F.collect_list(row).over(w.rowsBetween(-(horizon - 1), 0)).alias("_recent"),
-        F.collect_list(F.col(y).cast("double")).over(w.rowsBetween(-period, -1)).alias("_week"),
+        # structs, as a list of values would lose its NULLs and with them the places
+        F.collect_list(F.struct(F.col(y).cast("double").alias("y"))).over(w.rowsBetween(-4 * period, -1)).alias("_weeks"),
         F.row_number().over(over(ks, F.desc(t))).alias("_from_end"),
     )
-    same_place = F.get("_week", (F.col("step") % period).cast("int"))
-    full = F.size("_week") == period
+    back = F.lit(period) - F.col("step") % period
+    same_place = F.coalesce(*[F.try_element_at("_weeks", (-(back + k * period)).cast("int"))["y"] for k in range(4)])
+    full = F.size("_weeks") >= period
     xs = ["_now", "_same", *exog]
 
-    pairs = span.filter(full).select(*ks, "_now", "_week", F.posexplode("_next").alias("_pos", "_row"))
+    pairs = span.filter(full).select(*ks, "_now", "_weeks", F.posexplode("_next").alias("_pos", "_row"))
     pairs = pairs.withColumn("step", F.col("_pos") + 1).select(
         *ks, "step", "_now", same_place.alias("_same"), F.col("_row.y").alias("_target"),
         *[F.col(f"_row.{x}").alias(x) for x in exog],
@@ -216,7 +221,7 @@ def forecast_direct(
 
     last = span.filter((F.col("_from_end") == 1) & full)
     steps = last.select(
-        *ks, F.col(t).alias("origin"), "_now", "_week", F.posexplode("_recent").alias("_pos", "_row")
+        *ks, F.col(t).alias("origin"), "_now", "_weeks", F.posexplode("_recent").alias("_pos", "_row")
     ).withColumn("step", F.col("_pos") + 1)
     base = steps.select(
         *ks, "origin", "step", "_now", same_place.alias("_same"), *[F.col(f"_row.{x}").alias(x) for x in exog]

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from ..functions.text import label, unquote
 from ..functions.times import parse_time, time_from_parts
-from ..operators.forecast import backtest, seasonal_arx
+from ..operators.correlation import corr_matrix
+from ..operators.forecast import backtest, forecast_direct, seasonal_arx
 from ..operators.predicates import drop_nulls
 from ..operators.regression import ols
 from ..operators.series import resample_daily
@@ -67,15 +68,41 @@ def demand_ols(features: DataFrame, drivers: Sequence[str] = OLS_DRIVERS) -> tup
     return ols(features, "trips", drivers)
 
 
+# Lags of demand and of shocks: the day before, the same weekday, and their product term.
+DEMAND_LAGS = (1, 7, 8)
+
+
 def demand_model(
-    features: DataFrame, keys: Sequence[str] = ("borough",), drivers: Sequence[str] = SEASONAL_DRIVERS
+    features: DataFrame,
+    keys: Sequence[str] = ("borough",),
+    drivers: Sequence[str] = SEASONAL_DRIVERS,
+    shock_lags: Sequence[int] = DEMAND_LAGS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Seasonal model of daily trips; see ``seasonal_arx``."""
-    return seasonal_arx(features, "trips", "day", drivers, keys)
+    """Seasonal model of daily trips with lagged demand, drivers and shocks; see ``seasonal_arx``."""
+    return seasonal_arx(features, "trips", "day", drivers, keys, DEMAND_LAGS, shock_lags)
 
 
 def demand_backtest(
-    features: DataFrame, keys: Sequence[str] = ("borough",), drivers: Sequence[str] = SEASONAL_DRIVERS
+    features: DataFrame,
+    keys: Sequence[str] = ("borough",),
+    drivers: Sequence[str] = SEASONAL_DRIVERS,
+    shock_lags: Sequence[int] = DEMAND_LAGS,
 ) -> tuple[DataFrame, DataFrame]:
     """Hold-out test of the seasonal model on the last 30 % of days; see ``backtest``."""
-    return backtest(features, "trips", "day", drivers, keys)
+    return backtest(features, "trips", "day", drivers, keys, lags=DEMAND_LAGS, shock_lags=shock_lags)
+
+
+def demand_forecast(
+    features: DataFrame,
+    keys: Sequence[str] = ("borough",),
+    drivers: Sequence[str] = SEASONAL_DRIVERS,
+    days: int = 14,
+    future: DataFrame | None = None,
+) -> DataFrame:
+    """Daily trips of the next ``days``; drivers of the last ``days`` are reused without ``future``."""
+    return forecast_direct(features, "trips", "day", drivers, keys, days, future_exog=future)
+
+
+def feature_correlation(features: DataFrame, columns: Iterable[str] = tuple(DAILY_FEATURES)) -> DataFrame:
+    """Pairwise correlation of the daily features; see ``corr_matrix``."""
+    return corr_matrix(features, [c for c in columns if c in features.columns])

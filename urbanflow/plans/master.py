@@ -20,7 +20,7 @@ from ..operators.project import (
     rename_first,
 )
 from ..operators.rollup import classify_counts
-from ..schemas import BOROUGH_VIEW, COMPLAINT_CLASSES, COMPLAINT_TOTAL_NAMES, MASTER, UNKNOWN_BOROUGHS
+from ..schemas import BOROUGH_VIEW, COMPLAINT_CLASSES, COMPLAINT_TOTAL_NAMES, MASTER, UNKNOWN_BOROUGHS, ZONE_FINAL
 
 WEATHER_COLUMNS = tuple(MASTER.fieldNames()[MASTER.fieldNames().index("temp_avg") :])
 COMPLAINT_COLUMNS = ("complaints_311", *[f"complaints_{c}" for c in COMPLAINT_CLASSES])
@@ -76,6 +76,11 @@ def borough_view(final: DataFrame) -> DataFrame:
     return presentation_view(final, BOROUGH_VIEW)
 
 
+def zone_view(named: DataFrame) -> DataFrame:
+    """Typed view of the zone-level table; values that do not convert are NULL."""
+    return presentation_view(named, ZONE_FINAL)
+
+
 def flattened_borough_view(flat: DataFrame, prefix: str = "v_") -> DataFrame:
     """Columns of a flattened object table under their plain names, untyped.
 

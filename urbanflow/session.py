@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,20 +32,27 @@ def build_session(app: str = "urbanflow", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share.
+
+    A cluster must name it.  Only a session on one machine gets a folder of
+    its own where the setting is missing.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="urbanflow-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a table that a plan reads several times, so that it is computed once.
 
-    The copy goes to the shared folder the cluster names in
-    spark.checkpoint.dir, where it survives lost executors.  A local session
-    without that setting uses a folder of its own; a cluster without it skips
-    the copy, which changes cost but no result.
+    The copy goes to the shared folder, where it survives lost executors.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="urbanflow-")
-        if folder is None:
-            return df
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

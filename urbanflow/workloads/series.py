@@ -10,7 +10,7 @@ from ..operators.forecast import backtest, forecast_direct, seasonal_arx, season
 from ..operators.predicates import drop_nulls
 from ..operators.regression import adf_stat, fit_by_key, ols, simple_ols
 from ..operators.series import decompose_additive, last_n, resample_daily, time_split, with_lags
-from ..plans.analysis import daily_features, demand_ols, prepare_series
+from ..plans.analysis import daily_features, demand_ols, feature_correlation, prepare_series
 from ..schemas import DAILY_FEATURES
 from .inputs import DAILY_SQL, daily_series, table
 from .registry import query, rounded
@@ -88,6 +88,26 @@ _CORR_SQL = "\nUNION ALL\n".join(
 )
 
 
+_FEATURES_SQL = f"""{MASTER_SQL},
+daily AS (
+  SELECT borough, CAST(hour_ts AS DATE) AS day, MAX(extreme_weather) AS extreme_weather,
+         SUM(precip_total) AS precip_total,
+{_MEANS_SQL},
+{_SUMS_SQL}
+  FROM master GROUP BY 1, 2),
+known AS (SELECT * FROM daily WHERE {" AND ".join(f"{c} IS NOT NULL" for c in DAILY_FEATURES)})"""
+_FEATURE_CORR_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS var_x, '{b}' AS var_y, ROUND(corr({a}, {b}), 6) AS corr FROM known"
+    for a in DAILY_FEATURES
+    for b in DAILY_FEATURES
+)
+
+
+@query("q25_feature_correlation", f"WITH {_FEATURES_SQL}\n{_FEATURE_CORR_SQL}")
+def feature_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(feature_correlation(daily_features(prepare_series(master_table(spark, sf)))), 6, "corr")
+
+
 @query("q25_correlation", f"WITH {DAILY_SQL}\n{_CORR_SQL}")
 def correlations(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(corr_matrix(mixed_resample(spark, sf), CORR_COLS, BY), 8, "corr")

@@ -15,7 +15,7 @@ from ..operators.quality import top_n
 from ..operators.rollup import classify_counts, hourly_rollup
 from ..plans.analysis import clean_published
 from ..plans.facts import borough_facts, complaint_facts, named_zone_facts, with_duration, zone_facts
-from ..plans.master import borough_view, build_master, finalise, normalise_complaints
+from ..plans.master import borough_view, build_master, finalise, normalise_complaints, zone_view
 from ..plans.weather import decode_weather, weather_for_master
 from ..schemas import COMPLAINT_TOTAL_NAMES, NAMED_TRIP_MEASURES, NO_RAIN, NO_SNOW, RAIN_TEXT, SNOW_TEXT, TRIP_MEASURES, Measure
 from .inputs import (
@@ -184,6 +184,17 @@ def named_facts(spark: SparkSession, sf: str) -> DataFrame:
     return named_zone_facts(event_trips(spark, sf), zone_lookup(spark, sf), measures=exact)
 
 
+@query(
+    "q07_zone_view",
+    f"""
+WITH {NAMED_SQL}
+SELECT hour_ts, locationid, borough, zone, service_zone, CAST(trips AS INTEGER) AS trips,
+       avg_fare_amount, avg_tip_amount, avg_total_amount, avg_trip_distance FROM named""",
+)
+def published_zones(spark: SparkSession, sf: str) -> DataFrame:
+    return zone_view(named_facts(spark, sf))
+
+
 # --- complaints -------------------------------------------------------------
 
 
