@@ -155,7 +155,8 @@ def quality(
     marks = marks.agg(F.min("quality").cast("int").alias("good"))
 
     trusted = F.coalesce(F.col("good") == 1, F.lit(False)).alias("trusted")
-    marked = source.select("doc_id", "text").join(marks, "doc_id", "left").select("text", trusted)
+    # labels grow with the corpus, so this is a sort-merge join at every size
+    marked = source.select("doc_id", "text").join(marks.hint("merge"), "doc_id", "left").select("text", trusted)
     total = summed(marked.mapInArrow(_counted(n), SLICED), SLICES, 2 * BINS, np.int64)
     total = total.reshape(SLICES, 2, -1).transpose(1, 0, 2).reshape(2, BINS)
     ratios = spark.sparkContext.broadcast(log_ratios(total))
