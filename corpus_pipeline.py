@@ -34,7 +34,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     verdict = near_duplicates(docs).where("kept or doc_id is null").select("doc_id").distinct()
     kept = F.expr("doc_id <=> kept_id")
-    return docs.join(verdict.withColumnRenamed("doc_id", "kept_id"), kept, "left_semi").select(*COLUMNS)
+    # the kept ids grow with the corpus, so this is a sort-merge join at every size
+    return docs.join(verdict.withColumnRenamed("doc_id", "kept_id").hint("merge"), kept, "left_semi").select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
