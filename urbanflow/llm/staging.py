@@ -3,24 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local session without one gets a folder of its own."""
-    folder = spark.conf.get(KEY, None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{KEY} must name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="urbanflow-")
-        spark.conf.set(KEY, folder)
-    return folder.rstrip("/")
+from ..session import shared_folder
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
