@@ -11,8 +11,9 @@ from ..operators.predicates import drop_nulls
 from ..operators.regression import adf_stat, fit_by_key, ols, simple_ols
 from ..operators.series import decompose_additive, last_n, resample_daily, time_split, with_lags
 from ..plans.analysis import daily_features, demand_ols, feature_correlation, prepare_series
-from ..schemas import DAILY_FEATURES
+from ..schemas import DAILY_FEATURES, OLS_DRIVERS
 from .inputs import DAILY_SQL, daily_series, table
+from .least_squares import least_squares_sql, linear_sql
 from .registry import query, rounded
 from .tables import MASTER_SQL, master_table
 
@@ -241,6 +242,23 @@ def ols_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rounded(coefficients.drop("p_value"), 6, "coef", "std_err"), 4, "t")
 
 
+@query(
+    "q28_demand_fit",
+    f"""
+WITH {_FEATURES_SQL},
+pooled AS (SELECT 1 AS one, * FROM known),
+{least_squares_sql("pooled", "trips", OLS_DRIVERS, ("one",), "fit")},
+terms AS (
+  SELECT unnest([{", ".join(f"'{x}'" for x in OLS_DRIVERS)}]) AS term, unnest(coef) AS coef,
+         unnest(list_transform(inverse, lambda v: sqrt(sse / (n - {len(OLS_DRIVERS)} - 1) * v))) AS std_err FROM fit)
+SELECT term, ROUND(coef, 6) AS coef, ROUND(std_err, 6) AS std_err, ROUND(coef / std_err, 4) AS t FROM terms""",
+)
+def demand_fit(spark: SparkSession, sf: str) -> DataFrame:
+    coefficients, _ = demand_ols(daily_features(prepare_series(master_table(spark, sf))))
+    drivers = coefficients.where("term <> 'const'").drop("p_value")
+    return rounded(rounded(drivers, 6, "coef", "std_err"), 4, "t")
+
+
 # --- forecasts --------------------------------------------------------------
 
 
@@ -271,10 +289,32 @@ def direct_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(forecast_direct(daily_series(spark, sf), "trips", "day", keys=BY), 6, "forecast")
 
 
-@query("q30_direct_forecast_with_drivers")
+_DRIVEN_SQL = f"""{DAILY_SQL},
+filled AS (SELECT borough, day, i, n, y, COALESCE(mean_price, 0) AS p1, COALESCE(max_price, 0) AS p2 FROM seq)"""
+_STEP_DRIVERS = ("now", "same", "p1", "p2")
+
+
+@query(
+    "q30_direct_forecast_with_drivers",
+    f"""
+WITH {_DRIVEN_SQL},
+spans AS (
+  SELECT borough, day, i, n, y AS now, list(y) OVER nxt AS ys, list(p1) OVER nxt AS p1s, list(p2) OVER nxt AS p2s,
+         list(y) OVER (PARTITION BY borough ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS week,
+         list(p1) OVER rec AS r1s, list(p2) OVER rec AS r2s
+  FROM filled WINDOW nxt AS (PARTITION BY borough ORDER BY day ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING),
+    rec AS (PARTITION BY borough ORDER BY day ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)),
+steps AS (SELECT *, unnest(range(1, 15)) AS step FROM spans WHERE i > 7),
+pairs AS (
+  SELECT borough, step, now, week[step % 7 + 1] AS same, ys[step] AS target, p1s[step] AS p1, p2s[step] AS p2 FROM steps),
+{least_squares_sql("pairs", "target", _STEP_DRIVERS, ("borough", "step"), "fit")},
+last AS (SELECT borough, day, step, now, week[step % 7 + 1] AS same, r1s[step] AS p1, r2s[step] AS p2 FROM steps WHERE i = n)
+SELECT l.borough, day AS origin, CAST(l.step AS INTEGER) AS step, ROUND({linear_sql("fit", _STEP_DRIVERS)}, 6) AS forecast
+FROM last l JOIN fit ON l.borough = fit.borough AND l.step = fit.step""",
+)
 def direct_forecast_with_drivers(spark: SparkSession, sf: str) -> DataFrame:
     series = daily_series(spark, sf).na.fill(0.0)
-    return forecast_direct(series, "trips", "day", ["mean_price", "max_price"], BY)
+    return rounded(forecast_direct(series, "trips", "day", ["mean_price", "max_price"], BY), 6, "forecast")
 
 
 @query(
@@ -306,14 +346,35 @@ def seasonal_model(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(predicted, 6, "predicted")
 
 
-@query("q32_seasonal_model_full")
+_PAST = [f"d{k}" for k in range(1, 15)]
+_FULL = ("l1", "l7", "l8", "p1", "p2", "s1", "s7", "s8")
+
+
+@query(
+    "q32_seasonal_model_full",
+    f"""
+WITH {_DRIVEN_SQL},
+levels AS (SELECT *, y - AVG(y) OVER (PARTITION BY borough) AS dev FROM filled),
+past AS (
+  SELECT *, {", ".join(f"LAG(dev, {k}) OVER w AS d{k}" for k in range(1, 15))}
+  FROM levels WINDOW w AS (PARTITION BY borough ORDER BY day)),
+{least_squares_sql("past", "dev", _PAST, ("borough",), "ar")},
+shocked AS (
+  SELECT past.*, COALESCE(dev - ({linear_sql("ar", _PAST)}), 0) AS shock FROM past JOIN ar ON past.borough = ar.borough),
+lagged AS (
+  SELECT borough, day, y, p1, p2, {", ".join(f"LAG(y, {k}) OVER w AS l{k}, LAG(shock, {k}) OVER w AS s{k}" for k in (1, 7, 8))}
+  FROM shocked WINDOW w AS (PARTITION BY borough ORDER BY day)),
+{least_squares_sql("lagged", "y", _FULL, ("borough",), "fit")}
+SELECT l.borough, day, y AS trips, ROUND({linear_sql("fit", _FULL)}, 5) AS predicted
+FROM lagged l JOIN fit ON l.borough = fit.borough""",
+)
 def seasonal_model_full(spark: SparkSession, sf: str) -> DataFrame:
     """All terms: lags 1, 7 and 8, lagged shocks, and two drivers."""
     series = daily_series(spark, sf).na.fill(0.0)
     _, predicted = seasonal_arx(
         series, "trips", "day", ["mean_price", "max_price"], BY, shock_lags=(1, 7, 8)
     )
-    return predicted.select("borough", "day", "trips", "predicted")
+    return rounded(predicted.select("borough", "day", "trips", "predicted"), 5, "predicted")
 
 
 _METRICS_SQL = """COUNT(*) AS n, ROUND(AVG(abs(y - p)), 6) AS mae, ROUND(sqrt(AVG((y - p) * (y - p))), 6) AS rmse,
