@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,11 +23,13 @@ from .attention import SIZE, SPAN, Scorer, Trainer, Vocabulary, initial
 from .blocks import BLOCK_BYTES, SLICED, answers, cuts, dealt, sliced, summed, text_of
 from .staging import parts_for, text_bytes
 from .tokens import encoder
-from .words import Words, slices
+from .words import Words
 
 SLICES = 16
 BUCKET_BYTES = 4 << 20
 BATCH = 64
+#: Windows of a round at least.
+LEAST_WINDOWS = 20_000
 #: Bytes of a text that a training window is cut from: enough for its ids.
 STRETCH = 320
 #: Share of a word's discounted count, and the discount, in the mixture with the attention model.
@@ -85,11 +88,28 @@ def _raw(column: pa.Array) -> list[bytes]:
 
 
 def _counted(tokenizer: str, size: int):
+    """Counts of all ids of all texts: words are counted first, and each distinct one is spelled once."""
+
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(tokenizer)
-        total = np.zeros(size, np.int64)
-        for part in slices(batches):
-            total += np.bincount(np.concatenate([sub.text(raw)[0] for raw in _raw(part.column(1))]), minlength=size)
+        total, seen = np.zeros(size, np.int64), Counter()
+
+        def spell() -> None:
+            ids, times = [], []
+            for word, n in seen.items():
+                own = sub.spell(word)
+                ids += own
+                times += [n] * len(own)
+            np.add.at(total, np.array(ids, np.int64), np.array(times, np.int64))
+            seen.clear()
+
+        for batch in batches:
+            total[sub.end] += batch.num_rows
+            for raw in _raw(batch.column(1)):
+                seen.update(raw.lower().split())
+                if len(seen) > sub.ROOM:
+                    spell()
+        spell()
         yield sliced(total, SLICES)
 
     return count
@@ -123,11 +143,16 @@ def _trained(tokenizer: str, model, turn: int, each: int):
 
 
 def fit(docs: DataFrame, tokenizer: str, rounds: int, each: int) -> tuple[np.ndarray, Vocabulary]:
-    """Weights and vocabulary from all of ``docs`` (doc_id, text); every document gives ``each`` windows a round."""
+    """Weights and vocabulary from all of ``docs`` (doc_id, text).
+
+    Every document gives ``each`` windows a round, or as many more as a small
+    corpus needs for LEAST_WINDOWS.
+    """
     sub = Subwords(tokenizer)
     size = -(-sub.size // SLICES) * SLICES
     counts = summed(docs.mapInArrow(_counted(tokenizer, size), SLICED), SLICES, size, np.int64)[: sub.size]
     vocabulary = Vocabulary(counts)
+    each = max(each, -(-LEAST_WINDOWS // max(1, int(counts[sub.end]))))
     flat = initial(vocabulary)
     for turn in range(rounds):
         model = docs.sparkSession.sparkContext.broadcast((flat, vocabulary))
@@ -242,7 +267,7 @@ def score_texts(
     text_col: str = "text",
     modulus: int = 7,
     remainder: int = 2,
-    rounds: int = 3,
+    rounds: int = 2,
     each: int = 1,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
