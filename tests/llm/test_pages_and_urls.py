@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from urbanflow.llm import html_extraction
 from urbanflow.llm.html_extraction import main_text, style_tree
 from urbanflow.llm.url_filters import host_of, path_of, url_filter, validity
 
@@ -37,7 +38,10 @@ def test_main_text(spark):
         assert (r.text, r.n_chars) == (text, len(text))
 
 
-def test_repeated_nodes_of_a_site_go(spark):
+@pytest.mark.parametrize("small", [20_000, 0])
+def test_repeated_nodes_of_a_site_go(spark, monkeypatch, small):
+    monkeypatch.setattr(html_extraction, "SMALL_LIST", small)
+
     def body(i):
         return f"<div class='top'><p>Welcome</p></div><div class='text'><p>Own words {i}</p><p>Again {i * 7}</p></div><div class='end'>Bye</div>"
 
