@@ -120,6 +120,25 @@ def zone_hour_facts(spark: SparkSession, sf: str) -> DataFrame:
     return zone_facts(event_trips(spark, sf), month=(2024, 1), measures=EXACT_MEASURES)
 
 
+@query(
+    "q04_plain_means",
+    f"""
+WITH {EVENT_TRIPS_SQL},
+plain AS (
+  SELECT date_trunc('hour', ts) AS hour_ts, zone AS PULocationID, COUNT(*) AS trips,
+         ROUND(CAST(SUM(secs) AS DOUBLE) / (COUNT(secs) * 60), 6) AS avg_trip_duration_min,
+         ROUND(AVG(fare), 6) AS avg_fare_amount, ROUND(AVG(distance), 6) AS avg_trip_distance,
+         ROUND(AVG(total), 6) AS avg_total_amount, ROUND(AVG(tip), 6) AS avg_tip_amount
+  FROM trips
+  WHERE secs > 0 AND secs <= 14400 AND distance BETWEEN 0 AND 200 AND fare BETWEEN 0 AND 1000 AND total BETWEEN 0 AND 2000
+  GROUP BY 1, 2)
+SELECT *, {PARTS_SQL} FROM plain""",
+)
+def plain_means(spark: SparkSession, sf: str) -> DataFrame:
+    """The facts with the measures as they are shipped, sums of doubles."""
+    return rounded(zone_facts(event_trips(spark, sf)), 6, *MEANS)
+
+
 @query(
     "q05_attach_borough",
     f"""
