@@ -23,8 +23,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and reach the quality threshold; the rest goes."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    out = quality(docs, labels, carry=COLUMNS)
-    return out.where("kept").select("carried.*")
+    out = quality(docs, labels, carry=("lang", "source", "n_chars"), with_text=True)
+    return out.where("kept").select("doc_id", "text", "carried.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

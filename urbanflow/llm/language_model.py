@@ -47,7 +47,7 @@ def held_out(ids: Iterable[int | None], modulus: int, remainder: int) -> np.ndar
 class Subwords:
     """Subword ids of lower-cased words, from a cache of words; a text ends with the id ``end``."""
 
-    ROOM = 300_000
+    ROOM = 150_000
 
     def __init__(self, path: str):
         self.encoder = encoder(path)

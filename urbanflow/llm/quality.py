@@ -129,6 +129,18 @@ def best_threshold(rows: list[tuple[int, int, int]]) -> int:
     return (found[0] + found[1] + 1) // 2
 
 
+def _scores(batches: Iterable[pa.RecordBatch], table: np.ndarray, n: int, with_text: bool) -> Iterator[pa.RecordBatch]:
+    for part in slices(batches):
+        base = base_counts(part.column(1))
+        bins, first = gram_bins(part.column(1), n)
+        total = np.concatenate(([0], np.cumsum(table[bins])))
+        size = np.maximum(np.diff(first), 1)
+        value = (total[first[1:]] - total[first[:-1]]) * STEPS // (size * UNIT)
+        arrays = [part.column(0), part.column(2), *(pa.array(x, pa.int64()) for x in base.values()), pa.array(value, pa.int64())]
+        texts = [part.column(1)] * with_text
+        yield pa.RecordBatch.from_arrays([*arrays, *texts], ["doc_id", "carried", *base, "value", *["text"] * with_text])
+
+
 def quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -138,9 +150,12 @@ def quality(
     least_words: int = 20,
     repeat_percent: int = 30,
     carry: tuple[str, ...] = (),
+    with_text: bool = False,
 ) -> DataFrame:
     """(doc_id, carried, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept).
 
+    ``with_text`` adds the text as it came.
+
     ``labels`` has doc_id and quality (0 or 1); documents with a label 1 and no
     label 0 are the trusted text.  A document is kept if it passes the base
     rules and its score reaches the threshold.  A text without n-grams scores
@@ -161,25 +176,20 @@ def quality(
     total = total.reshape(SLICES, 2, -1).transpose(1, 0, 2).reshape(2, BINS)
     ratios = spark.sparkContext.broadcast(log_ratios(total))
 
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ratios.value
-        for part in slices(batches):
-            base = base_counts(part.column(1))
-            bins, first = gram_bins(part.column(1), n)
-            total = np.concatenate(([0], np.cumsum(table[bins])))
-            size = np.maximum(np.diff(first), 1)
-            value = (total[first[1:]] - total[first[:-1]]) * STEPS // (size * UNIT)
-            arrays = [part.column(0), part.column(2), *(pa.array(x, pa.int64()) for x in base.values()), pa.array(value, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "carried", *base, "value"])
+    def score(with_text: bool):
+        return lambda batches: _scores(batches, ratios.value, n, with_text)
 
     counted = StructType([source.schema["doc_id"], source.schema["carried"]])
     for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "value"):
         counted = counted.add(name, "long")
+    slim = source.mapInArrow(score(False), counted)
+    if with_text:
+        counted = counted.add("text", "string")
     failed = F.expr(f"n_words < {least_words} or 100 * n_repeat_words > {repeat_percent} * n_words")
-    scored = source.mapInArrow(score, counted).withColumn("base_failed", failed)
+    scored = source.mapInArrow(score(with_text), counted).withColumn("base_failed", failed)
 
     # the threshold needs labelled scores only; scoring twice is cheaper than keeping a copy of the texts
-    fair = scored.select("doc_id", "value", "base_failed").where("not base_failed").join(marks, "doc_id").groupBy("value")
+    fair = slim.withColumn("base_failed", failed).select("doc_id", "value", "base_failed").where("not base_failed").join(marks, "doc_id").groupBy("value")
     sums = fair.agg(F.sum("good").alias("g"), F.sum(1 - F.col("good")).alias("b")).collect()
     least = int(best_threshold([(r.value, r.g, r.b) for r in sums]))
     kept = ~F.col("base_failed") & (F.col("value") >= F.lit(least))

@@ -125,7 +125,7 @@ class Model:
 class Codec:
     """A model in a worker, with the ids of the parts it has met and whether both libraries agree on them."""
 
-    ROOM = 250_000
+    ROOM = 120_000
 
     def __init__(self, path: str, threads: int = 2):
         import sentencepiece

@@ -46,7 +46,7 @@ class Encoder:
     """Ids of one tokenizer file; ``suffix`` is its end-of-word mark, if it has one."""
 
     #: Entries of a worker's cache; when it is full it starts anew.
-    ROOM = 300_000
+    ROOM = 150_000
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)

@@ -21,7 +21,7 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
-_SPAN = 1 << 20
+_SPAN = 1 << 19
 _powers: list[np.ndarray] = []
 
 
