@@ -32,6 +32,9 @@ def build_session(app: str = "urbanflow", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_local: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which driver and executors share.
 
@@ -42,8 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="urbanflow-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _local.get(app) or _local.setdefault(app, tempfile.mkdtemp(prefix="urbanflow-"))
     return folder.rstrip("/")
 
 
