@@ -57,6 +57,16 @@ def test_importance(spark):
     assert tree == {"same": 0.0, "own": 0.9, "once": 1.0}
 
 
+def test_articles_of_a_large_host_stay(spark):
+    """20,000 different articles of one host, where few have up to 39 inline tags."""
+    rows = spark.range(20_000).selectExpr(
+        "id as page_id", "concat('http://big.example/', id) as url",
+        "concat('<body><article><p>Own words ', id, repeat(' <b>x</b>', cast(if(id % 1000 < 40, id % 1000, 0) as int)), '</p></article><div>Bye</div></body>') as html",
+    )
+    got = main_text(rows).selectExpr("count(*)", "count_if(text like concat('Own words ', page_id, '%'))").first()
+    assert tuple(got) == (20_000, 20_000)
+
+
 def test_no_pages(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
