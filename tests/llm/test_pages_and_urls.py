@@ -67,6 +67,29 @@ def test_articles_of_a_large_host_stay(spark):
     assert tuple(got) == (20_000, 20_000)
 
 
+@pytest.mark.parametrize("url", ["http://copies.example/", None])
+def test_copies_of_an_article_keep_their_text(spark, url):
+    """30 copies, 30 other articles of the same path, and a note on all pages."""
+
+    def body(i):
+        return f"<nav>{i}</nav><article><p>{'One text' if i < 30 else f'Text {i}'}</p><p class='note'>Note</p></article>"
+
+    rows = [(i, url, page(body(i))) for i in range(60)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "One text" if i < 30 else f"Text {i}" for i in range(60)}
+    alone = main_text(spark.createDataFrame(rows[:30], "page_id long, url string, html string")).collect()
+    assert [r.text for r in alone] == ["One text\nNote"] * 30
+
+
+def test_own_text_at_a_repeated_path_stays(spark):
+    def body(i):
+        return f"<article><h1>{i}</h1><p>{'Out of stock' if i < 300 else f'Own text {i}'}</p></article>"
+
+    rows = [(i, "http://h.example/", page(body(i))) for i in range(303)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(299, 303)] == ["299", *(f"{i}\nOwn text {i}" for i in range(300, 303))]
+
+
 def test_no_pages(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
