@@ -27,12 +27,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return out.where("kept").select("doc_id", "text", "carried.*")
 
 
+#: Similarity of five-word sets from which documents are near duplicates.  A pair at 0.8 shares none of 30 bands of 4
+#: values with a probability of 1.4e-7; ``slack`` is over 5 standard errors of 120 values.
+NEAR = {"k": 5, "percent": 80, "bands": 30, "rows": 4, "slack": 0.19}
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the least doc_id.
+    """One document of each group of near duplicates, at a similarity of 0.8: the one with the least doc_id.
 
     Rows that repeat a doc_id are one document and stay together; rows without an id stay.
     """
-    verdict = near_duplicates(docs).where("kept or doc_id is null").select("doc_id").distinct()
+    verdict = near_duplicates(docs, **NEAR).where("kept or doc_id is null").select("doc_id").distinct()
     kept = F.expr("doc_id <=> kept_id")
     # the kept ids grow with the corpus, so this is a sort-merge join at every size
     return docs.join(verdict.withColumnRenamed("doc_id", "kept_id").hint("merge"), kept, "left_semi").select(*COLUMNS)

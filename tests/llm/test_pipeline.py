@@ -29,6 +29,18 @@ def test_stages_on_odd_rows(spark, docs, tmp_path):
     assert {0, None} <= kept and not {200, 201, 202, 203, 207, 208} & kept
 
 
+def test_near_dedup_at_four_fifths(spark, tmp_path):
+    """Pairs of 100 shingles: 89 of 111 in common (0.802) are near duplicates, 88 of 112 (0.786) are not."""
+    rows = []
+    for i in range(0, 400, 2):
+        w = [f"w{i}x{j}" for j in range(104)]
+        common = 89 if i % 4 == 0 else 88  # the first common + 4 words make so many shingles
+        rows += [(i, " ".join(w)), (i + 1, " ".join(w[: common + 4] + [f"v{i}x{j}" for j in range(100 - common)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    kept = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()}
+    assert kept == {i for i in range(400) if i % 4 != 1}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
