@@ -5,11 +5,13 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from urbanflow.llm import attention
+from urbanflow.llm import attention, language_model
 from urbanflow.llm.language_model import score_texts
 from urbanflow.llm.quality import BINS, best_threshold, gram_bins, log_ratios, quality
 from urbanflow.llm.queries import TOKENIZERS
@@ -186,6 +188,46 @@ def test_score_texts(docs, corpus):
         assert math.isfinite(r.score) and r.score < 0
 
 
+class Steps(attention.Trainer):
+    """Keeps the windows of all steps."""
+
+    seen: list = []
+
+    def step(self, windows, *share):
+        Steps.seen.append(windows)
+        return super().step(windows, *share)
+
+
+def trained(monkeypatch, texts):
+    """The windows that a task trains on, and its change of the weights."""
+    monkeypatch.setattr(language_model, "Trainer", Steps)
+    Steps.seen = []
+    counts = np.bincount(np.concatenate([language_model.subwords(BYTE).text(t.encode())[0] for t in texts]), minlength=50_257)
+    voc = attention.Vocabulary(counts)
+    model = SimpleNamespace(value=(attention.initial(voc), voc))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = list(language_model._trained(BYTE, model, 0)([batch]))
+    return Steps.seen, out
+
+
+def test_training_takes_every_id_of_a_long_text(monkeypatch, words):
+    text = " ".join(words(30_000, 9_000))
+    ids = language_model.subwords(BYTE).text(text.encode())[0]
+    seen, _ = trained(monkeypatch, [text])
+    windows = np.concatenate(seen) if seen else np.empty((0, attention.SPAN + 1), int)
+    # a remainder of less than a batch, and what stands before the first id, aside
+    assert abs(windows[:, 1:].size - len(ids)) < 65 * attention.SPAN
+    twice = np.concatenate(trained(monkeypatch, [text + " " + text])[0])
+    assert abs(len(twice) - 2 * len(windows)) < 65
+
+
+def test_windows_predict_each_id_once():
+    for n in (1, 31, 32, 33, 500):
+        windows = language_model.windows_of(np.arange(1, n + 1, dtype=np.uint16), 0)
+        found = windows[:, 1:].reshape(-1)
+        assert found[found > 0].tolist() == list(range(1, n + 1)) and windows[0, 0] == 0
+
+
 def test_no_rows(spark, no_docs):
     assert quality(no_docs, spark.createDataFrame([], NO_LABELS)).collect() == []
     assert score_texts(no_docs, BYTE, rounds=1).collect() == []

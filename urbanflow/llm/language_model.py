@@ -5,6 +5,8 @@ Both learn from all training documents.  Word counts go by blocks and buckets
 class and id counts are of every subword of the training documents.  Its
 weights are fitted in rounds: in every task a copy walks over windows of all
 the task's training documents, and the changes of all copies are averaged.
+The windows of a text lie side by side, so that each of its ids is predicted
+once a round, whatever its length.
 """
 
 from __future__ import annotations
@@ -28,10 +30,8 @@ from .words import Words
 SLICES = 16
 BUCKET_BYTES = 4 << 20
 BATCH = 64
-#: Windows of a round at least.
-LEAST_WINDOWS = 20_000
-#: Bytes of a text that a training window is cut from: enough for its ids.
-STRETCH = 320
+#: Windows that a task mixes before it cuts them into batches.
+POOL = 4096
 #: Share of a word's discounted count, and the discount, in the mixture with the attention model.
 WEIGHT = 0.3
 DISCOUNT = 0.5
@@ -115,26 +115,37 @@ def _counted(tokenizer: str, size: int):
     return count
 
 
-def _trained(tokenizer: str, model, turn: int, each: int):
+def windows_of(ids: np.ndarray, end: int) -> np.ndarray:
+    """Windows of SPAN + 1 ids that predict each id of a text once; ``end`` stands before the first, as often as the first window needs it."""
+    n = -(-len(ids) // SPAN)
+    padded = np.concatenate((np.full(n * SPAN + 1 - len(ids), end, np.uint16), ids))
+    return np.lib.stride_tricks.sliding_window_view(padded, SPAN + 1)[::SPAN]
+
+
+def _trained(tokenizer: str, model, turn: int):
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(tokenizer)
         flat, vocabulary = model.value
-        trainer, waiting = Trainer(flat, vocabulary), []
+        trainer, waiting, held = Trainer(flat, vocabulary), [], 0
+        rng = np.random.default_rng(turn)
+
+        def learn(last: bool) -> None:
+            nonlocal waiting, held
+            mixed = rng.permutation(np.concatenate(waiting)) if waiting else np.empty((0, SPAN + 1), np.uint16)
+            full = len(mixed) // BATCH * BATCH
+            for i in range(0, full, BATCH):
+                trainer.step(mixed[i : i + BATCH].astype(np.int64))
+            if last and len(mixed) - full >= BATCH // 4:
+                trainer.step(mixed[full:].astype(np.int64))
+            waiting, held = [mixed[full:]], len(mixed) - full
+
         for batch in batches:
-            for i, raw in zip(batch.column(0).to_pylist(), _raw(batch.column(1))):
-                rng = np.random.default_rng([turn, 0 if i is None else i % 2**63, len(raw)])
-                for at in rng.integers(0, max(1, len(raw) - STRETCH // 2), each):
-                    cut = at + STRETCH < len(raw)
-                    words = raw[at : at + STRETCH].split()  # the first and the last may be cut
-                    ids = sub.text(b" ".join(words[bool(at) : len(words) - cut]))[0]
-                    ids = ids[:-1] if cut else ids
-                    window = ids[: SPAN + 1] if at else np.concatenate((np.full(1, sub.end, np.uint16), ids[:SPAN]))
-                    waiting.append(np.concatenate((np.full(SPAN + 1 - len(window), sub.end, np.uint16), window)))
-                while len(waiting) >= BATCH:
-                    trainer.step(np.stack(waiting[:BATCH]).astype(np.int64))
-                    waiting = waiting[BATCH:]
-        if len(waiting) >= BATCH // 4:
-            trainer.step(np.stack(waiting).astype(np.int64))
+            for raw in _raw(batch.column(1)):
+                waiting.append(windows_of(sub.text(raw)[0], sub.end))
+                held += len(waiting[-1])
+                if held >= POOL:
+                    learn(False)
+        learn(True)
         delta, moved = trainer.change()
         both = np.concatenate((delta, moved, np.zeros(-2 * SIZE % SLICES, np.float32)))
         yield sliced(both.astype(np.float32), SLICES)
@@ -142,21 +153,16 @@ def _trained(tokenizer: str, model, turn: int, each: int):
     return train
 
 
-def fit(docs: DataFrame, tokenizer: str, rounds: int, each: int) -> tuple[np.ndarray, Vocabulary]:
-    """Weights and vocabulary from all of ``docs`` (doc_id, text).
-
-    Every document gives ``each`` windows a round, or as many more as a small
-    corpus needs for LEAST_WINDOWS.
-    """
+def fit(docs: DataFrame, tokenizer: str, rounds: int) -> tuple[np.ndarray, Vocabulary]:
+    """Weights and vocabulary from all of ``docs`` (doc_id, text): every round goes over all ids of all documents."""
     sub = Subwords(tokenizer)
     size = -(-sub.size // SLICES) * SLICES
     counts = summed(docs.mapInArrow(_counted(tokenizer, size), SLICED), SLICES, size, np.int64)[: sub.size]
     vocabulary = Vocabulary(counts)
-    each = max(each, -(-LEAST_WINDOWS // max(1, int(counts[sub.end]))))
     flat = initial(vocabulary)
     for turn in range(rounds):
         model = docs.sparkSession.sparkContext.broadcast((flat, vocabulary))
-        both = summed(docs.mapInArrow(_trained(tokenizer, model, turn, each), SLICED), SLICES, 2 * SIZE + -2 * SIZE % SLICES, np.float32)
+        both = summed(docs.mapInArrow(_trained(tokenizer, model, turn), SLICED), SLICES, 2 * SIZE + -2 * SIZE % SLICES, np.float32)
         flat = flat + both[:SIZE] / np.maximum(both[SIZE : 2 * SIZE], 1)
     return flat, vocabulary
 
@@ -268,7 +274,6 @@ def score_texts(
     modulus: int = 7,
     remainder: int = 2,
     rounds: int = 2,
-    each: int = 1,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -286,7 +291,7 @@ def score_texts(
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
-    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds, each))
+    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds))
 
     size = text_bytes(docs, text_col)
     buckets = parts_for(spark, size // 3, BUCKET_BYTES)
