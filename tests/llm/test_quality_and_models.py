@@ -221,6 +221,25 @@ def test_training_takes_every_id_of_a_long_text(monkeypatch, words):
     assert abs(len(twice) - 2 * len(windows)) < 65
 
 
+def test_training_takes_what_is_less_than_a_batch(monkeypatch, words):
+    for n in (1, 300, 3_000):
+        text = " ".join(words(n))
+        ids = language_model.subwords(BYTE).text(text.encode())[0]
+        seen, out = trained(monkeypatch, [text])
+        found = np.concatenate(seen)[:, 1:].reshape(-1)
+        assert Counter(found[found != ids[-1]].tolist()) == Counter(ids[ids != ids[-1]].tolist())
+        assert any(np.frombuffer(x, np.float32).any() for b in out for c in b.columns if pa.types.is_binary(c.type) for x in c.to_pylist())
+
+
+def test_one_document_a_partition_trains(spark, words):
+    rows = [(i, " ".join(words(100))) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    size = sum(len(t) for _, t in rows)
+    for parts in (1, 24):
+        flat, voc = language_model.fit(docs.repartition(parts, "doc_id"), BYTE, 1, size)
+        assert np.abs(flat - attention.initial(voc)).max() > 0.1
+
+
 def test_windows_predict_each_id_once():
     for n in (1, 31, 32, 33, 500):
         windows = language_model.windows_of(np.arange(1, n + 1, dtype=np.uint16), 0)

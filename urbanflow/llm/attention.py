@@ -98,11 +98,13 @@ class Trainer:
 
     def __init__(self, flat: np.ndarray, vocabulary: Vocabulary, rate: float = 0.1):
         self.flat, self.start, self.rate, self.vocabulary = flat.copy(), flat, rate, vocabulary
+        self.pace = rate
         self.parts = unpack(self.flat)
         self.square = {name: np.full_like(x, 1e-3) for name, x in self.parts.items()}
 
-    def step(self, windows: np.ndarray) -> float:
-        """One batch of windows of SPAN + 1 ids; the mean loss in nats."""
+    def step(self, windows: np.ndarray, share: float = 1.0) -> float:
+        """One batch of windows of SPAN + 1 ids; the mean loss in nats.  ``share``: of the length of a whole step."""
+        self.pace = self.rate * share
         p, voc = self.parts, self.vocabulary
         x, y = windows[:, :-1], windows[:, 1:].reshape(-1)
         row = voc.row[x]
@@ -143,7 +145,7 @@ class Trainer:
 
     def _move(self, name: str, rows, g: np.ndarray) -> None:
         self.square[name][rows] += g * g
-        self.parts[name][rows] -= self.rate * g / np.sqrt(self.square[name][rows])
+        self.parts[name][rows] -= self.pace * g / np.sqrt(self.square[name][rows])
 
     def change(self) -> tuple[np.ndarray, np.ndarray]:
         """What training changed, and whether it did."""

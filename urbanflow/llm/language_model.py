@@ -4,7 +4,8 @@ Both learn from all training documents.  Word counts go by blocks and buckets
 (see blocks): a block asks for each of its distinct words once.  The model's
 class and id counts are of every subword of the training documents.  Its
 weights are fitted in rounds: in every task a copy walks over windows of all
-the task's training documents, and the changes of all copies are averaged.
+the task's training documents, and the changes of all copies are averaged by
+the windows they have seen.
 The windows of a text lie side by side, so that each of its ids is predicted
 once a round, whatever its length.
 """
@@ -32,6 +33,8 @@ BUCKET_BYTES = 4 << 20
 BATCH = 64
 #: Windows that a task mixes before it cuts them into batches.
 POOL = 4096
+#: Bytes of text for a copy of the model, about: tasks with little text are put together.
+COPY_BYTES = 4 << 20
 #: Share of a word's discounted count, and the discount, in the mixture with the attention model.
 WEIGHT = 0.3
 DISCOUNT = 0.5
@@ -126,7 +129,7 @@ def _trained(tokenizer: str, model, turn: int):
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(tokenizer)
         flat, vocabulary = model.value
-        trainer, waiting, held = Trainer(flat, vocabulary), [], 0
+        trainer, waiting, held, total = Trainer(flat, vocabulary), [], 0, 0
         rng = np.random.default_rng(turn)
 
         def learn(last: bool) -> None:
@@ -135,34 +138,35 @@ def _trained(tokenizer: str, model, turn: int):
             full = len(mixed) // BATCH * BATCH
             for i in range(0, full, BATCH):
                 trainer.step(mixed[i : i + BATCH].astype(np.int64))
-            if last and len(mixed) - full >= BATCH // 4:
-                trainer.step(mixed[full:].astype(np.int64))
+            if last and full < len(mixed):  # a shorter step for what is left
+                trainer.step(mixed[full:].astype(np.int64), (len(mixed) - full) / BATCH)
             waiting, held = [mixed[full:]], len(mixed) - full
 
         for batch in batches:
             for raw in _raw(batch.column(1)):
                 waiting.append(windows_of(sub.text(raw)[0], sub.end))
-                held += len(waiting[-1])
+                held, total = held + len(waiting[-1]), total + len(waiting[-1])
                 if held >= POOL:
                     learn(False)
         learn(True)
         delta, moved = trainer.change()
-        both = np.concatenate((delta, moved, np.zeros(-2 * SIZE % SLICES, np.float32)))
+        both = np.concatenate((delta * total, moved * total, np.zeros(-2 * SIZE % SLICES, np.float32)))
         yield sliced(both.astype(np.float32), SLICES)
 
     return train
 
 
-def fit(docs: DataFrame, tokenizer: str, rounds: int) -> tuple[np.ndarray, Vocabulary]:
-    """Weights and vocabulary from all of ``docs`` (doc_id, text): every round goes over all ids of all documents."""
+def fit(docs: DataFrame, tokenizer: str, rounds: int, text_size: int) -> tuple[np.ndarray, Vocabulary]:
+    """Weights and vocabulary from all of ``docs`` (doc_id, text; about ``text_size`` bytes): every round goes over all ids of all documents."""
     sub = Subwords(tokenizer)
     size = -(-sub.size // SLICES) * SLICES
     counts = summed(docs.mapInArrow(_counted(tokenizer, size), SLICED), SLICES, size, np.int64)[: sub.size]
     vocabulary = Vocabulary(counts)
     flat = initial(vocabulary)
+    copies = docs.coalesce(max(1, -(-text_size // COPY_BYTES)))  # never more than there are
     for turn in range(rounds):
         model = docs.sparkSession.sparkContext.broadcast((flat, vocabulary))
-        both = summed(docs.mapInArrow(_trained(tokenizer, model, turn), SLICED), SLICES, 2 * SIZE + -2 * SIZE % SLICES, np.float32)
+        both = summed(copies.mapInArrow(_trained(tokenizer, model, turn), SLICED), SLICES, 2 * SIZE + -2 * SIZE % SLICES, np.float32)
         flat = flat + both[:SIZE] / np.maximum(both[SIZE : 2 * SIZE], 1)
     return flat, vocabulary
 
@@ -291,9 +295,9 @@ def score_texts(
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
-    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds))
-
     size = text_bytes(docs, text_col)
+    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds, size))
+
     buckets = parts_for(spark, size // 3, BUCKET_BYTES)
     by_block = dealt(source, parts_for(spark, size, BLOCK_BYTES), ["doc_id"]).groupBy("block")
     asked = by_block.applyInArrow(_asked(buckets, modulus, remainder), "bucket int, block int, hashes binary, counts binary")
