@@ -38,6 +38,28 @@ def test_main_text(spark):
         assert (r.text, r.n_chars) == (text, len(text))
 
 
+LAYOUTS = {
+    '<div class="content-sidebar-wrap"><article><p>Text.</p></article><div class="sidebar">s</div></div>': "Text.",
+    '<p>Some site</p><div id="page" class="with-sidebar"><main><p>Text.</p></main><footer>f</footer></div>': "Text.",
+    '<form id="aspnetForm"><nav>n</nav><article><h1>T</h1><p>Text.</p></article></form>': "T\nText.",
+    '<form id="aspnetForm"><div id="content"><p>Text.</p><div class="share">Share</div></div></form>': "Text.",
+    "<p>x</p><article><p>One.</p></article><article><p>Two, longer.</p></article>": "One.\nTwo, longer.",
+    "<p>x</p><main><h1>T</h1><article><p>Text.</p></article><p>After.</p></main>": "T\nText.\nAfter.",
+    '<main><h1>T</h1><div class="content-sidebar-wrap"><article><p>Text.</p></article></div></main>': "T\nText.",
+    '<article class="post category-social"><p>Text.</p></article><div class="comments"><article class="comment"><p>Nice, and long.</p></article></div>': "Text.",
+    '<article><p>Text.</p></article><article class="comment-body"><p>Nice, and long.</p></article><form><p>Send</p></form>': "Text.",
+    '<div id="w" class="with-sidebar"><article><p>Text.</p></article><div class="related"><article><p>More.</p></article></div></div>': "Text.",
+    '<h1>Title</h1><p>A plain page.</p><div class="sidebar"><article>a</article><article>b</article></div>': "Title\nA plain page.",
+    "<p>Plain</p><form><p>Send</p></form>": "Plain",
+}
+
+
+@pytest.mark.parametrize("html", LAYOUTS)
+def test_layouts(html):
+    blocks, _, _ = html_extraction.read_page(page(html))
+    assert "\n".join(b["text"] for b in blocks) == LAYOUTS[html]
+
+
 @pytest.mark.parametrize("small", [20_000, 0])
 def test_repeated_nodes_of_a_site_go(spark, monkeypatch, small):
     monkeypatch.setattr(html_extraction, "SMALL_LIST", small)
