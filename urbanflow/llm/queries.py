@@ -20,6 +20,7 @@ from .url_filters import url_filter
 from .url_queries import SQL as URL_SQL
 from .url_queries import captures, entries
 from .vector_search import top_k
+from .window_filling import fill_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,3 +117,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by word counts and by the attention model, learnt from the documents not held out."""
     return score_texts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
+@query("op12_slack_windows")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 ids, cut so that none needs padding."""
+    out = fill_windows(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
