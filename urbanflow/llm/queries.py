@@ -12,10 +12,12 @@ from .html_extraction import main_text
 from .language_model import score_texts
 from .near_duplicates import near_duplicates
 from .packing import pack
+from .prefix_trie import numbered, rebuilt, trie
 from .quality import quality
 from .sentencepiece_codec import decode_ids, encode_texts
 from .substring_dedup import remove_repeats
 from .tokens import token_counts
+from .trie_queries import SQL as TRIE_SQL
 from .url_filters import url_filter
 from .url_queries import SQL as URL_SQL
 from .url_queries import captures, entries
@@ -119,6 +121,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt so that neighbouring ones begin alike."""
+    return trie(*rebuilt(numbered(table(spark, sf_dir, "conversations"))))
+
+
 @query("op12_slack_windows")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids, cut so that none needs padding."""
