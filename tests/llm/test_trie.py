@@ -111,7 +111,7 @@ def test_numbered_across_parts(spark, monkeypatch):
 
 def test_long_ends(spark, monkeypatch):
     """A node where very many conversations end is hashed from many chunks."""
-    monkeypatch.setattr("urbanflow.llm.prefix_trie.CHUNK", 10)
+    monkeypatch.setattr("urbanflow.llm.prefix_trie.CHUNK", 10)  # read by the driver
     rows = [(c, 0, "user", "same") for c in range(3000)]
     found = prefix_trie(spark.createDataFrame(rows, KINDS))
     assert Counter(map(tuple, found.collect())) == brute(ordered(rows))

@@ -140,23 +140,27 @@ def paths(sequences: DataFrame, convs: DataFrame, height: int = HEIGHT) -> DataF
     return rows.unionByName(roots)
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of ids of one node as text, cut at CHUNK letters."""
-    schema = pa.schema([("name", pa.string()), ("first", pa.int64()), ("ids", pa.string())])
-    name, first, ids, size = None, None, [], 0
-    for batch in batches:
-        out = []
-        for node, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if node != name or size > CHUNK:
-                if ids:
-                    out.append((name, first, ",".join(ids)))
-                name, first, ids, size = node, conv, [], 0
-            ids.append(str(conv))
-            size += len(ids[-1])
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
-    if ids:
-        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((name, first, ",".join(ids)), schema.types)], schema=schema)
+def _chunks(limit: int):
+    """Runs of ids of one node as text, cut at ``limit`` letters."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("name", pa.string()), ("first", pa.int64()), ("ids", pa.string())])
+        name, first, ids, size = None, None, [], 0
+        for batch in batches:
+            out = []
+            for node, conv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if node != name or size > limit:
+                    if ids:
+                        out.append((name, first, ",".join(ids)))
+                    name, first, ids, size = node, conv, [], 0
+                ids.append(str(conv))
+                size += len(ids[-1])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+        if ids:
+            yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((name, first, ",".join(ids)), schema.types)], schema=schema)
+
+    return cut
 
 
 def _hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +187,7 @@ def ends_digests(ends: DataFrame) -> DataFrame:
     spark = ends.sparkSession
     parts = parts_for(spark, ends.count() * 64, PART_BYTES)
     rows = ends.select("name", "conv").repartitionByRange(parts, "name", "conv").sortWithinPartitions("name", "conv")
-    chunks = rows.mapInArrow(_chunks, "name string, first long, ids string")
+    chunks = rows.mapInArrow(_chunks(CHUNK), "name string, first long, ids string")
     chunks = chunks.repartition("name").sortWithinPartitions("name", "first").select("name", "ids")
     return chunks.mapInArrow(_hashed, "name string, ends_sha256 string")
 

@@ -12,6 +12,8 @@ from .html_extraction import main_text
 from .language_model import score_texts
 from .near_duplicates import near_duplicates
 from .packing import pack
+from .phrase_mining import collocations
+from .phrase_queries import SQL as PHRASE_SQL
 from .prefix_trie import numbered, rebuilt, trie
 from .quality import quality
 from .sentencepiece_codec import decode_ids, encode_texts
@@ -132,3 +134,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 ids, cut so that none needs padding."""
     out = fill_windows(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op13_setm_phrases", PHRASE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 tightest phrases of each language in all documents."""
+    return collocations(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 _TABLE = """
   SELECT list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
     lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps"""
-_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, len(c::VARCHAR) + 1), lambda i: ascii(c::VARCHAR[i])::BIGINT)),
+_CRC = """xor(list_reduce(list_concat([4294967295], list_transform(range(1, len(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::BIGINT)),
     lambda a, x: xor(steps[(xor(a, x) & 255) + 1], a >> 8)), 4294967295)"""
 
 SQL = f"""
