@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 import pytest
 
-from urbanflow.llm.phrase_mining import _counted, collocations, packed
+from urbanflow.llm.phrase_mining import _counted, collocations, packed, steps
 
 COLUMNS = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -77,10 +77,10 @@ def test_buckets_take_large_ids():
     rows = []
     for block, pairs in ((1, [(3, 4, 2), (5, 6, 1)]), (2, [(3, 4, 2), (big, 6, 9)])):
         first, last, n = (pa.array(c).to_numpy() for c in zip(*pairs))
-        rows.append({"block": block, "kind": 1, "bucket": 7, "start": 10 * block, "x": packed(first), "y": packed(last), "z": n.astype("<u4").tobytes()})
+        rows.append({"block": block, "bucket": 7, "start": 10 * block, "n": 2, "x": packed(steps(first)), "y": packed(last), "z": packed(n)})
     out = _counted(100, 4)(pa.Table.from_pylist(rows)).to_pylist()
     groups = {(r["first"], r["last"]): (r["id"], r["f"]) for r in out if r["id"] is not None}
-    assert groups == {(3, 4): (7, 4), (big, 6): (107, 9)}
+    assert groups == {(3, 4): (107, 4), (big, 6): (7, 9)}
     assert [(r["block"], r["start"]) for r in out if r["block"]] == [(1, 10), (2, 20)]
 
 

@@ -36,22 +36,43 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = 1  # between words
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2  # between pieces
 
-WORDS = "block long, words array<string>, langs array<string>, counts array<long>, n_langs array<string>, n_words array<long>, codes binary"
-GROWN = "block long, kind int, bucket int, start long, x binary, y binary, z binary"
-ANSWERS = "block long, start long, x binary, y binary, id long, first long, last long, f long"
+GROWN = "block long, kind int, bucket int, start long, n long, x binary, y binary, z binary, lang string"
+COUNTED_WORDS = "block long, start long, n long, x binary, y binary, id long, lang string, phrase string, f long"
+COUNTED = "block long, start long, n long, x binary, y binary, id long, first long, last long, f long"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+#: Kinds of rows of GROWN: the relation, a report to a bucket, the words of a language.
+RELATION, REPORT, TOTAL = range(3)
+
+
+def rows_of(schema: str, rows: list[tuple]) -> pa.Table:
+    names, kinds = zip(*(x.split() for x in schema.split(", ")))
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.table([pa.array(c, _KINDS[k]) for c, k in zip(columns, kinds)], names=list(names))
 
 
 def packed(a: np.ndarray) -> bytes:
-    """Whole numbers from 0 on, in four bytes each if all fit."""
-    return a.astype(np.uint32 if not len(a) or a.max() < 1 << 32 else np.uint64).tobytes()
+    """Whole numbers from 0 on, compressed by planes of bytes; four bytes each if all fit."""
+    width = 4 if not len(a) or a.max() < 1 << 32 else 8
+    planes = np.ascontiguousarray(a.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return bytes([width]) + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def unpacked(blob: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(blob, np.uint32 if len(blob) == 4 * n else np.uint64).astype(np.int64)
+    width = blob[0]
+    planes = pa.decompress(memoryview(blob)[1:], n * width, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(f"<u{width}").reshape(-1).astype(np.int64)
+
+
+def steps(a: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers."""
+    return np.diff(a, prepend=0)
 
 
-def block_words(texts: list[str], langs: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (word, lang) of a block with their counts; the code of the word at each place, -1 between pieces; words of each lang."""
+def block_words(texts: list[str], langs: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (word, lang) of a block with their counts; the place and the code of each word; the lang of each word.
+
+    A place is left free between two pieces.
+    """
     data = LOWER[np.frombuffer("\n".join(texts).encode(), np.uint8)]
     kind = _KIND[data]
     word = kind == 0
@@ -65,38 +86,50 @@ def block_words(texts: list[str], langs: np.ndarray) -> tuple[pa.Array, np.ndarr
     column = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(at), pa.py_buffer(data[word])).dictionary_encode()
     kinds = max(len(column.dictionary), 1)
     distinct, code, counts = np.unique(lang * kinds + column.indices.to_numpy(), return_inverse=True, return_counts=True)
-    codes = np.full(places[-1] + 1 if len(places) else 0, -1, np.int32)
-    codes[places] = code
-    return column.dictionary.take(pa.array(distinct % kinds)), distinct // kinds, counts, codes, lang
+    return column.dictionary.take(pa.array(distinct % kinds)), distinct // kinds, counts, places, code, lang
+
+
+def word_buckets(words: pa.LargeStringArray, buckets: int) -> np.ndarray:
+    """A bucket for each word (none is empty) by a hash of its bytes."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.int64)
+    letters = np.frombuffer(data, np.uint8)[at[0] : at[-1]].astype(np.uint64)
+    place = np.arange(len(letters)) - np.repeat(at[:-1] - at[0], np.diff(at))
+    spread = (letters + np.uint64(1)) * mix((place % 64 + 1).astype(np.uint64))
+    return (mix(np.add.reduceat(spread, at[:-1] - at[0])) % np.uint64(buckets)).astype(np.int64)
 
 
-def _blocks(limit: int):
-    """The words of every block of about ``limit`` bytes; a longer text is a block of its own."""
+def relation(block: int, places: np.ndarray, codes: np.ndarray) -> tuple:
+    return (block, RELATION, None, None, len(places), packed(steps(places)), packed(codes), None, None)
+
+
+def _blocks(limit: int, buckets: int):
+    """The words of every block of about ``limit`` bytes, and their reports; a longer text is a block of its own."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        block = TaskContext.get().partitionId() << 32
         for batch in slices(batches, limit=limit):
             names = batch.column(0).dictionary_encode()
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            words, lang, counts, codes, each = block_words(texts, names.indices.to_numpy().astype(np.int64))
-            n = np.bincount(each, minlength=len(names.dictionary))
-
-            def row(values: pa.Array, kind: pa.DataType) -> pa.Array:
-                return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(kind))
-
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()),
-                    row(words, pa.string()),
-                    row(names.dictionary.take(pa.array(lang)), pa.string()),
-                    row(pa.array(counts), pa.int64()),
-                    row(names.dictionary, pa.string()),
-                    row(pa.array(n), pa.int64()),
-                    pa.array([codes.tobytes()], pa.binary()),
-                ],
-                [x.split()[0] for x in WORDS.split(", ")],
-            )
-            number += 1
+            words, lang, counts, places, codes, each = block_words(texts, names.indices.to_numpy().astype(np.int64))
+            bucket = word_buckets(words, buckets)
+            order = np.argsort(bucket, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            rows = [relation(block, places, rank[codes])]
+            table = pa.table([words.take(pa.array(order)), names.dictionary.take(pa.array(lang[order])), pa.array(counts[order])], ["word", "lang", "n"])
+            at = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            for a, b in zip(at, [*at[1:], len(order)]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_table(table.slice(a, b - a).combine_chunks())
+                rows.append((block, REPORT, int(bucket[order[a]]), int(a), int(b - a), sink.getvalue().to_pybytes(), None, None, None))
+            total = np.bincount(each, minlength=len(names.dictionary))
+            rows += [(block, TOTAL, None, None, int(n), None, None, None, name) for n, name in zip(total, names.dictionary.to_pylist())]
+            yield from rows_of(GROWN, rows).to_batches()
+            block += 1
 
     return cut
 
@@ -104,9 +137,9 @@ def _blocks(limit: int):
 def grow(block: int, places: np.ndarray, codes: np.ndarray, ids: np.ndarray, buckets: int) -> pa.Table:
     """Join neighbouring places, count the pairs, and report them to their buckets.
 
-    ``ids[codes[i]]`` is the phrase at ``places[i]``.  A row of kind 0 holds the
-    joined relation, coded by the order of the reports; rows of kind 1 are the
-    reports (ids of the first and the last words, counts).
+    ``ids[codes[i]]`` is the phrase at ``places[i]``; ids ascend.  The joined
+    relation is coded by the order of the reports, which hold the ids of the
+    first and the last words, and counts.
     """
     near = np.flatnonzero(places[1:] == places[:-1] + 1)
     pairs, code, counts = np.unique(codes[near] * max(len(ids), 1) + codes[near + 1], return_inverse=True, return_counts=True)
@@ -114,92 +147,105 @@ def grow(block: int, places: np.ndarray, codes: np.ndarray, ids: np.ndarray, buc
     spread = mix(first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + last.astype(np.uint64))
     bucket = (spread % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
     first, last, counts, bucket = first[order], last[order], counts[order], bucket[order]
     at = np.flatnonzero(np.diff(bucket, prepend=-1))
-    rows = [(block, 0, None, None, places[near].astype(np.int32).tobytes(), rank[code].tobytes(), None)]
+    rows = [relation(block, places[near], rank[code])]
     for a, b in zip(at, [*at[1:], len(bucket)]):
-        rows.append((block, 1, int(bucket[a]), int(a), packed(first[a:b]), packed(last[a:b]), counts[a:b].astype(np.uint32).tobytes()))
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in GROWN.split(", ")])
-
-
-_NOTHING = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in GROWN.split(", "))])
-
-
-def _pairs_of_words(buckets: int):
-    """Level 2: codes of words, and the ids of the frequent ones."""
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _NOTHING.empty_table()
-        codes = np.frombuffer(left.column("codes")[0].as_py(), np.int32)
-        known = right.sort_by("i")
-        which, ids = known.column("i").to_numpy(), known.column("id").to_numpy()
-        rank = np.full(max(int(codes.max(initial=-1)), int(which[-1])) + 2, -1, np.int64)
-        rank[which] = np.arange(len(which))
-        here = rank[codes]  # -1 picks the last entry, which no word has
-        places = np.flatnonzero(here >= 0)
-        return grow(left.column("block")[0].as_py(), places, here[places], ids, buckets)
-
-    return run
+        own = packed(steps(first[a:b])), packed(last[a:b]), packed(counts[a:b])
+        rows.append((block, REPORT, int(bucket[a]), int(a), int(b - a), *own, None))
+    return rows_of(GROWN, rows)
 
 
-def _pairs_of_phrases(buckets: int):
-    """Higher levels: the relation of the level before, semi-joined with its frequent groups."""
+def _joined(buckets: int):
+    """Semi-join a block's relation with the ids of its frequent groups, as the buckets answered, and grow it."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return _NOTHING.empty_table()
-        places, codes = (np.frombuffer(left.column(c)[0].as_py(), np.int32) for c in ("x", "y"))
+            return rows_of(GROWN, [])
+        n = left.column("n")[0].as_py()
+        places, codes = np.cumsum(unpacked(left.column("x")[0].as_py(), n)), unpacked(left.column("y")[0].as_py(), n)
         id_of = np.full(int(codes.max(initial=0)) + 1, -1, np.int64)
-        for start, hits, ids in zip(*(right.column(c).to_pylist() for c in ("start", "x", "y"))):
-            hits = np.frombuffer(hits, np.int32)
-            id_of[start + hits] = unpacked(ids, len(hits))
+        for start, m, hits, ids in zip(*(right.column(c).to_pylist() for c in ("start", "n", "x", "y"))):
+            id_of[start + np.cumsum(unpacked(hits, m))] = unpacked(ids, m)
         frequent = np.flatnonzero(id_of >= 0)
+        frequent = frequent[np.argsort(id_of[frequent])]
         rank = np.full(len(id_of), -1, np.int64)
         rank[frequent] = np.arange(len(frequent))
         here = rank[codes]
         kept = here >= 0
-        return grow(left.column("block")[0].as_py(), places[kept].astype(np.int64), here[kept], id_of[frequent], buckets)
+        return grow(left.column("block")[0].as_py(), places[kept], here[kept], id_of[frequent], buckets)
+
+    return run
+
+
+def numbers(total: np.ndarray, least: int, bucket: int, buckets: int) -> np.ndarray:
+    """Ids of a bucket's groups, -1 for those below ``least``; frequent groups get small ids, no two buckets the same."""
+    often = np.flatnonzero(total >= least)
+    out = np.full(len(total), -1, np.int64)
+    out[often[np.argsort(-total[often], kind="stable")]] = np.arange(len(often)) * buckets + bucket
+    return out
+
+
+def answered(reports: pa.Table, ids: np.ndarray) -> list[tuple]:
+    """A row for each block: where in its report frequent groups are, and their ids."""
+    rows, at = [], 0
+    for block, start, n in zip(*(reports.column(c).to_pylist() for c in ("block", "start", "n"))):
+        own = ids[at : at + n]
+        at += n
+        hits = np.flatnonzero(own >= 0)
+        if len(hits):
+            rows.append((block, start, len(hits), packed(steps(hits)), packed(own[hits]), None, None, None, None))
+    return rows
+
+
+def _counted_words(buckets: int, least: int):
+    """A bucket of words: add up the reports, number the frequent words, answer the blocks that have them."""
+
+    def run(reports: pa.Table) -> pa.Table:
+        bucket = reports.column("bucket")[0].as_py()
+        words = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in reports.column("x").to_pylist()])
+        word, lang = (words.column(c).combine_chunks().dictionary_encode() for c in ("word", "lang"))
+        key = word.indices.to_numpy().astype(np.int64) * len(lang.dictionary) + lang.indices.to_numpy()
+        groups, group = np.unique(key, return_inverse=True)
+        total = np.zeros(len(groups), np.int64)
+        np.add.at(total, group, words.column("n").to_numpy())
+        number = numbers(total, least, bucket, buckets)
+        rows = answered(reports, number[group])
+        often = np.flatnonzero(number >= 0)
+        texts = word.dictionary.take(pa.array(groups[often] // len(lang.dictionary))).to_pylist()
+        names = lang.dictionary.take(pa.array(groups[often] % len(lang.dictionary))).to_pylist()
+        none = (None,) * 5
+        rows += [(*none, i, name, text, f) for i, name, text, f in zip(number[often].tolist(), names, texts, total[often].tolist())]
+        return rows_of(COUNTED_WORDS, rows)
 
     return run
 
 
 def _counted(buckets: int, least: int):
-    """A bucket: add up the reports, number the frequent groups, answer the blocks that have them."""
+    """A bucket of pairs: add up the reports, number the frequent groups, answer the blocks that have them."""
 
     def run(reports: pa.Table) -> pa.Table:
         bucket = reports.column("bucket")[0].as_py()
-        blocks, starts = reports.column("block").to_pylist(), reports.column("start").to_pylist()
-        parts = []
-        for x, y, z in zip(*(reports.column(c).to_pylist() for c in "xyz")):
-            n = len(z) // 4
-            parts.append((unpacked(x, n), unpacked(y, n), np.frombuffer(z, np.uint32).astype(np.int64)))
-        first, last, counts = (np.concatenate(c) for c in zip(*parts))
+        first, last, counts = [], [], []
+        for n, x, y, z in zip(*(reports.column(c).to_pylist() for c in ("n", "x", "y", "z"))):
+            first.append(np.cumsum(unpacked(x, n)))
+            last.append(unpacked(y, n))
+            counts.append(unpacked(z, n))
+        first, last, counts = (np.concatenate(c) for c in (first, last, counts))
         order = np.lexsort((last, first))
         new = np.concatenate([[True], (np.diff(first[order]) != 0) | (np.diff(last[order]) != 0)])
         head = np.flatnonzero(new)
         total = np.add.reduceat(counts[order], head)
-        often = np.flatnonzero(total >= least)
-        number = np.full(len(head), -1, np.int64)
-        number[often] = np.arange(len(often)) * buckets + bucket
+        number = numbers(total, least, bucket, buckets)
         ids = np.empty(len(order), np.int64)
         ids[order] = number[np.cumsum(new) - 1]
-        rows, at = [], 0
-        for block, start, part in zip(blocks, starts, parts):
-            own = ids[at : at + len(part[0])]
-            at += len(own)
-            hits = np.flatnonzero(own >= 0).astype(np.int32)
-            if len(hits):
-                rows.append((block, start, hits.tobytes(), packed(own[hits]), None, None, None, None))
-        for k in often:
-            i = order[head[k]]
-            rows.append((None, None, None, None, int(number[k]), int(first[i]), int(last[i]), int(total[k])))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 4)
-        columns = list(zip(*rows)) or [()] * len(kinds)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in ANSWERS.split(", ")])
+        often = np.flatnonzero(number >= 0)
+        lead = order[head[often]]
+        none = (None,) * 5
+        groups = zip(number[often].tolist(), first[lead].tolist(), last[lead].tolist(), total[often].tolist())
+        return rows_of(COUNTED, answered(reports, ids) + [(*none, *g) for g in groups])
 
     return run
 
@@ -212,32 +258,27 @@ def frequent_phrases(
     size = docs.select(F.col(text_col).alias("text"))
     buckets = parts_for(spark, text_bytes(size), bucket_bytes)
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    base = staged(source.mapInArrow(_blocks(block_bytes), WORDS), "occurrences")
-    n = base.select(F.inline(F.arrays_zip(F.col("n_langs").alias("lang"), F.col("n_words").alias("n"))))
-    n = n.groupBy("lang").agg(F.sum("n").alias("n"))
-
-    words = base.select(F.inline(F.arrays_zip(F.col("langs").alias("lang"), F.col("words").alias("phrase"), F.col("counts").alias("n"))))
-    words = words.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = staged(words.withColumn("row", F.monotonically_increasing_id()), "words")
-    tasks = (words.agg(F.max(F.expr("row >> 33"))).first()[0] or 0) + 1
-    level = words.select(F.expr(f"(row & 8589934591) * {tasks}L + (row >> 33)").alias("id"), "lang", "phrase", F.col("phrase").alias("tail"), "f")
-    levels = [level]
-
-    here = base.select("block", F.posexplode(F.arrays_zip("langs", "words"))).select("block", F.col("pos").alias("i"), "col.langs", "col.words")
-    known = here.join(level, (F.col("langs") == F.col("lang")) & (F.col("words") == F.col("phrase"))).select(F.col("block").alias("of"), "i", "id")
-    relation = base.select("block", "codes").groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_pairs_of_words(buckets), GROWN)
-    for k in range(2, longest + 1):
-        relation = staged(relation, f"places{k}")
-        counted = relation.where("kind = 1").groupBy("bucket").applyInArrow(_counted(buckets, least), ANSWERS)
-        counted = staged(counted, f"groups{k}")
-        first = level.select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"))
-        last = level.select(F.col("id").alias("last"), "tail")
-        groups = counted.where("id is not null").select("id", "first", "last", "f").join(first, "first").join(last, "last")
-        level = staged(groups.select("id", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "tail", "f"), f"phrases{k}")
+    places = staged(source.mapInArrow(_blocks(block_bytes, buckets), GROWN), "places1")
+    n = places.where(f"kind = {TOTAL}").groupBy("lang").agg(F.sum("n").alias("n"))
+
+    levels: list[DataFrame] = []
+    for k in range(1, longest + 1):
+        count, schema = (_counted, COUNTED) if k > 1 else (_counted_words, COUNTED_WORDS)
+        reports = places.where(f"kind = {REPORT}").select("block", "bucket", "start", "n", "x", "y", "z")
+        counted = staged(reports.groupBy("bucket").applyInArrow(count(buckets, least), schema), f"groups{k}")
+        groups = counted.where("id is not null")
+        if k == 1:
+            level = groups.select("id", "lang", "phrase", F.col("phrase").alias("tail"), "f")
+        else:
+            head = levels[-1].select(F.col("id").alias("first"), "lang", F.col("phrase").alias("head"))
+            tail = levels[-1].select(F.col("id").alias("last"), "tail")
+            level = groups.select("id", "first", "last", "f").join(head, "first").join(tail, "last")
+            level = staged(level.select("id", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "tail", "f"), f"phrases{k}")
         levels.append(level)
-        answers = counted.where("block is not null").select("block", "start", "x", "y")
-        places = relation.where("kind = 0").select("block", "x", "y")
-        relation = places.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_pairs_of_phrases(buckets), GROWN)
+        if k < longest:
+            here = places.where(f"kind = {RELATION}").select("block", "n", "x", "y").groupBy("block")
+            answers = counted.where("block is not null").select("block", "start", "n", "x", "y").groupBy("block")
+            places = staged(here.cogroup(answers).applyInArrow(_joined(buckets), GROWN), f"places{k + 1}")
     out = [level.select(F.lit(k).alias("k"), "lang", "phrase", "f") for k, level in enumerate(levels, 1)]
     union = out[0]
     for other in out[1:]:
