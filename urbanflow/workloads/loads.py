@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,9 @@ from ..functions.text import get_path
 from ..operators.project import require, select_except
 from ..operators.quality import flag_counts, row_count, time_range
 from ..schemas import layout
+from ..session import shared_folder
 from ..sources.catalog import publish_view
+from ..sources.inference import infer, read_drifting
 from ..sources.readers import file_inventory, load_by_name
 from .inputs import table
 from .objects import OBJECTS_SQL, objects
@@ -66,3 +70,27 @@ def event_flags(spark: SparkSession, sf: str) -> DataFrame:
     errors, large = (F.col("event_type") == "error").cast("int"), (F.col("value") > 50).cast("int")
     flags = table(spark, sf, "events").select(errors.alias("errors"), large.alias("large"))
     return flag_counts(flags, ["errors", "large", "absent"])
+
+
+DRIFTED_SQL = """
+SELECT CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus ELSE 'rest' END AS status, o_orderkey,
+       CAST(o_custkey AS DOUBLE) AS o_custkey, o_orderdate AS placed,
+       CASE WHEN o_orderstatus = 'F' THEN left(o_orderpriority, 1) ELSE o_orderpriority END AS priority
+FROM orders"""
+
+
+@query("q43_drifting_files", DRIFTED_SQL)
+def drifting_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed in folders whose column types drift, read back as one table."""
+    orders, root = table(spark, sf, "orders"), f"{shared_folder(spark)}/drifting-{uuid.uuid4().hex}"
+    status, key = F.col("o_orderstatus"), F.col("o_custkey")
+    day, priority = F.col("o_orderdate"), F.col("o_orderpriority")
+    landed = {
+        "F": (status == "F", key.cast("int"), day.cast("date"), F.substring(priority, 1, 1).cast("smallint")),
+        "O": (status == "O", key.cast("bigint"), day, priority),
+        "rest": (~F.coalesce(status.isin("F", "O"), F.lit(False)), key.cast("double"), day, priority),
+    }
+    for name, (rows, k, placed, prio) in landed.items():
+        rows = orders.where(rows).select("o_orderkey", k.alias("o_custkey"), placed.alias("placed"), prio.alias("priority"))
+        rows.write.parquet(f"{root}/status={name}")
+    return read_drifting(spark, infer(spark, root))
