@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from ..operators.quality import (
     table_check,
     value_counts,
 )
-from .inputs import table
+from ..plans.backfill import backfill
+from ..session import shared_folder
+from .inputs import EVENT_TRIPS_SQL, event_trips, table
 from .registry import query
 from .tables import MASTER_SQL, NAMED_SQL, master_table, named_facts
 
@@ -50,6 +54,46 @@ def monthly_funnel(spark: SparkSession, sf: str) -> DataFrame:
     return audit_funnel(deliveries, "ym", "placed", "zone", month_tag("placed") == F.col("ym"), "day")
 
 
+@query(
+    "q18_written_funnel",
+    f"""
+WITH {EVENT_TRIPS_SQL},
+deliveries AS (
+  SELECT strftime(ts - INTERVAL 3 DAY, '%Y-%m') AS ym, CASE WHEN k % 10 <> 9 THEN ts END AS placed,
+         NULLIF(zone, 29) AS zone, secs, distance, fare, total
+  FROM trips),
+marked AS (
+  SELECT *, date_trunc('hour', placed) AS hour_ts, COALESCE(strftime(placed, '%Y-%m') = ym, FALSE) AS ok,
+         ok AND zone IS NOT NULL AS kept,
+         kept AND secs > 0 AND secs <= 14400 AND distance BETWEEN 0 AND 200 AND fare BETWEEN 0 AND 1000
+           AND total BETWEEN 0 AND 2000 AS sane
+  FROM deliveries)
+SELECT ym, COUNT(*) AS raw_rows, COUNT(*) FILTER (placed IS NULL) AS null_time_rows,
+       COUNT(*) FILTER (ok) AS in_scope_rows, COUNT(*) FILTER (ok AND zone IS NULL) AS null_key_rows,
+       COUNT(*) FILTER (kept) AS kept_rows, COUNT(*) FILTER (sane) AS sane_rows,
+       COUNT(DISTINCT CASE WHEN kept THEN (hour_ts, zone) END) AS group_rows,
+       COUNT(DISTINCT CASE WHEN sane THEN (hour_ts, zone) END) AS written_rows,
+       MIN(hour_ts) FILTER (kept) AS min_bucket, MAX(hour_ts) FILTER (kept) AS max_bucket
+FROM marked GROUP BY 1""",
+)
+def written_funnel(spark: SparkSession, sf: str) -> DataFrame:
+    """Event trips landed in monthly folders, three days late, and the funnel that their backfill returns."""
+    landing, facts = (f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}" for name in ("landing", "facts"))
+    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
+    trips = event_trips(spark, sf).withColumns(
+        {
+            "ym": month_tag(pickup - F.expr("INTERVAL 3 DAYS")),
+            "tpep_pickup_datetime": F.when((F.col("trip_distance") * 4) % 10 != 9, pickup),
+            "tpep_dropoff_datetime": F.when((F.col("trip_distance") * 4) % 10 != 9, dropoff),
+            "PULocationID": F.nullif(F.col("PULocationID"), F.lit(29)),
+        }
+    )
+    trips.write.partitionBy("ym").parquet(landing)
+    tags = [r["ym"] for r in trips.select("ym").distinct().collect()]  # a row for each month
+    months = [(int(ym[:4]), int(ym[5:])) for ym in sorted(tags)]
+    return backfill(spark, landing, months, facts, template="ym={year:04d}-{month:02d}").funnel_rows(spark)
+
+
 @query(
     "q20_master_check",
     f"""
