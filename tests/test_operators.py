@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.errors import PySparkException
@@ -254,7 +255,7 @@ def test_discover_keys(objects):
     only = discover_keys(objects, "value", prefix="", where=F.col("id") == 2)
     assert rows(only.select("key", "column_name")) == [("Trips", "trips")]
     text = projection_text(only).first()[0]
-    assert text == "get_json_object(value, '$.Trips') AS `trips`"
+    assert text == """try_variant_get(value, '$["Trips"]', 'string') AS `trips`"""
 
 
 def test_flatten_object(objects):
@@ -278,6 +279,43 @@ def test_flatten_variant(spark):
     assert got.columns == ["id", "v_a", "v_a_2"] and rows(got) == [(1, "5", "t")]
 
 
+ODD = {"a": 1, "A": 2, "a_2": 3, "a_3": 4, "a.b": 5, "it's": 6, 'say "x"': 7, "k[0]": [8, 9], "both ' and \"": 10, "back\\slash": 11, "tick`": 12, "$": 13, "é ü": 14}
+
+
+@pytest.mark.parametrize("variant", [True, False])
+@pytest.mark.parametrize("typed", [True, False])
+def test_odd_keys(spark, variant, typed):
+    df = spark.createDataFrame([(1, json.dumps(ODD)), (2, json.dumps({"a.b": -5, "a": {"b": 99}})), (3, "no json"), (4, None)], "id int, value string")
+    df = df.withColumn("value", F.try_parse_json("value")) if variant else df
+    named = discover_keys(df, "value", typed=typed)
+    names = {r["key"]: r["column_name"] for r in named.collect()}
+    assert set(names) == set(ODD)
+    assert (names["A"], names["a"], names["a_2"], names["a_3"]) == ("v_a", "v_a_4", "v_a_2", "v_a_3")
+    got = {r["id"]: r for r in flatten_object(df, "value", typed=typed).collect()}
+    for key, value in ODD.items():
+        found = got[1][names[key]]
+        if typed and key != "a":  # a holds a number and an object
+            assert found == value and type(found) is type(value)
+        else:
+            assert json.loads(found) == value
+    assert str(got[2][names["a.b"]]) == "-5" and json.loads(got[2][names["a"]]) == {"b": 99}
+    assert not any(got[3][n] for n in names.values()) and not any(got[4][n] for n in names.values())
+    # the text is SQL that does the same
+    source = "value" if variant else "try_parse_json(value)"
+    df.createOrReplaceTempView("odd_rows")
+    text = projection_text(named, source).first()[0]
+    plain = spark.sql(f"SELECT id, {text} FROM odd_rows").orderBy("id")
+    assert plain.collect() == [got[i] for i in (1, 2, 3, 4)] or not variant and not typed  # json_tuple writes text its own way
+
+
+def test_key_types(spark):
+    data = ['{"n": 1, "x": 1, "d": 1.5, "m": 1, "z": null, "o": {"q": 1}, "l": ["a"], "f": 1e300}', '{"n": 9999999999, "x": 2.25, "m": "t", "d": 0.125, "l": []}']
+    df = spark.createDataFrame([(v,) for v in data], "value string")
+    types = {r["key"]: r["type"] for r in discover_keys(df, "value", typed=True).collect()}
+    assert types["n"] == "bigint" and types["x"].startswith("decimal(") and types["d"] == "decimal(4,3)"
+    assert (types["m"], types["z"], types["o"], types["l"], types["f"]) == ("string", "string", "string", "array<string>", "double")
+
+
 def test_rows_to_array(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     assert [(r["k"], [i["v"] for i in r["items"]]) for r in rows_to_array(df, ["k"], ["v"]).orderBy("k").collect()] == [
