@@ -148,13 +148,16 @@ def _square(upper) -> np.ndarray:
     return m + np.triu(m, 1).T
 
 
-def _centred(upper) -> tuple[np.ndarray, np.ndarray]:
-    """Means and centred products from the products of (1, xs, y)."""
-    p = _square(upper)
+def _moments(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and centred products from the mean products of (1, xs, y)."""
     means = p[0, 1:]
     return means, p[1:, 1:] - np.outer(means, means)
 
 
+def _centred(upper) -> tuple[np.ndarray, np.ndarray]:
+    return _moments(_square(upper))
+
+
 def _solve(n: int, means: np.ndarray, products: np.ndarray) -> tuple:
     """Coefficients from centred moments; columns without variation get 0."""
     k = len(means) - 1
@@ -253,27 +256,60 @@ def _adf_p(stat: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
-@F.pandas_udf(T.IntegerType())
-def _best_lag(n: pd.Series, products: pd.Series, max_lag: pd.Series) -> pd.Series:
-    """Number of lagged differences with the least AIC, all tried on the same rows."""
-    out = []
-    for i, p, limit in zip(n, products, max_lag):
-        means, centred = _centred(p)
-        best = (math.inf, 0)
-        for lags in range(int(limit) + 1):
-            keep = [*range(lags + 1), len(means) - 1]
-            sse = _solve(i, means[keep], centred[np.ix_(keep, keep)])[3]
-            if sse is None:
-                continue
-            aic = (i * math.log(sse / i) if sse > 0 else -math.inf) + 2 * (lags + 2)
-            best = min(best, (aic, lags))
-        out.append(best[1])
-    return pd.Series(out)
+ADF = (
+    T.StructType()
+    .add("adf_stat", T.DoubleType())
+    .add("used_lag", T.IntegerType())
+    .add("n_obs", T.LongType())
+    .add("p_value", T.DoubleType())
+)
+
+
+def _errors_by_size(products: np.ndarray) -> list[float]:
+    """Squared error left by the first 1, 2, ... drivers of centred products (drivers, y), by one sweep.
+
+    A driver that the ones before it determine leaves the error as it is.
+    """
+    a = products.copy()
+    scale, out = np.diag(products).copy(), []
+    for j in range(len(a) - 1):
+        if a[j, j] > 1e-12 * scale[j]:
+            a -= np.outer(a[:, j], a[j]) / a[j, j]
+        out.append(max(a[-1, -1], 0.0))
+    return out
+
 
+def _unit_root(n: int, products, early, limit: int) -> tuple:
+    """Statistic, lagged differences used, observations and p-value of one series.
 
-@F.pandas_udf(T.DoubleType())
-def _adf_p_value(stat: pd.Series) -> pd.Series:
-    return stat.map(lambda s: None if s is None or math.isnan(s) else _adf_p(s)).astype(float)
+    ``products`` are means over the ``n`` rows that every lag count can use;
+    ``early`` holds the rows before them, (place, vector), which fewer lags
+    can use as well.
+    """
+    if n < 1:
+        return None, None, None, None
+    means, centred = _centred(products)
+    best = (math.inf, 0)
+    for lags, mean in enumerate(_errors_by_size(centred)[: limit + 1]):
+        if n < lags + 2:
+            break
+        aic = (n * math.log(mean) if mean > 0 else -math.inf) + 2 * (lags + 2)
+        best = min(best, (aic, lags))
+    used = best[1]
+    keep = [*range(used + 2), len(means)]
+    more = [np.asarray(r["v"], float)[[*range(used + 2), -1]] for r in early if r["i"] >= used + 2]
+    total = _square(products)[np.ix_(keep, keep)] * n + sum((np.outer(v, v) for v in more), np.zeros((used + 3, used + 3)))
+    count = n + len(more)
+    means, centred = _moments(total / count)
+    t = _solve(count, means, centred)[2]
+    stat = t[0] if t else None
+    return stat, used, count, None if stat is None else _adf_p(stat)
+
+
+@F.pandas_udf(ADF)
+def _unit_roots(n: pd.Series, products: pd.Series, early: pd.Series, limit: pd.Series) -> pd.DataFrame:
+    rows = [_unit_root(int(a), b, c, int(d)) for a, b, c, d in zip(n, products, early, limit)]
+    return pd.DataFrame(rows, columns=["adf_stat", "used_lag", "n_obs", "p_value"]).astype({"used_lag": "Int32", "n_obs": "Int64"})
 
 
 def default_max_lag(n: Column) -> Column:
@@ -282,6 +318,10 @@ def default_max_lag(n: Column) -> Column:
     return F.greatest(F.least(wide, F.floor(n / 2) - 2), F.lit(0)).cast("int")
 
 
+#: Earlier differences a row carries; the default of a series of 1.2 million observations needs no more.
+WIDEST_LAG = 128
+
+
 def adf_stat(
     df: DataFrame, y: str, t: str, keys: Sequence[str] = (), max_lag: int | None = None
 ) -> DataFrame:
@@ -289,27 +329,31 @@ def adf_stat(
 
     Per key: statistic, p-value, lagged differences used (least AIC up to the
     default for the series' length, or up to ``max_lag``), observations of the
-    final regression, and critical values.  Every series takes two fits, both
-    as aggregates over all series at once: one to choose the number of lags,
-    one with the chosen number on all rows it allows.
+    final regression, and critical values.
+
+    All series take one aggregate: cross-products of the rows that every lag
+    count can use, and the few rows before them.  One sweep over a series'
+    products yields the error of every lag count in turn; the chosen one is
+    then fitted on all rows it allows.  A default beyond ``WIDEST_LAG`` fails
+    the job; name ``max_lag`` for such series.
     """
     keys = list(keys)
     rows = df.select(*keys, F.col(t), F.col(y).cast("double").alias("_y")).filter(F.col("_y").isNotNull())
     if not keys:
         rows, keys = rows.withColumn("_series", F.lit(0)), ["_series"]
-    rows = stage(rows)
-    if max_lag is None:
-        longest = rows.groupBy(*keys).count().agg(default_max_lag(F.max("count")).alias("m"))
-        max_lag = longest.first()["m"] or 0
+    widest = WIDEST_LAG if max_lag is None else max_lag
 
     # Earlier differences are kept as one array, so the plan has the same size
     # for any number of lags.  The level is centred, and differences are by
     # nature, so the plain products below lose no digits.
     w, whole = over(keys, t), over(keys)
+    limit = default_max_lag(F.count(F.lit(1)).over(whole))
+    if max_lag is None:
+        limit = F.when(limit <= widest, limit).otherwise(F.raise_error(F.lit(f"name max_lag: more than {widest} lags by default")).cast("int"))
     base = rows.withColumns(
         {
             "_i": F.row_number().over(w),
-            "_limit": F.least(default_max_lag(F.count(F.lit(1)).over(whole)), F.lit(max_lag)),
+            "_limit": F.least(limit, F.lit(widest)),
             "_before": F.lag("_y", 1).over(w),
             "_mean": F.avg("_y").over(whole),
         }
@@ -318,24 +362,27 @@ def adf_stat(
         *keys, F.col(t), "_i", "_limit", (F.col("_before") - F.col("_mean")).alias("_level"),
         (F.col("_y") - F.col("_before")).alias("_diff"),
     )
-    earlier = F.reverse(F.collect_list("_diff").over(w.rowsBetween(-max(max_lag, 1), -1)))
-    base = base.withColumn("_earlier", earlier)
-
-    def design(rows: DataFrame, used: str) -> DataFrame:
-        """Vectors (1, level, ``used`` earlier differences, 0 for longer lags, difference)."""
-        blank = F.array_repeat(F.lit(0.0), F.lit(max_lag) - F.col(used))
-        lags = F.concat(F.slice("_earlier", 1, F.col(used)), blank)
-        vec = F.concat(F.array(F.lit(1.0), F.col("_level")), lags, F.array(F.col("_diff")))
-        return rows.filter(F.col("_i") >= F.col(used) + 2).withColumn("_vec", vec)
-
-    tried = _mean_products(
-        design(base, "_limit"), "_vec", keys, F.count(F.lit(1)).alias("n"), F.first("_limit").alias("_limit")
+    earlier = F.reverse(F.collect_list("_diff").over(w.rowsBetween(-max(widest, 1), -1)))
+    base = base.withColumn("_lags", F.slice(earlier, 1, F.col("_limit"))).filter("_i > 1")
+
+    # (1, level, earlier differences, difference); a row that has not all of them weighs nothing in the products
+    vec = F.concat(F.array(F.lit(1.0), F.col("_level")), F.col("_lags"), F.array(F.col("_diff")))
+    full = F.col("_i") >= F.col("_limit") + 2
+    base = base.select(*keys, "_i", "_limit", vec.alias("_v"), full.alias("_full"))
+    v = F.col("_v")
+    upper = F.flatten(F.transform(v, lambda a, i: F.transform(F.slice(v, i + 1, F.size(v)), lambda b: a * b)))
+    size = F.col("_limit") + 3
+    blank = F.array_repeat(F.lit(0.0), (size * (size + 1) / 2).cast("int"))
+    base = base.withColumns({"_o": F.when(F.col("_full"), upper).otherwise(blank), "_w": F.col("_full").cast("double")})
+    sums = base.groupBy(*keys).agg(
+        F.count_if("_full").alias("n"),
+        vector_to_array(Summarizer.mean(array_to_vector(F.col("_o")), F.col("_w"))).alias("products"),
+        F.collect_list(F.when(~F.col("_full"), F.struct(F.col("_i").alias("i"), v.alias("v")))).alias("early"),
+        F.first("_limit").alias("limit"),
     )
-    chosen = tried.select(*keys, _best_lag("n", "products", "_limit").alias("used_lag"))
-    final = fit_vectors(design(base.join(chosen, keys), "used_lag"), "_vec", keys, F.first("used_lag").alias("used_lag"))
-    out = final.select(*keys, F.get("t", F.lit(0)).alias("adf_stat"), "used_lag", F.col("n").alias("n_obs"))
+    out = sums.select(*keys, _unit_roots("n", "products", "early", "limit").alias("_a")).select(*keys, "_a.*")
     crit = {
         f"crit_{name[:-1]}": sum((F.lit(b) / F.pow("n_obs", F.lit(i)) for i, b in enumerate(bs) if i), F.lit(bs[0]))
         for name, bs in ADF_CRITICAL.items()
     }
-    return out.withColumn("p_value", _adf_p_value("adf_stat")).withColumns(crit).drop("_series")
+    return out.select(*keys, "adf_stat", "used_lag", "n_obs", "p_value").withColumns(crit).drop("_series")

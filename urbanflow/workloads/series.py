@@ -13,7 +13,7 @@ from ..operators.series import decompose_additive, last_n, resample_daily, time_
 from ..plans.analysis import daily_features, demand_ols, feature_correlation, prepare_series
 from ..schemas import DAILY_FEATURES, OLS_DRIVERS
 from .inputs import DAILY_SQL, daily_series, table
-from .least_squares import least_squares_sql, linear_sql
+from .least_squares import least_squares_sql, linear_sql, sse_after
 from .registry import query, rounded
 from .tables import MASTER_SQL, master_table
 
@@ -157,9 +157,45 @@ def lags(spark: SparkSession, sf: str) -> DataFrame:
     return with_lags(series, "trips", "day", [1, 7], BY, difference=True)
 
 
-@query("q27_unit_root")
+# Lags tried by default: 27 for the days that orders span; the SQL has room for some more.
+_LAGS = [f"e{k}" for k in range(1, 31)]
+_UNIT_ROOT_SQL = f"""{DAILY_SQL},
+steps AS (
+  SELECT borough, i, n, LAG(y) OVER w - AVG(y) OVER (PARTITION BY borough) AS lev, y - LAG(y) OVER w AS d,
+         GREATEST(LEAST(CAST(ceil(12 * power(n / CAST(100 AS DOUBLE), 0.25)) AS BIGINT), n // 2 - 2, 30), 0) AS most
+  FROM seq WINDOW w AS (PARTITION BY borough ORDER BY day)),
+wide AS (
+  SELECT *, {", ".join(f"LAG(d, {k}) OVER w AS b{k}" for k in range(1, 31))}
+  FROM steps WINDOW w AS (PARTITION BY borough ORDER BY i)),
+tried_rows_in AS (
+  SELECT borough, lev, d, most + 1 AS live, {", ".join(f"CASE WHEN most >= {k} THEN b{k} ELSE 0 END AS e{k}" for k in range(1, 31))}
+  FROM wide WHERE i >= most + 2),
+{least_squares_sql("tried_rows_in", "d", ("lev", *_LAGS), ("borough",), "tried", "live")},
+sizes AS ({" UNION ALL ".join(f"SELECT borough, n, {p - 1} AS lags, {sse_after(p, 31)} AS sse FROM tried_{p}" for p in range(1, 32))}),
+chosen AS (
+  SELECT borough, arg_min(lags, [n * ln(sse / n) + 2 * (lags + 2), lags]) AS used
+  FROM sizes JOIN (SELECT DISTINCT borough, most FROM steps) USING (borough) WHERE lags <= most GROUP BY 1),
+final_rows_in AS (
+  SELECT borough, lev, d, used + 1 AS live, {", ".join(f"CASE WHEN used >= {k} THEN b{k} ELSE 0 END AS e{k}" for k in range(1, 31))}
+  FROM wide JOIN chosen USING (borough) WHERE i >= used + 2),
+{least_squares_sql("final_rows_in", "d", ("lev", *_LAGS), ("borough",), "final", "live")},
+stats AS (
+  SELECT borough, n, used, coef[1] / sqrt(sse / (n - used - 2) * inverse[1]) AS stat FROM final JOIN chosen USING (borough))"""
+
+
+@query(
+    "q27_unit_root",
+    f"""
+WITH {_UNIT_ROOT_SQL}
+SELECT borough, CAST(n AS BIGINT) AS n_obs, CAST(used AS INTEGER) AS used_lag, ROUND(stat, 6) AS adf_stat,
+       ROUND(CAST(-3.43035 AS DOUBLE) - 6.5393 / n - 16.786 / (n * n) - 79.433 / (n * n * n), 8) AS crit_1,
+       ROUND(CAST(-2.86154 AS DOUBLE) - 2.8903 / n - 4.234 / (n * n) - 40.04 / (n * n * n), 8) AS crit_5,
+       ROUND(CAST(-2.56677 AS DOUBLE) - 1.5384 / n - 2.809 / (n * n), 8) AS crit_10
+FROM stats""",
+)
 def unit_root(spark: SparkSession, sf: str) -> DataFrame:
-    return adf_stat(daily_series(spark, sf), "trips", "day", BY)
+    result = adf_stat(daily_series(spark, sf), "trips", "day", BY).drop("p_value")
+    return rounded(rounded(result, 6, "adf_stat"), 8, "crit_1", "crit_5", "crit_10")
 
 
 @query(
