@@ -7,16 +7,25 @@ on external drivers, and, if asked, on lagged shocks.
 
 from __future__ import annotations
 
+import math
+import sys
+from collections import deque
 from collections.abc import Sequence
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import stage
 from .correlation import forecast_metrics
 from .regression import fit_by_key, fit_vectors, linear_score
 from .series import over, time_split, with_lags
 
+# The fold travels to the tasks, so the workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LAGS = (1, 7, 8)
 _SERIES = "_series"
 
@@ -107,7 +116,8 @@ def forecast_holdout(
 
     The forecast knows the drivers of the test rows but none of their demand:
     each step feeds on earlier forecasts.  The steps of one series run as a
-    fold over an array that holds one number per test day.
+    fold over one number per test day, whose state is the last ``max(lags)``
+    values.
     """
     rows, ks = _keyed(df, keys, t, y, part, *exog)
     is_train = F.col(part) == "train"
@@ -119,28 +129,20 @@ def forecast_holdout(
     known = linear_score([*exog, *shocks], first=len(lagged))
     scored = design.join(fits, ks, "left").withColumn("_known", F.col("intercept") + known)
 
+    # The fold starts from the last values of training, as many as the longest lag; no more of the history is gathered.
     depth = max(lags)
-    history = F.array_sort(F.collect_list(F.when(is_train, F.struct(F.col(t).alias("t"), F.col(y).alias("y")))))
-    future = F.array_sort(
-        F.collect_list(
-            F.when(~is_train, F.struct(F.col(t).alias("t"), F.col(y).alias("y"), F.col("_known").alias("k")))
-        )
+    from_end = F.row_number().over(over([*ks, part], F.desc(t)))
+    last = F.when(is_train & (F.col("_from_end") <= depth), F.struct(F.col(t).alias("t"), F.col(y).alias("y")))
+    future = F.when(~is_train, F.struct(F.col(t).alias("t"), F.col(y).alias("y"), F.col("_known").alias("k")))
+    series = scored.withColumn("_from_end", from_end).groupBy(*ks).agg(
+        F.array_sort(F.collect_list(last)).alias("_last"),
+        F.array_sort(F.collect_list(future)).alias("_steps"),
+        F.first("coef", ignorenulls=True).alias("coef"),
     )
-    series = scored.groupBy(*ks).agg(
-        history.alias("_past"), future.alias("_steps"), F.first("coef", ignorenulls=True).alias("coef")
+    start, known = F.transform("_last", lambda p: p["y"]), F.transform("_steps", lambda s: s["k"])
+    ahead = series.filter(F.size("_last") > 0).select(
+        *ks, "_steps", _fold(tuple(lags))(start, known, F.coalesce("coef", F.array().cast("array<double>"))).alias("_ahead")
     )
-
-    def step(path: Column, s: Column) -> Column:
-        ahead = s["k"]
-        for i, k in enumerate(lags):
-            ahead = ahead + F.get(F.col("coef"), i) * F.try_element_at(path, F.lit(-k))
-        return F.concat(path, F.array(ahead))
-
-    start = F.slice(F.transform("_past", lambda p: p["y"]), -F.least(F.lit(depth), F.size("_past")), depth)
-    grown = series.filter(F.size("_past") > 0).withColumn("_start", start).withColumn(
-        "_path", F.aggregate("_steps", F.col("_start"), step)
-    )
-    ahead = grown.withColumn("_ahead", F.slice("_path", F.size("_start") + 1, F.greatest(F.size("_steps"), F.lit(1))))
     lined = ahead.select(*ks, F.inline(F.arrays_zip("_steps", "_ahead")))
     out = lined.select(
         *ks, F.col("_steps.t").alias(t), F.col("_steps.y").alias(y), F.col("_ahead").alias("predicted")
@@ -148,6 +150,32 @@ def forecast_holdout(
     return out.drop(_SERIES)
 
 
+def _fold(lags: tuple[int, ...]):
+    """Forecasts step by step: what is known of a step, and the lag terms of the last ``max(lags)`` values.
+
+    These values are the whole state: each step drops the oldest and appends
+    its own forecast.  A step that lacks one of its lags is NULL.
+    """
+
+    def run(start: pd.Series, known: pd.Series, coef: pd.Series) -> pd.Series:
+        depth, out = max(lags), []
+        for first, steps, weights in zip(start, known, coef):
+            state = deque([math.nan] * depth, depth)
+            state.extend(math.nan if v is None else v for v in first)
+            weights = [math.nan if v is None else v for v in weights] or [math.nan] * len(lags)
+            path = []
+            for k in steps:
+                value = math.nan if k is None else k
+                for lag, weight in zip(lags, weights):
+                    value += weight * state[-lag]
+                state.append(value)
+                path.append(None if math.isnan(value) else value)
+            out.append(path)
+        return pd.Series(out, dtype=object)
+
+    return F.pandas_udf(run, T.ArrayType(T.DoubleType()))
+
+
 def backtest(
     df: DataFrame,
     y: str,

@@ -453,3 +453,42 @@ def backtest_metrics(spark: SparkSession, sf: str) -> DataFrame:
     series = daily_series(spark, sf).select("borough", "day", "trips")
     metrics, _ = backtest(series, "trips", "day", keys=BY, lags=(1, 7))
     return rounded(metrics, 6, "mae", "rmse", "mape")
+
+
+@query(
+    "q33_backtest_with_drivers",
+    f"""
+WITH RECURSIVE {_DRIVEN_SQL},
+cut AS (SELECT *, i <= floor(n * CAST(0.7 AS DOUBLE)) AS train FROM filled),
+levels AS (SELECT *, y - AVG(y) FILTER (train) OVER (PARTITION BY borough) AS dev FROM cut),
+past AS (
+  SELECT *, {", ".join(f"LAG(dev, {k}) OVER w AS d{k}" for k in range(1, 15))}
+  FROM levels WINDOW w AS (PARTITION BY borough ORDER BY day)),
+trained AS (SELECT * FROM past WHERE train),
+{least_squares_sql("trained", "dev", _PAST, ("borough",), "ar")},
+shocked AS (
+  SELECT past.*, CASE WHEN train THEN COALESCE(dev - ({linear_sql("ar", _PAST)}), 0) ELSE 0 END AS shock
+  FROM past JOIN ar ON past.borough = ar.borough),
+lagged AS (
+  SELECT borough, i, n, y, train, p1, p2, {", ".join(f"LAG(y, {k}) OVER w AS l{k}, LAG(shock, {k}) OVER w AS s{k}" for k in (1, 7, 8))}
+  FROM shocked WINDOW w AS (PARTITION BY borough ORDER BY day)),
+fitted AS (SELECT * FROM lagged WHERE train),
+{least_squares_sql("fitted", "y", _FULL, ("borough",), "fit")},
+known AS (
+  SELECT l.borough, i, y, coef, my - list_inner_product(coef, mx) + coef[4] * p1 + coef[5] * p2 + coef[6] * s1 + coef[7] * s7 + coef[8] * s8 AS k
+  FROM lagged l JOIN fit ON l.borough = fit.borough),
+ends AS (SELECT borough, MAX(i) AS i, ANY_VALUE(n) AS n, list(y ORDER BY i) AS ys FROM cut WHERE train GROUP BY 1),
+path AS (
+  SELECT borough, i, n, ys[len(ys) - 7 : len(ys)] AS h FROM ends
+  UNION ALL
+  SELECT p.borough, p.i + 1, p.n, list_append(p.h[2:8], k + coef[1] * p.h[8] + coef[2] * p.h[2] + coef[3] * p.h[1])
+  FROM path p JOIN known s ON s.borough = p.borough AND s.i = p.i + 1 WHERE p.i < p.n),
+scored AS (
+  SELECT s.borough, s.y, p.h[8] AS p FROM path p JOIN cut s ON s.borough = p.borough AND s.i = p.i WHERE NOT s.train)
+SELECT borough, {_METRICS_SQL.replace(", 6)", ", 4)")} FROM scored GROUP BY 1""",
+)
+def backtest_with_drivers(spark: SparkSession, sf: str) -> DataFrame:
+    """All terms: lags 1, 7 and 8, lagged shocks, and two drivers."""
+    series = daily_series(spark, sf).na.fill(0.0)
+    metrics, _ = backtest(series, "trips", "day", ["mean_price", "max_price"], BY, shock_lags=(1, 7, 8))
+    return rounded(metrics, 4, "mae", "rmse", "mape")
