@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from urbanflow.operators.forecast import backtest, forecast_direct, seasonal_arx, seasonal_naive
-from urbanflow.operators.regression import adf_stat, fit_by_key, ols, simple_ols
+from urbanflow.operators.regression import adf_stat, fit_by_key, ols, simple_ols, t_p_value, t_quantile
 
 D0 = dt.date(2024, 1, 1)
 
@@ -66,6 +66,46 @@ def test_ols(frame, data):
     assert s["log_likelihood"] == pytest.approx(llf) and s["aic"] == pytest.approx(6 - 2 * llf)
 
 
+def test_full_summary(frame, data):
+    y, a, b = (np.concatenate([data[k][i] for k in data]) for i in range(3))
+    x = np.column_stack([np.ones(len(y)), a, b])
+    coef, se, sse = least_squares(y, [a, b])
+    e = y - x @ coef
+    table, summary = ols(frame, "y", ["x1", "x2"], order="day", keys=["k"], diagnostics=True)
+    s = summary.first()
+    steps = sum(float((np.diff(part) ** 2).sum()) for part in np.split(e, [90]))
+    assert s["durbin_watson"] == pytest.approx(steps / sse, rel=1e-6)
+    m2, m3, m4 = ((e**p).mean() for p in (2, 3, 4))
+    assert (s["skew"], s["kurtosis"]) == (pytest.approx(m3 / m2**1.5, rel=1e-6), pytest.approx(m4 / m2**2, rel=1e-6))
+    jb = len(y) / 6 * (s["skew"] ** 2 + (s["kurtosis"] - 3) ** 2 / 4)
+    assert (s["jarque_bera"], s["jarque_bera_p"]) == (pytest.approx(jb), pytest.approx(math.exp(-jb / 2)))
+    assert s["cond_no"] == pytest.approx(np.linalg.cond(x), rel=1e-5)
+    for r in table.collect():
+        assert r["ci_low"] < r["coef"] < r["ci_high"]
+        assert (r["ci_high"] - r["ci_low"]) / 2 / r["std_err"] == pytest.approx(1.975, abs=2e-3)  # t of 157 degrees
+    assert s["f_p_value"] == pytest.approx((1 + 2 * s["f_stat"] / 157) ** (-157 / 2))  # exact for two drivers
+
+
+def test_t_distribution():
+    """Published table values of the t distribution."""
+    for dof, confidence, value in ((1, 0.95, 12.7062), (5, 0.95, 2.5706), (10, 0.99, 3.1693), (30, 0.9, 1.6973), (1000, 0.95, 1.9623)):
+        assert t_quantile(confidence, dof) == pytest.approx(value, abs=6e-5)
+        assert t_p_value(value, dof) == pytest.approx(1 - confidence, abs=2e-5)
+        assert t_p_value(-value, dof) == t_p_value(value, dof)
+    assert t_p_value(0.0, 7) == 1 and t_p_value(1.0, 1) == pytest.approx(0.5)
+
+
+def test_perfect_and_tiny_fits(spark):
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(6)], "x double, y double")
+    table, summary = ols(df, "y", ["x"], diagnostics=True)
+    got = {r["term"]: r["coef"] for r in table.collect()}
+    assert got["x"] == pytest.approx(2) and got["const"] == pytest.approx(1) and summary.first()["r2"] == pytest.approx(1)
+    table, summary = ols(df.limit(2), "y", ["x"])
+    assert table.first()["std_err"] is None and summary.first()["adj_r2"] is None
+    with pytest.raises(ValueError):
+        ols(df.limit(0), "y", ["x"])
+
+
 def test_ols_with_idle_and_redundant_drivers(frame, data):
     idle = frame.withColumn("flat", F.lit(1.0))
     table, summary = ols(idle, "y", ["x1", "flat", "x2"])

@@ -12,17 +12,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
 from pyspark import cloudpickle
-from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stage
 from .series import over
 
 # The small solvers below travel to the tasks with the functions that call
@@ -34,46 +30,163 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # ---------------------------------------------------------------------------
 
 
-def ols(df: DataFrame, y: str, xs: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def ols(
+    df: DataFrame,
+    y: str,
+    xs: Sequence[str],
+    order: str | None = None,
+    keys: Sequence[str] = (),
+    confidence: float = 0.95,
+    diagnostics: bool = False,
+) -> tuple[DataFrame, DataFrame]:
     """Ordinary least squares with a constant: coefficient table and model summary.
 
     Rows with a NULL are left out.  A driver that never varies says nothing
     beyond the constant: its coefficient is 0, without error or t value.
-    Drivers that determine each other have no single answer; their errors are
-    then missing or huge.  Both results are small: one row per coefficient, and
-    one row.
+    Drivers that determine each other have no single answer; one of least size
+    is given, without errors.  Both results are small: one row per coefficient
+    with its interval, and one row.
+
+    The fit is one aggregate of covariances, of fixed size.  ``diagnostics``
+    adds one more over the residuals: skew, kurtosis and the Jarque-Bera test
+    of normality, and with ``order`` the Durbin-Watson statistic of residuals
+    that follow each other in that order; several series are told apart by
+    ``keys``.  A residual's predecessor is found in a window, so a series stands
+    in one task: it is a series of days, not of raw rows.
     """
-    rows = df.select(F.col(y).cast("double").alias("_y"), *[F.col(x).cast("double").alias(x) for x in xs])
-    rows = stage(rows.na.drop())
-    span = rows.agg(*[(F.min(x) < F.max(x)).alias(x) for x in xs]).first()
-    live = [x for x in xs if span[x]]
-    if not live:
+    xs = list(xs)
+    names = [f"_c{i}" for i in range(len(xs) + 1)]
+    columns = [F.col(f"`{c}`").cast("double").alias(n) for c, n in zip([*xs, y], names)]
+    rows = df.select(*columns, *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate([*keys, *([order] if order else [])])])
+    rows = rows.na.drop("any", subset=names)
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    found = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+        *[F.covar_pop(names[i], names[j]).alias(f"s{i}_{j}") for i, j in pairs],
+    ).first()
+    n, k = found["n"], len(xs)
+    if not n:
+        raise ValueError("no row without NULL")
+    means = np.array([found[f"m{i}"] for i in range(k + 1)])
+    cov = np.zeros((k + 1, k + 1))
+    for i, j in pairs:
+        cov[i, j] = cov[j, i] = found[f"s{i}_{j}"]
+    scale = np.sqrt(np.maximum(np.diag(cov)[:k], 0))
+    live = np.flatnonzero(scale > 1e-12 * np.abs(means[:k]))
+    if not len(live):
         raise ValueError("no driver varies")
-    data = VectorAssembler(inputCols=live, outputCol="_x").transform(rows)
-    model = LinearRegression(featuresCol="_x", labelCol="_y", solver="normal", regParam=0.0).fit(data)
-    s = model.summary
-    estimates = [*map(float, model.coefficients), float(model.intercept)]
-    try:
-        errors = [list(map(float, v)) for v in (s.coefficientStandardErrors, s.tValues, s.pValues)]
-    except UnsupportedOperationException:
-        errors = [[None] * len(estimates)] * 3
-    found = dict(zip([*live, "const"], zip(estimates, *errors)))
+
+    s = scale[live]
+    unit = cov[np.ix_(live, live)] / np.outer(s, s)
+    inverse = np.linalg.pinv(unit, rcond=1e-12, hermitian=True) / np.outer(s, s)
+    slopes = inverse @ cov[live, k]
+    sse = float(n * max(cov[k, k] - slopes @ cov[live, k], 0.0))
+    sst, dof = float(n * cov[k, k]), n - len(live) - 1
+    estimates = [*slopes, means[k] - slopes @ means[live]]
+    single = np.linalg.eigvalsh(unit)[0] > 1e-10
+    spread = [*np.diag(inverse), 1 + means[live] @ inverse @ means[live]] if single and dof > 0 else [math.nan] * len(estimates)
+    errors = [math.sqrt(v * sse / dof / n) if v >= 0 else math.nan for v in spread]
+    reach = t_quantile(confidence, dof) if dof > 0 else math.nan
+    table = {}
+    for term, b, e in zip([*(xs[i] for i in live), "const"], estimates, errors):
+        t = b / e if e else math.nan
+        table[term] = (float(b), *map(_known, (e, t, t_p_value(t, dof) if dof > 0 else math.nan, b - reach * e, b + reach * e)))
     spark = df.sparkSession
     coefficients = spark.createDataFrame(
-        [(term, *found.get(term, (0.0, None, None, None))) for term in [*xs, "const"]],
-        "term string, coef double, std_err double, t double, p_value double",
+        [(term, *table.get(term, (0.0, None, None, None, None, None))) for term in [*xs, "const"]],
+        "term string, coef double, std_err double, t double, p_value double, ci_low double, ci_high double",
     )
-    n, k = s.numInstances, len(live)
-    sse = s.meanSquaredError * n
+
+    m = len(live)
+    r2 = 1 - sse / sst if sst > 0 else 0.0
     loglik = -n / 2 * (math.log(2 * math.pi) + math.log(sse / n) + 1) if sse > 0 else math.inf
-    f_stat = (s.r2 / k) / ((1 - s.r2) / (n - k - 1)) if s.r2 < 1 and n > k + 1 else math.inf
-    adjusted = 1 - (1 - s.r2) * (n - 1) / (n - k - 1) if n > k + 1 else None
-    summary = spark.createDataFrame(
-        [(n, n - k - 1, s.r2, adjusted, f_stat, loglik, 2 * (k + 1) - 2 * loglik, (k + 1) * math.log(n) - 2 * loglik)],
+    f_stat = (r2 / m) / ((1 - r2) / dof) if r2 < 1 and dof > 0 else math.inf
+    adjusted = 1 - (1 - r2) * (n - 1) / dof if dof > 0 else None
+    f_p = _incomplete_beta(dof / 2, m / 2, dof / (dof + m * f_stat)) if math.isfinite(f_stat) else 0.0
+    row = [n, dof, r2, adjusted, f_stat, loglik, 2 * (m + 1) - 2 * loglik, (m + 1) * math.log(n) - 2 * loglik, f_p]
+    row.append(_condition(n, means[live], cov[np.ix_(live, live)]))
+    layout = (
         "n bigint, df_resid bigint, r2 double, adj_r2 double, f_stat double, log_likelihood double, "
-        "aic double, bic double",
+        "aic double, bic double, f_p_value double, cond_no double"
     )
-    return coefficients, summary
+    if diagnostics:
+        weights = [(names[i], float(b)) for i, b in zip(live, slopes)]
+        row += _residual_tests(rows, names[k], weights, float(estimates[-1]), [f"_k{i}" for i in range(len(keys))], f"_k{len(keys)}" if order else None)
+        layout += ", skew double, kurtosis double, jarque_bera double, jarque_bera_p double, durbin_watson double"
+    row = [v if v is None or isinstance(v, int) else None if math.isnan(v) else float(v) for v in row]
+    return coefficients, spark.createDataFrame([tuple(row)], layout)
+
+
+def _known(v: float) -> float | None:
+    return float(v) if math.isfinite(v) else None
+
+
+def _condition(n: int, means: np.ndarray, cov: np.ndarray) -> float:
+    """Condition number of the design with its constant: root of the ratio of the extreme eigenvalues of its products."""
+    full = np.empty((len(means) + 1, len(means) + 1))
+    full[0, 0], full[0, 1:], full[1:, 0] = 1, means, means
+    full[1:, 1:] = cov + np.outer(means, means)
+    values = np.linalg.eigvalsh(full * n)
+    return math.sqrt(values[-1] / values[0]) if values[0] > 0 else math.inf
+
+
+def _residual_tests(
+    rows: DataFrame, y: str, weights: Sequence[tuple[str, float]], constant: float, keys: Sequence[str], order: str | None
+) -> list[float]:
+    """Skew, kurtosis, Jarque-Bera with its p-value, and Durbin-Watson, from one aggregate over the residuals."""
+    fitted = sum((F.col(c) * F.lit(b) for c, b in weights), F.lit(constant))
+    e = F.col("_e")
+    rows = rows.select(*keys, *([order] if order else []), (F.col(y) - fitted).alias("_e"))
+    step = F.lit(None).cast("double")
+    if order:
+        rows = rows.withColumn("_step", e - F.lag(e, 1).over(over(list(keys), order)))
+        step = F.col("_step")
+    powers = [F.avg(F.pow(e, F.lit(p))).alias(f"m{p}") for p in (2, 3, 4)]
+    r = rows.agg(F.count(e).alias("n"), *powers, F.sum(e * e).alias("ss"), F.sum(step * step).alias("steps")).first()
+    if not r["m2"]:
+        return [math.nan] * 5
+    skew, kurtosis = r["m3"] / r["m2"] ** 1.5, r["m4"] / r["m2"] ** 2
+    jb = r["n"] / 6 * (skew**2 + (kurtosis - 3) ** 2 / 4)
+    dw = r["steps"] / r["ss"] if r["steps"] is not None else math.nan
+    return [skew, kurtosis, jb, math.exp(-jb / 2), dw]
+
+
+def _incomplete_beta(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function, by its continued fraction (Lentz's evaluation)."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - _incomplete_beta(b, a, 1 - x)
+    tiny, c, d = 1e-300, 1.0, 1 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    value = d
+    for i in range(1, 10_000):
+        last = value
+        for term in (i * (b - i) * x / ((a + 2 * i - 1) * (a + 2 * i)), -(a + i) * (a + b + i) * x / ((a + 2 * i) * (a + 2 * i + 1))):
+            d, c = 1 + term * d, 1 + term / c
+            d, c = 1 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            value *= d * c
+        if abs(value - last) < 1e-15 * abs(value):
+            break
+    front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    return math.exp(front) * value / a
+
+
+def t_p_value(t: float, dof: int) -> float:
+    """Probability of a t value at least as far from 0."""
+    return math.nan if math.isnan(t) else _incomplete_beta(dof / 2, 0.5, dof / (dof + t * t))
+
+
+def t_quantile(confidence: float, dof: int) -> float:
+    """The t value within which ``confidence`` of the distribution lies."""
+    low, high = 0.0, 1.0
+    while t_p_value(high, dof) > 1 - confidence:
+        high *= 2
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if t_p_value(mid, dof) > 1 - confidence else (low, mid)
+    return (low + high) / 2
 
 
 def simple_ols(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -64,8 +64,8 @@ def daily_features(series: DataFrame, keys: Sequence[str] = ("borough",), ts: st
 
 
 def demand_ols(features: DataFrame, drivers: Sequence[str] = OLS_DRIVERS) -> tuple[DataFrame, DataFrame]:
-    """Regression of daily trips on weather and complaints; see ``ols``."""
-    return ols(features, "trips", drivers)
+    """Regression of daily trips on weather and complaints with its full summary; see ``ols``."""
+    return ols(features, "trips", drivers, order="day", keys=["borough"], diagnostics=True)
 
 
 # Lags of demand and of shocks: the day before, the same weekday, and their product term.

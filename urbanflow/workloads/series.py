@@ -62,12 +62,6 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(daily_features(prepare_series(master_table(spark, sf))), 8, *_ROUNDED)
 
 
-@query("q28_demand_ols")
-def demand_regression(spark: SparkSession, sf: str) -> DataFrame:
-    """The seven-driver regression on the daily features of all boroughs."""
-    return demand_ols(daily_features(prepare_series(master_table(spark, sf))))[0]
-
-
 @query("q23_densified_series", f"WITH {DAILY_SQL} SELECT borough, day, trips FROM daily")
 def densified_series(spark: SparkSession, sf: str) -> DataFrame:
     return daily_series(spark, sf).select("borough", "day", "trips")
@@ -275,7 +269,7 @@ SELECT term, ROUND(coef, 6) AS coef, ROUND(std_err, 6) AS std_err, ROUND(coef /
 )
 def ols_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     coefficients, _ = ols(daily_series(spark, sf), "trips", ["mean_price", "max_price"])
-    return rounded(rounded(coefficients.drop("p_value"), 6, "coef", "std_err"), 4, "t")
+    return rounded(rounded(coefficients.select("term", "coef", "std_err", "t"), 6, "coef", "std_err"), 4, "t")
 
 
 # On larger tables every day has extreme weather; a driver that never varies has no coefficient to compare.
@@ -295,10 +289,70 @@ SELECT term, ROUND(coef, 6) AS coef, ROUND(std_err, 6) AS std_err, ROUND(coef /
 )
 def demand_fit(spark: SparkSession, sf: str) -> DataFrame:
     coefficients, _ = demand_ols(daily_features(prepare_series(master_table(spark, sf))), _VARYING)
-    drivers = coefficients.where("term <> 'const'").drop("p_value")
+    drivers = coefficients.where("term <> 'const'").select("term", "coef", "std_err", "t")
     return rounded(rounded(drivers, 6, "coef", "std_err"), 4, "t")
 
 
+# Extreme weather of just one code, so that it varies from day to day in tables of any size.
+_VARIED_SQL = _FEATURES_SQL.replace("MAX(extreme_weather)", "CAST(MAX(CASE WHEN snow_code = 18 THEN 1 ELSE 0 END) AS INTEGER)")
+_DEMAND_SQL = f"""{_VARIED_SQL},
+pooled AS (SELECT 1 AS one, * FROM known),
+{least_squares_sql("pooled", "trips", OLS_DRIVERS, ("one",), "fit")},
+errors AS (
+  SELECT fit.*, n - 8 AS dof, sse / (n - 8) AS s2,
+         list_inner_product(fit.mx, list_transform(m, lambda r: list_inner_product(r[9:15], fit.mx))) AS around
+  FROM fit JOIN (SELECT one, m FROM fit_7) USING (one))"""
+
+
+def varied_features(spark: SparkSession, sf: str) -> DataFrame:
+    rows = prepare_series(master_table(spark, sf))
+    return daily_features(rows.withColumn("extreme_weather", F.when(F.col("snow_code") == 18, 1).otherwise(0)))
+
+
+@query(
+    "q28_demand_ols",
+    f"""
+WITH {_DEMAND_SQL},
+terms AS (
+  SELECT unnest([{", ".join(f"'{x}'" for x in OLS_DRIVERS)}]) AS term, unnest(coef) AS coef,
+         unnest(list_transform(inverse, lambda v: sqrt(s2 * v))) AS std_err FROM errors
+  UNION ALL SELECT 'const', my - list_inner_product(coef, mx), sqrt(s2 * (CAST(1 AS DOUBLE) / n + around)) FROM errors)
+SELECT term, ROUND(coef, 5) AS coef, ROUND(std_err, 5) AS std_err, ROUND(coef / std_err, 4) AS t FROM terms""",
+)
+def demand_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """The seven-driver regression on the daily features of all boroughs."""
+    terms = demand_ols(varied_features(spark, sf))[0].select("term", "coef", "std_err", "t")
+    return rounded(rounded(terms, 5, "coef", "std_err"), 4, "t")
+
+
+@query(
+    "q28_demand_summary",
+    f"""
+WITH {_DEMAND_SQL},
+residuals AS (
+  SELECT borough, day, trips - ({linear_sql("fit", OLS_DRIVERS)}) AS e FROM known, fit),
+moments AS (
+  SELECT AVG(e * e) AS m2, AVG(e * e * e) AS m3, AVG(e * e * e * e) AS m4, SUM(e * e) AS ss, SUM(step * step) AS steps
+  FROM (SELECT *, e - LAG(e) OVER (PARTITION BY borough ORDER BY day) AS step FROM residuals)),
+tests AS (SELECT *, m3 / power(m2, 1.5) AS skew, m4 / (m2 * m2) AS kurtosis, steps / ss AS dw FROM moments),
+summary AS (
+  SELECT n, dof, 1 - sse / syy AS r2, -n / CAST(2 AS DOUBLE) * (ln(2 * pi()) + ln(sse / n) + 1) AS ll, skew, kurtosis, dw,
+         n / CAST(6 AS DOUBLE) * (skew * skew + (kurtosis - 3) * (kurtosis - 3) / 4) AS jb
+  FROM errors, tests)
+SELECT CAST(n AS BIGINT) AS n, CAST(dof AS BIGINT) AS df_resid, ROUND(r2, 8) AS r2, ROUND(1 - (1 - r2) * (n - 1) / dof, 8) AS adj_r2,
+       ROUND((r2 / 7) / ((1 - r2) / dof), 4) AS f_stat, ROUND(ll, 4) AS log_likelihood, ROUND(16 - 2 * ll, 4) AS aic,
+       ROUND(8 * ln(n) - 2 * ll, 4) AS bic, ROUND(skew, 6) AS skew, ROUND(kurtosis, 6) AS kurtosis, ROUND(jb, 4) AS jarque_bera,
+       ROUND(exp(-jb / 2), 6) AS jarque_bera_p, ROUND(dw, 6) AS durbin_watson
+FROM summary""",
+)
+def demand_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit and residual tests of that regression."""
+    row = demand_ols(varied_features(spark, sf))[1].drop("f_p_value", "cond_no")
+    row = rounded(row, 8, "r2", "adj_r2")
+    row = rounded(row, 4, "f_stat", "log_likelihood", "aic", "bic", "jarque_bera")
+    return rounded(row, 6, "skew", "kurtosis", "jarque_bera_p", "durbin_watson")
+
+
 # --- forecasts --------------------------------------------------------------
 
 
