@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from urbanflow.operators.forecast import backtest, forecast_direct, seasonal_arx, seasonal_naive
-from urbanflow.operators.regression import adf_stat, fit_by_key, ols, simple_ols, t_p_value, t_quantile
+from urbanflow.operators.forecast import backtest, forecast_direct, seasonal_arx, seasonal_naive, seasonal_summary
+from urbanflow.operators.regression import adf_stat, chi2_p_value, fit_by_key, ols, simple_ols, t_p_value, t_quantile
 
 D0 = dt.date(2024, 1, 1)
 
@@ -182,6 +182,33 @@ def test_adf_of_one_series_and_p_value(spark, data):
     assert r["p_value"] > 0.05 and (r["adf_stat"] < r["crit_5"]) == (r["p_value"] < 0.05)
 
 
+def test_seasonal_summary(frame, data):
+    fits, predicted = seasonal_arx(frame, "y", "day", ["x1", "x2"], ["k"])
+    got = {r["k"]: r for r in seasonal_summary(fits, predicted, "y", "day", ["k"], lags=5).collect()}
+    for key, (y, a, b) in data.items():
+        x = np.column_stack([np.ones(len(y) - 8), *(y[8 - k : len(y) - k] for k in (1, 7, 8)), a[8:], b[8:]])
+        coef, *_ = np.linalg.lstsq(x, y[8:], rcond=None)
+        e = y[8:] - x @ coef
+        n, r = len(e), got[key]
+        ll = -n / 2 * (math.log(2 * math.pi * (e @ e) / n) + 1)
+        assert (r["n"], r["terms"]) == (n, 6) and r["log_likelihood"] == pytest.approx(ll)
+        assert (r["aic"], r["bic"]) == (pytest.approx(12 - 2 * ll), pytest.approx(6 * math.log(n) - 2 * ll))
+        e = e - e.mean()
+        acf = [float(e[k:] @ e[:-k] / (e @ e)) for k in range(1, 6)]
+        assert r["autocorrelations"] == pytest.approx(acf, abs=1e-8)
+        q = n * (n + 2) * sum(v * v / (n - k) for k, v in enumerate(acf, 1))
+        assert r["ljung_box"] == pytest.approx(q) and r["ljung_box_p"] == pytest.approx(chi2_p_value(q, 5))
+    one, _ = seasonal_arx(frame.where("k = 'a'").drop("k"), "y", "day"), None
+    assert seasonal_summary(*one, "y", "day").count() == 1
+
+
+def test_chi2():
+    """Published table values."""
+    for dof, value, p in ((1, 3.8415, 0.05), (2, 5.9915, 0.05), (5, 11.0705, 0.05), (10, 23.2093, 0.01), (7, 14.0671, 0.05)):
+        assert chi2_p_value(value, dof) == pytest.approx(p, abs=2e-6)
+    assert chi2_p_value(0.0, 3) == 1
+
+
 def test_seasonal_model(frame, data):
     fits, predicted = seasonal_arx(frame, "y", "day", ["x1", "x2"], ["k"])
     coefs = {r["k"]: r for r in fits.collect()}

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..session import stage
 from .correlation import forecast_metrics
-from .regression import fit_by_key, fit_vectors, linear_score
+from .regression import chi2_p_value, fit_by_key, fit_vectors, linear_score
 from .series import over, time_split, with_lags
 
 # The fold travels to the tasks, so the workers need not have this package installed.
@@ -102,6 +102,54 @@ def seasonal_arx(
     return fits.drop(_SERIES), out
 
 
+def seasonal_summary(
+    fits: DataFrame, predicted: DataFrame, y: str, t: str, keys: Sequence[str] = (), lags: int = 10
+) -> DataFrame:
+    """Per series how well a model fits and what its residuals still hold; takes the results of ``seasonal_arx``.
+
+    Rows used, terms with the constant, R2, log likelihood, AIC and BIC of
+    normal errors, residual autocorrelations of lags 1 to ``lags`` as an array,
+    the Ljung-Box test that they are all 0, and skew, kurtosis and the
+    Jarque-Bera test of the residuals.  All autocorrelations of all series take
+    one aggregate.  A model without error has no statistics of residuals.
+    """
+    ks = list(keys)
+    rows = predicted.select(*ks, F.col(t), (F.col(y) - F.col("predicted")).alias("_raw")).where("_raw is not null")
+    if not ks:
+        rows, fits, ks = rows.withColumn(_SERIES, F.lit(0)), fits.withColumn(_SERIES, F.lit(0)), [_SERIES]
+    w = over(ks, t)
+    rows = rows.withColumn("_e", F.col("_raw") - F.avg("_raw").over(over(ks)))
+    e = F.col("_e")
+    rows = rows.withColumn("_with", F.array(*[e * F.lag(e, k).over(w) for k in range(1, lags + 1)]))
+    powers = {f"_m{p}": F.avg(F.pow(e, F.lit(p))) for p in (2, 3, 4)}
+    together = F.array(*[F.coalesce(F.sum(F.get("_with", F.lit(k))), F.lit(0.0)) for k in range(lags)])
+    sums = rows.groupBy(*ks).agg(F.sum(e * e).alias("_ss"), together.alias("_p"), *[c.alias(n) for n, c in powers.items()])
+    n, terms = F.col("n"), F.size("coef") + 1
+    loglik = -n / F.lit(2.0) * (F.log(F.lit(2 * math.pi)) + F.log(F.try_divide("sse", n)) + 1)
+    joined = fits.select(*ks, n, terms.cast("long").alias("terms"), "r2", loglik.alias("log_likelihood")).join(sums, ks)
+    ll = F.col("log_likelihood")
+    joined = joined.withColumns({"aic": 2 * F.col("terms") - 2 * ll, "bic": F.col("terms") * F.log(n) - 2 * ll})
+    joined = joined.withColumn("autocorrelations", F.transform("_p", lambda p: F.try_divide(p, F.col("_ss"))))
+    parts = F.transform("autocorrelations", lambda r, k: r * r / (n - k - 1))
+    box = n * (n + 2) * F.aggregate(parts, F.lit(0.0), lambda a, b: a + b)
+    skew, kurtosis = F.try_divide("_m3", F.pow("_m2", F.lit(1.5))), F.try_divide("_m4", F.col("_m2") * F.col("_m2"))
+    joined = joined.withColumns({"ljung_box": box, "skew": skew, "kurtosis": kurtosis})
+    normal = n / F.lit(6.0) * (F.pow("skew", F.lit(2)) + F.pow(F.col("kurtosis") - 3, F.lit(2)) / 4)
+    out = joined.withColumns({"ljung_box_p": _chi2_p(lags)("ljung_box"), "jarque_bera": normal})
+    return out.select(
+        *ks, "n", "terms", "r2", "log_likelihood", "aic", "bic", "autocorrelations", "ljung_box", "ljung_box_p",
+        "skew", "kurtosis", "jarque_bera", F.exp(-F.col("jarque_bera") / 2).alias("jarque_bera_p"),
+    ).drop(_SERIES)
+
+
+def _chi2_p(dof: int):
+    def run(value: pd.Series) -> pd.Series:
+        out = [None if v is None or math.isnan(v) else chi2_p_value(v, dof) for v in value]
+        return pd.Series(out, dtype="Float64")
+
+    return F.pandas_udf(run, T.DoubleType())
+
+
 def forecast_holdout(
     df: DataFrame,
     y: str,

@@ -173,6 +173,18 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
     return math.exp(front) * value / a
 
 
+def chi2_p_value(value: float, dof: int) -> float:
+    """Probability of a chi-squared value at least as large: the tail for one or two degrees, and a term for every two more."""
+    if math.isnan(value) or value < 0:
+        return math.nan
+    half = value / 2
+    tail, a = (math.exp(-half), 1.0) if dof % 2 == 0 else (math.erfc(math.sqrt(half)), 0.5)
+    while a < dof / 2:
+        tail += math.exp(a * math.log(half) - half - math.lgamma(a + 1)) if half > 0 else 0.0
+        a += 1
+    return min(tail, 1.0)
+
+
 def t_p_value(t: float, dof: int) -> float:
     """Probability of a t value at least as far from 0."""
     return math.nan if math.isnan(t) else _incomplete_beta(dof / 2, 0.5, dof / (dof + t * t))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.text import label, unquote
 from ..functions.times import parse_time, time_from_parts
 from ..operators.correlation import corr_matrix
-from ..operators.forecast import backtest, forecast_direct, seasonal_arx
+from ..operators.forecast import backtest, forecast_direct, seasonal_arx, seasonal_summary
 from ..operators.predicates import drop_nulls
 from ..operators.regression import ols
 from ..operators.series import resample_daily
@@ -82,6 +82,17 @@ def demand_model(
     return seasonal_arx(features, "trips", "day", drivers, keys, DEMAND_LAGS, shock_lags)
 
 
+def demand_summary(
+    features: DataFrame,
+    keys: Sequence[str] = ("borough",),
+    drivers: Sequence[str] = SEASONAL_DRIVERS,
+    shock_lags: Sequence[int] = DEMAND_LAGS,
+) -> DataFrame:
+    """Fit and residual tests of the seasonal model of each series; see ``seasonal_summary``."""
+    fits, predicted = demand_model(features, keys, drivers, shock_lags)
+    return seasonal_summary(fits, predicted, "trips", "day", keys)
+
+
 def demand_backtest(
     features: DataFrame,
     keys: Sequence[str] = ("borough",),

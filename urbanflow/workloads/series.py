@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.correlation import corr_matrix, forecast_metrics
-from ..operators.forecast import backtest, forecast_direct, seasonal_arx, seasonal_naive
+from ..operators.forecast import backtest, forecast_direct, seasonal_arx, seasonal_naive, seasonal_summary
 from ..operators.predicates import drop_nulls
 from ..operators.regression import adf_stat, fit_by_key, ols, simple_ols
 from ..operators.series import decompose_additive, last_n, resample_daily, time_split, with_lags
@@ -440,6 +442,45 @@ def seasonal_model(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(predicted, 6, "predicted")
 
 
+_CHI2_TAIL = " + ".join(f"power(q / 2, {i}) / {math.factorial(i)}" for i in range(5))
+
+
+@query(
+    "q32_model_summary",
+    f"""
+WITH {LAGGED_SQL},{two_driver_sql('lagged', 'y', 'l1', 'l7', 'borough')},
+resid AS (
+  SELECT l.borough, day, y - (c0 + ca * l1 + cb * l7) AS raw FROM lagged l JOIN fit f ON l.borough = f.borough WHERE l7 IS NOT NULL),
+centred AS (SELECT borough, day, raw - AVG(raw) OVER (PARTITION BY borough) AS e FROM resid),
+products AS (
+  SELECT *, {", ".join(f"e * LAG(e, {k}) OVER w AS p{k}" for k in range(1, 11))}
+  FROM centred WINDOW w AS (PARTITION BY borough ORDER BY day)),
+residual_moments AS (
+  SELECT borough, AVG(e * e) AS m2, AVG(e * e * e) AS m3, AVG(e * e * e * e) AS m4,
+         [{", ".join(f"SUM(p{k}) / SUM(e * e)" for k in range(1, 11))}] AS r
+  FROM products GROUP BY 1),
+tests AS (
+  SELECT fit.*, r, m3 / power(m2, 1.5) AS skew, m4 / (m2 * m2) AS kurtosis,
+         n * (n + 2) * list_sum(list_transform(r, lambda v, k: v * v / (n - k))) AS q,
+         -n / CAST(2 AS DOUBLE) * (ln(2 * pi()) + ln(sse / n) + 1) AS ll
+  FROM fit JOIN residual_moments USING (borough))
+SELECT borough, n, CAST(3 AS BIGINT) AS terms, ROUND(1 - sse / (n * syy), 8) AS r2, ROUND(ll, 4) AS log_likelihood,
+       ROUND(6 - 2 * ll, 4) AS aic, ROUND(3 * ln(n) - 2 * ll, 4) AS bic, ROUND(r[1], 6) AS r1, ROUND(r[10], 6) AS r10,
+       ROUND(q, 4) AS ljung_box, ROUND(exp(-q / 2) * ({_CHI2_TAIL}), 6) AS ljung_box_p, ROUND(skew, 6) AS skew,
+       ROUND(kurtosis, 6) AS kurtosis,
+       ROUND(n / CAST(6 AS DOUBLE) * (skew * skew + (kurtosis - 3) * (kurtosis - 3) / 4), 4) AS jarque_bera
+FROM tests""",
+)
+def model_summary(spark: SparkSession, sf: str) -> DataFrame:
+    series = daily_series(spark, sf).select("borough", "day", "trips")
+    fits, predicted = seasonal_arx(series, "trips", "day", keys=BY, lags=(1, 7))
+    out = seasonal_summary(fits, predicted, "trips", "day", BY)
+    ends = [F.element_at("autocorrelations", k).alias(f"r{k}") for k in (1, 10)]
+    out = out.select("*", *ends).drop("autocorrelations", "jarque_bera_p")
+    out = rounded(rounded(out, 8, "r2"), 4, "log_likelihood", "aic", "bic", "ljung_box", "jarque_bera")
+    return rounded(out, 6, "r1", "r10", "ljung_box_p", "skew", "kurtosis")
+
+
 _PAST = [f"d{k}" for k in range(1, 15)]
 _FULL = ("l1", "l7", "l8", "p1", "p2", "s1", "s7", "s8")
 
