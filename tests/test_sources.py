@@ -11,10 +11,13 @@ from urbanflow.plans.backfill import audit_months, backfill, backfill_named
 from urbanflow.schemas import MASTER, ZONE_FINAL, layout
 from urbanflow.sources import catalog
 from urbanflow.sources.readers import (
+    file_index,
     file_inventory,
     list_files,
     load_by_name,
+    malformed_fields,
     month_path,
+    read_by_path,
     read_csv,
     read_facts,
     read_lookup,
@@ -98,6 +101,46 @@ def test_csv(spark, tmp_path):
     assert got[1]["unique_key"] == 2 and got[1]["created_date"] is None
 
 
+def test_csv_files_in_different_orders(spark, tmp_path):
+    """Columns are those of each file's own header."""
+    (tmp_path / "a.csv").write_text("id,borough,kind\n1,BRONX,noise\n2,QUEENS,heat\n")
+    (tmp_path / "b.csv").write_text('kind,id,borough\nnoise,3,"QUEENS"\nrodent,x,BRONX\n')
+    (tmp_path / "c c%.csv").write_text("ID,KIND\n5,parking\n")
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "e.csv").write_text("id,borough,kind\n")
+    wanted = layout("id int, borough string, kind string")
+    got = read_csv(spark, str(tmp_path / "*.csv"), wanted).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(1, "BRONX", "noise"), (2, "QUEENS", "heat"), (3, "QUEENS", "noise"), (None, "BRONX", "rodent"), (5, None, "parking")], key=str
+    )
+    assert malformed_fields(spark, str(tmp_path / "*.csv"), wanted).first().asDict() == {"id": 1, "borough": 0, "kind": 0}
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "d.csv").write_text("")
+    assert read_csv(spark, str(tmp_path / "none" / "*.csv"), wanted).collect() == []
+
+
+def test_csv_files_of_one_header_share_a_scan(spark, tmp_path, plan):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"id,kind\n{i},a\n" if i % 2 else f"kind,id\na,{i}\n")
+    df = read_csv(spark, str(tmp_path / "*.csv"), layout("id int, kind string"))
+    assert sorted(r["id"] for r in df.collect()) == [0, 1, 2, 3, 4] and plan(df).count("FileScan csv") == 2
+
+
+def test_files_chosen_by_path(spark, tmp_path):
+    """Numbers in file names choose the files; the others are not opened."""
+    for y, m in ((2023, 1), (2023, 2), (2024, 1)):
+        pq.write_table(pa.table({"v": [y * 100 + m]}), tmp_path / f"part_year={y}_month={m}.parquet")
+    (tmp_path / "part_year=2022_month=1.parquet").write_bytes(b"damaged")
+    df = read_by_path(spark, str(tmp_path), "year = 2023 AND month = 1")
+    assert [f.rsplit("/", 1)[1] for f in df.inputFiles()] == ["part_year%3D2023_month%3D1.parquet"] or len(df.inputFiles()) == 1
+    assert [(r["v"], r["year"], r["month"]) for r in df.collect()] == [(202301, 2023, 1)]
+    two = read_by_path(spark, str(tmp_path), F.col("year") == 2023, schema=layout("v bigint"))
+    assert sorted(r["v"] for r in two.collect()) == [202301, 202302] and len(two.inputFiles()) == 2
+    none = read_by_path(spark, str(tmp_path), "year = 1999", schema=layout("v bigint"))
+    assert none.columns == ["v", "year", "month", "source_file"] and none.collect() == []
+    assert file_index(spark, str(tmp_path)).where("year = 2023").count() == 2
+
+
 def test_lookup(spark, tmp_path):
     (tmp_path / "z.csv").write_text('LocationID,Borough,Zone,service_zone\n1,EWR,"Newark, Airport",EWR\nx,Unknown,N/A,N/A\n')
     got = [tuple(r) for r in read_lookup(spark, str(tmp_path / "z.csv")).collect()]

@@ -5,7 +5,9 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Iterable, Sequence
-from urllib.parse import quote
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import quote, unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -157,30 +159,52 @@ def _reason(e: Exception) -> str:
 
 
 def read_csv(spark: SparkSession, glob: str, schema: T.StructType = COMPLAINT, multiline: bool = False) -> DataFrame:
-    """CSV files with a header line, whose columns are found by name in any order.
+    """CSV files with a header line, whose columns are found by name in any order, file by file.
 
     A quote inside a quoted field is doubled.  ``multiline`` allows line breaks
     in quoted fields; a file can then not be split among tasks.  A field that
     does not parse is NULL, see ``malformed_fields``; a column the header lacks
-    is NULL.  All files of the glob have the columns of the first in its order.
+    is NULL.  Files with the same header share one scan; a file without any
+    line has no rows.
     """
-    text = _csv_text(spark, glob, multiline)
-    stored = {c.lower(): c for c in text.columns}
-    return text.select(*[_parsed(stored, f).alias(f.name) for f in schema])
+    parts = []
+    for text in _csv_texts(spark, glob, multiline):
+        stored = {c.lower(): c for c in text.columns}
+        parts.append(text.select(*[_parsed(stored, f).alias(f.name) for f in schema]))
+    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
 
 
 def malformed_fields(spark: SparkSession, glob: str, schema: T.StructType = COMPLAINT, multiline: bool = False) -> DataFrame:
-    """One row: how many fields of each column hold text that does not parse."""
-    text = _csv_text(spark, glob, multiline)
-    stored = {c.lower(): c for c in text.columns}
-    lost = [F.count_if(F.col(f"`{stored[f.name.lower()]}`").isNotNull() & _parsed(stored, f).isNull()).alias(f.name)
-            for f in schema if f.name.lower() in stored]
-    return text.agg(*lost)
-
-
-def _csv_text(spark: SparkSession, glob: str, multiline: bool) -> DataFrame:
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-    return reader.option("quote", '"').option("escape", '"').option("multiLine", multiline).csv(glob)
+    """One row: how many fields of each column hold text that does not parse; columns that no header has are left out."""
+    parts = []
+    for text in _csv_texts(spark, glob, multiline):
+        stored = {c.lower(): c for c in text.columns}
+        lost = {f.name: F.count_if(F.col(f"`{stored[f.name.lower()]}`").isNotNull() & _parsed(stored, f).isNull())
+                for f in schema if f.name.lower() in stored}
+        parts.append(text.agg(F.count(F.lit(1)).alias("_rows"), *[c.alias(n) for n, c in lost.items()]))
+    if not parts:
+        return spark.range(1).select(*[F.lit(0).cast("long").alias(f.name) for f in schema])
+    counts = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns if c != "_rows"])
+
+
+def _csv_texts(spark: SparkSession, glob: str, multiline: bool) -> list[DataFrame]:
+    """The files as text, one scan for each distinct header; only header lines are read here."""
+
+    def reader():
+        options = {"header": True, "inferSchema": False, "mode": "PERMISSIVE", "quote": '"', "escape": '"', "multiLine": multiline}
+        return spark.read.options(**options)
+
+    files = spark.read.text(glob).inputFiles()
+    if not files:
+        return []
+    with ThreadPoolExecutor(min(16, len(files))) as pool:
+        headers = list(pool.map(lambda file: tuple(reader().csv(unquote(file)).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header:
+            groups.setdefault(header, []).append(unquote(file))
+    return [reader().csv(paths) for paths in groups.values()]
 
 
 def _parsed(stored: dict[str, str], field: T.StructField) -> Column:
@@ -238,6 +262,40 @@ def with_path_partitions(df: DataFrame, keys: Sequence[str] = ("year", "month"),
     return df.withColumns({**cols, source: path})
 
 
+def file_index(spark: SparkSession, path: str, keys: Sequence[str] = ("year", "month"), pattern: str = "*.parquet") -> DataFrame:
+    """(path, length, keys): files below a folder with the ``key=`` numbers of their paths; no file is opened."""
+    numbers = [F.regexp_extract("path", rf"{k}=([0-9]+)", 1).try_cast("int").alias(k) for k in keys]
+    return list_files(spark, path, pattern).select("path", "length", *numbers)
+
+
+def read_by_path(
+    spark: SparkSession,
+    path: str,
+    where: Column | str,
+    keys: Sequence[str] = ("year", "month"),
+    schema: T.StructType | None = None,
+    pattern: str = "*.parquet",
+    source: str = "source_file",
+) -> DataFrame:
+    """Rows of the files whose path numbers satisfy ``where``, with these numbers and the file as columns.
+
+    The files are chosen from an index of paths before anything is scanned, so
+    numbers in file names prune as well as partition folders do, and files that
+    are not wanted are never opened.  Without a matching file the result is
+    empty, with the columns of ``schema`` if given.
+    """
+    chosen = [unquote(r["path"]) for r in file_index(spark, path, keys, pattern).where(where).select("path").collect()]
+    if not chosen:
+        numbers = [T.StructField(k, T.IntegerType()) for k in keys]
+        return spark.createDataFrame([], T.StructType([*(schema.fields if schema else []), *numbers, T.StructField(source, T.StringType())]))
+    stored = with_path_partitions(spark.read.option("recursiveFileLookup", "true").parquet(*sorted(chosen)), keys, source)
+    if schema is None:
+        return stored
+    names = {f.name for f in schema}
+    wanted = conform(stored, T.StructType([*schema.fields, *(f for f in stored.schema if f.name in (*keys, source) and f.name not in names)]))
+    return wanted
+
+
 def file_inventory(df: DataFrame) -> DataFrame:
     """Files behind a table with their size and row count."""
     return df.groupBy(

@@ -14,7 +14,8 @@ from ..schemas import layout
 from ..session import shared_folder
 from ..sources.catalog import publish_view
 from ..sources.inference import infer, read_drifting
-from ..sources.readers import file_inventory, load_by_name
+from ..sources.readers import file_inventory, load_by_name, read_by_path
+from ..sources.writers import write_fact
 from .inputs import table
 from .objects import OBJECTS_SQL, objects
 from .registry import query
@@ -94,3 +95,20 @@ def drifting_files(spark: SparkSession, sf: str) -> DataFrame:
         rows = orders.where(rows).select("o_orderkey", k.alias("o_custkey"), placed.alias("placed"), prio.alias("priority"))
         rows.write.parquet(f"{root}/status={name}")
     return read_drifting(spark, infer(spark, root))
+
+
+@query(
+    "q44_files_by_path",
+    """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, COUNT(*) AS orders,
+       MIN(o_orderkey) AS first_key, MAX(o_orderkey) AS last_key
+FROM orders WHERE year(o_orderdate) = 1995 AND month(o_orderdate) <= 6 GROUP BY 1, 2""",
+)
+def files_by_path(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of half a year, from those files alone whose paths say so."""
+    root = f"{shared_folder(spark)}/by-month-{uuid.uuid4().hex}"
+    dated = table(spark, sf, "orders").withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    write_fact(dated, root)
+    rows = read_by_path(spark, root, "year = 1995 AND month <= 6")
+    keys = [F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")]
+    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders"), *keys)
