@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from urbanflow.plans.analysis import clean_published, prepare_series
 from urbanflow.plans.facts import borough_facts, complaint_facts, named_zone_facts, zone_facts
-from urbanflow.plans.master import borough_view, build_master, finalise, flattened_borough_view, normalise_complaints
+from urbanflow.plans.master import borough_view, build_master, colocate, finalise, flattened_borough_view, normalise_complaints
 from urbanflow.plans.weather import decode_weather, weather_for_master
 from urbanflow.operators.flatten import flatten_object
 from urbanflow.operators.predicates import in_month
@@ -169,3 +169,33 @@ def test_prepare_series(spark):
     (row,) = prepare_series(df, ["BRONX"]).collect()
     assert (row["datetime"], row["trips"], row["snow_text"]) == (dt.datetime(2024, 1, 1, 5), 12.0, "Snow")
     assert prepare_series(df).count() == 2
+
+
+def test_colocated_master_needs_no_shuffle(spark, tmp_path, plan):
+    """Above the broadcast threshold, nothing below the joins of the master is shuffled, and the result is the same."""
+    hours = spark.range(200).selectExpr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, int(id)) AS hour_ts", "id")
+    boroughs = spark.createDataFrame([("bronx ",), ("QUEENS",), (" Bronx",)], "borough string")
+    taxi = hours.crossJoin(boroughs.limit(2)).selectExpr(
+        "hour_ts", "year(hour_ts) AS year", "month(hour_ts) AS month", "day(hour_ts) AS day", "hour(hour_ts) AS hour", "borough", "id AS trips"
+    )
+    c311 = hours.where("id % 3 = 0").crossJoin(boroughs).selectExpr("hour_ts", "borough", "id AS complaints_total", "id % 5 AS complaints_noise")
+    weather = hours.where("id % 7 > 0").selectExpr("hour_ts", "id / 2.0D AS temp_avg", "1 AS rain")
+    expected = sorted(map(str, build_master(taxi, c311, weather).collect()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.requireAllClusterKeysForCoPartition")}
+    tables = colocate(taxi, c311, weather, "colocated", 6, str(tmp_path))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        df = build_master(*tables)
+        text = plan(df)
+        assert text.count("SortMergeJoin") == 2 and "Exchange" not in text and "Broadcast" not in text
+        assert "Exchange" in plan(build_master(taxi, c311, weather))
+        assert sorted(map(str, df.collect())) == expected
+        twice = weather.unionAll(weather.limit(1))
+        with pytest.raises(Exception, match="repeated key"):
+            build_master(tables[0], tables[1], twice).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        for role in ("taxi", "c311", "weather"):
+            spark.sql(f"DROP TABLE colocated_{role}")

@@ -60,7 +60,7 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], duplicates: str = "error
     if duplicates != "error":
         raise ValueError(f"unknown choice: {duplicates}")
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    failure = F.raise_error(F.lit(f"repeated key in {list(keys)}")).cast(df.schema[keys[0]].dataType)
-    checked = F.when(F.col("_n") > 1, failure).otherwise(F.col(keys[0]))
-    rows = df.dropna(subset=list(keys)).withColumn("_n", n).withColumn(keys[0], checked)
-    return rows.select(*df.columns)
+    failure = F.raise_error(F.lit(f"repeated key in {list(keys)}")).cast("boolean")
+    rows = df.dropna(subset=list(keys)).withColumn("_n", n)
+    # the key itself stays as it is, so a join can use the partitioning its table has
+    return rows.where(F.when(F.col("_n") > 1, failure).otherwise(True)).select(*df.columns)

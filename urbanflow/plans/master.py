@@ -20,6 +20,7 @@ from ..operators.project import (
     rename_first,
 )
 from ..operators.rollup import classify_counts
+from ..sources.writers import save_bucketed
 from ..schemas import BOROUGH_VIEW, COMPLAINT_CLASSES, COMPLAINT_TOTAL_NAMES, MASTER, UNKNOWN_BOROUGHS, ZONE_FINAL
 
 WEATHER_COLUMNS = tuple(MASTER.fieldNames()[MASTER.fieldNames().index("temp_avg") :])
@@ -66,6 +67,25 @@ def build_master(
     return keep_present(fill_zero(joined, COMPLAINT_COLUMNS), MASTER.fieldNames())
 
 
+def colocate(
+    taxi: DataFrame, c311: DataFrame, weather: DataFrame, prefix: str, buckets: int, path: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three inputs of the master as tables bucketed by hour, named ``prefix`` and their role.
+
+    ``build_master`` then shuffles none of them, whatever their size: the
+    labels are cleaned, the complaints added up, the weather checked and all
+    joined bucket by bucket.  The join on hour and borough reuses buckets of the
+    hour alone where the session sets
+    ``spark.sql.requireAllClusterKeysForCoPartition`` to false; hours hold
+    about equal numbers of rows, so no bucket stands out.
+    """
+    inputs = {"taxi": taxi, "c311": c311, "weather": weather}
+    saved = [
+        save_bucketed(df, f"{prefix}_{role}", ["hour_ts"], buckets, f"{path}/{role}" if path else None) for role, df in inputs.items()
+    ]
+    return saved[0], saved[1], saved[2]
+
+
 def finalise(table: DataFrame, unknown: Iterable[str] = UNKNOWN_BOROUGHS) -> DataFrame:
     """Rows that name a borough."""
     return exclude_values(table, "borough", unknown)

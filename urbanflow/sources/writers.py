@@ -56,5 +56,16 @@ def save_as(df: DataFrame, name: str, by: Sequence[str] = ()) -> None:
     (w.partitionBy(*by) if by else w).saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Create or replace a catalog table bucketed and sorted by ``keys``, one file for each bucket.
+
+    Tables of equal keys and bucket counts are joined and grouped on these keys
+    without a shuffle.  ``path`` puts the files elsewhere than the warehouse.
+    """
+    w = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (w.option("path", path) if path else w).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def _rebalance(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by])

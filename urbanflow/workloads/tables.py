@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,10 @@ from ..operators.quality import top_n
 from ..operators.rollup import classify_counts, hourly_rollup
 from ..plans.analysis import clean_published
 from ..plans.facts import borough_facts, complaint_facts, named_zone_facts, with_duration, zone_facts
-from ..plans.master import borough_view, build_master, finalise, normalise_complaints, zone_view
+from ..plans.master import borough_view, build_master, colocate, finalise, normalise_complaints, zone_view
 from ..plans.weather import decode_weather, weather_for_master
 from ..schemas import COMPLAINT_TOTAL_NAMES, NAMED_TRIP_MEASURES, NO_RAIN, NO_SNOW, RAIN_TEXT, SNOW_TEXT, TRIP_MEASURES, Measure
+from ..session import shared_folder
 from .inputs import (
     COMPLAINTS_SQL,
     DAY_BOUNDS,
@@ -337,11 +340,14 @@ master AS (
   LEFT JOIN weather w ON b.hour_ts = w.hour_ts)"""
 
 
-def master_table(spark: SparkSession, sf: str) -> DataFrame:
+def master_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     taxi = borough_facts(_zone_hours(spark, sf), zone_lookup(spark, sf))
     c311 = complaint_facts(event_complaints(spark, sf))
-    weather = weather_for_master(decode_weather(weather_rows(spark, sf, hourly=True)))
-    return build_master(taxi, c311, weather)
+    return taxi, c311, weather_for_master(decode_weather(weather_rows(spark, sf, hourly=True)))
+
+
+def master_table(spark: SparkSession, sf: str) -> DataFrame:
+    return build_master(*master_inputs(spark, sf))
 
 
 @query("q13_master", f"WITH {MASTER_SQL} SELECT * FROM master")
@@ -349,6 +355,14 @@ def master(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(master_table(spark, sf), 6, *MEANS)
 
 
+@query("q13_colocated_master", f"WITH {MASTER_SQL} SELECT * FROM master")
+def colocated_master(spark: SparkSession, sf: str) -> DataFrame:
+    """The master joined from tables bucketed by hour."""
+    run = uuid.uuid4().hex
+    tables = colocate(*master_inputs(spark, sf), f"facts_{run}", 8, f"{shared_folder(spark)}/facts-{run}")
+    return rounded(build_master(*tables), 6, *MEANS)
+
+
 @query(
     "q29_first_master_rows",
     f"WITH {MASTER_SQL} SELECT hour_ts, borough, trips, complaints_311 FROM master ORDER BY hour_ts, borough LIMIT 20",
