@@ -13,8 +13,11 @@ too; a text is in parity if all its parts are.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -122,10 +125,36 @@ class Model:
         return out
 
 
+# Printable ASCII and the letters of Latin-1: no normaliser changes them.
+PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
+
+
+class Recent(dict):
+    """What was worked out lately, in two generations: a full one becomes the old one, so the entries not used for longest go."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self.room, self.old = room, {}
+
+    def missing(self, keys: Iterable) -> list:
+        """The keys that nobody has worked out; those of the old generation move to the new one."""
+        if len(self) > self.room:
+            self.old = dict(self)
+            self.clear()
+        out = []
+        for key in set(keys).difference(self):
+            found = self.old.get(key)
+            if found is None:
+                out.append(key)
+            else:
+                self[key] = found
+        return out
+
+
 class Codec:
-    """A model in a worker, with the ids of the parts it has met and whether both libraries agree on them."""
+    """A model in a worker, with the ids of the parts it has met and the parts on which the libraries disagree."""
 
-    ROOM = 120_000
+    ROOM = 250_000
 
     def __init__(self, path: str, threads: int = 2):
         import sentencepiece
@@ -139,7 +168,10 @@ class Codec:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.cut = self.model.separable()
         self.threads = threads
-        self.parts: dict[str, tuple[bytes, bool]] = {}
+        self.parts: dict[str, bytes] = Recent(self.ROOM)
+        self.differ: set[str] = set()  # parts on which the libraries disagree
+        # ids whose piece begins with the space mark
+        self.opens = np.array([text[:1] == MARK for text, _, _ in self.model.pieces])
 
     def whole(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Ids of whole texts, and parity; where the libraries differ SentencePiece's own ids count."""
@@ -147,6 +179,30 @@ class Codec:
         theirs = self.reference.encode(texts, num_threads=self.threads)
         return [(np.array(b, np.uint32).tobytes(), a == b) for a, b in zip(ours, theirs)]
 
+    def lines(self, parts: list[str], each: int = 256) -> list[tuple[bytes, bool]]:
+        """Ids and parity of parts, encoded many to a line with spaces between them, and cut again at the space marks.
+
+        Both libraries encode each line.  A line whose marks are not as many as
+        its parts is encoded part by part.
+        """
+        groups = [parts[a : a + each] for a in range(0, len(parts), each)]
+        joined = [" ".join(g) for g in groups]
+        ours = [x.ids for x in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        theirs = self.reference.encode(joined, num_threads=self.threads)
+        out: list[tuple[bytes, bool]] = []
+        for group, pair in zip(groups, zip(ours, theirs)):
+            cut = []
+            for ids in pair:
+                blob = np.array(ids, np.uint32)
+                at = (np.flatnonzero(self.opens[blob]) * 4).tolist()
+                blob = blob.tobytes()
+                cut.append([blob[a:b] for a, b in zip(at, [*at[1:], len(blob)])] if at[:1] == [0] else [])
+            if len(cut[0]) == len(cut[1]) == len(group):
+                out += [(b, a == b) for a, b in zip(*cut)]
+            else:
+                out += self.whole(group)
+        return out
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         out: list[tuple[bytes, bool]] = [(b"", True)] * len(texts)
         cut, odd = [], []
@@ -157,15 +213,21 @@ class Codec:
         for i, got in zip(odd, self.whole([texts[i] for i in odd]) if odd else []):
             out[i] = got
         split = [texts[i].split(" ") for i in cut]
-        if len(self.parts) >= self.ROOM:
-            self.parts.clear()
-        new = list({p for parts in split for p in parts}.difference(self.parts))
+        found = [list(map(self.parts.get, parts)) for parts in split]
+        new = self.parts.missing(p for parts, got in zip(split, found) for p in compress(parts, map(not_, got)))
         for a in range(0, len(new), 20_000):
             some = new[a : a + 20_000]
-            self.parts.update(zip(some, self.whole(some)))
-        for i, parts in zip(cut, split):
-            got = [self.parts[p] for p in parts]
-            out[i] = b"".join([g[0] for g in got]), all(g[1] for g in got)
+            plain = list(map(PLAIN.fullmatch, some))
+            easy, hard = ([p for p, m in zip(some, plain) if bool(m) == want] for want in (True, False))
+            for group, coded in ((easy, self.lines(easy)), (hard, self.whole(hard) if hard else [])):
+                self.parts.update(zip(group, (ids for ids, _ in coded)))
+                self.differ.update(p for p, (_, same) in zip(group, coded) if not same)
+        for i, parts, got in zip(cut, split, found):
+            at = -1
+            for _ in range(got.count(None)):
+                at = got.index(None, at + 1)
+                got[at] = self.parts[parts[at]]
+            out[i] = b"".join(got), self.differ.isdisjoint(parts) if self.differ else True
         return out
 
     def decode(self, ids: list[bytes]) -> list[str]:
