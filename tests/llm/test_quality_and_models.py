@@ -101,6 +101,16 @@ def test_top_k(spark):
     assert top_k(none, none).collect() == [] and top_k(df, none).collect() == [] and top_k(none, df).collect() == []
 
 
+@pytest.mark.parametrize("turn", [False, True])
+def test_repeated_query_ids(spark, turn):
+    """A null or non-finite twin hides no query; of several usable vectors the least one asks."""
+    twins = [(20, None), (20, [0.5, 0.5]), (20, [None, 1.0]), (20, [math.nan, 1.0]), (40, [2.0, 0.0]), (40, [1.0, 9.0])]
+    rows = (twins[::-1] if turn else twins) + [(1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = {(r.query_id, r.vec_id): r.score for r in top_k(df, df.where("vec_id >= 20"), k=20).where("vec_id < 20").collect()}
+    assert got == {(20, 1): 32 * 64, (20, 2): 32 * 64, (40, 1): 64 * 64, (40, 2): 9 * 64 * 64}
+
+
 def test_large_components():
     exact = np.array([[2**40, 1], [-(2**40), 3], [2**62, 2**62]])
     (scores, ids), = search(np.array([[2**40, 5]]), np.array([7]), exact, np.array([1, 2, 3]), 3)

@@ -136,7 +136,8 @@ def top_k(
     id, take no part.  Only vectors of equal length meet; empty vectors score
     0.  Components are cut at +-2**62 and scores at the range of long.  Rows
     that repeat an id and vector count as they stand among the candidates; a
-    repeated query answers once.  Other columns are ignored.
+    repeated query id answers once, for the least of its usable vectors.  Other
+    columns are ignored.
     """
     kinds = "dim int, ids binary, vectors binary"
 
@@ -146,7 +147,9 @@ def top_k(
         return df.repartition(parts).mapInArrow(_packed(scale, rows), kinds).withColumn("part", F.spark_partition_id()), parts
 
     stored, parts = blocks(vectors, block)
-    asked, _ = blocks(queries.dropDuplicates([id_col]), query_block)
+    known = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+    usable = queries.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & known)
+    asked, _ = blocks(usable.groupBy(id_col).agg(F.min(vec_col).alias(vec_col)), query_block)
     asked = asked.select("dim", F.col("ids").alias("own"), F.col("vectors").alias("asked"))
     # the stated queries meet every block once: one row for each pair of blocks
     asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
