@@ -62,7 +62,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Hashed likelihood ratios, signatures and token ids are beyond SQL; tests/llm compares the operators with brute force.
+#: Hashed likelihood ratios, signatures and token ids are beyond SQL; tests/llm compares every stage with brute force.
 ORACLE_SQL = None
 
 
