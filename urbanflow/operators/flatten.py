@@ -51,14 +51,12 @@ def name_keys(keys: DataFrame, prefix: str = "v_") -> DataFrame:
     """
     w = Window.partitionBy("key_norm").orderBy("key")
     numbered = keys.withColumn("key_norm", F.lower("key")).withColumn("rn", F.row_number().over(w))
-    # the numbers that keys such as a_2 take; keys are the schema, so these lists are short
-    number = F.regexp_extract("key_norm", "^(?s:.*)_([1-9][0-9]{0,8})$", 1).try_cast("int").alias("number")
-    taken = numbered.select(F.regexp_extract("key_norm", "^(?s:(.*))_[0-9]+$", 1).alias("base"), number).where("number is not null")
-    taken = taken.groupBy(F.col("base").alias("key_norm")).agg(F.collect_set("number").alias("taken"))
-    free = F.expr("filter(sequence(2, rn + size(taken)), n -> not array_contains(taken, n))")
-    number = F.when(F.col("taken").isNull(), F.col("rn")).otherwise(F.try_element_at(free, F.col("rn") - 1))
-    suffix = F.when(F.col("rn") > 1, F.concat(F.lit("_"), number.cast("string"))).otherwise("")
-    named = numbered.join(taken, "key_norm", "left")
+    # all names at hand, as keys are the schema: a second read of the keys would read the rows again
+    numbered = numbered.withColumn("_all", F.collect_set("key_norm").over(Window.partitionBy(F.lit(0))))
+    taken = F.filter("_all", lambda k: F.startswith(k, F.concat("key_norm", F.lit("_"))))
+    free = F.expr("filter(sequence(2, rn + size(_taken)), n -> not array_contains(_taken, concat(key_norm, '_', n)))")
+    named = numbered.withColumn("_taken", F.when(F.col("rn") > 1, taken))
+    suffix = F.when(F.col("rn") > 1, F.concat(F.lit("_"), F.try_element_at(free, F.col("rn") - 1).cast("string"))).otherwise("")
     return named.withColumn("column_name", F.concat(F.lit(prefix), F.col("key_norm"), suffix)).select(
         *keys.columns, "key_norm", "rn", "column_name"
     )
