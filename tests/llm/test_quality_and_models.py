@@ -1,5 +1,6 @@
 """Quality rules, language model and vector search against brute force and held-out accuracy."""
 
+import itertools
 import math
 import random
 import re
@@ -126,7 +127,7 @@ def test_bounds_hold():
 
 
 def vocabulary():
-    return attention.Vocabulary((1e6 / np.arange(1, 3001) ** 1.3).astype(np.int64))
+    return attention.Vocabulary((1e6 / np.arange(1, 3001) ** 1.3).astype(np.int64), np.arange(3000) % 3 == 0)
 
 
 def test_attention_sums_to_one():
@@ -136,7 +137,65 @@ def test_attention_sums_to_one():
     x = np.tile(np.arange(attention.SPAN) * 37 % 3000, (3000, 1))
     y = np.tile(np.arange(attention.STEP), (3000, 1))
     y[:, 5] = ids
-    assert abs(np.exp(scorer.windows(x, y)[:, 5].astype(np.float64)).sum() - 1) < 1e-3
+    found, begins = (np.exp(v[:, 5].astype(np.float64)) for v in scorer.windows(x, y))
+    assert abs(found.sum() - 1) < 1e-3
+    assert np.allclose(begins, found[ids % 3 == 0].sum(), atol=1e-3)
+
+
+def slow(flat, voc, ids, edge):
+    """Log probabilities of a text's ids and of words' beginnings, one id after the other from the formulas."""
+    p = {k: v.astype(np.float64) for k, v in attention.unpack(flat).items()}
+    d, out = attention.DIM, []
+    for t in range(len(ids)):
+        begin = t // attention.STEP * attention.STEP - attention.LEAD - 1
+        context = [edge if i < 0 else ids[i] for i in range(begin, t)]
+        e = p["own"][voc.row[context]]
+        q, k, v = np.split(e @ p["asks"], 3, axis=1)
+        logits = np.array([q[-1] @ k[i] / d**0.5 + p["far"][len(context) - 1 - i] for i in range(len(context))])
+        a = np.exp(logits) / np.exp(logits).sum()
+        z = e[-1] + a @ v
+        top = np.exp(z @ p["top"] + p["top_bias"])
+        g = voc.group[ids[t]]
+        log = np.log(top[g] / top.sum())
+        if g < attention.GROUPS:
+            own = np.exp(z @ p["out"][g] + p["out_bias"][g])
+            log += np.log(own[voc.place[ids[t]]] / own.sum())
+        else:
+            log += voc.inner[ids[t]]
+        out.append((log, np.log(top @ voc.opens / top.sum())))
+    return np.array(out).T
+
+
+def test_attention_against_its_formulas():
+    voc = vocabulary()
+    flat = attention.initial(voc, 3)
+    rng = np.random.default_rng(13)
+    texts = [rng.integers(0, 3000, n) for n in (1, 24, 70)]
+    got = attention.Scorer(flat, voc).texts(np.concatenate(texts), np.array([len(x) for x in texts]), 0, batch=2)
+    assert np.allclose(got, np.concatenate([slow(flat, voc, x, 0) for x in texts], axis=1), atol=2e-4)
+    # logits far out of a float's range
+    wild = attention.Scorer(flat * 40, voc).texts(texts[2], np.array([70]), 0)
+    assert np.isfinite(wild).all()
+
+
+def test_words_sum_to_one():
+    """Over all words of three beginnings (0 is the end) and two ids that go on, up to a length, nothing is left but longer words."""
+    starts = np.array([True, True, True, False, False])
+    voc = attention.Vocabulary(np.array([30, 60, 50, 8, 5]), starts)
+    scorer = attention.Scorer(attention.initial(voc, 4), voc)
+    words = [[0]] + [[b, *more] for b in (1, 2) for n in range(9) for more in itertools.product((3, 4), repeat=n)]
+    known = {(0,): 30, (1,): 20, (2, 3): 10, (1, 4): 1, (2, 3, 3): 4}
+    for context in ([], [1], [2, 3, 1, 1, 4, 2] * 6):
+        texts = [np.array(context + w + [0] * (w != [0]), np.uint16) for w in words]
+        shard = SimpleNamespace(ids=np.concatenate(texts), sizes=np.array([len(t) for t in texts]))
+        first = np.flatnonzero(starts[shard.ids])
+        at = np.searchsorted(first, np.cumsum(shard.sizes) - shard.sizes + len(context))
+        for tokens, kinds in ((0, 0), (sum(known.values()), len(known))):
+            counts = np.zeros(len(first), np.int64)
+            if tokens:
+                counts[at] = [known.get(tuple(w), 0) for w in words]
+            total = (10 ** language_model.mixed_score(shard, scorer, starts, 0, counts, tokens, kinds)[at]).sum()
+            assert 0.995 < total < 1 + 1e-4
 
 
 def test_attention_is_causal_and_scores_each_id_once():
@@ -144,12 +203,16 @@ def test_attention_is_causal_and_scores_each_id_once():
     scorer = attention.Scorer(attention.initial(voc), voc)
     rng = np.random.default_rng(11)
     ids = [rng.integers(0, 3000, n) for n in (1, 23, 24, 25, 100)]
-    got = scorer.texts(ids, 0, batch=3)
+
+    def texts(some, batch=512):
+        return scorer.texts(np.concatenate(some), np.array([len(x) for x in some]), 0, batch)[0]
+
+    got = texts(ids, 3)
     assert len(got) == sum(map(len, ids))
     changed = ids[4].copy()
     changed[60:] = 5
-    assert np.allclose(scorer.texts([ids[4]], 0)[:60], scorer.texts([changed], 0)[:60], atol=1e-5)
-    assert np.allclose(got[-100:], scorer.texts([ids[4]], 0), atol=1e-4)
+    assert np.allclose(texts(ids[4:])[:60], texts([changed])[:60], atol=1e-5)
+    assert np.allclose(got[-100:], texts(ids[4:]), atol=1e-4)
 
 
 def test_gradients():
@@ -208,46 +271,62 @@ class Steps(attention.Trainer):
         return super().step(windows, *share)
 
 
+def shards(texts):
+    """The shards that tasks make of training texts."""
+    ids = [language_model.subwords(BYTE).text(t.encode()).tobytes() for t in texts]
+    rows = [[7] * len(ids), list(range(len(ids))), [True] * len(ids), ids]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["block", "doc_id", "train", "ids"])
+    return list(language_model._gathered([batch]))
+
+
 def trained(monkeypatch, texts):
     """The windows that a task trains on, and its change of the weights."""
     monkeypatch.setattr(language_model, "Trainer", Steps)
     Steps.seen = []
-    counts = np.bincount(np.concatenate([language_model.subwords(BYTE).text(t.encode())[0] for t in texts]), minlength=50_257)
-    voc = attention.Vocabulary(counts)
+    sub, made = language_model.subwords(BYTE), shards(texts)
+    counts = sum(np.bincount(language_model.Shard(b).ids, minlength=50_257) for b in made)
+    voc = attention.Vocabulary(counts, sub.starts)
     model = SimpleNamespace(value=(attention.initial(voc), voc))
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
-    out = list(language_model._trained(BYTE, model, 0)([batch]))
-    return Steps.seen, out
-
-
-def test_training_takes_every_id_of_a_long_text(monkeypatch, words):
-    text = " ".join(words(30_000, 9_000))
-    ids = language_model.subwords(BYTE).text(text.encode())[0]
-    seen, _ = trained(monkeypatch, [text])
-    windows = np.concatenate(seen) if seen else np.empty((0, attention.SPAN + 1), int)
-    # a remainder of less than a batch, and what stands before the first id, aside
-    assert abs(windows[:, 1:].size - len(ids)) < 65 * attention.SPAN
-    twice = np.concatenate(trained(monkeypatch, [text + " " + text])[0])
-    assert abs(len(twice) - 2 * len(windows)) < 65
-
-
-def test_training_takes_what_is_less_than_a_batch(monkeypatch, words):
-    for n in (1, 300, 3_000):
-        text = " ".join(words(n))
-        ids = language_model.subwords(BYTE).text(text.encode())[0]
-        seen, out = trained(monkeypatch, [text])
-        found = np.concatenate(seen)[:, 1:].reshape(-1)
-        assert Counter(found[found != ids[-1]].tolist()) == Counter(ids[ids != ids[-1]].tolist())
-        assert any(np.frombuffer(x, np.float32).any() for b in out for c in b.columns if pa.types.is_binary(c.type) for x in c.to_pylist())
+    return Steps.seen, list(language_model._trained(model, sub.end, 0)(made))
 
 
-def test_one_document_a_partition_trains(spark, words):
-    rows = [(i, " ".join(words(100))) for i in range(24)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    size = sum(len(t) for _, t in rows)
-    for parts in (1, 24):
-        flat, voc = language_model.fit(docs.repartition(parts, "doc_id"), BYTE, 1, size)
-        assert np.abs(flat - attention.initial(voc)).max() > 0.1
+def test_training_takes_every_id_of_every_text(monkeypatch, words):
+    end = language_model.subwords(BYTE).end
+    for texts in ([" ".join(words(30_000, 9_000))], *([" ".join(words(n)) for n in (k, 2 * k)] for k in (1, 300, 3_000))):
+        ids = np.concatenate([language_model.subwords(BYTE).text(t.encode()) for t in texts])
+        seen, out = trained(monkeypatch, texts)
+        found = np.concatenate(seen)[:, 1:].reshape(-1)
+        assert Counter(found[found != end].tolist()) == Counter(ids[ids != end].tolist())
+        assert any(np.frombuffer(x, np.int64).any() for x in out[0].column(1).to_pylist())
+
+
+def test_a_block_too_large_for_a_shard_is_cut(monkeypatch, words):
+    monkeypatch.setattr(language_model, "SHARD_IDS", 500)
+    texts = [" ".join(words(50)) for _ in range(40)]
+    made = [language_model.Shard(b) for b in shards(texts)]
+    assert len(made) > 5 and len({s.name for s in made}) == len(made)
+    assert [i for s in made for i in s.docs] == list(range(40))
+
+
+def test_words_of_a_shard(words):
+    texts = ["", "a\u00a0b \u3000 x\u2009", "Straße 日本 don't ½ <|endoftext|>", " ".join(words(80_000, 500))]
+    (batch,) = shards(texts)
+    shard, sub = language_model.Shard(batch), language_model.subwords(BYTE)
+    _, doc, hashes = shard.words(sub.starts)
+    expected = [(d, w) for d, t in enumerate(texts) for w in [*t.encode().split(), None]]
+    assert doc.tolist() == [d for d, _ in expected]
+    pairs = set(zip(hashes.tolist(), (w if w is None else w.lower() for _, w in expected)))
+    assert len(pairs) == len({h for h, _ in pairs}) == len({w for _, w in pairs})
+
+
+def test_scores_do_not_depend_on_the_layout(spark, docs, monkeypatch):
+    """Several shards, each with null and repeated ids: the same scores to the bit from one partition and from seven."""
+    monkeypatch.setattr(language_model, "SHARD_BYTES", 40_000)
+    found = []
+    for parts in (1, 7):
+        rows = score_texts(docs.select("doc_id", "text").repartition(parts), BYTE, rounds=1).collect()
+        found.append(sorted((str(r.doc_id), r.n_tokens, r.score) for r in rows))
+    assert found[0] == found[1]
 
 
 def test_windows_predict_each_id_once():

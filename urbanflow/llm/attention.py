@@ -3,8 +3,13 @@
 One head of width ``DIM`` over windows of ``SPAN`` ids, with a learned weight for
 each distance.  The next id is predicted in two steps: its group, then its
 place in the group; groups are ``WIDE`` ids next to each other in the order of
-their corpus counts, and the last one holds all rare ids by their counts.  So
+their corpus counts, and all rare ids share a group by their counts.  So
 probabilities sum to one, and an id costs a few dozen exponentials.
+
+A group holds either ids that begin a word or ids that go on with one.  So the
+probability that the next id begins a word is a sum over groups, known at no
+cost, and the probability of a whole word is exact: that of its ids, its first
+one given that a word begins, times that of another word beginning after it.
 """
 
 from __future__ import annotations
@@ -18,39 +23,54 @@ LEAD = 8
 STEP = SPAN - LEAD
 GROUPS = 16
 WIDE = 64
+#: Groups with a table of their own, then those of rare ids: that begin a word, that go on.
+ALL_GROUPS = GROUPS + 2
 OWN_VECTORS = 2048
 
 
 class Vocabulary:
-    """Groups of ids by corpus counts, log probabilities of rare ids within theirs, and a vector row for frequent ids."""
-
-    def __init__(self, counts: np.ndarray):
-        order = np.lexsort((np.arange(len(counts)), -counts))
-        rank = np.empty(len(counts), np.int64)
-        rank[order] = np.arange(len(counts))
-        self.group = np.minimum(rank // WIDE, GROUPS).astype(np.int16)
-        self.place = (rank % WIDE).astype(np.int16)
+    """Groups of ids by corpus counts, log probabilities of rare ids within theirs, and a vector row for frequent ids.
+
+    ``starts``: whether an id begins a word.
+    """
+
+    def __init__(self, counts: np.ndarray, starts: np.ndarray):
+        size = len(counts)
+        order = np.lexsort((np.arange(size), -counts))
+        # of the groups with a table, words' beginnings get their share among the most frequent ids
+        share = starts[order[: GROUPS * WIDE]].mean() if size else 0
+        own = int(np.clip(round(GROUPS * share), 1, GROUPS - 1))
+        self.opens = np.zeros(ALL_GROUPS, np.float32)
+        self.opens[:own] = self.opens[GROUPS] = 1
+        self.group, self.place = np.zeros(size, np.int16), np.zeros(size, np.int16)
+        for kind, first, many, rare in ((starts, 0, own, GROUPS), (~starts, own, GROUPS - own, GROUPS + 1)):
+            ids = order[kind[order]]
+            rank = np.arange(len(ids))
+            self.group[ids] = np.where(rank < many * WIDE, first + rank // WIDE, rare)
+            self.place[ids] = rank % WIDE
         smooth = counts + 0.5
-        total = np.bincount(self.group, weights=smooth, minlength=GROUPS + 1)
+        total = np.bincount(self.group, weights=smooth, minlength=ALL_GROUPS)
         self.inner = np.log(smooth / total[self.group]).astype(np.float32)
-        self.first = np.log((total + 1e-9) / total.sum()).astype(np.float32)
-        self.within = np.full((GROUPS, WIDE), -20, np.float32)
+        self.first = np.log((total + 1e-9) / (total.sum() + 1e-9)).astype(np.float32)
+        self.within = np.full((GROUPS, WIDE), -100, np.float32)
         some = self.group < GROUPS
         self.within[self.group[some], self.place[some]] = self.inner[some]
-        self.row = np.minimum(rank, OWN_VECTORS).astype(np.int32)  # the last row stands for all rare ids
+        self.row = np.empty(size, np.int16)  # the last row stands for all rare ids
+        self.row[order] = np.minimum(np.arange(size), OWN_VECTORS)
 
 
 SHAPES = {
-    "own": (OWN_VECTORS + 1, DIM), "query": (DIM, DIM), "key": (DIM, DIM), "value": (DIM, DIM), "far": (SPAN,),
-    "top": (DIM, GROUPS + 1), "top_bias": (GROUPS + 1,), "out": (GROUPS, DIM, WIDE), "out_bias": (GROUPS, WIDE),
+    "own": (OWN_VECTORS + 1, DIM), "asks": (DIM, 3 * DIM), "far": (SPAN,),
+    "top": (DIM, ALL_GROUPS), "top_bias": (ALL_GROUPS,), "out": (GROUPS, DIM, WIDE), "out_bias": (GROUPS, WIDE),
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
-_FUTURE = np.where(np.arange(SPAN)[:, None] >= np.arange(SPAN)[None, :], 0, -1e9).astype(np.float32)
+SCALE = np.float32(DIM**-0.5)
 _BACK = np.maximum(np.arange(SPAN)[:, None] - np.arange(SPAN)[None, :], 0)
-_LOWER = (np.arange(SPAN)[:, None] >= np.arange(SPAN)[None, :]).astype(np.float32)
+_PAST = np.arange(SPAN)[:, None] >= np.arange(SPAN)[None, :]
 
 
 def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
+    """Views of the parts; ``asks`` holds the weights of query, key and value side by side."""
     out, at = {}, 0
     for name, shape in SHAPES.items():
         n = int(np.prod(shape))
@@ -71,32 +91,38 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> np.ndarray:
     return flat
 
 
-def _attend(q: np.ndarray, k: np.ndarray, far: np.ndarray) -> np.ndarray:
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    a += far
-    a -= a.max(2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(2, keepdims=True)
-    return a
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials in place and their sums; rows are shifted by their maximum only where a sum would not be finite or 0."""
+    ones = np.ones(logits.shape[-1], np.float32)
+    least, most = float(logits.min(initial=0)), float(logits.max(initial=0))
+    if most > 60 or least < -60:
+        logits -= logits.max(-1, keepdims=True)
+    np.exp(logits, out=logits)
+    return logits, logits @ ones  # a product sums faster
+
 
+def _attend(scores: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Softmax over the past; what lies ahead weighs nothing."""
+    scores += far
+    if float(np.abs(scores).max(initial=0)) > 60:
+        scores -= np.where(_PAST[-scores.shape[1] :], scores, -np.inf).max(2, keepdims=True)
+        np.minimum(scores, 0, out=scores)  # what lies ahead may be larger
+    np.exp(scores, out=scores)
+    scores *= _PAST[-scores.shape[1] :]
+    scores /= (scores @ np.ones(SPAN, np.float32))[:, :, None]
+    return scores
 
-def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-    """The summed loss, and its gradient by the logits."""
-    if not len(target):
-        return 0.0, logits
-    logits = logits - logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    at = np.arange(len(target))
-    loss = -float(np.log(logits[at, target] + 1e-12).sum())
-    logits[at, target] -= 1
-    return loss, logits
+
+def _by_group(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by groups, and where each of them begins in it."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")  # a radix sort
+    return order, np.concatenate(([0], np.cumsum(np.bincount(group, minlength=ALL_GROUPS))))
 
 
 class Trainer:
-    """Adagrad on batches of windows; one of these runs in each task."""
+    """Adagrad on batches of windows; every shard of the corpus has one of these."""
 
-    def __init__(self, flat: np.ndarray, vocabulary: Vocabulary, rate: float = 0.1):
+    def __init__(self, flat: np.ndarray, vocabulary: Vocabulary, rate: float = 0.2):
         self.flat, self.start, self.rate, self.vocabulary = flat.copy(), flat, rate, vocabulary
         self.pace = rate
         self.parts = unpack(self.flat)
@@ -105,63 +131,73 @@ class Trainer:
     def step(self, windows: np.ndarray, share: float = 1.0) -> float:
         """One batch of windows of SPAN + 1 ids; the mean loss in nats.  ``share``: of the length of a whole step."""
         self.pace = self.rate * share
-        p, voc = self.parts, self.vocabulary
-        x, y = windows[:, :-1], windows[:, 1:].reshape(-1)
-        row = voc.row[x]
+        p, voc, many = self.parts, self.vocabulary, np.float32(1 / len(windows))  # a step's size is set per window
+        row, y = voc.row[windows[:, :-1]], windows[:, 1:].reshape(-1)
         e = p["own"][row]
-        scale = np.float32(DIM**-0.5)
-        q, k, v = e @ p["query"] * scale, e @ p["key"], e @ p["value"]
-        a = _attend(q, k, p["far"][_BACK] + _FUTURE)
-        z = e + np.matmul(a, v)
-        flat_z = z.reshape(-1, DIM)
-        group, place = voc.group[y], voc.place[y]
-        loss, d_top = _softmax_loss(flat_z @ p["top"] + p["top_bias"], group)
-        grad = {"top": flat_z.T @ d_top / len(windows), "top_bias": d_top.sum(0) / len(windows)}
-        dz = d_top @ p["top"].T
+        flat_e = e.reshape(-1, DIM)
+        asked = (flat_e @ p["asks"]).reshape(len(windows), SPAN, 3 * DIM)
+        q, k, v = asked[:, :, :DIM] * SCALE, asked[:, :, DIM : 2 * DIM], asked[:, :, 2 * DIM :]
+        a = _attend(np.matmul(q, k.transpose(0, 2, 1)), p["far"][_BACK])
+        seen = np.matmul(a, v)
+        z = (e + seen).reshape(-1, DIM)
+        # in the order of groups, so that each group is one slice
+        group = voc.group[y]
+        order, ends = _by_group(group)
+        z, place = z[order], voc.place[y][order]
+        d, total = _exponentials(z @ p["top"] + p["top_bias"])
+        d /= total[:, None]
+        at = np.arange(len(y)), group[order]
+        loss = -float(np.log(d[at] + 1e-30).sum())
+        d[at] -= 1
+        d *= many
+        grad = {"top": z.T @ d, "top_bias": d.sum(0)}
+        dz = d @ p["top"].T
         grad["out"], grad["out_bias"] = np.zeros_like(p["out"]), np.zeros_like(p["out_bias"])
         for g in range(GROUPS):
-            own = np.flatnonzero(group == g)
-            part, d = _softmax_loss(flat_z[own] @ p["out"][g] + p["out_bias"][g], place[own])
-            loss += part
-            dz[own] += d @ p["out"][g].T
-            grad["out"][g], grad["out_bias"][g] = flat_z[own].T @ d / len(windows), d.sum(0) / len(windows)
-        dz = (dz / len(windows)).reshape(z.shape)  # a step's size is set per window
-        da, dv = np.matmul(dz, v.transpose(0, 2, 1)), np.matmul(a.transpose(0, 2, 1), dz)
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        grad["far"] = np.bincount(_BACK.reshape(-1), weights=(ds.sum(0) * _LOWER).reshape(-1), minlength=SPAN)
-        dq, dk = np.matmul(ds, k) * scale, np.matmul(ds.transpose(0, 2, 1), q)
-        flat_e = e.reshape(-1, DIM)
-        de = dz.copy()
-        for name, d in (("query", dq), ("key", dk), ("value", dv)):
-            grad[name] = flat_e.T @ d.reshape(-1, DIM)
-            de += d @ p[name].T
+            i, j = ends[g], ends[g + 1]
+            if i < j:
+                own = z[i:j]
+                d, total = _exponentials(own @ p["out"][g] + p["out_bias"][g])
+                d /= total[:, None]
+                at = np.arange(j - i), place[i:j]
+                loss -= float(np.log(d[at] + 1e-30).sum())
+                d[at] -= 1
+                d *= many
+                dz[i:j] += d @ p["out"][g].T
+                grad["out"][g], grad["out_bias"][g] = own.T @ d, np.ones(j - i, np.float32) @ d
+        back = np.empty_like(dz)
+        back[order] = dz
+        dz = back.reshape(e.shape)
+        ds = np.matmul(dz, v.transpose(0, 2, 1))
+        moved = np.empty_like(asked)  # the gradients of query, key and value
+        np.matmul(a.transpose(0, 2, 1), dz, out=moved[:, :, 2 * DIM :])
+        ds -= ((dz * seen) @ np.ones(DIM, np.float32))[:, :, None]
+        ds *= a
+        grad["far"] = np.bincount(_BACK.reshape(-1), weights=(ds.sum(0) * _PAST).reshape(-1), minlength=SPAN)
+        np.matmul(ds, k * SCALE, out=moved[:, :, :DIM])
+        np.matmul(ds.transpose(0, 2, 1), q, out=moved[:, :, DIM : 2 * DIM])
+        moved = moved.reshape(-1, 3 * DIM)
+        grad["asks"] = flat_e.T @ moved
+        de = moved @ p["asks"].T
+        de += back
         for name, g in grad.items():
             self._move(name, slice(None), g.astype(np.float32))
         index = row.reshape(-1)
         order = np.argsort(index, kind="stable")
-        first = np.flatnonzero(np.diff(index[order], prepend=-1))
-        self._move("own", index[order][first], np.add.reduceat(de.reshape(-1, DIM)[order], first))
+        index = index[order]
+        first = np.flatnonzero(np.diff(index, prepend=-1))
+        self._move("own", index[first], np.add.reduceat(de[order], first))
         return loss / len(y)
 
     def _move(self, name: str, rows, g: np.ndarray) -> None:
-        self.square[name][rows] += g * g
-        self.parts[name][rows] -= self.pace * g / np.sqrt(self.square[name][rows])
+        square = self.square[name][rows] + g * g
+        self.square[name][rows] = square
+        self.parts[name][rows] -= self.pace * g / np.sqrt(square)
 
     def change(self) -> tuple[np.ndarray, np.ndarray]:
         """What training changed, and whether it did."""
         delta = self.flat - self.start
-        return delta, (delta != 0).astype(np.float32)
-
-
-def _parts(z: np.ndarray, weights: np.ndarray, bias: np.ndarray, target: np.ndarray, shift: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The target's logit and the sum of exponentials of each row, both less the same shift."""
-    logits = z @ weights
-    logits += bias
-    if shift:
-        logits -= logits.max(1, keepdims=True)
-    hit = logits[np.arange(len(target)), target]
-    np.exp(logits, out=logits)
-    return hit, logits @ np.ones(logits.shape[1], np.float32)  # a product sums faster
+        return delta, delta != 0
 
 
 class Scorer:
@@ -171,69 +207,54 @@ class Scorer:
         self.p = p = unpack(flat)
         self.voc = vocabulary
         e = p["own"]
-        scale = np.float32(DIM**-0.5)
+        asked = e @ p["asks"]
         # rows of embedding and query for the ids that are scored from, of key and value for all
-        self.asks = np.ascontiguousarray(np.concatenate([e, e @ p["query"] * scale], 1), np.float32)
-        self.tells = np.ascontiguousarray(np.concatenate([e @ p["key"], e @ p["value"]], 1), np.float32)
-        self.far = (p["far"][_BACK] + _FUTURE).astype(np.float32)[LEAD:]
-
-    def windows(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Log probability of the STEP ids ``y`` that end each window, given the ids ``x`` of the window."""
-        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
-            out = self._windows(x, y, False)
-        return out if np.isfinite(out).all() else self._windows(x, y, True)
-
-    def _windows(self, x: np.ndarray, y: np.ndarray, shift: bool) -> np.ndarray:
-        """``shift``: guard the exponentials against overflow, which costs a third more and is hardly ever needed."""
+        self.asks = np.ascontiguousarray(np.concatenate([e, asked[:, :DIM] * SCALE], 1), np.float32)
+        self.tells = np.ascontiguousarray(asked[:, DIM:], np.float32)
+        self.far = p["far"][_BACK][LEAD:]
+
+    def windows(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of the STEP ids ``y`` that end each window, given the ids ``x`` of the window; and that of any id that begins a word."""
         p, voc, row = self.p, self.voc, self.voc.row[x]
         ask, tell = self.asks[row[:, LEAD:]], self.tells[row]
-        a = np.matmul(ask[:, :, DIM:], tell[:, :, :DIM].transpose(0, 2, 1))
-        a += self.far
-        if shift:
-            a -= a.max(2, keepdims=True)
-        np.exp(a, out=a)
+        a = _attend(np.matmul(ask[:, :, DIM:], tell[:, :, :DIM].transpose(0, 2, 1)), self.far)
         z = np.matmul(a, tell[:, :, DIM:])
-        z /= (a @ np.ones(SPAN, np.float32))[:, :, None]
         z += ask[:, :, :DIM]
         # in the order of groups, so that each group is one product
         target = y.reshape(-1)
-        group = voc.group[target]
-        order = np.argsort(group, kind="stable")
-        group, target, z = group[order], target[order], z.reshape(-1, DIM)[order]
-        ends = np.searchsorted(group, np.arange(GROUPS + 2))
-        hit, total = _parts(z, p["top"], p["top_bias"], group, shift)
-        found = hit - np.log(total)
+        order, ends = _by_group(voc.group[target])
+        target, z = target[order], z.reshape(-1, DIM)[order]
+        top, total = _exponentials(z @ p["top"] + p["top_bias"])
+        found = np.log(top[np.arange(len(target)), voc.group[target]] / total + 1e-30)
+        begins = np.log(top @ voc.opens / total + 1e-30)
         for g in range(GROUPS):
             i, j = ends[g], ends[g + 1]
             if i < j:
-                hit, total = _parts(z[i:j], p["out"][g], p["out_bias"][g], voc.place[target[i:j]], shift)
-                found[i:j] += hit - np.log(total)
+                own, total = _exponentials(z[i:j] @ p["out"][g] + p["out_bias"][g])
+                found[i:j] += np.log(own[np.arange(j - i), voc.place[target[i:j]]] / total + 1e-30)
         found[ends[GROUPS] :] += voc.inner[target[ends[GROUPS] :]]
-        out = np.empty(len(found), np.float32)
-        out[order] = found
-        return out.reshape(y.shape)
+        out = np.empty((2, len(found)), np.float32)
+        out[0, order], out[1, order] = found, begins
+        return out[0].reshape(y.shape), out[1].reshape(y.shape)
 
-    def texts(self, ids: list[np.ndarray], edge: int, batch: int = 512) -> np.ndarray:
-        """Natural log probability of every id of the sequences, one after the other.
+    def texts(self, ids: np.ndarray, sizes: np.ndarray, edge: int, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
+        """Natural log probability of every id of sequences that lie one after the other, and of any id there that begins a word.
 
         Every id is scored once, in a window with LEAD ids or more before it;
         ``edge`` stands before the first id, as often as the window needs it.
         """
-        size = np.array([len(x) for x in ids], np.int64)
-        steps = -(-size // STEP)
+        steps = -(-sizes // STEP)
         first = np.concatenate(([0], np.cumsum(steps)))
+        real = np.arange(len(ids)) + np.repeat(first[:-1] * STEP - (np.cumsum(sizes) - sizes), sizes)
         target = np.full(first[-1] * STEP, edge, np.int64)
-        real = np.zeros(len(target), bool)
-        for d, x in enumerate(ids):
-            at = first[d] * STEP
-            target[at : at + len(x)], real[at : at + len(x)] = x, True
+        target[real] = ids
         start = np.repeat(first[:-1] * STEP, steps)
         y = target.reshape(-1, STEP)
-        out = np.empty(y.shape, np.float32)
+        out, begins = np.empty(y.shape, np.float32), np.empty(y.shape, np.float32)
         back = np.arange(-LEAD - 1, STEP - 1)
         for i in range(0, len(y), batch):
             some = np.arange(i, min(i + batch, len(y)))
             at = (some * STEP)[:, None] + back
             x = np.where(at >= start[some][:, None], target[np.maximum(at, 0)], edge)
-            out[some] = self.windows(x, y[some])
-        return out.reshape(-1)[real]
+            out[some], begins[some] = self.windows(x, y[some])
+        return out.reshape(-1)[real], begins.reshape(-1)[real]

@@ -1,11 +1,15 @@
 """Scoring texts with a language model: word counts as the base, causal self-attention over subword ids as the model.
 
-Both learn from all training documents.  Word counts go by blocks and buckets
-(see blocks): a block asks for each of its distinct words once.  The model's
-class and id counts are of every subword of the training documents.  Its
-weights are fitted in rounds: in every task a copy walks over windows of all
-the task's training documents, and the changes of all copies are averaged by
-the windows they have seen.
+Texts are spelled once.  Their ids are dealt into shards by a hash of the row
+and staged, one row a shard; all that follows reads those.  How many shards
+there are depends on the size of the text alone, and rows lie in them in a
+fixed order, so nothing depends on how a table is partitioned.
+
+A word is its ids, from one that begins a word to the next.  Words are counted
+over shards and buckets (see blocks): a shard asks for each of its distinct
+words once.  The model's weights are fitted in rounds: in each, a copy walks
+over the windows of each shard, and the changes of all copies are averaged by
+the windows they have seen, in whole numbers, so that order doesn't matter.
 The windows of a text lie side by side, so that each of its ids is predicted
 once a round, whatever its length.
 """
@@ -14,7 +18,6 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,23 +26,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .attention import SIZE, SPAN, Scorer, Trainer, Vocabulary, initial
-from .blocks import BLOCK_BYTES, SLICED, answers, cuts, dealt, sliced, summed, text_of
-from .staging import parts_for, text_bytes
+from .blocks import SLICED, answers, cuts, dealt, sliced, summed
+from .staging import parts_for, staged, text_bytes
 from .tokens import encoder
-from .words import Words
+from .words import mix, slices
 
 SLICES = 16
 BUCKET_BYTES = 4 << 20
-BATCH = 64
-#: Windows that a task mixes before it cuts them into batches.
-POOL = 4096
-#: Bytes of text for a copy of the model, about: tasks with little text are put together.
-COPY_BYTES = 4 << 20
+#: Bytes of text in a shard, about; a copy of the model walks over one.
+SHARD_BYTES = 8 << 20
+#: Ids after which a shard is cut, so that many rows of equal hash never form one.
+SHARD_IDS = 8 << 20
+BATCH = 256
+#: Steps of the changes that copies report, for sums in whole numbers.
+GRAIN = 2.0**20
 #: Share of a word's discounted count, and the discount, in the mixture with the attention model.
 WEIGHT = 0.3
 DISCOUNT = 0.5
-#: Stands for the end of a text among the hashes of words.
-END_KEY = np.uint64(0x5DEECE66D)
+
+SPELLED = "doc_id long, train boolean, ids binary"
+SHARDS = "shard long, docs array<bigint>, train binary, sizes binary, ids binary"
 
 
 def held_out(ids: Iterable[int | None], modulus: int, remainder: int) -> np.ndarray:
@@ -48,14 +54,21 @@ def held_out(ids: Iterable[int | None], modulus: int, remainder: int) -> np.ndar
 
 
 class Subwords:
-    """Subword ids of lower-cased words, from a cache of words; a text ends with the id ``end``."""
+    """Subword ids of lower-cased words, from a cache of words; a text ends with the id ``end``.
+
+    ``starts``: which ids begin a word: those with the space before it, and the end.
+    """
 
     ROOM = 150_000
 
     def __init__(self, path: str):
         self.encoder = encoder(path)
-        self.end = self.encoder.library.token_to_id(self.encoder.special[0])
-        self.size = self.encoder.library.get_vocab_size()
+        library = self.encoder.library
+        self.end = library.token_to_id(self.encoder.special[0])
+        self.size = library.get_vocab_size()
+        space = library.id_to_token(self.encoder.merges.encode_ordinary(" ")[0])
+        self.starts = np.array([(library.id_to_token(i) or "").startswith(space) for i in range(self.size)], bool)
+        self.starts[self.end] = True
         self.words: dict[bytes, bytes] = {}
 
     def spell(self, word: bytes) -> list[int]:
@@ -63,8 +76,8 @@ class Subwords:
         merges = self.encoder.merges
         return merges._encode_single_piece(text) if text[1:].isalpha() else merges.encode_ordinary(text)
 
-    def text(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a text with its end, and where each word and the end begin among them."""
+    def text(self, raw: bytes) -> np.ndarray:
+        """Ids of a text with its end."""
         words = raw.lower().split()
         found = list(map(self.words.get, words))
         if None in found:
@@ -73,8 +86,7 @@ class Subwords:
             for w in {w for w, x in zip(words, found) if x is None}:
                 self.words[w] = array("H", self.spell(w)).tobytes()
             found = [self.words[w] if x is None else x for w, x in zip(words, found)]
-        first = np.cumsum([0, *map(len, found)]) // 2
-        return np.append(np.frombuffer(b"".join(found), np.uint16), np.uint16(self.end)), first
+        return np.append(np.frombuffer(b"".join(found), np.uint16), np.uint16(self.end))
 
 
 _subwords: dict[str, Subwords] = {}
@@ -86,33 +98,89 @@ def subwords(path: str) -> Subwords:
     return _subwords[path]
 
 
-def _raw(column: pa.Array) -> list[bytes]:
-    return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
-
-
-def _counted(tokenizer: str, size: int):
-    """Counts of all ids of all texts: words are counted first, and each distinct one is spelled once."""
+def _spelled(tokenizer: str, modulus: int, remainder: int):
+    def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sub = subwords(tokenizer)
+        for batch in slices(batches):
+            train = ~held_out(batch.column(0).to_pylist(), modulus, remainder)
+            raw = [b"" if x is None else x for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
+            ids = pa.array([sub.text(x).tobytes() for x in raw], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(train), ids], ["doc_id", "train", "ids"])
+
+    return spell
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their blocks become shards, one row each."""
+    block, piece, held, docs, train, parts = None, 0, 0, [], [], []
+
+    def shard() -> pa.RecordBatch:
+        sizes = np.array([len(x) // 2 for x in parts], np.int64)
+        values = [[(block << 24) + piece], [docs], [np.array(train, bool).tobytes()], [sizes.tobytes()], [b"".join(parts)]]
+        kinds = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], ["shard", "docs", "train", "sizes", "ids"])
+
+    for batch in batches:
+        for b, doc, trains, ids in zip(*(c.to_pylist() for c in batch.columns)):
+            if parts and (b != block or held + len(ids) // 2 > SHARD_IDS):
+                yield shard()
+                piece = piece + 1 if b == block else 0
+                held, docs, train, parts = 0, [], [], []
+            block, held = b, held + len(ids) // 2
+            docs.append(doc)
+            train.append(trains)
+            parts.append(ids)
+    if parts:
+        yield shard()
+
+
+class Shard:
+    """One row of the staged shards: ids of all texts one after the other, and their words."""
+
+    def __init__(self, rows: pa.RecordBatch | pa.Table, i: int = 0):
+        get = {name: rows.column(name)[i].as_py() for name in ("shard", "docs", "train", "sizes", "ids")}
+        self.name, self.docs = get["shard"], get["docs"]
+        self.train, self.sizes = np.frombuffer(get["train"], bool), np.frombuffer(get["sizes"], np.int64)
+        self.ids = np.frombuffer(get["ids"], np.uint16)
+        self.ends = np.cumsum(self.sizes)
+
+    def texts(self) -> Iterator[np.ndarray]:
+        """Ids of the training texts."""
+        for train, i, j in zip(self.train, self.ends - self.sizes, self.ends):
+            if train:
+                yield self.ids[i:j]
+
+    def words(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each word begins, the end of a text counted as one, the document it is in, and a 64-bit hash of its ids."""
+        first = np.flatnonzero(starts[self.ids])
+        doc = np.searchsorted(self.ends, first, "right")
+        if not len(first):
+            return first, doc, np.zeros(0, np.uint64)
+        out = np.empty(len(first), np.uint64)
+        many = 1 << 16
+        for i in range(0, len(first), many):  # words at a time, as hashes take four times the room of ids
+            at = first[i : i + many]
+            until = first[i + many] if i + many < len(first) else len(self.ids)
+            length = np.diff(at, append=until)
+            place = np.arange(until - at[0]) - np.repeat(at - at[0], length)
+            own = mix(self.ids[at[0] : until].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(16)) + np.uint64(1))
+            out[i : i + many] = np.add.reduceat(own, at - at[0])
+        return first, doc, mix(out)
+
+
+def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[Shard]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Shard(batch, i)
+
+
+def _counted(size: int):
+    """Counts of all ids of all training texts."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub = subwords(tokenizer)
-        total, seen = np.zeros(size, np.int64), Counter()
-
-        def spell() -> None:
-            ids, times = [], []
-            for word, n in seen.items():
-                own = sub.spell(word)
-                ids += own
-                times += [n] * len(own)
-            np.add.at(total, np.array(ids, np.int64), np.array(times, np.int64))
-            seen.clear()
-
-        for batch in batches:
-            total[sub.end] += batch.num_rows
-            for raw in _raw(batch.column(1)):
-                seen.update(raw.lower().split())
-                if len(seen) > sub.ROOM:
-                    spell()
-        spell()
+        total = np.zeros(size, np.int64)
+        for shard in _shards(batches):
+            total += np.bincount(shard.ids[np.repeat(shard.train, shard.sizes)], minlength=size)
         yield sliced(total, SLICES)
 
     return count
@@ -125,75 +193,57 @@ def windows_of(ids: np.ndarray, end: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, SPAN + 1)[::SPAN]
 
 
-def _trained(tokenizer: str, model, turn: int):
+def _trained(model, end: int, turn: int):
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub = subwords(tokenizer)
         flat, vocabulary = model.value
-        trainer, waiting, held, total = Trainer(flat, vocabulary), [], 0, 0
-        rng = np.random.default_rng(turn)
-
-        def learn(last: bool) -> None:
-            nonlocal waiting, held
-            mixed = rng.permutation(np.concatenate(waiting)) if waiting else np.empty((0, SPAN + 1), np.uint16)
-            full = len(mixed) // BATCH * BATCH
-            for i in range(0, full, BATCH):
-                trainer.step(mixed[i : i + BATCH].astype(np.int64))
-            if last and full < len(mixed):  # a shorter step for what is left
-                trainer.step(mixed[full:].astype(np.int64), (len(mixed) - full) / BATCH)
-            waiting, held = [mixed[full:]], len(mixed) - full
-
-        for batch in batches:
-            for raw in _raw(batch.column(1)):
-                waiting.append(windows_of(sub.text(raw)[0], sub.end))
-                held, total = held + len(waiting[-1]), total + len(waiting[-1])
-                if held >= POOL:
-                    learn(False)
-        learn(True)
-        delta, moved = trainer.change()
-        both = np.concatenate((delta * total, moved * total, np.zeros(-2 * SIZE % SLICES, np.float32)))
-        yield sliced(both.astype(np.float32), SLICES)
+        both = np.zeros(2 * SIZE + -2 * SIZE % SLICES, np.int64)
+        for shard in _shards(batches):
+            windows = [windows_of(ids, end) for ids in shard.texts()]
+            if not windows:
+                continue
+            # a copy's own order of all its windows; the last step is as long as what is left for it
+            mixed = np.random.default_rng([turn, shard.name & 0xFFFFFFFF, shard.name >> 32]).permutation(np.concatenate(windows))
+            trainer = Trainer(flat, vocabulary)
+            for i in range(0, len(mixed), BATCH):
+                some = mixed[i : i + BATCH]
+                trainer.step(some.astype(np.int64), len(some) / BATCH)
+            delta, moved = trainer.change()
+            both[:SIZE] += np.rint(delta.astype(np.float64) * (len(mixed) * GRAIN)).astype(np.int64)
+            both[SIZE : 2 * SIZE] += moved * len(mixed)
+        yield sliced(both, SLICES)
 
     return train
 
 
-def fit(docs: DataFrame, tokenizer: str, rounds: int, text_size: int) -> tuple[np.ndarray, Vocabulary]:
-    """Weights and vocabulary from all of ``docs`` (doc_id, text; about ``text_size`` bytes): every round goes over all ids of all documents."""
-    sub = Subwords(tokenizer)
+def fit(shards: DataFrame, sub: Subwords, rounds: int) -> tuple[np.ndarray, Vocabulary]:
+    """Weights and vocabulary from all training texts of ``shards``: every round goes over all their ids."""
     size = -(-sub.size // SLICES) * SLICES
-    counts = summed(docs.mapInArrow(_counted(tokenizer, size), SLICED), SLICES, size, np.int64)[: sub.size]
-    vocabulary = Vocabulary(counts)
+    counts = summed(shards.mapInArrow(_counted(size), SLICED), SLICES, size, np.int64)[: sub.size]
+    vocabulary = Vocabulary(counts, sub.starts)
     flat = initial(vocabulary)
-    copies = docs.coalesce(max(1, -(-text_size // COPY_BYTES)))  # never more than there are
     for turn in range(rounds):
-        model = docs.sparkSession.sparkContext.broadcast((flat, vocabulary))
-        both = summed(copies.mapInArrow(_trained(tokenizer, model, turn), SLICED), SLICES, 2 * SIZE + -2 * SIZE % SLICES, np.float32)
-        flat = flat + both[:SIZE] / np.maximum(both[SIZE : 2 * SIZE], 1)
+        model = shards.sparkSession.sparkContext.broadcast((flat, vocabulary))
+        both = summed(shards.mapInArrow(_trained(model, sub.end, turn), SLICED), SLICES, 2 * SIZE + -2 * SIZE % SLICES, np.int64)
+        flat = (flat + both[:SIZE] / GRAIN / np.maximum(both[SIZE : 2 * SIZE], 1)).astype(np.float32)
     return flat, vocabulary
 
 
-def _keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes of a block with the end's, and which each word has."""
-    distinct, which = np.unique(np.append(words.hashes(), END_KEY), return_inverse=True)
-    return distinct, which
-
-
-def _asked(buckets: int, modulus: int, remainder: int):
-    def report(table: pa.Table) -> pa.Table:
-        words = Words(text_of(table), lower=True)
-        train = ~held_out(table.column("doc_id").to_pylist(), modulus, remainder)
-        distinct, which = _keys(words)
-        weights = np.append(train[words.doc], train.sum())
-        count = np.bincount(which, weights=weights, minlength=len(distinct)).astype(np.uint32)
-        at = cuts(distinct, buckets)
-        # every bucket is asked, if only for its totals
-        return pa.table(
-            {
-                "bucket": pa.array(range(buckets), pa.int32()),
-                "block": pa.array([table.column("block")[0].as_py()] * buckets, pa.int32()),
-                "hashes": pa.array([distinct[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
-                "counts": pa.array([count[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
-            }
-        )
+def _asked(tokenizer: str, buckets: int):
+    def report(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts = subwords(tokenizer).starts
+        for shard in _shards(batches):
+            _, doc, hashes = shard.words(starts)
+            distinct, which = np.unique(hashes, return_inverse=True)
+            count = np.bincount(which, weights=shard.train[doc], minlength=len(distinct)).astype(np.uint32)
+            at = cuts(distinct, buckets)
+            # every bucket is asked, if only for its totals
+            arrays = [
+                pa.array(range(buckets), pa.int32()),
+                pa.array([shard.name] * buckets, pa.int64()),
+                pa.array([distinct[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
+                pa.array([count[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "shard", "hashes", "counts"])
 
     return report
 
@@ -207,7 +257,7 @@ def _told(table: pa.Table) -> pa.Table:
     reply = total[which]
     return pa.table(
         {
-            "block": table.column("block"),
+            "shard": table.column("shard"),
             "bucket": table.column("bucket"),
             "answer": pa.array([reply[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])], pa.binary()),
             "tokens": pa.array([int(total.sum())] * len(parts), pa.int64()),
@@ -216,60 +266,65 @@ def _told(table: pa.Table) -> pa.Table:
     )
 
 
-def _scored(tokenizer: str, model, buckets: int, modulus: int, remainder: int):
+def mixed_score(shard: Shard, scorer: Scorer, starts: np.ndarray, end: int, counts: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
+    """log10 probability of each word of a shard, ``counts`` being that of each word among ``tokens`` training tokens of ``kinds``.
+
+    The attention model's part of a word: its ids' probabilities, the first
+    one given that a word begins, times the probability that after it another
+    begins (nothing follows the end).  Over all words these sum to 1, as do
+    their shares of the mixture, so a text's score is a log probability.
+    """
+    first = np.flatnonzero(starts[shard.ids])
+    logs, begins = scorer.texts(shard.ids, shard.sizes, end)
+    logs, begins = logs.astype(np.float64), begins[first].astype(np.float64)
+    logs[first] -= begins
+    value = np.add.reduceat(logs, first) if len(first) else logs
+    last = shard.ids[first] == end
+    value[~last] += begins[np.flatnonzero(~last) + 1]
+    share = WEIGHT if tokens else 0.0
+    left = 1 - share * (1 - DISCOUNT * kinds / max(tokens, 1))
+    with np.errstate(divide="ignore"):
+        counted = np.log(share * np.maximum(counts - DISCOUNT, 0) / max(tokens, 1))
+    return np.logaddexp(counted, np.log(left) + value) / np.log(10)
+
+
+def _scored(tokenizer: str, model, buckets: int):
     kept: dict[str, Scorer] = {}
 
     def score(table: pa.Table, told: pa.Table) -> pa.Table:
         if not kept:
             kept[""] = Scorer(*model.value)
-        ids, texts, sub = table.column("doc_id").to_pylist(), text_of(table), subwords(tokenizer)
-        words = Words(texts, lower=True)
-        distinct, which = _keys(words)
-        count = answers(told, distinct, buckets, np.int64)[which]
-        tokens, kinds = (int(np.sum(told.column(c).to_numpy())) for c in ("tokens", "kinds"))
-        sizes = np.diff(words.first)
-        doc = np.repeat(np.arange(len(ids)), sizes + 1)
-        c = np.full(len(doc), count[-1])  # the words of each text and then its end
-        is_word = np.ones(len(doc), bool)
-        is_word[np.cumsum(sizes + 1) - 1] = False
-        c[is_word] = count[:-1]
-        docs = len(ids)
+        sub, shard = subwords(tokenizer), Shard(table)
+        _, doc, hashes = shard.words(sub.starts)
+        distinct, which = np.unique(hashes, return_inverse=True)
+        c = answers(told, distinct, buckets, np.int64)[which]
+        tokens, kinds = (int(np.sum(told.column(x).to_numpy())) for x in ("tokens", "kinds"))
+        docs = len(shard.docs)
         base = np.bincount(doc, weights=np.log10((c + 1) / (tokens + kinds + 1)), minlength=docs)
-        value = np.zeros(docs)
-        starts = np.cumsum(np.append(0, sizes + 1))
-        raw, d = _raw(texts), 0
-        while d < docs:  # some texts at a time
-            e, room = d, 0
-            while e < docs and (e == d or room + len(raw[e]) < 1 << 20):
-                room, e = room + len(raw[e]), e + 1
-            spelled = [sub.text(x) for x in raw[d:e]]
-            offset = np.cumsum([0, *(len(x) for x, _ in spelled)])
-            first = np.concatenate([f + o for (_, f), o in zip(spelled, offset)])
-            logs = kept[""].texts([x for x, _ in spelled], sub.end).astype(np.float64)
-            logs = np.add.reduceat(logs, first)
-            own = c[starts[d] : starts[e]]
-            share = WEIGHT if tokens else 0.0
-            left = 1 - share * (1 - DISCOUNT * kinds / max(tokens, 1))
-            with np.errstate(divide="ignore"):
-                counted = np.log(share * np.maximum(own - DISCOUNT, 0) / max(tokens, 1))
-            mixed = np.logaddexp(counted, np.log(left) + logs) / np.log(10)
-            value[d:e] = np.bincount(doc[starts[d] : starts[e]] - d, weights=mixed, minlength=e - d)
-            d = e
+        value = mixed_score(shard, kept[""], sub.starts, sub.end, c, tokens, kinds)
         return pa.table(
             {
-                "doc_id": table.column("doc_id"),
-                "held_out": pa.array(held_out(ids, modulus, remainder)),
-                "n_tokens": pa.array(sizes + 1),
+                "doc_id": pa.array(shard.docs, pa.int64()),
+                "held_out": pa.array(~shard.train),
+                "n_tokens": pa.array(np.bincount(doc, minlength=docs), pa.int64()),
                 "n_known": pa.array(np.bincount(doc[c > 0], minlength=docs), pa.int64()),
                 "train_tokens": pa.array([tokens] * docs, pa.int64()),
                 "base_score": pa.array(base),
-                "score": pa.array(value),
+                "score": pa.array(np.bincount(doc, weights=value, minlength=docs)),
             }
         )
 
     return score
 
 
+def shards_of(docs: DataFrame, tokenizer: str, modulus: int, remainder: int) -> DataFrame:
+    """The ids of all ``docs`` (doc_id, text), staged as shards of about SHARD_BYTES of text."""
+    blocks = max(1, -(-text_bytes(docs) // SHARD_BYTES))
+    spelled = docs.mapInArrow(_spelled(tokenizer, modulus, remainder), SPELLED).withColumn("tie", F.xxhash64("ids"))
+    rows = dealt(spelled, blocks, ["doc_id", "tie"]).sortWithinPartitions("block", "doc_id", "tie")
+    return staged(rows.select("block", "doc_id", "train", "ids").mapInArrow(_gathered, SHARDS), "shards")
+
+
 def score_texts(
     docs: DataFrame,
     tokenizer: str,
@@ -286,23 +341,23 @@ def score_texts(
     end.  base_score: the sum of log10((c + 1) / (N + V + 1)), c the count of
     the word in training texts, N all and V distinct training tokens; n_known
     counts tokens with c > 0.  score: the model's log10 probability of the
-    text.  Each token's probability mixes its discounted share of the training
-    tokens with the attention model's probability of its spelling in subwords
-    of ``tokenizer`` (a byte-level BPE file without end-of-word mark).  A null text is empty and has only its end;
-    a null id hashes as the empty text.  Ids may repeat; every row comes back.
-    Without training rows N and V are 0.  Other columns are ignored.
+    text, the same however the rows are partitioned.  Each token's probability
+    mixes its discounted share of the training tokens with the attention
+    model's probability of its spelling in subwords of ``tokenizer`` (a
+    byte-level BPE file without end-of-word mark).  A null text is empty and
+    has only its end; a null id hashes as the empty text.  Ids may repeat;
+    every row comes back.  Without training rows N and V are 0.  Other columns
+    are ignored.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus)) == remainder
-    size = text_bytes(docs, text_col)
-    model = spark.sparkContext.broadcast(fit(source.where(~out), tokenizer, rounds, size))
-
-    buckets = parts_for(spark, size // 3, BUCKET_BYTES)
-    by_block = dealt(source, parts_for(spark, size, BLOCK_BYTES), ["doc_id"]).groupBy("block")
-    asked = by_block.applyInArrow(_asked(buckets, modulus, remainder), "bucket int, block int, hashes binary, counts binary")
-    told = asked.groupBy("bucket").applyInArrow(_told, "block int, bucket int, answer binary, tokens long, kinds long")
-    return by_block.cogroup(told.groupBy("block")).applyInArrow(
-        _scored(tokenizer, model, buckets, modulus, remainder),
+    shards = shards_of(source, tokenizer, modulus, remainder)
+    model = spark.sparkContext.broadcast(fit(shards, Subwords(tokenizer), rounds))
+
+    buckets = parts_for(spark, text_bytes(source) // 3, BUCKET_BYTES)
+    asked = shards.mapInArrow(_asked(tokenizer, buckets), "bucket int, shard long, hashes binary, counts binary")
+    told = asked.groupBy("bucket").applyInArrow(_told, "shard long, bucket int, answer binary, tokens long, kinds long")
+    return shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(
+        _scored(tokenizer, model, buckets),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
