@@ -102,6 +102,16 @@ def test_top_k(spark):
     assert top_k(none, none).collect() == [] and top_k(df, none).collect() == [] and top_k(none, df).collect() == []
 
 
+def test_blocks_of_wide_numbers(spark):
+    """Numbers of one to eight bytes, some beyond 32-bit and 64-bit floats, in blocks of their own and together."""
+    rng = np.random.default_rng(14)
+    rows = [(i, (rng.normal(0, 1, 4) * 10.0 ** (i % 6 * 1.5)).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (4096, 20):
+        got = top_k(df, df.where("vec_id % 10 = 0"), k=5, block=block, query_block=6).collect()
+        assert sorted(map(tuple, got)) == dot(rows, 5, lambda i: i % 10 == 0)
+
+
 @pytest.mark.parametrize("turn", [False, True])
 def test_repeated_query_ids(spark, turn):
     """A null or non-finite twin hides no query; of several usable vectors the least one asks."""
