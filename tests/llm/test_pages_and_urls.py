@@ -1,11 +1,15 @@
 """Main text of pages, and URL filters."""
 
 import datetime as dt
+import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from urbanflow.llm import html_extraction
+from urbanflow.llm.html_blocks import Page
 from urbanflow.llm.html_extraction import main_text, style_tree
 from urbanflow.llm.url_filters import host_of, path_of, url_filter, validity
 
@@ -173,3 +177,74 @@ def test_url_parts_and_no_rows(spark):
     assert url_filter(none, spark.createDataFrame(ENTRIES, KINDS)).collect() == []
     one = spark.createDataFrame([(1, "http://x.org", day(1))], "page_id long, url string, fetched timestamp")
     assert [r.blocked for r in url_filter(one, spark.createDataFrame([], KINDS)).collect()] == [False]
+
+
+def test_loose_text_goes_with_its_branch(spark):
+    """Text beside child elements is noise only if the whole element is: what its styles show and all elements below."""
+
+    def body(i):
+        other = "<ul><li>x</li></ul>" * (i % 25)  # many styles: the element's presentation is worth much
+        return f"<div class='a'>Read<p>Own {i}</p></div><div class='b'>Bye<p>Again</p></div><div class='c'>Also{other}</div>"
+
+    rows = [(i, "http://h.example/", page(body(i))) for i in range(50)]
+    got = {r.page_id: r.text.split("\n") for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: ["Read", f"Own {i}", "Also"] for i in range(50)}
+
+
+def _tree(pages, gamma=0.9):
+    """The style tree of parsed pages in plain Python: {path: (pages, importance, highest)}."""
+    nodes, below = {}, {}
+    for p in pages:
+        own = html_extraction.element_nodes(p)
+        for path, text, *_ in p.blocks:
+            own[path]["contents"].add(text)
+        for path, n in own.items():
+            nodes.setdefault(path, []).append(n)
+            if n["parent"] is not None:
+                below.setdefault(n["parent"], set()).add(path)
+    out = {}
+
+    def entropy(counts, m):
+        return -sum(n / sum(counts) * math.log(n / sum(counts), m) for n in counts)
+
+    def visit(path):
+        for child in below.get(path, ()):
+            visit(child)
+        shown, m = nodes[path], len(nodes[path])
+        highest = max((out[c][2] for c in below.get(path, ())), default=0)
+        worth = 1.0
+        if m > 1:
+            styles = Counter(n["style"] for n in shown)
+            l = 0 if set(styles) == {None} else len(styles)  # noqa: E741
+            contents = Counter(c for n in shown for c in n["contents"])
+            text = sum(n * (1 - math.log(n, m)) for n in contents.values()) / max(sum(contents.values()), 1)
+            parts = [(n["held"], text) for n in shown] + [(n["share"], out[c][1]) for c in below.get(path, ()) for n in nodes[c]]
+            inner = sum(a * b for a, b in parts) / max(sum(a for a, _ in parts), 1e-9)
+            worth = (1 - gamma**l) * entropy(styles.values(), m) + gamma**l * inner
+        out[path] = (m, worth, max(worth, highest))
+
+    visit(0)
+    return out
+
+
+def test_tree_against_brute_force(spark):
+    rng = random.Random(3)
+
+    def some(depth):
+        out = ""
+        for _ in range(rng.randint(1, 3)):
+            kind = rng.choice(["text", "p", "div", "div class=k", "ul"]) if depth else "p"
+            text = rng.choice(["Menu", "More", "News", f"own {rng.random()}"])
+            out += text + " " if kind == "text" else f"<{kind}>{text if kind == 'p' else some(depth - 1)}</{kind.split(' ')[0]}>"
+        return out
+
+    htmls = sorted({page(some(3)) for _ in range(300)})
+    nodes = [(int(i), n) for i, h in enumerate(htmls) for n in html_extraction.read_page(h)[1]]
+    kinds = "path long, parent long, level int, style long, share double, held double, contents array<long>"
+    names = [k.split(" ")[0] for k in kinds.split(", ")]
+    df = spark.createDataFrame([("h", i, *(n[k] for k in names)) for i, n in nodes], f"host string, page long, {kinds}")
+    got = {r.path: (r.pages, r.importance, r.highest) for r in style_tree(df).collect()}
+    want = _tree([Page(h) for h in htmls])
+    assert {p for p, w in want.items() if w[0] > 1} <= got.keys() <= want.keys()
+    for path, values in got.items():
+        assert values == pytest.approx(want[path])

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
+import xxhash
+
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
@@ -40,15 +42,27 @@ DROPPED, BODY, OTHER, OUTSIDE = range(4)
 NAMED, MAIN_AREA, ARTICLE = 1, 2, 3
 
 
+#: Stands for a text among the labels of an element's children.
+TEXT = "#text"
+
+
+def hashed(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - 2**63
+
+
 class _Element:
-    __slots__ = ("tag", "path", "silent", "junk", "main", "depth")
+    """An element; path: a hash of its label and those around it, children: the labels of what it shows, in order."""
+
+    __slots__ = ("tag", "up", "path", "level", "children", "silent", "junk", "main", "depth")
 
-    def __init__(self, tag: str, path: str, silent: bool, junk: bool, main: int, depth: int = 0):
-        self.tag, self.path, self.silent, self.junk, self.main, self.depth = tag, path, silent, junk, main, depth
+    def __init__(self, tag: str, up: _Element | None, label: str, silent: bool, junk: bool, main: int, depth: int = 0):
+        self.tag, self.up, self.silent, self.junk, self.main, self.depth = tag, up, silent, junk, main, depth
+        self.path, self.level = (hashed(f"{up.path}/{label}"), up.level + 1) if up else (0, 0)
+        self.children: list[str] = []
 
 
 class Page(HTMLParser):
-    """Blocks [path, text, junk, main, depth] of a page in order.
+    """Blocks [path, text, junk, main, depth] of a page in order, and the elements that may show something.
 
     junk: inside furniture.  depth: how many forms and junk-named elements are
     around it, which may be wrappers of the whole page.  main: the kind of the
@@ -59,7 +73,8 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
         self.articles: list[int] = []  # depth of each outermost article
-        self.stack = [_Element("", "", False, False, 0)]
+        self.stack = [_Element("", None, "", False, False, 0)]
+        self.elements = self.stack[:]
         self.text: list[str] = []
         self.feed(html)
         self.close()
@@ -71,6 +86,7 @@ class Page(HTMLParser):
         if text:
             top = self.stack[-1]
             self.blocks.append([top.path, text, top.junk, top.main, top.depth])
+            top.children.append(TEXT)
 
     def _junk(self, tag: str, attrs: dict[str, str | None], inside: bool) -> tuple[bool, bool]:
         """Whether an element is furniture by its tag or role, and whether a form or by its names."""
@@ -109,7 +125,6 @@ class Page(HTMLParser):
         names = dict(attrs)
         words = (names.get("class") or "").lower().split()
         label = ".".join([tag, *sorted(w for w in words if not any(c.isdigit() for c in w))])
-        path = f"{top.path}/{label}"
         main = top.main
         furniture, wrapper = self._junk(tag, names, main > 0)
         junk, depth = top.junk or furniture, top.depth + wrapper
@@ -125,7 +140,11 @@ class Page(HTMLParser):
                 main = MAIN_AREA
             elif not main and named and not wrapper:
                 main = NAMED
-        self.stack.append(_Element(tag, path, top.silent or tag in SILENT, junk, main, depth))
+        element = _Element(tag, top, label, top.silent or tag in SILENT, junk, main, depth)
+        self.stack.append(element)
+        if not element.silent:
+            top.children.append(label)
+            self.elements.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)

@@ -1,15 +1,16 @@
 """Main text of web pages by site style trees.
 
-The pages of a host are merged into one tree: a node is a path of elements
-with their classes.  A node's importance (Yi, Liu and Li 2003) mixes the
-entropy of its presentation, the child elements that pages show there, with
-the importance of its content: a text that many pages repeat at the node is
-worth little, one that a single page has is worth 1.  An element is noise only
-if all below it is, so what holds text decides; and it is valued by its content
-alone, as the share of presentation falls to 0 on large hosts, whatever it holds.
-Of a node of low importance go the contents that pages repeat, from every page
-of the host; a content of one page stays.  Pages with the same main text are
-copies and count as one.
+The pages of a host are merged into one tree (Yi, Liu and Li 2003).  An element
+node is a path of elements with their classes; its style nodes are the ordered
+labels of the children that a page shows there, inline elements left out.  Equal
+labels meet in one node whatever the style around them, so a note after any
+number of paragraphs is one.  From the leaves up, a node's importance mixes the
+entropy of its styles with the importance of what they hold: of a child its own,
+of a text its content's, where one that many pages repeat is worth little and one
+of a single page 1.  A branch is noise if its element and all elements below are
+of low importance.  Of such a branch go the contents that pages repeat, from
+every page of the host; a content of one page stays.  Pages with the same main
+text are copies and count as one.
 
 Entropy alone can't tell an advert that changes with every page from an
 article, so a page's own structure is read too: the role of elements (menus,
@@ -23,18 +24,22 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import BODY, OTHER, Page
+from .html_blocks import BODY, OTHER, TEXT, Page, hashed
 from .staging import staged
 
 _BLOCK = pa.list_(pa.struct([("content", pa.int64()), ("text", pa.string())]))
-_NODE = pa.list_(pa.struct([("path", pa.string()), ("contents", pa.list_(pa.int64()))]))
+_NODE = pa.list_(
+    pa.struct(
+        [("path", pa.int64()), ("parent", pa.int64()), ("level", pa.int32()), ("style", pa.int64()),
+         ("share", pa.float64()), ("held", pa.float64()), ("contents", pa.list_(pa.int64()))]
+    )
+)
 _KINDS = (
     "key string, page_id long, url string, page long, blocks array<struct<content:long,text:string>>, "
-    "nodes array<struct<path:string,contents:array<long>>>"
+    "nodes array<struct<path:long,parent:long,level:int,style:long,share:double,held:double,contents:array<long>>>"
 )
 
 
@@ -42,21 +47,42 @@ _KINDS = (
 SMALL_LIST = 20_000
 
 
-def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text) - 2**63
+def element_nodes(page: Page) -> dict[int, dict]:
+    """The page's element nodes by path.
+
+    style: a hash of the different sequences of child labels that the page
+    shows there, null if nothing but texts.  Of what its elements hold, ``held``
+    is the share of texts, and ``share`` this node's share of its parent's.
+    """
+    groups: dict[int, list] = {}
+    for e in page.elements:
+        groups.setdefault(e.path, []).append(e)
+    filled = {path: sum(bool(e.children) for e in some) for path, some in groups.items()}
+    nodes = {}
+    for path, some in groups.items():
+        up = some[0].up
+        shown = dict.fromkeys(",".join(e.children) for e in some)
+        held = sum(e.children.count(TEXT) / len(e.children) for e in some if e.children)
+        nodes[path] = {
+            "path": path, "parent": up and up.path, "level": some[0].level,
+            "style": hashed(";".join(shown)) if shown.keys() - {TEXT, ""} else None,
+            "share": sum(1 / len(e.up.children) for e in some) / filled[up.path] if up else 1.0,
+            "held": held / max(filled[path], 1), "contents": set(),
+        }
+    return nodes
 
 
 def read_page(html: str | None) -> tuple[list[dict], list[dict], int]:
     """Blocks that may be main text, the page's part of the style tree, and a hash of the blocks, which copies share."""
     page = Page(html or "")
-    blocks, nodes = [], {}
+    blocks, nodes = [], element_nodes(page)
     for (path, text, *_), state in zip(page.blocks, page.states()):
-        content = _hash(f"{path}\n{text}")
-        nodes.setdefault(path, set()).add(content)
+        content = hashed(f"{path}\n{text}")
+        nodes[path]["contents"].add(content)
         if state in (BODY, OTHER):
             blocks.append({"content": content, "text": text})
-    own = _hash(" ".join(str(b["content"]) for b in blocks))
-    return blocks, [{"path": p, "contents": sorted(c)} for p, c in nodes.items()], own
+    own = hashed(" ".join(str(b["content"]) for b in blocks))
+    return blocks, [{**n, "contents": sorted(n["contents"])} for n in nodes.values()], own
 
 
 def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,36 +96,73 @@ def _parsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["key", "page_id", "url", "page", "blocks", "nodes"])
 
 
-def _counted(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages of each (host, path), and of each (host, path, content); rows with the same ``page``, if there is one, count once."""
+def _content_counts(nodes: DataFrame) -> DataFrame:
+    """Pages of each (host, path, content); rows with the same ``page``, if there is one, count once."""
     by = ["host", "path"]
-    pages, contents = nodes, nodes.select(*by, F.explode("contents").alias("content"))
+    contents = nodes.select(*by, *(["page"] if "page" in nodes.columns else []), F.explode("contents").alias("content"))
     if "page" in nodes.columns:
-        pages = nodes.select(*by, "page").distinct()
-        contents = nodes.select(*by, "page", F.explode("contents").alias("content")).distinct()
-    return pages.groupBy(*by).agg(F.count("*").alias("pages")), contents.groupBy(*by, "content").agg(F.count("*").alias("n"))
+        contents = contents.distinct()
+    return contents.groupBy(*by, "content").agg(F.count("*").alias("n"))
 
 
 def style_tree(nodes: DataFrame, gamma: float = 0.9) -> DataFrame:
-    """(host, path, pages, importance) from rows (host, path, style, contents), one for each page and node.
+    """(host, path, pages, importance, highest) from rows (host, path, style, contents), one for each page and element node.
 
     With m pages at a node: presentation is the entropy of its l styles to the
     base m; a content that n of the pages have is worth 1 - log n / log m; the
-    importance is (1 - gamma**l) * presentation + gamma**l * mean content.  A
-    node that only one page has is worth 1.  Rows without a column style are of
-    nodes that hold text: l is 0, and the importance is that of the content;
-    with a column page, rows of the same page count once.
+    importance is (1 - gamma**l) * presentation + gamma**l * inner, inner being
+    the mean over what the styles hold: children by their own importance, texts
+    by that of the node's contents.  A node that only one page has is worth 1.
+    Where all styles are null the node holds nothing but text and l is 0.
+
+    Columns parent, level (of the root 0), share (this node's part of what its
+    parent holds) and held (the part of texts in what the node holds) make it
+    a tree; without them every node holds texts alone.  highest: the largest
+    importance of the node and all below it.  With a column page, rows of the
+    same page count once.
     """
-    pages, contents = _counted(nodes)
-    contents = contents.groupBy("host", "path").agg(F.sum("n").alias("shown"), F.sum(F.expr("n * ln(n)")).alias("common"))
-    tree = pages.join(contents, ["host", "path"])
-    importance = F.expr("1 - common / (shown * ln(pages))")
-    if "style" in nodes.columns:
-        styles = nodes.groupBy("host", "path", "style").agg(F.count("*").alias("n")).groupBy("host", "path")
-        tree = tree.join(styles.agg(F.count("*").alias("styles"), F.sum(F.expr("n * ln(n)")).alias("spread")), ["host", "path"])
-        weight = F.pow(F.lit(gamma), "styles")
-        importance = (1 - weight) * F.expr("1 - spread / (pages * ln(pages))") + weight * importance
-    return tree.select("host", "path", "pages", F.when(F.col("pages") > 1, importance).otherwise(1.0).alias("importance"))
+    by, own = ["host", "path"], {"parent": "cast(null as long)", "level": "0", "style": "cast(null as long)", "share": "1D", "held": "1D"}
+    rows = nodes.select(*by, *(c for c in ["page"] if c in nodes.columns), *(c if c in nodes.columns else F.expr(v).alias(c) for c, v in own.items()))
+    if "page" in nodes.columns:
+        rows = rows.groupBy(*by, "page", "parent", "level").agg(*(F.min(c).alias(c) for c in ("style", "share", "held")))
+    sums = [F.sum(c).alias(c) for c in ("share", "held")]
+    styles = rows.groupBy(*by, "parent", "level", "style").agg(F.count("*").alias("n"), *sums)
+    tree = styles.groupBy(*by, "parent", "level").agg(
+        F.sum("n").alias("pages"), F.when(F.count("style") > 0, F.count("*")).otherwise(0).alias("styles"), F.sum(F.expr("n * ln(n)")).alias("spread"), *sums
+    )
+    contents = _content_counts(nodes).groupBy(*by).agg(F.sum("n").alias("shown"), F.sum(F.expr("n * ln(n)")).alias("common"))
+    weight = F.pow(F.lit(gamma), "styles")
+    tree = tree.join(contents, by, "left").select(
+        *by, "parent", "level", "pages", "share", "held", weight.alias("weight"),
+        F.expr("1 - spread / (pages * ln(greatest(pages, 2)))").alias("presentation"),
+        F.expr("coalesce(1 - common / (shown * ln(greatest(pages, 2))), 0)").alias("content"),
+    )
+    return _from_the_leaves(tree if "level" not in nodes.columns else staged(tree, "tree"), "level" in nodes.columns)
+
+
+def _from_the_leaves(tree: DataFrame, deep: bool) -> DataFrame:
+    """The importance of every node, level by level; what lies below a node of one page doesn't matter."""
+    # no node with more than one page lies deeper, so those of one page just below are the deepest that matter
+    deepest = (tree.where("pages > 1").agg(F.max("level")).first()[0] or 0) + 1 if deep else 0
+    levels: list[DataFrame] = []
+    for level in range(deepest, -1, -1):
+        at = tree.where(F.col("level") == level)
+        if levels:
+            held = levels[-1].groupBy("host", F.col("parent").alias("path")).agg(
+                F.sum("share").alias("parts"), F.sum(F.expr("share * importance")).alias("worth"), F.max("highest").alias("below")
+            )
+            at = at.join(held, ["host", "path"], "left")
+        else:
+            at = at.selectExpr("*", "0D as parts", "0D as worth", "0D as below")
+        inner = F.expr("(held * content + coalesce(worth, 0)) / greatest(held + coalesce(parts, 0), 1e-9)")
+        mixed = F.expr("1 - weight") * F.col("presentation") + F.col("weight") * inner
+        at = at.withColumn("importance", F.when(F.col("pages") > 1, mixed).otherwise(1.0))
+        at = at.select("host", "path", "parent", "share", "pages", "importance", F.greatest("importance", "below").alias("highest"))
+        levels.append(staged(at, "level") if deep else at)
+    out = levels[0]
+    for at in levels[1:]:
+        out = out.union(at)
+    return out.select("host", "path", "pages", "importance", "highest")
 
 
 def main_text(
@@ -115,8 +178,8 @@ def main_text(
     Blocks are joined in page order by a line break; white space inside a block
     is one space, character references are decoded.  Of nodes of the host's style
     tree that at least ``least_pages`` different pages share and whose importance
-    is below ``threshold``, the contents that are worth less than that themselves
-    are removed.  Pages whose blocks are all equal are one page there.  Null, empty and textless pages give an
+    is below ``threshold``, as is that of all nodes below them, the contents that
+    are worth less than that themselves are removed.  Pages whose blocks are all equal are one page there.  Null, empty and textless pages give an
     empty text; pages without a host form one site.  Ids and urls may be null
     or repeat; every row comes back.  Other columns are ignored.
     """
@@ -125,9 +188,9 @@ def main_text(
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
     parsed = parsed.withColumn("host", host)
     nodes = parsed.select("host", "page", F.explode("nodes").alias("node")).select("host", "page", "node.*")
-    tree = style_tree(nodes).where((F.col("pages") >= least_pages) & (F.col("importance") < threshold))
+    tree = style_tree(nodes).where((F.col("pages") >= least_pages) & (F.col("highest") < threshold))
     # a content of fewer pages can't be low; left out, one large node's contents don't meet in one task
-    often = _counted(nodes)[1].where(F.col("n") >= int(least_pages ** (1 - threshold)))
+    often = _content_counts(nodes).where(F.col("n") >= int(least_pages ** (1 - threshold)))
     low = often.join(tree, ["host", "path"]).where(1 - F.ln("n") / F.ln("pages") < threshold)
     low = staged(low.select("host", "content"), "low")
     pages_ = parsed.select("key", "page_id", "url", "host", "blocks")
