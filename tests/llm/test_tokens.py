@@ -45,6 +45,17 @@ def test_small_caches_change_nothing(byte, word, corpus):
         assert np.frombuffer(b.ids(text), np.uint32).tolist() == word.encode(text, add_special_tokens=False).ids
 
 
+def test_words_in_use_outlive_a_full_cache(word):
+    cache, asked = Encoder(WORD), []
+    one = cache.word_ids
+    cache.ROOM, cache.word_ids = 10, lambda w: asked.append(w) or one(w)
+    for i in range(30):
+        text = f"common x{i} y{i}"
+        assert np.frombuffer(cache.ids(text), np.uint32).tolist() == word.encode(text, add_special_tokens=False).ids
+        assert len(cache.words) <= 12 and len(cache.old_words) <= 12
+    assert asked.count("common") == 1
+
+
 def test_table_round_trip():
     parts = ["the", "naïve", "a\nb", "日"]
     assert unpack_table(pack_table(parts, [1, 3, 2, 300])) == dict(zip(parts, [1, 3, 2, 300]))

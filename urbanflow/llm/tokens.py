@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import compress
@@ -45,7 +46,8 @@ def byte_letters() -> dict[str, int]:
 class Encoder:
     """Ids of one tokenizer file; ``suffix`` is its end-of-word mark, if it has one."""
 
-    #: Entries of a worker's cache; when it is full it starts anew.
+    #: Entries of a worker's cache.  When it is full, that of counts starts anew; that of words becomes the old
+    #: generation, so the words not seen for longest go.
     ROOM = 150_000
 
     def __init__(self, path: str):
@@ -67,6 +69,8 @@ class Encoder:
         self.merges = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.counts: dict[str, int] = {}
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.merge = self.merges._core_bpe.encode_single_piece
 
     def plain(self, text: str) -> bool:
         return not (any(s in text for s in self.special) or ODD.search(text))
@@ -95,23 +99,28 @@ class Encoder:
     # A file with end-of-word mark: lower case, white space only separates.
 
     def word_ids(self, word: str) -> bytes:
-        merge = self.merges._encode_single_piece
-        ids = [i for piece in self.pattern.findall(word.lower()) for i in merge(piece.encode() + END)]
-        return np.array(ids, np.uint32).tobytes()
+        low = word.lower()
+        if low.isalpha():  # one piece
+            return array("I", self.merge(low.encode() + END)).tobytes()
+        return array("I", [i for piece in self.pattern.findall(low) for i in self.merge(piece.encode() + END)]).tobytes()
 
     def ids(self, text: str) -> bytes:
         """The ids of a text, each as four little-endian bytes."""
         if not self.plain(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
         words = text.split()
         found = list(map(self.words.get, words))
-        if None in found:
-            if len(self.words) >= self.ROOM:
-                self.words.clear()
-            for i, x in enumerate(found):
-                if x is None:
-                    w = words[i]
-                    found[i] = self.words[w] = self.words.get(w) or self.word_ids(w)
+        missed, i = found.count(None), -1
+        for _ in range(missed):
+            i = found.index(None, i + 1)
+            w = words[i]
+            ids = self.words.get(w)
+            if ids is None:
+                ids = self.old_words.get(w)
+                self.words[w] = ids = self.word_ids(w) if ids is None else ids
+            found[i] = ids
+        if len(self.words) > self.ROOM:
+            self.old_words, self.words = self.words, {}
         return b"".join(found)
 
 
