@@ -352,3 +352,14 @@ def test_no_rows(spark, no_docs):
     only_held_out = spark.createDataFrame([(i, "a b") for i in range(20) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
     rows = score_texts(only_held_out, BYTE, rounds=1).collect()
     assert rows and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_words_in_use_outlive_a_full_cache():
+    cache, asked = language_model.Subwords(BYTE), []
+    one = cache.spell
+    cache.ROOM, cache.spell = 10, lambda w: asked.append(w) or one(w)
+    for i in range(30):
+        text = f"common x{i} it's"
+        assert cache.text(text.encode()).tolist() == cache.encoder.merges.encode_ordinary(f" {text}") + [cache.end]
+        assert len(cache.words) <= 13
+    assert asked.count(b"common") == 1

@@ -91,6 +91,12 @@ def initial(vocabulary: Vocabulary, seed: int = 7) -> np.ndarray:
     return flat
 
 
+def _logits(z: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    out = z @ weights
+    out += bias
+    return out
+
+
 def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials in place and their sums; rows are shifted by their maximum only where a sum would not be finite or 0."""
     ones = np.ones(logits.shape[-1], np.float32)
@@ -132,8 +138,8 @@ class Trainer:
         """One batch of windows of SPAN + 1 ids; the mean loss in nats.  ``share``: of the length of a whole step."""
         self.pace = self.rate * share
         p, voc, many = self.parts, self.vocabulary, np.float32(1 / len(windows))  # a step's size is set per window
-        row, y = voc.row[windows[:, :-1]], windows[:, 1:].reshape(-1)
-        e = p["own"][row]
+        row, y = voc.row.take(windows[:, :-1]), windows[:, 1:].reshape(-1)
+        e = p["own"].take(row, 0)
         flat_e = e.reshape(-1, DIM)
         asked = (flat_e @ p["asks"]).reshape(len(windows), SPAN, 3 * DIM)
         q, k, v = asked[:, :, :DIM] * SCALE, asked[:, :, DIM : 2 * DIM], asked[:, :, 2 * DIM :]
@@ -141,12 +147,12 @@ class Trainer:
         seen = np.matmul(a, v)
         z = (e + seen).reshape(-1, DIM)
         # in the order of groups, so that each group is one slice
-        group = voc.group[y]
+        group = voc.group.take(y)
         order, ends = _by_group(group)
-        z, place = z[order], voc.place[y][order]
-        d, total = _exponentials(z @ p["top"] + p["top_bias"])
+        z, place = z.take(order, 0), voc.place.take(y.take(order))
+        d, total = _exponentials(_logits(z, p["top"], p["top_bias"]))
         d /= total[:, None]
-        at = np.arange(len(y)), group[order]
+        at = np.arange(len(y)), group.take(order)
         loss = -float(np.log(d[at] + 1e-30).sum())
         d[at] -= 1
         d *= many
@@ -157,7 +163,7 @@ class Trainer:
             i, j = ends[g], ends[g + 1]
             if i < j:
                 own = z[i:j]
-                d, total = _exponentials(own @ p["out"][g] + p["out_bias"][g])
+                d, total = _exponentials(_logits(own, p["out"][g], p["out_bias"][g]))
                 d /= total[:, None]
                 at = np.arange(j - i), place[i:j]
                 loss -= float(np.log(d[at] + 1e-30).sum())
@@ -165,8 +171,9 @@ class Trainer:
                 d *= many
                 dz[i:j] += d @ p["out"][g].T
                 grad["out"][g], grad["out_bias"][g] = own.T @ d, np.ones(j - i, np.float32) @ d
-        back = np.empty_like(dz)
-        back[order] = dz
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        back = dz.take(place, 0)
         dz = back.reshape(e.shape)
         ds = np.matmul(dz, v.transpose(0, 2, 1))
         moved = np.empty_like(asked)  # the gradients of query, key and value
@@ -181,12 +188,12 @@ class Trainer:
         de = moved @ p["asks"].T
         de += back
         for name, g in grad.items():
-            self._move(name, slice(None), g.astype(np.float32))
+            self._move(name, slice(None), g.astype(np.float32, copy=False))
         index = row.reshape(-1)
-        order = np.argsort(index, kind="stable")
-        index = index[order]
+        order = np.argsort(index, kind="stable")  # of two bytes: a radix sort
+        index = index.take(order)
         first = np.flatnonzero(np.diff(index, prepend=-1))
-        self._move("own", index[first], np.add.reduceat(de[order], first))
+        self._move("own", index[first], np.add.reduceat(de.take(order, 0), first))
         return loss / len(y)
 
     def _move(self, name: str, rows, g: np.ndarray) -> None:
@@ -215,23 +222,25 @@ class Scorer:
 
     def windows(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log probability of the STEP ids ``y`` that end each window, given the ids ``x`` of the window; and that of any id that begins a word."""
-        p, voc, row = self.p, self.voc, self.voc.row[x]
-        ask, tell = self.asks[row[:, LEAD:]], self.tells[row]
+        p, voc, row = self.p, self.voc, self.voc.row.take(x)
+        ask, tell = self.asks.take(row[:, LEAD:], 0), self.tells.take(row, 0)
         a = _attend(np.matmul(ask[:, :, DIM:], tell[:, :, :DIM].transpose(0, 2, 1)), self.far)
         z = np.matmul(a, tell[:, :, DIM:])
         z += ask[:, :, :DIM]
         # in the order of groups, so that each group is one product
         target = y.reshape(-1)
-        order, ends = _by_group(voc.group[target])
-        target, z = target[order], z.reshape(-1, DIM)[order]
-        top, total = _exponentials(z @ p["top"] + p["top_bias"])
-        found = np.log(top[np.arange(len(target)), voc.group[target]] / total + 1e-30)
+        group = voc.group.take(target)
+        order, ends = _by_group(group)
+        target, z = target.take(order), z.reshape(-1, DIM).take(order, 0)
+        group, place = group.take(order), voc.place.take(target)
+        top, total = _exponentials(_logits(z, p["top"], p["top_bias"]))
+        found = np.log(top[np.arange(len(target)), group] / total + 1e-30)
         begins = np.log(top @ voc.opens / total + 1e-30)
         for g in range(GROUPS):
             i, j = ends[g], ends[g + 1]
             if i < j:
-                own, total = _exponentials(z[i:j] @ p["out"][g] + p["out_bias"][g])
-                found[i:j] += np.log(own[np.arange(j - i), voc.place[target[i:j]]] / total + 1e-30)
+                own, total = _exponentials(_logits(z[i:j], p["out"][g], p["out_bias"][g]))
+                found[i:j] += np.log(own[np.arange(j - i), place[i:j]] / total + 1e-30)
         found[ends[GROUPS] :] += voc.inner[target[ends[GROUPS] :]]
         out = np.empty((2, len(found)), np.float32)
         out[0, order], out[1, order] = found, begins
@@ -255,6 +264,6 @@ class Scorer:
         for i in range(0, len(y), batch):
             some = np.arange(i, min(i + batch, len(y)))
             at = (some * STEP)[:, None] + back
-            x = np.where(at >= start[some][:, None], target[np.maximum(at, 0)], edge)
+            x = np.where(at >= start[some][:, None], target.take(np.maximum(at, 0)), edge)
             out[some], begins[some] = self.windows(x, y[some])
         return out.reshape(-1)[real], begins.reshape(-1)[real]

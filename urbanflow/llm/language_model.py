@@ -54,7 +54,7 @@ def held_out(ids: Iterable[int | None], modulus: int, remainder: int) -> np.ndar
 
 
 class Subwords:
-    """Subword ids of lower-cased words, from a cache of words; a text ends with the id ``end``.
+    """Subword ids of lower-cased words, from a cache of words in two generations; a text ends with the id ``end``.
 
     ``starts``: which ids begin a word: those with the space before it, and the end.
     """
@@ -70,22 +70,28 @@ class Subwords:
         self.starts = np.array([(library.id_to_token(i) or "").startswith(space) for i in range(self.size)], bool)
         self.starts[self.end] = True
         self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
+        self.merge = self.encoder.merges._core_bpe.encode_single_piece
 
     def spell(self, word: bytes) -> list[int]:
         text = " " + word.decode()
-        merges = self.encoder.merges
-        return merges._encode_single_piece(text) if text[1:].isalpha() else merges.encode_ordinary(text)
+        return self.merge(text.encode()) if text[1:].isalpha() else self.encoder.merges.encode_ordinary(text)
 
     def text(self, raw: bytes) -> np.ndarray:
         """Ids of a text with its end."""
         words = raw.lower().split()
         found = list(map(self.words.get, words))
-        if None in found:
-            if len(self.words) >= self.ROOM:
-                self.words.clear()
-            for w in {w for w, x in zip(words, found) if x is None}:
-                self.words[w] = array("H", self.spell(w)).tobytes()
-            found = [self.words[w] if x is None else x for w, x in zip(words, found)]
+        missed, i = found.count(None), -1
+        for _ in range(missed):
+            i = found.index(None, i + 1)
+            w = words[i]
+            ids = self.words.get(w)
+            if ids is None:
+                ids = self.old_words.get(w)
+                self.words[w] = ids = array("H", self.spell(w)).tobytes() if ids is None else ids
+            found[i] = ids
+        if len(self.words) > self.ROOM:  # the words not seen for longest go
+            self.old_words, self.words = self.words, {}
         return np.append(np.frombuffer(b"".join(found), np.uint16), np.uint16(self.end))
 
 
