@@ -363,3 +363,31 @@ def test_words_in_use_outlive_a_full_cache():
         assert cache.text(text.encode()).tolist() == cache.encoder.merges.encode_ordinary(f" {text}") + [cache.end]
         assert len(cache.words) <= 13
     assert asked.count(b"common") == 1
+
+
+def test_batches_ask_once_for_each_word(words):
+    """Texts of a batch, also of a slice of one, have the ids of each alone, and no word is looked up twice."""
+    cache, asked = language_model.Subwords(BYTE), []
+    known = cache.known
+    cache.known = lambda some: asked.append(some) or known(some)
+    odd = ["", " ", "  A  b ", "a\x0bb\x0cc\x1cd\x85e\u2003f\u00a0x", "STRASSE Straße ÀÉ İ don't ½ <|endoftext|> x.", "a\n\n\ta", "日本 日本"]
+    texts = pa.array([*odd, *(" ".join(words(200)) for _ in range(30))])
+    expected = []
+    for t in texts.to_pylist():
+        ids = [i for w in t.encode().lower().split() for i in cache.encoder.merges.encode_ordinary(" " + w.decode())]
+        expected.append([*ids, cache.end])
+    for first in (0, 3):
+        found = cache.texts(texts.slice(first))
+        assert [np.frombuffer(x, np.uint16).tolist() for x in found] == expected[first:]
+    assert all(len(some) == len(set(some)) for some in asked)
+    assert cache.texts(texts.slice(0, 0)) == []
+
+
+def test_distinct_hashes():
+    rng = np.random.default_rng(15)
+    some = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    alike = (some[:150, None] & ~np.uint64(1023)) + np.arange(3, dtype=np.uint64)  # upper bits in common
+    for values in (some, alike.reshape(-1), some[:1], some[:0], np.array([0, 2**64 - 1], np.uint64)):
+        hashes = rng.choice(values, 3 * len(values)) if len(values) else values
+        for got, right in zip(language_model.distinct(hashes), np.unique(hashes, return_inverse=True)):
+            assert got.tolist() == right.tolist()

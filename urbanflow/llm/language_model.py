@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ BUCKET_BYTES = 4 << 20
 SHARD_BYTES = 8 << 20
 #: Ids after which a shard is cut, so that many rows of equal hash never form one.
 SHARD_IDS = 8 << 20
+#: Bytes of text that are spelled at a time, about.
+SPELLED_BYTES = 2 << 20
 BATCH = 256
 #: Steps of the changes that copies report, for sums in whole numbers.
 GRAIN = 2.0**20
@@ -77,9 +80,8 @@ class Subwords:
         text = " " + word.decode()
         return self.merge(text.encode()) if text[1:].isalpha() else self.encoder.merges.encode_ordinary(text)
 
-    def text(self, raw: bytes) -> np.ndarray:
-        """Ids of a text with its end."""
-        words = raw.lower().split()
+    def known(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words, each as two little-endian bytes."""
         found = list(map(self.words.get, words))
         missed, i = found.count(None), -1
         for _ in range(missed):
@@ -88,11 +90,27 @@ class Subwords:
             ids = self.words.get(w)
             if ids is None:
                 ids = self.old_words.get(w)
-                self.words[w] = ids = array("H", self.spell(w)).tobytes() if ids is None else ids
+                self.words[w] = ids = array("H", self.spell(w) if w else []).tobytes() if ids is None else ids
             found[i] = ids
         if len(self.words) > self.ROOM:  # the words not seen for longest go
             self.old_words, self.words = self.words, {}
-        return np.append(np.frombuffer(b"".join(found), np.uint16), np.uint16(self.end))
+        return found
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text with its end; the cache is asked once for each distinct word."""
+        whole = texts.take(pa.array(np.arange(len(texts))))  # a slice's offsets confuse ascii_lower
+        words = pc.ascii_split_whitespace(pc.ascii_lower(whole))
+        each = words.flatten().dictionary_encode()
+        ids = pa.array(self.known(each.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary()).take(each.indices)
+        _, offsets, data = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[: len(ids) + 1]
+        first = np.concatenate(([0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))))
+        whole, end = (b"" if data is None else data.to_pybytes()), np.uint16(self.end).tobytes()
+        return [whole[i:j] + end for i, j in zip(at[first[:-1]], at[first[1:]])]
+
+    def text(self, raw: bytes) -> np.ndarray:
+        """Ids of a text with its end."""
+        return np.frombuffer(self.texts(pa.array([raw], pa.large_binary()).cast(pa.large_string()))[0], np.uint16)
 
 
 _subwords: dict[str, Subwords] = {}
@@ -107,10 +125,9 @@ def subwords(path: str) -> Subwords:
 def _spelled(tokenizer: str, modulus: int, remainder: int):
     def spell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = subwords(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SPELLED_BYTES):
             train = ~held_out(batch.column(0).to_pylist(), modulus, remainder)
-            raw = [b"" if x is None else x for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            ids = pa.array([sub.text(x).tobytes() for x in raw], pa.binary())
+            ids = pa.array(sub.texts(batch.column(1).fill_null("")), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(train), ids], ["doc_id", "train", "ids"])
 
     return spell
@@ -174,6 +191,28 @@ class Shard:
         return first, doc, mix(out)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and which of them each one is.
+
+    Upper bits of a hash and its place share a number, as sorting numbers is far
+    faster than sorting places; should the upper bits not tell two hashes apart,
+    places are sorted after all.
+    """
+    low = np.uint64((1 << len(hashes).bit_length()) - 1)
+    key = hashes & ~low
+    key |= np.arange(len(hashes), dtype=np.uint64)
+    key.sort()
+    order = (key & low).astype(np.int64)
+    found = hashes.take(order)
+    if (found[1:] < found[:-1]).any():
+        return np.unique(hashes, return_inverse=True)
+    first = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=first[1:])
+    which = np.empty_like(order)
+    which[order] = np.cumsum(first) - 1
+    return found[first], which
+
+
 def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[Shard]:
     for batch in batches:
         for i in range(batch.num_rows):
@@ -239,14 +278,14 @@ def _asked(tokenizer: str, buckets: int):
         starts = subwords(tokenizer).starts
         for shard in _shards(batches):
             _, doc, hashes = shard.words(starts)
-            distinct, which = np.unique(hashes, return_inverse=True)
-            count = np.bincount(which, weights=shard.train[doc], minlength=len(distinct)).astype(np.uint32)
-            at = cuts(distinct, buckets)
+            own, which = distinct(hashes)
+            count = np.bincount(which, weights=shard.train[doc], minlength=len(own)).astype(np.uint32)
+            at = cuts(own, buckets)
             # every bucket is asked, if only for its totals
             arrays = [
                 pa.array(range(buckets), pa.int32()),
                 pa.array([shard.name] * buckets, pa.int64()),
-                pa.array([distinct[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
+                pa.array([own[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
                 pa.array([count[i:j].tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["bucket", "shard", "hashes", "counts"])
@@ -256,9 +295,9 @@ def _asked(tokenizer: str, buckets: int):
 
 def _told(table: pa.Table) -> pa.Table:
     parts = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-    own = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
-    distinct, which = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(which, weights=own, minlength=len(distinct)).astype(np.int64)
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
+    every, which = distinct(np.concatenate(parts))
+    total = np.bincount(which, weights=counts, minlength=len(every)).astype(np.int64)
     ends = np.cumsum([0, *(len(p) for p in parts)])
     reply = total[which]
     return pa.table(
@@ -302,8 +341,8 @@ def _scored(tokenizer: str, model, buckets: int):
             kept[""] = Scorer(*model.value)
         sub, shard = subwords(tokenizer), Shard(table)
         _, doc, hashes = shard.words(sub.starts)
-        distinct, which = np.unique(hashes, return_inverse=True)
-        c = answers(told, distinct, buckets, np.int64)[which]
+        own, which = distinct(hashes)
+        c = answers(told, own, buckets, np.int64)[which]
         tokens, kinds = (int(np.sum(told.column(x).to_numpy())) for x in ("tokens", "kinds"))
         docs = len(shard.docs)
         base = np.bincount(doc, weights=np.log10((c + 1) / (tokens + kinds + 1)), minlength=docs)
